@@ -1,0 +1 @@
+"""Streaming: site space-usage reports validated as they land (file stream)."""
