@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dumpwise.operators import consistency, datasets, incidents, replicas
+from dumpwise.operators import accounting, consistency, datasets, documents, incidents, replicas
 from dumpwise.sinks import TS_MILLIS_UTC, TS_SECONDS, render
 from dumpwise.sources.fixtures import WINDOW_END, WINDOW_START, FixtureCatalog, duckdb_with
 
@@ -168,3 +168,198 @@ group by r.rse, c.scope, c.name
 def q_datasets_per_rse(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = FixtureCatalog(spark, sf_dir)
     return render(datasets.datasets_per_rse(c.collection_replicas, c.dslocks, c.rses), TS_MILLIS_UTC)
+
+
+# --- R7 global accounting --------------------------------------------------------------------
+# The oracles follow the original job's shape on purpose (padded union and max for the
+# attributes, fan-out join and argmin per (file, element), eight filtered aggregates merged
+# by max), so they check the rewritten Spark plan rather than restate it.
+
+_SQL_ACCOUNTED = f"""
+accounted as (
+  select id, rse, rse_type, tier from (
+    select id, rse, rse_type, max(type) as type, max(tier) as tier from (
+      select r.id, r.rse, r.rse_type, m.value as type, '-2' as tier
+      from rses r join rse_metadata m on r.id = m.rse_id where m.key = 'type'
+      union all
+      select r.id, r.rse, r.rse_type, '-2' as type, m.value as tier
+      from rses r join rse_metadata m on r.id = m.rse_id where m.key = 'tier'
+    ) group by id, rse, rse_type
+  ) where {accounting.DEFAULT_ELIGIBLE.replace('!=', '<>')}
+)"""
+
+_SQL_CLASSIFIED = """
+classified as (
+  select p.scope, p.name, coalesce(p.bytes, 0) as bytes, a.rse,
+         case when p.tombstone is null then 'primary' else 'secondary' end as type,
+         a.rse_type, a.tier, coalesce(p.accessed_at, 0) as accessed_at
+  from replicas p join accounted a on p.rse_id = a.id
+)"""
+
+_SQL_OWNED = """
+owned as (
+  select fscope, fname, rse,
+         arg_min(dscope, dscope || ':' || dname) as dscope, arg_min(dname, dscope || ':' || dname) as dname,
+         max(bytes) as bytes, max(type) as type, max(rse_type) as rse_type, max(tier) as tier,
+         max(accessed_at) as accessed_at
+  from (
+    select c.scope as fscope, c.name as fname, c.rse, coalesce(t.scope, 'no_scope') as dscope,
+           coalesce(t.name, 'no_name') as dname, c.bytes, c.type, c.rse_type, c.tier, c.accessed_at
+    from classified c
+    left join (select * from contents where did_type = 'D' and child_type = 'F') t
+      on c.scope = t.child_scope and c.name = t.child_name
+  ) where dscope <> 'panda'
+  group by fscope, fname, rse
+)"""
+
+
+def _sql_usage() -> str:
+    measures = ("files", "bytes", "accessed_files", "accessed_bytes")
+    parts = []
+    for short, kind, rse_type, tier in accounting.CLASSES:
+        cond = f"rse_type = '{rse_type}' and tier = '{tier}'" + (f" and type = '{kind}'" if kind else "")
+        own = {"files": "count(fname)", "bytes": "sum(bytes)", "accessed_files":
+               "count(case when accessed_at is not null then fname end)",
+               "accessed_bytes": "sum(case when accessed_at is not null then bytes end)"}
+        cols = []
+        for other, *_ in accounting.CLASSES:
+            for m in measures:
+                cols.append(f"{own[m] if other == short else '0'} as {other}_{m}")
+        parts.append(f"select dscope, dname, max(accessed_at) as accessed_at, {', '.join(cols)} "
+                     f"from owned where {cond} group by dscope, dname")
+    merged = ", ".join(f"cast(max({s}_{m}) as bigint) as {s}_{m}" for s, *_ in accounting.CLASSES for m in measures)
+    return (f"usage as (\n  select dscope, dname, max(accessed_at) as accessed_at, {merged}\n"
+            f"  from ({' union all '.join(parts)}) group by dscope, dname\n)")
+
+
+def _sql_factors() -> str:
+    cols = ["u.dscope as scope", "u.dname as name",
+            "case when d.scope is null then null "
+            "when (case when u.accessed_at > d.accessed_at then u.accessed_at else d.accessed_at end) > 0 "
+            "then (case when u.accessed_at > d.accessed_at then u.accessed_at else d.accessed_at end) end "
+            "as accessed_at",
+            "d.created_at as created_at", "coalesce(d.length, 0) as length", "coalesce(d.bytes, 0) as bytes"]
+    for measure in ("files", "accessed_files", "bytes", "accessed_bytes"):
+        for short, *_ in accounting.CLASSES:
+            cols.append(f"u.{short}_{measure} as {accounting._report_name(short, measure)}")
+    for short, *_ in accounting.CLASSES:
+        cols.append(f"case when d.length is null or d.length = 0 then null else u.{short}_files / d.length end "
+                    f"as {accounting._report_name(short, 'repl_factor')}")
+    cols += [f"d.{m} as {m}" for m in accounting.METADATA] + ["coalesce(d.events, 0) as events"]
+    return f"""
+factors as (
+  select {', '.join(cols)}
+  from usage u left join (
+    select scope, name, coalesce(length, 0) as length, coalesce(bytes, 0) as bytes,
+           {', '.join(accounting.METADATA)}, coalesce(events, 0) as events, created_at,
+           coalesce(accessed_at, 0) as accessed_at
+    from dids
+  ) d on u.dscope = d.scope and u.dname = d.name
+)"""
+
+
+_ACC_VIEWS = ["rses", "rse_metadata", "replicas", "contents", "dids"]
+
+
+def _acc_oracle(steps: list[str], body: str) -> str:
+    return duckdb_with(_ACC_VIEWS, ", " + ",".join(steps) + "\n" + body)
+
+
+@register("accounted_rses", duckdb_with(["rses", "rse_metadata"], f", {_SQL_ACCOUNTED}\nselect * from accounted"))
+def q_accounted_rses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = FixtureCatalog(spark, sf_dir)
+    return accounting.accounted_rses(c.rses, c.rse_metadata)
+
+
+@register("classified_replicas", _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED], "select * from classified"))
+def q_classified_replicas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = FixtureCatalog(spark, sf_dir)
+    return accounting.classified_replicas(c.replicas, accounting.accounted_rses(c.rses, c.rse_metadata))
+
+
+@register("attribute_to_dataset", _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED], "select * from owned"))
+def q_attribute_to_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = FixtureCatalog(spark, sf_dir)
+    classified = accounting.classified_replicas(c.replicas, accounting.accounted_rses(c.rses, c.rse_metadata))
+    return accounting.attribute_to_dataset(classified, c.contents)
+
+
+@register("storage_class_usage",
+          _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED, _sql_usage()], "select * from usage"))
+def q_storage_class_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = FixtureCatalog(spark, sf_dir)
+    classified = accounting.classified_replicas(c.replicas, accounting.accounted_rses(c.rses, c.rse_metadata))
+    return accounting.storage_class_usage(accounting.attribute_to_dataset(classified, c.contents))
+
+
+_GLOBAL_ORACLE = _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED, _sql_usage(), _sql_factors()],
+                             "select * from factors")
+
+
+@register("replication_factors", _GLOBAL_ORACLE)
+def q_replication_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = FixtureCatalog(spark, sf_dir)
+    classified = accounting.classified_replicas(c.replicas, accounting.accounted_rses(c.rses, c.rse_metadata))
+    usage = accounting.storage_class_usage(accounting.attribute_to_dataset(classified, c.contents, False))
+    return accounting.replication_factors(usage, c.dids)
+
+
+@register("global_accounting", _GLOBAL_ORACLE)
+def q_global_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = FixtureCatalog(spark, sf_dir)
+    return accounting.global_accounting(c.replicas, c.rses, c.rse_metadata, c.contents, c.dids)
+
+
+# --- R8 accounting documents -----------------------------------------------------------------
+
+# The report date stamped on the test documents.
+REPORT_DATE = "2026-12-01"
+
+
+def _sql_sequential_datatype() -> str:
+    """The grouped datatype as literal sequential overrides (last matching rule wins)."""
+    t = "coalesce(datatype, 'no_name')"
+    p = "coalesce(project, '')"
+    steps = [("t", "DAOD", "DAOD")]
+    for test, value, label in [("eq", "panda", "panda"), ("sw", "user", "user"), ("sw", "archive", "archive"),
+                               ("sw", "data07", "data07"), ("sw", "sit", "sit"), ("eq", "hc_test", "hc_test"),
+                               ("sw", "group", "group"), ("sw", "cond", "cond")]:
+        steps.append(("p" + test, value, label))
+    for prefix in ("HIST", "DESD", "DPD", "RDO", "NTUP", "DRAW", "DNTUP", "D2ESD", "D2AOD"):
+        steps.append(("t", prefix, prefix))
+    steps.append(("tend", "RAW", "RAW"))
+    steps.append(("peq", "transient", "transient"))
+    for kind, value, label in steps:
+        if kind == "t":
+            t = f"(case when starts_with({t}, '{value}') then '{label}' else {t} end)"
+        elif kind == "tend":
+            t = f"(case when ends_with({t}, '{value}') then '{label}' else {t} end)"
+        elif kind == "peq":
+            t = f"(case when {p} = '{value}' then '{label}' else {t} end)"
+        else:
+            t = f"(case when starts_with({p}, '{value}') then '{label}' else {t} end)"
+    return t
+
+
+def _sql_documents() -> str:
+    from dumpwise.operators.documents import FACTOR_ROLLUPS, ROLLUPS
+    cols = ["f.*"]
+    for measures in (("files", "accessed_files"), ("bytes", "accessed_bytes")):
+        for group, parts in ROLLUPS.items():
+            for m in measures:
+                cols.append(" + ".join(f"{k}_{m}_{t}" for k, t in parts) + f" as {group}_{m}")
+    for group in FACTOR_ROLLUPS:
+        cols.append(" + ".join(f"{k}_repl_factor_{t}" for k, t in ROLLUPS[group]) + f" as {group}_repl_factor")
+    cols.append(f"'{REPORT_DATE}' as timestamp")
+    cols.append(f"upper(sha1('{REPORT_DATE}' || '_' || coalesce(scope, 'null') || '_' || coalesce(name, 'null')))"
+                " as id")
+    cols.append(f"{_sql_sequential_datatype()} as datatype_grouped")
+    return f"select {', '.join(cols)} from factors f"
+
+
+@register("accounting_documents",
+          _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED, _sql_usage(), _sql_factors()], _sql_documents()))
+def q_accounting_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = FixtureCatalog(spark, sf_dir)
+    report = accounting.global_accounting(c.replicas, c.rses, c.rse_metadata, c.contents, c.dids)
+    return documents.accounting_documents(report, REPORT_DATE)
