@@ -12,7 +12,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dumpwise.operators import accounting, consistency, datasets, documents, incidents, replicas
+from pyspark.sql import functions as F
+
+from dumpwise.operators import accounting, consistency, datasets, documents, incidents, lookup, replicas
+from dumpwise.operators import space_usage as su
 from dumpwise.sinks import TS_MILLIS_UTC, TS_SECONDS, render
 from dumpwise.sources.fixtures import WINDOW_END, WINDOW_START, FixtureCatalog, duckdb_with
 
@@ -363,3 +366,122 @@ def q_accounting_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = FixtureCatalog(spark, sf_dir)
     report = accounting.global_accounting(c.replicas, c.rses, c.rse_metadata, c.contents, c.dids)
     return documents.accounting_documents(report, REPORT_DATE)
+
+
+
+# --- R10 / R11 report lookup -----------------------------------------------------------------
+# The dated report table: the replica inventory, each row stamped with the day of its last
+# update (reports of many dates and elements, as a report directory holds them).
+
+AS_OF = "1998-06-30"
+SLICE_DATE = "1997-03-15"
+
+
+def _dated_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = FixtureCatalog(spark, sf_dir)
+    inv = replicas.replicas_per_rse(c.replicas, c.rses)
+    return render(inv.withColumn("date", F.date_format("updated_at", "yyyy-MM-dd")), TS_SECONDS)
+
+
+_SQL_DATED = f"""
+dated as (
+  select r.rse as rse, p.scope as scope, p.name as name, p.adler32 as adler32, p.bytes as bytes,
+         {_ts_seconds('p.created_at')} as created_at,
+         coalesce(p.path, {_det_path('p.scope', 'p.name')}) as path,
+         {_ts_seconds('p.updated_at')} as updated_at, p.state as state,
+         {_ts_seconds('p.accessed_at')} as accessed_at, {_ts_seconds('p.tombstone')} as tombstone,
+         coalesce(c.copies, 0) as copies, strftime(epoch_ms(p.updated_at), '%Y-%m-%d') as date
+  from replicas p
+  join rses r on p.rse_id = r.id
+  left join (select scope, name, count(*) as copies from replicas where state = 'A' group by scope, name) c
+    on p.scope = c.scope and p.name = c.name
+)"""
+
+
+@register("latest_reports", duckdb_with(["rses", "replicas"], f""", {_SQL_DATED}
+select d.* from dated d
+join (select rse, max(date) as newest from dated
+      where cast(date as date) between date '{AS_OF}' - interval 13 day and date '{AS_OF}' group by rse) n
+  on d.rse = n.rse and d.date = n.newest
+"""))
+def q_latest_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup.latest_reports(_dated_inventory(spark, sf_dir), AS_OF)
+
+
+@register("report_slice", duckdb_with(["rses", "replicas"], f""", {_SQL_DATED}
+select * from dated where date = '{SLICE_DATE}'
+"""))
+def q_report_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup.report_slice(_dated_inventory(spark, sf_dir), SLICE_DATE)
+
+
+# --- R12 / R13 site space usage --------------------------------------------------------------
+
+_SQL_TOKENS = r"""
+docs as (select doc_id, text, json_valid(text) as ok from space_reports),
+entries as (
+  select doc_id, token, json_extract(text, '$."' || token || '"') as v
+  from (select doc_id, text, unnest(json_keys(text)) as token from docs where ok and json_type(text) = 'OBJECT')
+),
+objs as (select * from entries where regexp_full_match(token, '^([A-Z0-9]+([_-][A-Z0-9]+)*)$') and json_type(v) = 'OBJECT')"""
+
+
+def _sql_is_int(path: str) -> str:
+    t = f"json_type(v, '{path}')"
+    return (f"({t} in ('BIGINT', 'UBIGINT') or ({t} = 'DOUBLE' and "
+            f"floor(cast(json_extract(v, '{path}') as double)) = cast(json_extract(v, '{path}') as double)))")
+
+
+def _sql_items_strings(path: str) -> str:
+    return (f"(len(list_filter(cast(json_extract(v, '{path}') as json[]), lambda x: coalesce(json_type(x), 'NULL') <> 'VARCHAR')) = 0)")
+
+
+def _sql_space_usage() -> str:
+    cols = ["doc_id", "token"]
+    for f in su.FIELDS:
+        p = f"$.{f}"
+        if f in su.STRING_FIELDS:
+            cols.append(f"case when json_type(v, '{p}') = 'VARCHAR' then json_extract_string(v, '{p}') end as {f}")
+        elif f in su.INTEGER_FIELDS:
+            cols.append(f"case when {_sql_is_int(p)} then cast(cast(json_extract(v, '{p}') as double) as bigint) end as {f}")
+        else:
+            cols.append(f"case when json_type(v, '{p}') = 'ARRAY' and {_sql_items_strings(p)} "
+                        f"then cast(json_extract(v, '{p}') as varchar) end as {f}")
+    return duckdb_with(["space_reports"], f", {_SQL_TOKENS}\nselect {', '.join(cols)} from objs")
+
+
+def _sql_violations() -> str:
+    parts = [
+        "select doc_id, cast(null as varchar) as token, 'invalid_json' as rule from docs where not ok",
+        "select doc_id, null, 'root_not_object' from docs where ok and json_type(text) <> 'OBJECT'",
+        "select doc_id, token, 'bad_token_name' from entries "
+        "where not regexp_full_match(token, '^([A-Z0-9]+([_-][A-Z0-9]+)*)$')",
+        "select doc_id, token, 'value_not_object' from entries "
+        "where regexp_full_match(token, '^([A-Z0-9]+([_-][A-Z0-9]+)*)$') and json_type(v) <> 'OBJECT'",
+    ]
+    for f in su.REQUIRED:
+        parts.append(f"select doc_id, token, 'missing_{f}' from objs where json_type(v, '$.{f}') is null")
+    for f in su.FIELDS:
+        p = f"$.{f}"
+        ok = (f"json_type(v, '{p}') = 'VARCHAR'" if f in su.STRING_FIELDS else
+              _sql_is_int(p) if f in su.INTEGER_FIELDS else f"json_type(v, '{p}') = 'ARRAY'")
+        parts.append(f"select doc_id, token, 'type_{f}' from objs where json_type(v, '{p}') is not null and not ({ok})")
+    parts.append("select doc_id, token, 'enum_status' from objs where json_type(v, '$.status') is not null and "
+                 "not coalesce(json_type(v, '$.status') = 'VARCHAR' and "
+                 "json_extract_string(v, '$.status') in ('online', 'offline'), false)")
+    parts.append(f"select doc_id, token, 'item_type_list_of_paths' from objs where "
+                 f"json_type(v, '$.list_of_paths') = 'ARRAY' and not {_sql_items_strings('$.list_of_paths')}")
+    return duckdb_with(["space_reports"], f", {_SQL_TOKENS}\n" + "\nunion all\n".join(parts))
+
+
+@register("space_usage", _sql_space_usage())
+def q_space_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = FixtureCatalog(spark, sf_dir)
+    rows = su.space_usage(c["space_reports"])
+    return rows.withColumn("list_of_paths", F.to_json("list_of_paths"))
+
+
+@register("space_usage_violations", _sql_violations())
+def q_space_usage_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = FixtureCatalog(spark, sf_dir)
+    return su.space_usage_violations(c["space_reports"])

@@ -96,6 +96,36 @@ select @DS@ as scope, @DN@ as name,
        'physics' as stream_name, 'v1' as version, 'c'||cast(l_orderkey%3 as string) as campaign,
        min(@MS@) as created_at, case when l_orderkey%3=0 then null else max(@MS@) end as accessed_at
 from {lineitem} where l_orderkey%17<>0 group by l_orderkey""",
+    # Site space-usage documents, one per supplier; suppkey % 26 picks a broken variant (13..25 and 0 are valid).
+    "space_reports": """
+select s_suppkey as doc_id,
+       case s_suppkey % 26
+         when 1 then '{bad ' || k
+         when 2 then '[' || k || ']'
+         when 3 then '{"site' || k || '": {' || st || ', ' || msg || ', ' || tot || ', ' || used || ', ' || ts || ', ' || paths || '}, "A__B": {}, "_A": 1}'
+         when 4 then '{"SITE' || k || '": ' || k || '}'
+         when 5 then '{"SITE' || k || '_DATADISK": {' || st || ', ' || msg || ', ' || tot || ', ' || used || ', ' || nf || ', ' || paths || '}}'
+         when 6 then '{"SITE' || k || '_DATADISK": {"status": "down", ' || msg || ', ' || tot || ', ' || used || ', ' || ts || ', ' || paths || '}}'
+         when 7 then '{"SITE' || k || '_DATADISK": {' || st || ', ' || msg || ', "total_space": "5", ' || used || ', ' || ts || ', ' || paths || '}}'
+         when 8 then '{"SITE' || k || '_DATADISK": {' || st || ', ' || msg || ', "total_space": 1.5, ' || used || ', ' || ts || ', ' || paths || '}}'
+         when 9 then '{"SITE' || k || '_DATADISK": {' || st || ', ' || msg || ', "total_space": 1.0, "used_space": 1e3, "num_files": -1, "extra": true, ' || ts || ', "list_of_paths": []}}'
+         when 10 then '{"SITE' || k || '_DATADISK": {' || st || ', ' || msg || ', ' || tot || ', ' || used || ', ' || ts || ', "list_of_paths": "x"}}'
+         when 11 then '{"SITE' || k || '_DATADISK": {' || st || ', ' || msg || ', ' || tot || ', ' || used || ', ' || ts || ', "list_of_paths": ["x", 1]}}'
+         when 12 then '{"SITE' || k || '_DATADISK": {"status": 5, "total_space": true, ' || used || ', "time_stamp": null, "list_of_paths": [null]}}'
+         else '{"SITE' || k || '_DATADISK": {' || st || ', ' || msg || ', ' || tot || ', ' || used || ', ' || nf || ', ' || ts || ', ' || paths || '}, '
+              || '"SITE' || k || '-SCRATCHDISK": {' || st || ', ' || msg || ', ' || tot || ', ' || used || ', ' || ts || ', ' || paths || '}}'
+       end as text
+from (
+  select s_suppkey, cast(s_suppkey as string) as k,
+         '"status": "' || case when s_nationkey % 3 = 0 then 'offline' else 'online' end || '"' as st,
+         '"status_message": "report ' || cast(s_suppkey as string) || '"' as msg,
+         '"total_space": ' || cast(s_suppkey * 1000000 as string) as tot,
+         '"used_space": ' || cast(s_suppkey * 1000 + s_nationkey as string) as used,
+         '"num_files": ' || cast(s_nationkey * 10 as string) as nf,
+         '"time_stamp": ' || cast(1447936989 + s_suppkey as string) as ts,
+         '"list_of_paths": ["/data/' || cast(s_suppkey as string) || '/", "/scratch/' || cast(s_nationkey as string) || '/"]' as paths
+  from {supplier}
+) s""",
 }
 
 # The incident window used by the test queries (seconds), 1996-01-01 to 1997-01-01.
@@ -109,6 +139,10 @@ def view_sql(view: str, dialect: str) -> str:
     for macro, expr in _MACROS.items():
         text = text.replace(macro, expr)
     text = text.replace("@MS@", _MS[dialect])
+    if dialect == "spark":
+        # Literal braces (JSON text) must not read as frame parameters.
+        text = text.replace("{", "{{").replace("}", "}}")
+        text = text.replace("{{lineitem}}", "{lineitem}").replace("{{supplier}}", "{supplier}")
     if dialect == "duckdb":
         text = text.replace("{lineitem}", "lineitem").replace("{supplier}", "supplier")
     return text.strip()
@@ -144,7 +178,8 @@ class FixtureCatalog:
                 params["lineitem"] = self.lineitem
             if "{supplier}" in text:
                 params["supplier"] = self.supplier
-            self._cache[view] = conform(self.spark.sql(text, **params), view)
+            df = self.spark.sql(text, **params)
+            self._cache[view] = conform(df, view) if view in SCHEMAS else df
         return self._cache[view]
 
     def __getattr__(self, view: str) -> DataFrame:
