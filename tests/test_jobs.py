@@ -1,0 +1,142 @@
+"""Daily jobs end to end: dump on disk -> report files -> read back (sinks K1-K9, sources S1-S13)."""
+
+from __future__ import annotations
+
+import glob
+import json
+import os
+
+import pytest
+from conftest import SF_SMALL
+
+from dumpwise import sinks
+from dumpwise.operators import accounting, consistency, incidents, lookup, replicas
+from dumpwise.plans import jobs
+from dumpwise.sources.catalog import TABLES, load_tables
+from dumpwise.sources.fixtures import WINDOW_END, WINDOW_START, FixtureCatalog
+from dumpwise.sources.reports import read_accounting, read_dated_reports
+
+DATE = "2026-12-01"
+
+
+@pytest.fixture(scope="module")
+def dump(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("dumps"))
+    c = FixtureCatalog(spark, SF_SMALL)
+    for t in TABLES:
+        c[t].write.parquet(f"{root}/{DATE}/{t}")
+    return root
+
+
+def _files(path, pattern="part-*"):
+    return sorted(glob.glob(os.path.join(path, pattern)))
+
+
+def test_load_tables_lowercases_and_checks(spark, dump, tmp_path):
+    t = load_tables(spark, f"{dump}/{DATE}", ["rses"])
+    assert t["rses"].columns == ["id", "rse", "rse_type"]
+    spark.createDataFrame([("1", "A", "DISK")], "ID string, RSE string, RSE_TYPE string").write.parquet(
+        str(tmp_path / "upper"))
+    from dumpwise.sources.catalog import load_table
+    assert load_table(spark, str(tmp_path / "upper"), "rses").columns == ["id", "rse", "rse_type"]
+    with pytest.raises(ValueError):
+        load_table(spark, str(tmp_path / "upper"), "dids")
+
+
+def test_consistency_job_layout(spark, dump, scratch):
+    jobs.consistency_job(spark, dump, scratch, DATE)
+    base = f"{scratch}/consistency_datasets/date={DATE}"
+    dirs = sorted(os.listdir(base))
+    t = load_tables(spark, f"{dump}/{DATE}", ["dslocks", "rses", "dids"])
+    expected = consistency.consistency_datasets(t["dslocks"], t["rses"], t["dids"])
+    assert {d for d in dirs if d.startswith("rse=")} == {f"rse={r['rse']}" for r in expected.select("rse").distinct().collect()}
+    # _rse is the first data column, rows sorted by (scope, name) inside each file.
+    for d in [d for d in dirs if d.startswith("rse=")][:3]:
+        for f in _files(f"{base}/{d}"):
+            lines = [ln.split("\t") for ln in open(f).read().splitlines()]
+            assert all(ln[0] == d[4:] for ln in lines)
+            assert [ln[1:3] for ln in lines] == sorted(ln[1:3] for ln in lines)
+    back = read_dated_reports(spark, f"{scratch}/consistency_datasets")
+    assert back.count() == expected.count()
+    full = _files(f"{scratch}/consistency_datasets_full/date={DATE}", "part-*.bz2")
+    assert len(full) == 1
+    rows = spark.read.option("sep", "\t").csv(full[0]).collect()
+    assert [tuple(r) for r in rows] == sorted(tuple(r) for r in rows)
+    with pytest.raises(Exception):
+        jobs.consistency_job(spark, dump, scratch, DATE)  # a dated report is written once
+
+
+def test_replicas_job_and_lookup(spark, dump, scratch):
+    jobs.replicas_job(spark, dump, scratch, DATE)
+    base = f"{scratch}/replicas_per_rse"
+    assert _files(f"{base}/date={DATE}/rse=RSE_1", "part-*.bz2")
+    back = read_dated_reports(spark, base)
+    t = load_tables(spark, f"{dump}/{DATE}", ["replicas", "rses"])
+    assert back.count() == replicas.replicas_per_rse(t["replicas"], t["rses"]).count()
+    one = lookup.latest_reports(back, DATE, back=lookup.REPLICA_BACK_DAYS, ahead=lookup.REPLICA_AHEAD_DAYS,
+                                rse="RSE_1")
+    assert one.count() == back.filter("rse = 'RSE_1'").count() > 0
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan
+    line = open(_files(f"{base}/date={DATE}/rse=RSE_1", "part-*.bz2")[0], "rb").read()[:3]
+    assert line == b"BZh"
+
+
+def test_per_rse_one_file_mode(spark, dump, scratch):
+    jobs.datasets_job(spark, dump, scratch, DATE, one_file_per_rse=True)
+    base = f"{scratch}/datasets_per_rse/date={DATE}"
+    for d in os.listdir(base):
+        if d.startswith("rse="):
+            assert len(_files(f"{base}/{d}")) == 1
+    first = sorted(d for d in os.listdir(base) if d.startswith("rse="))[0]
+    some = _files(f"{base}/{first}")[0]
+    created = open(some).read().splitlines()[0].split("\t")[5]
+    assert created.endswith("Z") and "T" in created and len(created) == 24
+    renamed = sinks.strip_partition_prefix(spark, base)
+    assert renamed and all("=" not in r for r in renamed)
+
+
+def test_incident_jobs(spark, dump, scratch):
+    jobs.suspicious_job(spark, dump, scratch, DATE, WINDOW_START, WINDOW_END, DATE)
+    jobs.lost_job(spark, dump, scratch, DATE, WINDOW_START, WINDOW_END, DATE)
+    t = load_tables(spark, f"{dump}/{DATE}", ["bad_replicas", "replicas", "rses", "rse_protocols", "contents_history"])
+    sus = _files(f"{scratch}/suspicious_files/date={DATE}")
+    assert len(sus) == 1
+    lines = [ln.split("\t")[:3] for ln in open(sus[0]).read().splitlines()]
+    assert lines == sorted(lines)
+    assert len(lines) == incidents.suspicious_files(t["bad_replicas"], t["replicas"], t["rses"], t["rse_protocols"],
+                                                    WINDOW_START, WINDOW_END).count()
+    lost = _files(f"{scratch}/lost_files/date={DATE}")
+    assert len(lost) == 1
+    assert len(open(lost[0]).read().splitlines()) == incidents.lost_files(
+        t["bad_replicas"], t["contents_history"], t["rses"], WINDOW_START, WINDOW_END).count()
+
+
+def test_accounting_and_documents_jobs(spark, dump, scratch):
+    jobs.accounting_job(spark, dump, scratch, DATE)
+    report = read_accounting(spark, f"{scratch}/global_accounting/date={DATE}")
+    t = load_tables(spark, f"{dump}/{DATE}", ["replicas", "rses", "rse_metadata", "contents", "dids"])
+    direct = accounting.global_accounting(t["replicas"], t["rses"], t["rse_metadata"], t["contents"], t["dids"])
+    assert report.exceptAll(direct).count() == 0 and direct.exceptAll(report).count() == 0
+    keys = []
+    for f in _files(f"{scratch}/global_accounting/date={DATE}"):
+        keys += [tuple(ln.split("\t")[:2]) for ln in open(f).read().splitlines()]
+    assert keys == sorted(keys)
+    jobs.documents_job(spark, scratch, DATE, "2026-12")
+    jobs.documents_job(spark, scratch, DATE, "2026-12")  # re-running a date appends duplicates
+    docs = spark.read.json(f"{scratch}/global-accounting-2026-12")
+    assert docs.count() == 2 * direct.count()
+    assert docs.select("id").distinct().count() == direct.count()
+
+
+def test_space_usage_job(spark, scratch):
+    folder = os.path.join(scratch, "sites")
+    os.makedirs(folder)
+    good = {"SITEDISK": {"status": "online", "status_message": "", "total_space": 9, "used_space": 1,
+                         "time_stamp": 1, "list_of_paths": ["/x/"]}}
+    json.dump(good, open(os.path.join(folder, "a.json"), "w"))
+    open(os.path.join(folder, "b.json"), "w").write("{bad")
+    jobs.space_usage_job(spark, folder, os.path.join(scratch, "out"))
+    assert spark.read.parquet(os.path.join(scratch, "out", "space_usage")).count() == 1
+    v = spark.read.json(os.path.join(scratch, "out", "violations")).collect()
+    assert [(r["source"].endswith("b.json"), r["rule"]) for r in v] == [(True, "invalid_json")]
