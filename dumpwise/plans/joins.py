@@ -1,10 +1,17 @@
-"""Join helpers with an explicit size check before broadcasting.
+"""Joins of fact tables to dimension tables, broadcast only behind a size check.
 
 Storage elements, their protocols and their attributes are dimension tables:
 their size follows the number of sites (thousands), not the number of files.
-Still, a broadcast is only issued after counting at most ``max_rows + 1`` rows
-of the small side; beyond the bound the join is left to the planner
-(sort-merge, or a runtime broadcast chosen by AQE from real sizes).
+
+Default check: count at most ``max_rows + 1`` rows of the dimension (one small
+job over a small table) and hint a broadcast of the *dimension* only if it
+fits. Beyond the bound no hint is given and the planner chooses: it broadcasts
+a side only under ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-decides from
+measured sizes), else sort-merge. The hint matters: left to estimates alone,
+the planner may broadcast a small-looking *fact* side when the dimension is a
+derived frame whose estimate is inflated, and then run the join in a few tasks.
+
+``max_rows=None`` skips the count and leaves everything to the planner.
 """
 
 from __future__ import annotations
@@ -12,8 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Far above any real number of storage elements (or protocols/attributes of them),
-# and small enough that each executor holds the table comfortably.
+# Far above any real number of storage elements (or their protocols/attributes),
+# small enough for every executor to hold comfortably.
 DIMENSION_MAX_ROWS = 200_000
 
 
@@ -28,6 +35,11 @@ def small_side(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: Column | list[str] | str, how: str = "inner",
-                   max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
-    """Join a fact table to a dimension table, broadcasting the dimension when it is proven small."""
-    return fact.join(small_side(dim, max_rows), on, how)
+                   max_rows: int | None = DIMENSION_MAX_ROWS) -> DataFrame:
+    """Join a fact table to a dimension table.
+
+    ``max_rows=N``: broadcast the dimension only after counting that it has at most N rows.
+    ``max_rows=None``: the planner's size estimate (and AQE) decide broadcast vs sort-merge.
+    """
+    side = dim if max_rows is None else small_side(dim, max_rows)
+    return fact.join(side, on, how)

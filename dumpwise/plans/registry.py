@@ -23,6 +23,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+# How a query gets its catalogue from ``sf_dir``: derived views by default; the benchmark
+# swaps in a written dump (``fixtures.DumpCatalog``) to time the reports alone.
+CATALOG: Callable[[SparkSession, str], FixtureCatalog] = FixtureCatalog
+
 
 def register(name: str, oracle: str | None):
     def wrap(fn: Query) -> Query:
@@ -68,7 +72,7 @@ where b.state = 'L' and h.did_type = 'D'
   and {_seconds('b.created_at')} >= {WINDOW_START} and {_seconds('b.created_at')} < {WINDOW_END}
 """))
 def q_lost_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = FixtureCatalog(spark, sf_dir)
+    c = CATALOG(spark, sf_dir)
     return incidents.lost_files(c.bad_replicas, c.contents_history, c.rses, WINDOW_START, WINDOW_END)
 
 
@@ -90,7 +94,7 @@ where b.state = 'S' and p.write_lan = '1'
   and {_seconds('b.created_at')} >= {WINDOW_START} and {_seconds('b.created_at')} < {WINDOW_END}
 """))
 def q_suspicious_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = FixtureCatalog(spark, sf_dir)
+    c = CATALOG(spark, sf_dir)
     return incidents.suspicious_files(c.bad_replicas, c.replicas, c.rses, c.rse_protocols, WINDOW_START, WINDOW_END)
 
 
@@ -109,7 +113,7 @@ left join (select scope, name, count(*) as copies from replicas where state = 'A
   on p.scope = c.scope and p.name = c.name
 """))
 def q_replicas_per_rse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = FixtureCatalog(spark, sf_dir)
+    c = CATALOG(spark, sf_dir)
     return render(replicas.replicas_per_rse(c.replicas, c.rses), TS_SECONDS)
 
 
@@ -136,7 +140,7 @@ join (
 ) n on g.scope = n.scope and g.name = n.name
 """))
 def q_consistency_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = FixtureCatalog(spark, sf_dir)
+    c = CATALOG(spark, sf_dir)
     return consistency.consistency_datasets(c.dslocks, c.rses, c.dids)
 
 
@@ -146,7 +150,7 @@ from dslocks l join rses r on l.rse_id = r.id
 where l.state = 'O' and l.name not like '%_dis%' and l.name not like '%_sub%'
 """))
 def q_consistency_datasets_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = FixtureCatalog(spark, sf_dir)
+    c = CATALOG(spark, sf_dir)
     return consistency.consistency_datasets_full(c.dslocks, c.rses)
 
 
@@ -169,7 +173,7 @@ where c.did_type = 'D'
 group by r.rse, c.scope, c.name
 """))
 def q_datasets_per_rse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = FixtureCatalog(spark, sf_dir)
+    c = CATALOG(spark, sf_dir)
     return render(datasets.datasets_per_rse(c.collection_replicas, c.dslocks, c.rses), TS_MILLIS_UTC)
 
 
@@ -270,19 +274,19 @@ def _acc_oracle(steps: list[str], body: str) -> str:
 
 @register("accounted_rses", duckdb_with(["rses", "rse_metadata"], f", {_SQL_ACCOUNTED}\nselect * from accounted"))
 def q_accounted_rses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = FixtureCatalog(spark, sf_dir)
+    c = CATALOG(spark, sf_dir)
     return accounting.accounted_rses(c.rses, c.rse_metadata)
 
 
 @register("classified_replicas", _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED], "select * from classified"))
 def q_classified_replicas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = FixtureCatalog(spark, sf_dir)
+    c = CATALOG(spark, sf_dir)
     return accounting.classified_replicas(c.replicas, accounting.accounted_rses(c.rses, c.rse_metadata))
 
 
 @register("attribute_to_dataset", _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED], "select * from owned"))
 def q_attribute_to_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = FixtureCatalog(spark, sf_dir)
+    c = CATALOG(spark, sf_dir)
     classified = accounting.classified_replicas(c.replicas, accounting.accounted_rses(c.rses, c.rse_metadata))
     return accounting.attribute_to_dataset(classified, c.contents)
 
@@ -290,7 +294,7 @@ def q_attribute_to_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("storage_class_usage",
           _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED, _sql_usage()], "select * from usage"))
 def q_storage_class_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = FixtureCatalog(spark, sf_dir)
+    c = CATALOG(spark, sf_dir)
     classified = accounting.classified_replicas(c.replicas, accounting.accounted_rses(c.rses, c.rse_metadata))
     return accounting.storage_class_usage(accounting.attribute_to_dataset(classified, c.contents))
 
@@ -301,7 +305,7 @@ _GLOBAL_ORACLE = _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED, _sql_
 
 @register("replication_factors", _GLOBAL_ORACLE)
 def q_replication_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = FixtureCatalog(spark, sf_dir)
+    c = CATALOG(spark, sf_dir)
     classified = accounting.classified_replicas(c.replicas, accounting.accounted_rses(c.rses, c.rse_metadata))
     usage = accounting.storage_class_usage(accounting.attribute_to_dataset(classified, c.contents, False))
     return accounting.replication_factors(usage, c.dids)
@@ -309,7 +313,7 @@ def q_replication_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("global_accounting", _GLOBAL_ORACLE)
 def q_global_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = FixtureCatalog(spark, sf_dir)
+    c = CATALOG(spark, sf_dir)
     return accounting.global_accounting(c.replicas, c.rses, c.rse_metadata, c.contents, c.dids)
 
 
@@ -363,7 +367,7 @@ def _sql_documents() -> str:
 @register("accounting_documents",
           _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED, _sql_usage(), _sql_factors()], _sql_documents()))
 def q_accounting_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = FixtureCatalog(spark, sf_dir)
+    c = CATALOG(spark, sf_dir)
     report = accounting.global_accounting(c.replicas, c.rses, c.rse_metadata, c.contents, c.dids)
     return documents.accounting_documents(report, REPORT_DATE)
 
@@ -378,7 +382,7 @@ SLICE_DATE = "1997-03-15"
 
 
 def _dated_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = FixtureCatalog(spark, sf_dir)
+    c = CATALOG(spark, sf_dir)
     inv = replicas.replicas_per_rse(c.replicas, c.rses)
     return render(inv.withColumn("date", F.date_format("updated_at", "yyyy-MM-dd")), TS_SECONDS)
 
@@ -476,12 +480,12 @@ def _sql_violations() -> str:
 
 @register("space_usage", _sql_space_usage())
 def q_space_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = FixtureCatalog(spark, sf_dir)
+    c = CATALOG(spark, sf_dir)
     rows = su.space_usage(c["space_reports"])
     return rows.withColumn("list_of_paths", F.to_json("list_of_paths"))
 
 
 @register("space_usage_violations", _sql_violations())
 def q_space_usage_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = FixtureCatalog(spark, sf_dir)
+    c = CATALOG(spark, sf_dir)
     return su.space_usage_violations(c["space_reports"])

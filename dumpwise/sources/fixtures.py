@@ -186,3 +186,28 @@ class FixtureCatalog:
         if view in SCHEMAS:
             return self[view]
         raise AttributeError(view)
+
+
+def materialize(spark: SparkSession, sf_dir: str, dump_dir: str) -> list[str]:
+    """Write every derived view as a Parquet table ``<dump_dir>/<view>`` (a daily dump)."""
+    catalog = FixtureCatalog(spark, sf_dir)
+    for view in VIEWS:
+        catalog[view].write.mode("overwrite").parquet(f"{dump_dir.rstrip('/')}/{view}")
+    return list(VIEWS)
+
+
+class DumpCatalog:
+    """The same views read back from a written dump (``materialize``)."""
+
+    def __init__(self, spark: SparkSession, dump_dir: str):
+        self.spark = prepare(spark)
+        self.dump_dir = dump_dir.rstrip("/")
+
+    def __getitem__(self, view: str) -> DataFrame:
+        df = self.spark.read.parquet(f"{self.dump_dir}/{view}")
+        return conform(df, view) if view in SCHEMAS else df
+
+    def __getattr__(self, view: str) -> DataFrame:
+        if view in SCHEMAS:
+            return self[view]
+        raise AttributeError(view)
