@@ -51,5 +51,4 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     folder = tempfile.mkdtemp(prefix="dumpwise-ckpt-")
     spark.sparkContext.setCheckpointDir(folder)
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return spark.sparkContext.getCheckpointDir() or folder
