@@ -18,12 +18,10 @@ PROJECT_RULES = (
     ("startswith", "group", "group"),
     ("startswith", "cond", "cond"),
 )
-# Datatype prefixes reported as the prefix itself.
-DATATYPE_PREFIXES = ("DAOD", "HIST", "DESD", "DPD", "RDO", "NTUP", "DNTUP", "D2ESD", "D2AOD")
-# A datatype starting with DRAW or ending with RAW is reported as RAW.
-RAW_PREFIX = "DRAW"
+# Datatype prefixes reported as the prefix (a label ending in RAW then reads RAW).
+DATATYPE_PREFIXES = ("DAOD", "HIST", "DESD", "DPD", "RDO", "NTUP", "DRAW", "DNTUP", "D2ESD", "D2AOD")
+# The suffix rule and the label of a missing datatype.
 RAW_SUFFIX = "RAW"
-RAW_LABEL = "RAW"
 NO_DATATYPE = "no_name"
 
 
@@ -44,10 +42,10 @@ def grouped_datatype(project: Column | str, datatype: Column | str) -> Column:
     for test, value, label in PROJECT_RULES:
         cond = project == value if test == "equals" else project.startswith(value)
         out = out.when(cond, F.lit(label))
-    # DAOD is tested first, and a DRAW label is later caught by the RAW suffix.
-    out = out.when(datatype.startswith(DATATYPE_PREFIXES[0]), F.lit(DATATYPE_PREFIXES[0]))
-    out = out.when(datatype.startswith(RAW_PREFIX), F.lit(RAW_LABEL))
-    for prefix in DATATYPE_PREFIXES[1:]:
-        out = out.when(datatype.startswith(prefix), F.lit(prefix))
-    out = out.when(datatype.endswith(RAW_SUFFIX), F.lit(RAW_LABEL))
+    # No datatype starts with two of the prefixes, so their order does not matter; a prefix
+    # label is final unless it ends with the RAW suffix (DRAW), then it reads RAW.
+    for prefix in DATATYPE_PREFIXES:
+        label = RAW_SUFFIX if prefix.endswith(RAW_SUFFIX) else prefix
+        out = out.when(datatype.startswith(prefix), F.lit(label))
+    out = out.when(datatype.endswith(RAW_SUFFIX), F.lit(RAW_SUFFIX))
     return out.otherwise(F.coalesce(datatype, F.lit(NO_DATATYPE)))

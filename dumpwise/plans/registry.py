@@ -307,7 +307,7 @@ _GLOBAL_ORACLE = _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED, _sql_
 def q_replication_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = CATALOG(spark, sf_dir)
     classified = accounting.classified_replicas(c.replicas, accounting.accounted_rses(c.rses, c.rse_metadata))
-    usage = accounting.storage_class_usage(accounting.attribute_to_dataset(classified, c.contents, False))
+    usage = accounting.storage_class_usage(accounting.attribute_to_dataset(classified, c.contents))
     return accounting.replication_factors(usage, c.dids)
 
 

@@ -36,8 +36,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the settings every report relies on to an existing session."""
+    """Apply the settings every report relies on to an existing session.
+
+    UTC for every epoch conversion; AQE with skew-join splitting, so a file or
+    dataset holding a large share of a fact join is cut into several tasks.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     return spark
 
 
