@@ -52,24 +52,35 @@ def _text_writer(df: DataFrame, mode: str, compression: str | None, timestamp_fo
 
 
 def write_per_rse(df: DataFrame, path: str, sort_keys: Sequence[str] = ("scope", "name"), *,
-                  one_file_per_rse: bool = False, partitions: int | None = None, mode: str = "errorifexists",
-                  compression: str | None = None, timestamp_format: str | None = None,
+                  distribution: str = "rebalance", one_file_per_rse: bool = False, partitions: int | None = None,
+                  mode: str = "errorifexists", compression: str | None = None, timestamp_format: str | None = None,
                   options: Mapping[str, str] | None = None) -> None:
-    """Write a per-element report: directory per ``rse``, rows sorted by ``sort_keys`` inside.
-
-    Default distribution is a range partitioning on (rse, *sort_keys): an
-    element holding a third of all rows is cut into many tasks and files, each
-    sorted, their names in key order. ``one_file_per_rse=True`` keeps the old
-    one-file-per-element layout (hash on ``rse``, one task per element) for
-    readers that only take a directory's first file.
+    """Write a per-element report: a directory per ``rse``, rows sorted by ``sort_keys`` in each file.
+
+    ``distribution``:
+
+    * ``rebalance`` (default): hash on ``rse`` through the REBALANCE hint; AQE
+      splits an element holding a large share of the rows into several tasks
+      (files) of the advisory size and merges small elements; no sampling pass.
+    * ``range``: range partitioning on (rse, *sort_keys): files of an element
+      are also in key order among each other (file names follow the keys), at
+      the price of a sampling pass over the input.
+    * ``hash``: one task per element (``one_file_per_rse=True`` means this), for
+      readers that only take a directory's first file; a huge element is then one task.
     """
+    if one_file_per_rse:
+        distribution = "hash"
     out = df.withColumn("_rse", F.col("rse"))
     out = out.select("rse", "_rse", *[c for c in df.columns if c != "rse"])
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if one_file_per_rse:
+    if distribution == "hash":
         out = out.repartition(n, "rse")
-    else:
+    elif distribution == "range":
         out = out.repartitionByRange(n, "rse", *sort_keys)
+    elif distribution == "rebalance":
+        out = out.hint("rebalance", "rse")
+    else:
+        raise ValueError(f"unknown distribution {distribution!r}")
     out = out.sortWithinPartitions("rse", *sort_keys)
     _text_writer(out, mode, compression, timestamp_format, options).partitionBy("rse").csv(path)
 
@@ -77,8 +88,12 @@ def write_per_rse(df: DataFrame, path: str, sort_keys: Sequence[str] = ("scope",
 def write_single_file(df: DataFrame, path: str, order_by: Sequence[str] = (), *, mode: str = "errorifexists",
                       compression: str | None = None, timestamp_format: str | None = None,
                       options: Mapping[str, str] | None = None) -> None:
-    """One text file, rows in ``order_by`` order (small reports: incidents, the full listing)."""
-    out = df.coalesce(1)
+    """One text file, rows in ``order_by`` order (incident reports, the full consistency listing).
+
+    ``repartition(1)`` (not ``coalesce(1)``): everything upstream stays parallel
+    and only the final sort and write run in the one task a single file needs.
+    """
+    out = df.repartition(1)
     if order_by:
         out = out.sortWithinPartitions(*order_by)
     _text_writer(out, mode, compression, timestamp_format, options).csv(path)

@@ -140,3 +140,23 @@ def test_space_usage_job(spark, scratch):
     assert spark.read.parquet(os.path.join(scratch, "out", "space_usage")).count() == 1
     v = spark.read.json(os.path.join(scratch, "out", "violations")).collect()
     assert [(r["source"].endswith("b.json"), r["rule"]) for r in v] == [(True, "invalid_json")]
+
+
+def test_hot_element_is_split_across_files(spark, scratch):
+    # One element holds most rows: with the default distribution AQE cuts it into several sorted files.
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        df = spark.range(200_000).selectExpr(
+            "case when id % 10 < 8 then 'HOT' else concat('E', cast(id % 10 as string)) end as rse",
+            "concat('s', cast(id % 7 as string)) as scope", "concat('f', cast(id as string)) as name")
+        sinks.write_per_rse(df, f"{scratch}/hot")
+        hot = _files(f"{scratch}/hot/rse=HOT")
+        assert len(hot) > 1
+        total = 0
+        for f in hot:
+            keys = [tuple(ln.split("\t")[1:3]) for ln in open(f).read().splitlines()]
+            assert keys == sorted(keys)
+            total += len(keys)
+        assert total == 160_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
