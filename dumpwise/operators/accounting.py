@@ -23,7 +23,7 @@ import operator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dumpwise.plans.joins import join_dimension
+from dumpwise.plans.joins import join_dimension, profile
 
 # Attribute keys, padding of a missing attribute, storage element types,
 # replica kinds, and the element kept whatever its attributes.
@@ -134,7 +134,8 @@ def dataset_owners(contents: DataFrame) -> DataFrame:
 _REPLICA_MAX = ("bytes", "type", "rse_type", "tier", "accessed_at")
 
 
-def attribute_to_dataset(classified: DataFrame, contents: DataFrame, per_file_owner: bool = True) -> DataFrame:
+def attribute_to_dataset(classified: DataFrame, contents: DataFrame, per_file_owner: bool = True,
+                         unique_rse_names: bool = False) -> DataFrame:
     """One owning dataset per (file, element): the smallest ``scope:name`` among its parents.
 
     A file in no dataset belongs to ``no_scope:no_name``; a file whose parents
@@ -145,6 +146,12 @@ def attribute_to_dataset(classified: DataFrame, contents: DataFrame, per_file_ow
     ``per_file_owner=False`` runs the original shape instead (fan-out join of
     replicas to all parents, then ``min_by`` per (file, element)); both give
     the same rows.
+
+    ``unique_rse_names=True`` (pass it only when checked, see ``rse_names_unique``)
+    lets an element's type and tier be grouping keys: they then depend on the
+    element name alone, the maxima left are fixed-width (bytes, access time, a
+    secondary flag) and the grouping runs as a hash aggregate instead of a
+    sort-based one over all replicas.
     """
     reps = classified.select(F.col("scope").alias("fscope"), F.col("name").alias("fname"), "rse", *_REPLICA_MAX)
     if per_file_owner:
@@ -156,8 +163,15 @@ def attribute_to_dataset(classified: DataFrame, contents: DataFrame, per_file_ow
             F.coalesce(F.col("owner.dscope"), F.lit(NO_SCOPE)).alias("dscope"),
             F.coalesce(F.col("owner.dname"), F.lit(NO_NAME)).alias("dname"),
         )
-        grouped = owned.groupBy("fscope", "fname", "rse", "dscope", "dname").agg(
-            *[F.max(c).alias(c) for c in _REPLICA_MAX])
+        if unique_rse_names:
+            grouped = owned.groupBy("fscope", "fname", "rse", "dscope", "dname", "rse_type", "tier").agg(
+                F.max("bytes").alias("bytes"),
+                F.max(F.col("type") == SECONDARY).alias("_secondary"),
+                F.max("accessed_at").alias("accessed_at"),
+            ).withColumn("type", F.when(F.col("_secondary"), F.lit(SECONDARY)).otherwise(F.lit(PRIMARY)))
+        else:
+            grouped = owned.groupBy("fscope", "fname", "rse", "dscope", "dname").agg(
+                *[F.max(c).alias(c) for c in _REPLICA_MAX])
     else:
         joined = reps.join(_file_parents(contents), ["fscope", "fname"], "left").select(
             "fscope", "fname", "rse", *_REPLICA_MAX,
@@ -171,6 +185,11 @@ def attribute_to_dataset(classified: DataFrame, contents: DataFrame, per_file_ow
     return grouped.select("fscope", "fname", "rse", "dscope", "dname", *_REPLICA_MAX)
 
 
+def rse_names_unique(accounted: DataFrame) -> bool:
+    """Whether every accounted element name belongs to one element (one small job on the dimension)."""
+    return profile(accounted.select("rse"), "rse")[1]
+
+
 def _class_predicate(kind: str | None, rse_type: str, tier: str) -> Column:
     cond = (F.col("rse_type") == rse_type) & (F.col("tier") == tier)
     return cond if kind is None else cond & (F.col("type") == kind)
@@ -247,5 +266,6 @@ def global_accounting(replicas: DataFrame, rses: DataFrame, rse_metadata: DataFr
     File order (scope, name) is applied by the ordered sink.
     """
     accounted = accounted_rses(rses, rse_metadata, eligible)
-    owned = attribute_to_dataset(classified_replicas(replicas, accounted), contents, per_file_owner)
+    unique = per_file_owner and rse_names_unique(accounted)
+    owned = attribute_to_dataset(classified_replicas(replicas, accounted), contents, per_file_owner, unique)
     return replication_factors(storage_class_usage(owned, accessed_means_positive), dids)

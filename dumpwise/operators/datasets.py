@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dumpwise.functions.epoch import ms_to_timestamp
 from dumpwise.functions.lists import joined_field, sorted_pairs
-from dumpwise.plans.joins import join_dimension
+from dumpwise.plans.joins import profile
 
 # Dataset DID type; text shown for a dataset replica without lock accounts.
 DATASET = "D"
@@ -26,16 +26,21 @@ def datasets_per_rse(collection_replicas: DataFrame, dslocks: DataFrame, rses: D
     ``state`` the largest replica state, times are timestamps. Columns: ``COLUMNS``.
 
     Plan: replicas left-join locks on (scope, name, rse_id); the element join is
-    a broadcast and the aggregation groups by (scope, name, rse_id, rse), so it
-    reuses the join's hash partitioning instead of shuffling again.
+    a broadcast. When element names are unique (checked on the element table in
+    the same small job as its size), grouping by (scope, name, rse_id, rse) equals
+    grouping by (scope, name, rse) and reuses the join's hash partitioning
+    instead of shuffling again; otherwise the rows group by name, as defined.
     """
     keys = ["scope", "name", "rse_id"]
     reps = collection_replicas.filter(F.col("did_type") == DATASET).select(
         *keys, "available_bytes", "state", "created_at", "accessed_at", "updated_at")
     locks = dslocks.select(*keys, "account", "rule_id", F.col("created_at").alias("lock_created_at"))
     joined = reps.join(locks, keys, "left")
-    located = join_dimension(joined, rses.select(F.col("id").alias("rse_id"), "rse"), "rse_id")
-    grouped = located.groupBy("scope", "name", "rse_id", "rse").agg(
+    elements = rses.select(F.col("id").alias("rse_id"), "rse")
+    small, unique_names = profile(elements, "rse")
+    located = joined.join(F.broadcast(elements) if small else elements, "rse_id")
+    group_keys = ["scope", "name", "rse_id", "rse"] if unique_names else ["scope", "name", "rse"]
+    grouped = located.groupBy(*group_keys).agg(
         sorted_pairs("lock_created_at", "rule_id", "account").alias("locks"),
         F.max("available_bytes").alias("bytes"),
         F.min("created_at").alias("created_at"),

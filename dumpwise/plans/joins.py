@@ -29,6 +29,13 @@ def fits(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def profile(dim: DataFrame, key: str, max_rows: int = DIMENSION_MAX_ROWS) -> tuple[bool, bool]:
+    """One small job over at most ``max_rows + 1`` rows: (fits the bound, ``key`` values unique)."""
+    r = dim.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.col(key)).alias("k"),
+                                    F.count(F.col(key)).alias("nk")).first()
+    return r["n"] <= max_rows, r["n"] <= max_rows and r["k"] == r["nk"] == r["n"]
+
+
 def small_side(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` when its row count is within the bound, else ``df`` unchanged."""
     return F.broadcast(df) if fits(df, max_rows) else df

@@ -287,16 +287,19 @@ def q_classified_replicas(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("attribute_to_dataset", _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED], "select * from owned"))
 def q_attribute_to_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = CATALOG(spark, sf_dir)
-    classified = accounting.classified_replicas(c.replicas, accounting.accounted_rses(c.rses, c.rse_metadata))
-    return accounting.attribute_to_dataset(classified, c.contents)
+    accounted = accounting.accounted_rses(c.rses, c.rse_metadata)
+    classified = accounting.classified_replicas(c.replicas, accounted)
+    return accounting.attribute_to_dataset(classified, c.contents, True, accounting.rse_names_unique(accounted))
 
 
 @register("storage_class_usage",
           _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED, _sql_usage()], "select * from usage"))
 def q_storage_class_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = CATALOG(spark, sf_dir)
-    classified = accounting.classified_replicas(c.replicas, accounting.accounted_rses(c.rses, c.rse_metadata))
-    return accounting.storage_class_usage(accounting.attribute_to_dataset(classified, c.contents))
+    accounted = accounting.accounted_rses(c.rses, c.rse_metadata)
+    classified = accounting.classified_replicas(c.replicas, accounted)
+    owned = accounting.attribute_to_dataset(classified, c.contents, True, accounting.rse_names_unique(accounted))
+    return accounting.storage_class_usage(owned)
 
 
 _GLOBAL_ORACLE = _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED, _sql_usage(), _sql_factors()],
@@ -306,9 +309,10 @@ _GLOBAL_ORACLE = _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED, _sql_
 @register("replication_factors", _GLOBAL_ORACLE)
 def q_replication_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = CATALOG(spark, sf_dir)
-    classified = accounting.classified_replicas(c.replicas, accounting.accounted_rses(c.rses, c.rse_metadata))
-    usage = accounting.storage_class_usage(accounting.attribute_to_dataset(classified, c.contents))
-    return accounting.replication_factors(usage, c.dids)
+    accounted = accounting.accounted_rses(c.rses, c.rse_metadata)
+    classified = accounting.classified_replicas(c.replicas, accounted)
+    owned = accounting.attribute_to_dataset(classified, c.contents, True, accounting.rse_names_unique(accounted))
+    return accounting.replication_factors(accounting.storage_class_usage(owned), c.dids)
 
 
 @register("global_accounting", _GLOBAL_ORACLE)

@@ -149,3 +149,15 @@ def _doc_row():
         row[f"secondary_repl_factor_{s}"] = 0.5 if s != "t1" else None
     row["tape_repl_factor_t0"] = row["tape_repl_factor_t1"] = 0.0
     return row
+
+
+def test_unique_name_path_equals_exact_path(spark):
+    c = FixtureCatalog(spark, SF_MEDIUM)
+    accounted = accounting.accounted_rses(c.rses, c.rse_metadata)
+    assert accounting.rse_names_unique(accounted)
+    classified = accounting.classified_replicas(c.replicas, accounted)
+    fast = accounting.attribute_to_dataset(classified, c.contents, True, True)
+    exact = accounting.attribute_to_dataset(classified, c.contents, True, False)
+    assert fast.exceptAll(exact).count() == 0 and exact.exceptAll(fast).count() == 0
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan.split("BroadcastHashJoin")[0]

@@ -123,3 +123,17 @@ def test_datasets_per_rse(spark):
     assert set(out) == {"free", "ds"}
     assert (out["free"]["account"], out["free"]["rule_id"], out["free"]["bytes"]) == ("None", "", 0)
     assert (out["ds"]["account"], out["ds"]["rule_id"], out["ds"]["bytes"]) == ("b", "r1,r2", 7)
+
+
+def test_datasets_per_rse_shared_element_name(spark):
+    rses = table(spark, "rses", [{"id": "1", "rse": "A"}, {"id": "2", "rse": "A"}])
+    cr = table(spark, "collection_replicas", [
+        {"scope": "d", "name": "ds", "rse_id": "1", "did_type": "D", "available_bytes": 3, "state": "A"},
+        {"scope": "d", "name": "ds", "rse_id": "2", "did_type": "D", "available_bytes": 5, "state": "U"},
+    ])
+    locks = table(spark, "dslocks", [
+        {"scope": "d", "name": "ds", "rse_id": "2", "account": "b", "created_at": 2, "rule_id": "r2"},
+        {"scope": "d", "name": "ds", "rse_id": "1", "account": "a", "created_at": 1, "rule_id": "r1"},
+    ])
+    out = rows(datasets.datasets_per_rse(cr, locks, rses))
+    assert [(r["rse"], r["account"], r["rule_id"], r["bytes"], r["state"]) for r in out] == [("A", "a,b", "r1,r2", 5, "U")]
