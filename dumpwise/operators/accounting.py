@@ -83,7 +83,8 @@ def accounted_rses(rses: DataFrame, rse_metadata: DataFrame, eligible: str | Col
     are absent. Columns: ``id, rse, rse_type, tier``.
     """
     attrs = rse_metadata.filter(F.col("key").isin(KEY_TYPE, KEY_TIER))
-    joined = join_dimension(rses, attrs, rses["id"] == attrs["rse_id"])
+    # Both sides are dimension tables (no fact involved): the planner picks the strategy.
+    joined = join_dimension(rses, attrs, rses["id"] == attrs["rse_id"], max_rows=None)
     pivot = joined.groupBy("id", "rse", "rse_type").agg(
         F.max(F.when(F.col("key") == KEY_TYPE, F.col("value")).otherwise(F.lit(MISSING))).alias("type"),
         F.max(F.when(F.col("key") == KEY_TIER, F.col("value")).otherwise(F.lit(MISSING))).alias("tier"),
@@ -92,10 +93,12 @@ def accounted_rses(rses: DataFrame, rse_metadata: DataFrame, eligible: str | Col
     return pivot.filter(keep).select("id", "rse", "rse_type", "tier")
 
 
-def classified_replicas(replicas: DataFrame, accounted: DataFrame) -> DataFrame:
+def classified_replicas(replicas: DataFrame, accounted: DataFrame, broadcast: bool | None = None) -> DataFrame:
     """Replicas on accounted elements: primary (no tombstone) or secondary, NULL bytes/access as 0.
 
-    Columns: ``scope, name, bytes, rse, type, rse_type, tier, accessed_at``.
+    ``broadcast``: the result of an earlier size check of ``accounted``
+    (``profile``); ``None`` checks it here. Columns: ``scope, name, bytes, rse,
+    type, rse_type, tier, accessed_at``.
     """
     reps = replicas.select(
         "scope", "name", "rse_id",
@@ -104,7 +107,11 @@ def classified_replicas(replicas: DataFrame, accounted: DataFrame) -> DataFrame:
         F.coalesce(F.col("accessed_at"), F.lit(0)).cast("bigint").alias("accessed_at"),
     )
     elements = accounted.select(F.col("id").alias("rse_id"), "rse", "rse_type", "tier")
-    return join_dimension(reps, elements, "rse_id").select(
+    if broadcast is None:
+        joined = join_dimension(reps, elements, "rse_id")
+    else:
+        joined = reps.join(F.broadcast(elements) if broadcast else elements, "rse_id")
+    return joined.select(
         "scope", "name", "bytes", "rse", "type", "rse_type", "tier", "accessed_at")
 
 
@@ -190,6 +197,17 @@ def rse_names_unique(accounted: DataFrame) -> bool:
     return profile(accounted.select("rse"), "rse")[1]
 
 
+def prepared_replicas(replicas: DataFrame, rses: DataFrame, rse_metadata: DataFrame,
+                      eligible: str | Column = DEFAULT_ELIGIBLE) -> tuple[DataFrame, bool]:
+    """R7a + R7b with one small check job on the accounted elements (size and name uniqueness).
+
+    Returns the classified replicas and whether element names are unique.
+    """
+    accounted = accounted_rses(rses, rse_metadata, eligible)
+    small, unique = profile(accounted, "rse")
+    return classified_replicas(replicas, accounted, small), unique
+
+
 def _class_predicate(kind: str | None, rse_type: str, tier: str) -> Column:
     cond = (F.col("rse_type") == rse_type) & (F.col("tier") == tier)
     return cond if kind is None else cond & (F.col("type") == kind)
@@ -265,7 +283,6 @@ def global_accounting(replicas: DataFrame, rses: DataFrame, rse_metadata: DataFr
 
     File order (scope, name) is applied by the ordered sink.
     """
-    accounted = accounted_rses(rses, rse_metadata, eligible)
-    unique = per_file_owner and rse_names_unique(accounted)
-    owned = attribute_to_dataset(classified_replicas(replicas, accounted), contents, per_file_owner, unique)
+    classified, unique = prepared_replicas(replicas, rses, rse_metadata, eligible)
+    owned = attribute_to_dataset(classified, contents, per_file_owner, per_file_owner and unique)
     return replication_factors(storage_class_usage(owned, accessed_means_positive), dids)

@@ -281,25 +281,22 @@ def q_accounted_rses(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("classified_replicas", _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED], "select * from classified"))
 def q_classified_replicas(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = CATALOG(spark, sf_dir)
-    return accounting.classified_replicas(c.replicas, accounting.accounted_rses(c.rses, c.rse_metadata))
+    return accounting.prepared_replicas(c.replicas, c.rses, c.rse_metadata)[0]
 
 
 @register("attribute_to_dataset", _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED], "select * from owned"))
 def q_attribute_to_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = CATALOG(spark, sf_dir)
-    accounted = accounting.accounted_rses(c.rses, c.rse_metadata)
-    classified = accounting.classified_replicas(c.replicas, accounted)
-    return accounting.attribute_to_dataset(classified, c.contents, True, accounting.rse_names_unique(accounted))
+    classified, unique = accounting.prepared_replicas(c.replicas, c.rses, c.rse_metadata)
+    return accounting.attribute_to_dataset(classified, c.contents, True, unique)
 
 
 @register("storage_class_usage",
           _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED, _sql_usage()], "select * from usage"))
 def q_storage_class_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = CATALOG(spark, sf_dir)
-    accounted = accounting.accounted_rses(c.rses, c.rse_metadata)
-    classified = accounting.classified_replicas(c.replicas, accounted)
-    owned = accounting.attribute_to_dataset(classified, c.contents, True, accounting.rse_names_unique(accounted))
-    return accounting.storage_class_usage(owned)
+    classified, unique = accounting.prepared_replicas(c.replicas, c.rses, c.rse_metadata)
+    return accounting.storage_class_usage(accounting.attribute_to_dataset(classified, c.contents, True, unique))
 
 
 _GLOBAL_ORACLE = _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED, _sql_usage(), _sql_factors()],
@@ -309,9 +306,8 @@ _GLOBAL_ORACLE = _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED, _sql_
 @register("replication_factors", _GLOBAL_ORACLE)
 def q_replication_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = CATALOG(spark, sf_dir)
-    accounted = accounting.accounted_rses(c.rses, c.rse_metadata)
-    classified = accounting.classified_replicas(c.replicas, accounted)
-    owned = accounting.attribute_to_dataset(classified, c.contents, True, accounting.rse_names_unique(accounted))
+    classified, unique = accounting.prepared_replicas(c.replicas, c.rses, c.rse_metadata)
+    owned = accounting.attribute_to_dataset(classified, c.contents, True, unique)
     return accounting.replication_factors(accounting.storage_class_usage(owned), c.dids)
 
 

@@ -56,7 +56,15 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     missing = [f.name for f in schema.fields if f.name not in lower]
     if missing:
         raise ValueError(f"table {table!r} lacks columns {missing}; has {df.columns}")
-    return df.select([F.col(lower[f.name]).cast(f.dataType).alias(f.name) for f in schema.fields])
+    have = {f.name: f.dataType for f in df.schema.fields}
+    cols = []
+    for f in schema.fields:
+        src = lower[f.name]
+        if src == f.name and have[src] == f.dataType:
+            cols.append(f.name)
+        else:
+            cols.append(F.col(src).cast(f.dataType).alias(f.name))
+    return df.select(cols)
 
 
 def load_table(spark: SparkSession, path: str, table: str, fmt: str = "parquet",

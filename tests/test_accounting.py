@@ -161,3 +161,17 @@ def test_unique_name_path_equals_exact_path(spark):
     assert fast.exceptAll(exact).count() == 0 and exact.exceptAll(fast).count() == 0
     plan = fast._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan.split("BroadcastHashJoin")[0]
+
+
+def test_report_row_properties(spark):
+    from dumpwise.operators import consistency, replicas
+
+    c = FixtureCatalog(spark, SF_MEDIUM)
+    n_rses = c.rses.count()
+    r1 = consistency.consistency_datasets(c.dslocks, c.rses, c.dids)
+    assert r1.agg(F.max("count")).first()[0] <= n_rses
+    # per dataset, count equals its number of rows (one per element)
+    per_ds = r1.groupBy("scope", "name").agg(F.count("*").alias("n"), F.max("count").alias("c"), F.min("count").alias("m"))
+    assert per_ds.filter("n != c or c != m").count() == 0
+    r4 = replicas.replicas_per_rse(c.replicas, c.rses)
+    assert r4.count() == c.replicas.join(c.rses, c.replicas["rse_id"] == c.rses["id"]).count()

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 
 from dumpwise.streaming.space_usage import start_validation
 
@@ -14,14 +15,15 @@ def test_stream_validates_new_documents(spark, scratch):
     json.dump(good, open(os.path.join(src, "a.json"), "w"))
     open(os.path.join(src, "b.json"), "w").write('{"lower": {}}')
     out = os.path.join(scratch, "out")
-    for q in start_validation(spark, src, out, name="t1", available_now=True):
+    name = f"test-{uuid.uuid4().hex}"  # progress lives in the session's shared checkpoint folder
+    for q in start_validation(spark, src, out, name=name, available_now=True):
         q.awaitTermination(120)
     assert spark.read.parquet(os.path.join(out, "rows")).count() == 1
     v = spark.read.json(os.path.join(out, "violations")).collect()
     assert [(r["token"], r["rule"]) for r in v] == [("lower", "bad_token_name")]
     # a later run picks up only the new file
     open(os.path.join(src, "c.json"), "w").write("[]")
-    for q in start_validation(spark, src, out, name="t1", available_now=True):
+    for q in start_validation(spark, src, out, name=name, available_now=True):
         q.awaitTermination(120)
     rules = sorted(r["rule"] for r in spark.read.json(os.path.join(out, "violations")).collect())
     assert rules == ["bad_token_name", "root_not_object"]
