@@ -278,11 +278,20 @@ def replication_factors(usage: DataFrame, dids: DataFrame) -> DataFrame:
 
 def global_accounting(replicas: DataFrame, rses: DataFrame, rse_metadata: DataFrame, contents: DataFrame,
                       dids: DataFrame, eligible: str | Column = DEFAULT_ELIGIBLE, per_file_owner: bool = True,
-                      accessed_means_positive: bool = False) -> DataFrame:
+                      accessed_means_positive: bool = False, cut_lineage: bool = False) -> DataFrame:
     """The accounting report: one row per dataset, 54 columns (``accounting_columns()``).
 
+    ``cut_lineage=True`` writes the per-(file, element) owner table, the
+    largest intermediate, as a reliable checkpoint into the session's shared
+    checkpoint folder (``spark.checkpoint.dir``), so executors lost afterwards
+    never send Spark back to the replica and contents scans.
     File order (scope, name) is applied by the ordered sink.
     """
     classified, unique = prepared_replicas(replicas, rses, rse_metadata, eligible)
     owned = attribute_to_dataset(classified, contents, per_file_owner, per_file_owner and unique)
+    if cut_lineage:
+        from dumpwise.session import checkpoint_dir
+
+        checkpoint_dir(owned.sparkSession)
+        owned = owned.checkpoint(eager=True)
     return replication_factors(storage_class_usage(owned, accessed_means_positive), dids)

@@ -72,7 +72,14 @@ def load_table(spark: SparkSession, path: str, table: str, fmt: str = "parquet",
     reader = spark.read.format(fmt)
     if options:
         reader = reader.options(**options)
-    return conform(reader.load(path), table)
+    try:
+        df = reader.load(path)
+    except Exception as e:  # a reader package missing from the cluster, e.g. Avro
+        if "DATA_SOURCE_NOT_FOUND" in str(e) or "Failed to find data source" in str(e):
+            raise RuntimeError(f"reader format {fmt!r} is not available in this Spark session; add its package "
+                               f"(for Avro: the spark-avro module) or export the dump as Parquet") from e
+        raise
+    return conform(df, table)
 
 
 def load_tables(spark: SparkSession, dump_dir: str, tables: Iterable[str] | None = None, fmt: str = "parquet",

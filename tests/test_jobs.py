@@ -160,3 +160,19 @@ def test_hot_element_is_split_across_files(spark, scratch):
         assert total == 160_000
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_accounting_with_lineage_cut(spark, dump):
+    t = load_tables(spark, f"{dump}/{DATE}", ["replicas", "rses", "rse_metadata", "contents", "dids"])
+    args = (t["replicas"], t["rses"], t["rse_metadata"], t["contents"], t["dids"])
+    cut = accounting.global_accounting(*args, cut_lineage=True)
+    plain = accounting.global_accounting(*args)
+    assert cut.exceptAll(plain).count() == 0 and plain.exceptAll(cut).count() == 0
+    cut_plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert f"{DATE}/contents" not in cut_plan and f"{DATE}/contents" in plain._jdf.queryExecution().executedPlan().toString()
+
+
+def test_missing_reader_format_is_explained(spark, dump):
+    from dumpwise.sources.catalog import load_table
+    with pytest.raises(RuntimeError, match="not available"):
+        load_table(spark, f"{dump}/{DATE}/rses", "rses", fmt="no.such.format")
