@@ -5,8 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from dumpwise.operators import consistency, datasets, replicas
 from dumpwise.operators.accounting import accounting_columns
 
+_LONGS = {"bytes", "count", "copies", "updated_at", "created_at", "accessed_at"}
+
+
+def _text_layout(columns, longs=frozenset(), first="_rse") -> T.StructType:
+    """Column layout of a written per-element report: ``_rse`` then the report columns without ``rse``."""
+    names = [first] + [c for c in columns if c != "rse"]
+    return T.StructType([T.StructField(n, T.LongType() if n in longs else T.StringType(), True) for n in names])
+
+
+# Layouts of the per-element text reports (times of R3/R4 are text in the report's format;
+# R1 keeps raw epoch milliseconds).
+REPORT_LAYOUTS: dict[str, T.StructType] = {
+    "consistency_datasets": _text_layout(consistency.COLUMNS, _LONGS),
+    "datasets_per_rse": _text_layout(datasets.COLUMNS, {"bytes"}),
+    "replicas_per_rse": _text_layout(replicas.COLUMNS, {"bytes", "copies"}),
+}
+
 
 def accounting_schema() -> T.StructType:
     """The 54-column schema of the accounting report (string, long and double columns)."""
@@ -34,8 +52,11 @@ def read_dated_reports(spark: SparkSession, root: str, schema: T.StructType | st
     """Reports laid out as ``<root>/date=YYYY-MM-DD/rse=X/part-*``.
 
     ``date`` and ``rse`` come from the directory names, so filters on them prune
-    whole directories before any file is opened.
+    whole directories before any file is opened. ``schema`` may be a
+    ``REPORT_LAYOUTS`` key for the per-element reports.
     """
+    if isinstance(schema, str) and schema in REPORT_LAYOUTS:
+        schema = REPORT_LAYOUTS[schema]
     reader = spark.read.format(fmt).option("basePath", root)
     if fmt == "csv":
         reader = reader.option("sep", sep).option("header", "false")

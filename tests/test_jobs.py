@@ -70,9 +70,14 @@ def test_replicas_job_and_lookup(spark, dump, scratch):
     jobs.replicas_job(spark, dump, scratch, DATE)
     base = f"{scratch}/replicas_per_rse"
     assert _files(f"{base}/date={DATE}/rse=RSE_1", "part-*.bz2")
-    back = read_dated_reports(spark, base)
+    back = read_dated_reports(spark, base, "replicas_per_rse")
     t = load_tables(spark, f"{dump}/{DATE}", ["replicas", "rses"])
-    assert back.count() == replicas.replicas_per_rse(t["replicas"], t["rses"]).count()
+    direct = replicas.replicas_per_rse(t["replicas"], t["rses"])
+    assert back.count() == direct.count()
+    assert back.filter("_rse != rse").count() == 0
+    from dumpwise.sinks import TS_SECONDS, render
+    cols = [c for c in direct.columns]
+    assert render(direct, TS_SECONDS).exceptAll(back.select(*cols)).count() == 0
     one = lookup.latest_reports(back, DATE, back=lookup.REPLICA_BACK_DAYS, ahead=lookup.REPLICA_AHEAD_DAYS,
                                 rse="RSE_1")
     assert one.count() == back.filter("rse = 'RSE_1'").count() > 0
