@@ -199,12 +199,15 @@ def rse_names_unique(accounted: DataFrame) -> bool:
 
 def prepared_replicas(replicas: DataFrame, rses: DataFrame, rse_metadata: DataFrame,
                       eligible: str | Column = DEFAULT_ELIGIBLE) -> tuple[DataFrame, bool]:
-    """R7a + R7b with one small check job on the accounted elements (size and name uniqueness).
+    """R7a + R7b with one small check job (size and name uniqueness) on the element table.
 
-    Returns the classified replicas and whether element names are unique.
+    The accounted elements are at most one row per element, so the element
+    table's size bounds theirs, and names unique there stay unique among them:
+    checking the plain table (one scan) suffices. Returns the classified
+    replicas and whether element names are unique.
     """
     accounted = accounted_rses(rses, rse_metadata, eligible)
-    small, unique = profile(accounted, "rse")
+    small, unique = profile(rses.select("rse"), "rse")
     return classified_replicas(replicas, accounted, small), unique
 
 

@@ -47,11 +47,10 @@ def accounting_documents(accounting: DataFrame, date: str) -> DataFrame:
 
     ``id`` is the upper-case hex SHA-1 of ``<date>_<scope>_<name>``. 80 columns.
     """
-    docs = accounting.withColumns(rollup_columns()).withColumn("timestamp", F.lit(date))
-    return docs.withColumns({
-        "id": document_id("timestamp", "scope", "name"),
-        "datatype_grouped": grouped_datatype("project", "datatype"),
-    })
+    stamp = F.lit(date)
+    extra = {**rollup_columns(), "timestamp": stamp, "id": document_id(stamp, "scope", "name"),
+             "datatype_grouped": grouped_datatype("project", "datatype")}
+    return accounting.select("*", *[c.alias(n) for n, c in extra.items()])
 
 
 def index_name(month: str, prefix: str = INDEX_PREFIX) -> str:
