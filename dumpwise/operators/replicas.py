@@ -16,7 +16,7 @@ COLUMNS = ("rse", "scope", "name", "adler32", "bytes", "created_at", "path", "up
            "accessed_at", "tombstone", "copies")
 
 
-def replicas_per_rse(replicas: DataFrame, rses: DataFrame) -> DataFrame:
+def replicas_per_rse(replicas: DataFrame, rses: DataFrame, copies_by_window: bool = False) -> DataFrame:
     """One row per replica on a known storage element, with its path and number of available copies.
 
     ``path`` is the stored path, or the deterministic path when none is stored
@@ -24,16 +24,27 @@ def replicas_per_rse(replicas: DataFrame, rses: DataFrame) -> DataFrame:
     replicas of the file over *all* replicas, also those on unknown elements.
     Times become timestamps. Columns: ``COLUMNS``.
 
-    The copy count is a window over the file's replicas, taken before the
-    element join: one scan and one shuffle by file, where a count joined back
-    would scan and shuffle the replica table twice. A file has at most one
-    replica per element, so a window partition stays small even for a file
-    everyone holds.
+    The copy count is a partial (map-side) count per file joined back to the
+    replicas (left outer). A file with a huge number of copies ships one
+    partial count per map task, and in the join its replica rows sit on the
+    side AQE's skew handling splits. ``copies_by_window=True`` counts with a
+    window over the file's replicas instead (one shuffle fewer, but a window
+    partition cannot be split: it relies on a file having at most one replica
+    per element).
     """
-    per_file = Window.partitionBy("scope", "name")
-    counted = replicas.withColumn(
-        "copies", F.count(F.when(F.col("state") == AVAILABLE, F.lit(1))).over(per_file))
-    located = join_dimension(counted, rses.select(F.col("id").alias("rse_id"), "rse"), "rse_id")
+    elements = rses.select(F.col("id").alias("rse_id"), "rse")
+    if copies_by_window:
+        # The window must see replicas on unknown elements too: count first, then join the elements.
+        per_file = Window.partitionBy("scope", "name")
+        counted = replicas.withColumn(
+            "copies", F.count(F.when(F.col("state") == AVAILABLE, F.lit(1))).over(per_file))
+        located = join_dimension(counted, elements, "rse_id")
+    else:
+        # Counts cover all replicas; rows on unknown elements drop (broadcast join) before the shuffle.
+        counts = replicas.filter(F.col("state") == AVAILABLE).groupBy("scope", "name").agg(
+            F.count(F.lit(1)).alias("n_available"))
+        located = join_dimension(replicas, elements, "rse_id").join(counts, ["scope", "name"], "left").withColumn(
+            "copies", F.coalesce(F.col("n_available"), F.lit(0)))
     return located.select(
         "rse", "scope", "name", "adler32", "bytes",
         ms_to_timestamp("created_at").alias("created_at"),
