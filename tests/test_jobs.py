@@ -181,3 +181,11 @@ def test_missing_reader_format_is_explained(spark, dump):
     from dumpwise.sources.catalog import load_table
     with pytest.raises(RuntimeError, match="not available"):
         load_table(spark, f"{dump}/{DATE}/rses", "rses", fmt="no.such.format")
+
+
+def test_command_line(spark, dump, scratch):
+    from dumpwise.__main__ import main
+
+    assert main(["lost", "--dumps", dump, "--reports", scratch, "--date", DATE, "--start", str(WINDOW_START),
+                 "--end", str(WINDOW_END), "--report-date", DATE]) == 0
+    assert len(_files(f"{scratch}/lost_files/date={DATE}")) == 1
