@@ -43,7 +43,7 @@ def _parser() -> argparse.ArgumentParser:
             j.add_argument("--report-date", required=True)
         return j
 
-    job("consistency")
+    job("consistency").add_argument("--full-in-parts", action="store_true")
     job("datasets").add_argument("--one-file-per-rse", action="store_true")
     job("replicas")
     job("suspicious", window=True).add_argument("--keep-stored-path", action="store_true")
@@ -66,7 +66,7 @@ def main(argv: list[str] | None = None) -> int:
     a = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"dumpwise-{a.job}").getOrCreate()
     if a.job == "consistency":
-        jobs.consistency_job(spark, a.dumps, a.reports, a.date, a.dump_format, a.mode)
+        jobs.consistency_job(spark, a.dumps, a.reports, a.date, a.dump_format, a.mode, not a.full_in_parts)
     elif a.job == "datasets":
         jobs.datasets_job(spark, a.dumps, a.reports, a.date, a.dump_format, a.mode, a.one_file_per_rse)
     elif a.job == "replicas":

@@ -33,15 +33,21 @@ def _out(reports: str, report: str, date: str) -> str:
 
 
 def consistency_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt: str = "parquet",
-                    mode: str = "errorifexists") -> None:
-    """R1 per element and R2 as one ordered bzip2 file."""
+                    mode: str = "errorifexists", full_single_file: bool = True) -> None:
+    """R1 per element and R2 as one ordered bzip2 file.
+
+    ``full_single_file=False`` writes R2 as many bzip2 parts, globally ordered
+    (part order = row order): the listing covers every OK lock, and one file
+    means one writing task.
+    """
     prepare(spark)
     t = load_tables(spark, _dump(dumps, date), ["dslocks", "rses", "dids"], fmt)
     sinks.write_per_rse(consistency.consistency_datasets(t["dslocks"], t["rses"], t["dids"]),
                         _out(reports, "consistency_datasets", date), mode=mode)
-    sinks.write_single_file(consistency.consistency_datasets_full(t["dslocks"], t["rses"]),
-                            _out(reports, "consistency_datasets_full", date), ("rse", "scope", "name"),
-                            mode=mode, compression="bzip2")
+    full = consistency.consistency_datasets_full(t["dslocks"], t["rses"])
+    write = sinks.write_single_file if full_single_file else sinks.write_ordered
+    write(full, _out(reports, "consistency_datasets_full", date), ("rse", "scope", "name"), mode=mode,
+          compression="bzip2")
 
 
 def datasets_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt: str = "parquet",

@@ -189,3 +189,14 @@ def test_command_line(spark, dump, scratch):
     assert main(["lost", "--dumps", dump, "--reports", scratch, "--date", DATE, "--start", str(WINDOW_START),
                  "--end", str(WINDOW_END), "--report-date", DATE]) == 0
     assert len(_files(f"{scratch}/lost_files/date={DATE}")) == 1
+
+
+def test_full_listing_in_ordered_parts(spark, dump, scratch):
+    jobs.consistency_job(spark, dump, scratch, DATE, full_single_file=False)
+    parts = _files(f"{scratch}/consistency_datasets_full/date={DATE}", "part-*.bz2")
+    rows_in_order = []
+    for p in parts:
+        rows_in_order += [tuple(r) for r in spark.read.option("sep", "\t").csv(p).collect()]
+    assert len(parts) >= 1 and rows_in_order == sorted(rows_in_order)
+    t = load_tables(spark, f"{dump}/{DATE}", ["dslocks", "rses"])
+    assert len(rows_in_order) == consistency.consistency_datasets_full(t["dslocks"], t["rses"]).count()
