@@ -323,10 +323,8 @@ def q_global_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
 REPORT_DATE = "2026-12-01"
 
 
-def _sql_sequential_datatype() -> str:
-    """The grouped datatype as literal sequential overrides (last matching rule wins)."""
-    t = "coalesce(datatype, 'no_name')"
-    p = "coalesce(project, '')"
+def _sql_sequential_steps() -> list[str]:
+    """The grouped datatype as literal sequential overrides, one CASE per step (last matching rule wins)."""
     steps = [("t", "DAOD", "DAOD")]
     for test, value, label in [("eq", "panda", "panda"), ("sw", "user", "user"), ("sw", "archive", "archive"),
                                ("sw", "data07", "data07"), ("sw", "sit", "sit"), ("eq", "hc_test", "hc_test"),
@@ -336,16 +334,18 @@ def _sql_sequential_datatype() -> str:
         steps.append(("t", prefix, prefix))
     steps.append(("tend", "RAW", "RAW"))
     steps.append(("peq", "transient", "transient"))
+    out = []
     for kind, value, label in steps:
         if kind == "t":
-            t = f"(case when starts_with({t}, '{value}') then '{label}' else {t} end)"
+            cond = f"starts_with(dt_, '{value}')"
         elif kind == "tend":
-            t = f"(case when ends_with({t}, '{value}') then '{label}' else {t} end)"
+            cond = f"ends_with(dt_, '{value}')"
         elif kind == "peq":
-            t = f"(case when {p} = '{value}' then '{label}' else {t} end)"
+            cond = f"pj_ = '{value}'"
         else:
-            t = f"(case when starts_with({p}, '{value}') then '{label}' else {t} end)"
-    return t
+            cond = f"starts_with(pj_, '{value}')"
+        out.append(f"case when {cond} then '{label}' else dt_ end")
+    return out
 
 
 def _sql_documents() -> str:
@@ -360,8 +360,13 @@ def _sql_documents() -> str:
     cols.append(f"'{REPORT_DATE}' as timestamp")
     cols.append(f"upper(sha1('{REPORT_DATE}' || '_' || coalesce(scope, 'null') || '_' || coalesce(name, 'null')))"
                 " as id")
-    cols.append(f"{_sql_sequential_datatype()} as datatype_grouped")
-    return f"select {', '.join(cols)} from factors f"
+    # Linear chain: each subquery applies one override to dt_ (no expression doubling).
+    chain = "(select f.*, coalesce(f.datatype, 'no_name') as dt_, coalesce(f.project, '') as pj_ from factors f)"
+    for step in _sql_sequential_steps():
+        chain = f"(select * replace ({step} as dt_) from {chain})"
+    cols = [c.replace("f.*", "f.* exclude (dt_, pj_)") for c in cols]
+    cols.append("f.dt_ as datatype_grouped")
+    return f"select {', '.join(cols)} from {chain} f"
 
 
 @register("accounting_documents",
