@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 from dumpwise import sinks
 from dumpwise.operators import accounting, consistency, datasets, documents, incidents, replicas
 from dumpwise.operators import space_usage as su
-from dumpwise.session import prepare
+from dumpwise.session import prepare, size_shuffles
 from dumpwise.sources.catalog import load_tables
 from dumpwise.sources.reports import read_accounting
 from dumpwise.sources.space_usage import read_space_reports
@@ -28,6 +28,13 @@ def _dump(dumps: str, date: str) -> str:
     return f"{dumps.rstrip('/')}/{date}"
 
 
+def _load(spark: SparkSession, dumps: str, date: str, tables: list[str], fmt: str):
+    """Load the job's dump tables and size the shuffles from their volume."""
+    root = _dump(dumps, date)
+    size_shuffles(spark, [f"{root}/{t}" for t in tables])
+    return load_tables(spark, root, tables, fmt)
+
+
 def _out(reports: str, report: str, date: str) -> str:
     return f"{reports.rstrip('/')}/{report}/date={date}"
 
@@ -41,7 +48,7 @@ def consistency_job(spark: SparkSession, dumps: str, reports: str, date: str, fm
     means one writing task.
     """
     prepare(spark)
-    t = load_tables(spark, _dump(dumps, date), ["dslocks", "rses", "dids"], fmt)
+    t = _load(spark, dumps, date, ["dslocks", "rses", "dids"], fmt)
     sinks.write_per_rse(consistency.consistency_datasets(t["dslocks"], t["rses"], t["dids"]),
                         _out(reports, "consistency_datasets", date), mode=mode)
     full = consistency.consistency_datasets_full(t["dslocks"], t["rses"])
@@ -54,7 +61,7 @@ def datasets_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt:
                  mode: str = "errorifexists", one_file_per_rse: bool = False) -> None:
     """R3 per element, times as ``TS_MILLIS_UTC``."""
     prepare(spark)
-    t = load_tables(spark, _dump(dumps, date), ["collection_replicas", "dslocks", "rses"], fmt)
+    t = _load(spark, dumps, date, ["collection_replicas", "dslocks", "rses"], fmt)
     sinks.write_per_rse(datasets.datasets_per_rse(t["collection_replicas"], t["dslocks"], t["rses"]),
                         _out(reports, "datasets_per_rse", date), mode=mode, one_file_per_rse=one_file_per_rse,
                         timestamp_format=sinks.TS_MILLIS_UTC)
@@ -64,7 +71,7 @@ def replicas_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt:
                  mode: str = "errorifexists") -> None:
     """R4 per element, bzip2, times as ``TS_SECONDS``, rows by path inside each element."""
     prepare(spark)
-    t = load_tables(spark, _dump(dumps, date), ["replicas", "rses"], fmt)
+    t = _load(spark, dumps, date, ["replicas", "rses"], fmt)
     sinks.write_per_rse(replicas.replicas_per_rse(t["replicas"], t["rses"]), _out(reports, "replicas_per_rse", date),
                         sort_keys=("path",), mode=mode, compression="bzip2", timestamp_format=sinks.TS_SECONDS)
 
@@ -74,7 +81,7 @@ def suspicious_job(spark: SparkSession, dumps: str, reports: str, dump_date: str
                    keep_stored_path: bool = False) -> None:
     """R5 as one file ordered by (rse, scope, name)."""
     prepare(spark)
-    t = load_tables(spark, _dump(dumps, dump_date), ["bad_replicas", "replicas", "rses", "rse_protocols"], fmt)
+    t = _load(spark, dumps, dump_date, ["bad_replicas", "replicas", "rses", "rse_protocols"], fmt)
     out = incidents.suspicious_files(t["bad_replicas"], t["replicas"], t["rses"], t["rse_protocols"], start, end,
                                      keep_stored_path)
     sinks.write_single_file(out, _out(reports, "suspicious_files", report_date), ("rse", "scope", "name"), mode=mode)
@@ -84,7 +91,7 @@ def lost_job(spark: SparkSession, dumps: str, reports: str, dump_date: str, star
              report_date: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
     """R6 as one file."""
     prepare(spark)
-    t = load_tables(spark, _dump(dumps, dump_date), ["bad_replicas", "contents_history", "rses"], fmt)
+    t = _load(spark, dumps, dump_date, ["bad_replicas", "contents_history", "rses"], fmt)
     out = incidents.lost_files(t["bad_replicas"], t["contents_history"], t["rses"], start, end)
     sinks.write_single_file(out, _out(reports, "lost_files", report_date), mode=mode)
 
@@ -93,7 +100,7 @@ def accounting_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt
                    mode: str = "errorifexists", cut_lineage: bool = False) -> None:
     """R7 as many files, globally ordered by (scope, name); optionally checkpointing its largest intermediate."""
     prepare(spark)
-    t = load_tables(spark, _dump(dumps, date), ["replicas", "rses", "rse_metadata", "contents", "dids"], fmt)
+    t = _load(spark, dumps, date, ["replicas", "rses", "rse_metadata", "contents", "dids"], fmt)
     out = accounting.global_accounting(t["replicas"], t["rses"], t["rse_metadata"], t["contents"], t["dids"],
                                        cut_lineage=cut_lineage)
     sinks.write_ordered(out, _out(reports, "global_accounting", date), ("scope", "name"), mode=mode)

@@ -58,3 +58,39 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="dumpwise-ckpt-")
     spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir() or folder
+
+
+# Target bytes of input per shuffle partition before AQE coalescing; Spark's untuned default partition count.
+BYTES_PER_SHUFFLE_PARTITION = 128 * 1024 * 1024
+SPARK_DEFAULT_SHUFFLE_PARTITIONS = 200
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` (file-system metadata only, no data read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            total += fs.getContentSummary(path).getLength()
+    return total
+
+
+def size_shuffles(spark: SparkSession, paths: list[str]) -> int:
+    """Size ``spark.sql.shuffle.partitions`` from the input volume, unless the session already chose it.
+
+    Only a session still at Spark's default (200) is changed: to about one
+    partition per 128 MB of input (compressed on disk, so partitions stay below
+    executor memory once decoded), bounded to [200, 100000]. AQE then merges
+    partitions that turn out small. Returns the partition count in force.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if current != SPARK_DEFAULT_SHUFFLE_PARTITIONS:
+        return current
+    wanted = -(-input_bytes(spark, paths) // BYTES_PER_SHUFFLE_PARTITION)
+    n = max(SPARK_DEFAULT_SHUFFLE_PARTITIONS, min(MAX_SHUFFLE_PARTITIONS, wanted))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

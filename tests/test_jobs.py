@@ -200,3 +200,17 @@ def test_full_listing_in_ordered_parts(spark, dump, scratch):
     assert len(parts) >= 1 and rows_in_order == sorted(rows_in_order)
     t = load_tables(spark, f"{dump}/{DATE}", ["dslocks", "rses"])
     assert len(rows_in_order) == consistency.consistency_datasets_full(t["dslocks"], t["rses"]).count()
+
+
+def test_shuffle_sizing(spark, dump):
+    from dumpwise.session import input_bytes, size_shuffles
+
+    assert input_bytes(spark, [f"{dump}/{DATE}/replicas"]) > 0
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        assert size_shuffles(spark, [f"{dump}/{DATE}/replicas"]) == 200  # tiny input: the floor
+        spark.conf.set("spark.sql.shuffle.partitions", "37")
+        assert size_shuffles(spark, [f"{dump}/{DATE}/replicas"]) == 37  # chosen by the session: kept
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
