@@ -146,3 +146,25 @@ def test_dimension_over_bound_is_not_broadcast(spark):
     assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
     assert "broadcast" not in plain._jdf.queryExecution().analyzed().toString().lower()
     assert hinted.count() == plain.count() == 10
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["A", "B", "C"]), st.integers(-20, 8), st.integers(0, 99)), min_size=1,
+                max_size=40),
+       st.integers(0, 15), st.integers(0, 6))
+def test_latest_reports_matches_brute_force(spark, reports, back, ahead):
+    import datetime as dt
+
+    from dumpwise.operators import lookup
+
+    as_of = dt.date(2026, 12, 1)
+    data = [(r, (as_of + dt.timedelta(days=d)).isoformat(), v) for r, d, v in reports]
+    df = spark.createDataFrame(data, "rse string, date string, v int")
+    got = sorted(tuple(r) for r in lookup.latest_reports(df, as_of, back=back, ahead=ahead).collect())
+    lo, hi = (as_of - dt.timedelta(days=back)).isoformat(), (as_of + dt.timedelta(days=ahead)).isoformat()
+    inside = [x for x in data if lo <= x[1] <= hi]
+    newest = {}
+    for r, d, _ in inside:
+        newest[r] = max(newest.get(r, d), d)
+    want = sorted(x for x in inside if x[1] == newest[x[0]])
+    assert got == want
