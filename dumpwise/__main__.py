@@ -5,7 +5,7 @@
     python -m dumpwise replicas    --dumps D --reports R --date 2026-12-01
     python -m dumpwise suspicious  --dumps D --reports R --date 2026-12-01 --start S --end E --report-date 2026-12-02
     python -m dumpwise lost        --dumps D --reports R --date 2026-12-01 --start S --end E --report-date 2026-12-02
-    python -m dumpwise accounting  --dumps D --reports R --date 2026-12-01 [--cut-lineage]
+    python -m dumpwise accounting  --dumps D --reports R --date 2026-12-01 [--cut-lineage] [--split-hot-files]
     python -m dumpwise documents   --reports R --date 2026-12-01 --month 2026-12 [--target T --format F]
     python -m dumpwise space-usage --documents DIR --out OUT
 
@@ -48,7 +48,9 @@ def _parser() -> argparse.ArgumentParser:
     job("replicas")
     job("suspicious", window=True).add_argument("--keep-stored-path", action="store_true")
     job("lost", window=True)
-    job("accounting").add_argument("--cut-lineage", action="store_true")
+    acc = job("accounting")
+    acc.add_argument("--cut-lineage", action="store_true")
+    acc.add_argument("--split-hot-files", action="store_true")
     d = sub.add_parser("documents")
     d.add_argument("--reports", required=True)
     d.add_argument("--date", required=True)
@@ -77,7 +79,8 @@ def main(argv: list[str] | None = None) -> int:
     elif a.job == "lost":
         jobs.lost_job(spark, a.dumps, a.reports, a.date, a.start, a.end, a.report_date, a.dump_format, a.mode)
     elif a.job == "accounting":
-        jobs.accounting_job(spark, a.dumps, a.reports, a.date, a.dump_format, a.mode, a.cut_lineage)
+        jobs.accounting_job(spark, a.dumps, a.reports, a.date, a.dump_format, a.mode, a.cut_lineage,
+                            a.split_hot_files)
     elif a.job == "documents":
         jobs.documents_job(spark, a.reports, a.date, a.month, a.target, a.format)
     elif a.job == "space-usage":

@@ -142,7 +142,7 @@ _REPLICA_MAX = ("bytes", "type", "rse_type", "tier", "accessed_at")
 
 
 def attribute_to_dataset(classified: DataFrame, contents: DataFrame, per_file_owner: bool = True,
-                         unique_rse_names: bool = False) -> DataFrame:
+                         unique_rse_names: bool = False, split_hot_files: bool = False) -> DataFrame:
     """One owning dataset per (file, element): the smallest ``scope:name`` among its parents.
 
     A file in no dataset belongs to ``no_scope:no_name``; a file whose parents
@@ -159,9 +159,32 @@ def attribute_to_dataset(classified: DataFrame, contents: DataFrame, per_file_ow
     element name alone, the maxima left are fixed-width (bytes, access time, a
     secondary flag) and the grouping runs as a hash aggregate instead of a
     sort-based one over all replicas.
+
+    ``split_hot_files=True`` merges a file's rows per element *before* the
+    owner join (a partial aggregate with its own exchange; exact, as the owner
+    depends on the file alone). No grouping then follows the join, so AQE may
+    split a file with a huge number of rows there; the price is one more
+    shuffle of the replica rows. By default the grouping reuses the join's
+    partitioning, which holds while a file has one replica per element.
     """
     reps = classified.select(F.col("scope").alias("fscope"), F.col("name").alias("fname"), "rse", *_REPLICA_MAX)
-    if per_file_owner:
+    if per_file_owner and split_hot_files:
+        if unique_rse_names:
+            merged = reps.groupBy("fscope", "fname", "rse", "rse_type", "tier").agg(
+                F.max("bytes").alias("bytes"), F.max(F.col("type") == SECONDARY).alias("_secondary"),
+                F.max("accessed_at").alias("accessed_at"),
+            ).withColumn("type", F.when(F.col("_secondary"), F.lit(SECONDARY)).otherwise(F.lit(PRIMARY)))
+        else:
+            merged = reps.groupBy("fscope", "fname", "rse").agg(*[F.max(c).alias(c) for c in _REPLICA_MAX])
+        owners = dataset_owners(contents).withColumn("has_parent", F.lit(True))
+        joined = merged.join(owners, ["fscope", "fname"], "left").filter(
+            F.col("has_parent").isNull() | F.col("owner").isNotNull())
+        grouped = joined.select(
+            "fscope", "fname", "rse", *_REPLICA_MAX,
+            F.coalesce(F.col("owner.dscope"), F.lit(NO_SCOPE)).alias("dscope"),
+            F.coalesce(F.col("owner.dname"), F.lit(NO_NAME)).alias("dname"),
+        )
+    elif per_file_owner:
         owners = dataset_owners(contents).withColumn("has_parent", F.lit(True))
         joined = reps.join(owners, ["fscope", "fname"], "left").filter(
             F.col("has_parent").isNull() | F.col("owner").isNotNull())
@@ -281,7 +304,8 @@ def replication_factors(usage: DataFrame, dids: DataFrame) -> DataFrame:
 
 def global_accounting(replicas: DataFrame, rses: DataFrame, rse_metadata: DataFrame, contents: DataFrame,
                       dids: DataFrame, eligible: str | Column = DEFAULT_ELIGIBLE, per_file_owner: bool = True,
-                      accessed_means_positive: bool = False, cut_lineage: bool = False) -> DataFrame:
+                      accessed_means_positive: bool = False, cut_lineage: bool = False,
+                      split_hot_files: bool = False) -> DataFrame:
     """The accounting report: one row per dataset, 54 columns (``accounting_columns()``).
 
     ``cut_lineage=True`` writes the per-(file, element) owner table, the
@@ -291,7 +315,7 @@ def global_accounting(replicas: DataFrame, rses: DataFrame, rse_metadata: DataFr
     File order (scope, name) is applied by the ordered sink.
     """
     classified, unique = prepared_replicas(replicas, rses, rse_metadata, eligible)
-    owned = attribute_to_dataset(classified, contents, per_file_owner, per_file_owner and unique)
+    owned = attribute_to_dataset(classified, contents, per_file_owner, per_file_owner and unique, split_hot_files)
     if cut_lineage:
         from dumpwise.session import checkpoint_dir
 

@@ -97,12 +97,12 @@ def lost_job(spark: SparkSession, dumps: str, reports: str, dump_date: str, star
 
 
 def accounting_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt: str = "parquet",
-                   mode: str = "errorifexists", cut_lineage: bool = False) -> None:
+                   mode: str = "errorifexists", cut_lineage: bool = False, split_hot_files: bool = False) -> None:
     """R7 as many files, globally ordered by (scope, name); optionally checkpointing its largest intermediate."""
     prepare(spark)
     t = _load(spark, dumps, date, ["replicas", "rses", "rse_metadata", "contents", "dids"], fmt)
     out = accounting.global_accounting(t["replicas"], t["rses"], t["rse_metadata"], t["contents"], t["dids"],
-                                       cut_lineage=cut_lineage)
+                                       cut_lineage=cut_lineage, split_hot_files=split_hot_files)
     sinks.write_ordered(out, _out(reports, "global_accounting", date), ("scope", "name"), mode=mode)
 
 

@@ -175,3 +175,29 @@ def test_report_row_properties(spark):
     assert per_ds.filter("n != c or c != m").count() == 0
     r4 = replicas.replicas_per_rse(c.replicas, c.rses)
     assert r4.count() == c.replicas.join(c.rses, c.replicas["rse_id"] == c.rses["id"]).count()
+
+
+def test_split_hot_files_equals_default(spark):
+    c = FixtureCatalog(spark, SF_MEDIUM)
+    classified, unique = accounting.prepared_replicas(c.replicas, c.rses, c.rse_metadata)
+    base = accounting.attribute_to_dataset(classified, c.contents, True, unique)
+    for flag in (True, False):
+        split = accounting.attribute_to_dataset(classified, c.contents, True, flag, split_hot_files=True)
+        assert split.exceptAll(base).count() == 0 and base.exceptAll(split).count() == 0
+
+
+def test_split_hot_files_on_a_hot_file(spark):
+    # One file with thousands of duplicate replica rows on two elements, next to ordinary files.
+    hot = [{"scope": "s", "name": "hot", "rse_id": str(1 + i % 2), "bytes": i, "accessed_at": i,
+            "tombstone": 1 if i == 7 else None} for i in range(3000)]
+    cold = [{"scope": "s", "name": f"f{i}", "rse_id": "1", "bytes": 1} for i in range(20)]
+    rses = table(spark, "rses", [{"id": "1", "rse": "D1", "rse_type": "DISK"}, {"id": "2", "rse": "D2", "rse_type": "DISK"}])
+    meta = table(spark, "rse_metadata", [{"rse_id": i, "key": "type", "value": "DATADISK"} for i in ("1", "2")])
+    classified, unique = accounting.prepared_replicas(table(spark, "replicas", hot + cold), rses, meta)
+    contents = table(spark, "contents", [_parent("d", "ds", "hot"), _parent("d", "ds", "f3")])
+    base = accounting.attribute_to_dataset(classified, contents, True, unique)
+    split = accounting.attribute_to_dataset(classified, contents, True, unique, split_hot_files=True)
+    assert sorted(map(tuple, base.collect()), key=str) == sorted(map(tuple, split.collect()), key=str)
+    got = {(r["fname"], r["rse"]): r for r in rows(split)}
+    assert got[("hot", "D2")]["bytes"] == 2999 and got[("hot", "D2")]["type"] == "secondary"
+    assert got[("hot", "D1")]["type"] == "primary" and len(got) == 22
