@@ -214,3 +214,27 @@ def test_shuffle_sizing(spark, dump):
         assert size_shuffles(spark, [f"{dump}/{DATE}/replicas"]) == 37  # chosen by the session: kept
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_command_line_every_job(spark, dump, scratch):
+    import os as _os
+
+    from dumpwise.__main__ import main
+
+    base = ["--dumps", dump, "--reports", scratch, "--date", DATE]
+    window = ["--start", str(WINDOW_START), "--end", str(WINDOW_END), "--report-date", DATE]
+    assert main(["consistency", *base, "--full-in-parts"]) == 0
+    assert main(["datasets", *base, "--one-file-per-rse"]) == 0
+    assert main(["replicas", *base]) == 0
+    assert main(["suspicious", *base, *window, "--keep-stored-path"]) == 0
+    assert main(["accounting", *base, "--split-hot-files"]) == 0
+    assert main(["documents", "--reports", scratch, "--date", DATE, "--month", "2026-12"]) == 0
+    sites = _os.path.join(scratch, "sites")
+    _os.makedirs(sites)
+    open(_os.path.join(sites, "a.json"), "w").write("[]")
+    assert main(["space-usage", "--documents", sites, "--out", _os.path.join(scratch, "su")]) == 0
+    for report in ("consistency_datasets", "consistency_datasets_full", "datasets_per_rse", "replicas_per_rse",
+                   "suspicious_files", "global_accounting"):
+        assert _os.path.exists(f"{scratch}/{report}/date={DATE}/_SUCCESS"), report
+    assert spark.read.json(f"{scratch}/global-accounting-2026-12").count() > 0
+    assert spark.read.json(_os.path.join(scratch, "su", "violations")).count() == 1
