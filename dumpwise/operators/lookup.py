@@ -32,22 +32,36 @@ def _date_col(reports: DataFrame, date_col: str) -> Column:
 
 
 def latest_reports(reports: DataFrame, as_of: dt.date | str, back: int = DEFAULT_BACK_DAYS, ahead: int = 0,
-                   rse: str | None = None, date_col: str = "date", rse_col: str = "rse") -> DataFrame:
+                   rse: str | None = None, date_col: str = "date", rse_col: str = "rse",
+                   index: DataFrame | None = None) -> DataFrame:
     """Rows of the newest report per element dated within ``[as_of - back, as_of + ahead]``.
 
     ``rse`` restricts to one element (the per-element lookup); ``None`` answers
     for all elements at once. Elements without a report in the window have no rows.
+    ``index`` (``sources.reports.existing_reports``) decides which reports exist
+    from the files on disk, so a newest report that is empty wins (and yields no
+    rows) as in the original lookup; without it a report exists when it has rows.
     """
-    day = _date_col(reports, date_col)
     anchor = _as_date(as_of)
-    window = reports.filter((day >= F.date_sub(anchor, back)) & (day <= F.date_add(anchor, ahead)))
-    if rse is not None:
-        window = window.filter(F.col(rse_col) == rse)
-    newest = window.groupBy(rse_col).agg(F.max(day).alias("_newest"))
+
+    def in_window(df: DataFrame) -> DataFrame:
+        day = _date_col(df, date_col)
+        out = df.filter((day >= F.date_sub(anchor, back)) & (day <= F.date_add(anchor, ahead)))
+        return out.filter(F.col(rse_col) == rse) if rse is not None else out
+
+    window = in_window(reports)
+    known = in_window(index) if index is not None else window
+    newest = known.groupBy(rse_col).agg(F.max(_date_col(known, date_col)).alias("_newest"))
     keys = (window[rse_col].eqNullSafe(newest[rse_col])) & (_date_col(window, date_col) == newest["_newest"])
     return window.join(newest, keys, "left_semi")
 
 
+def window_dates(as_of: dt.date | str, back: int = DEFAULT_BACK_DAYS, ahead: int = 0) -> list[str]:
+    """The ``yyyy-MM-dd`` dates of a lookup window, newest first (for ``existing_reports``)."""
+    anchor = as_of if isinstance(as_of, dt.date) else dt.date.fromisoformat(as_of)
+    return [(anchor + dt.timedelta(days=k)).isoformat() for k in range(ahead, -back - 1, -1)]
+
+
 def report_slice(reports: DataFrame, date: dt.date | str, rse: str | None = None, date_col: str = "date",
                  rse_col: str = "rse") -> DataFrame:
     """Rows of the report of ``date``; of one element unless ``rse`` is None or starts with ``*``."""

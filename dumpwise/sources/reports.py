@@ -63,3 +63,36 @@ def read_dated_reports(spark: SparkSession, root: str, schema: T.StructType | st
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(root)
+
+
+def existing_reports(spark: SparkSession, root: str, dates: list[str] | None = None) -> DataFrame:
+    """``(date, rse)`` of every report directory holding at least one file, empty files included.
+
+    A report exists when its directory has a file, as the original lookup
+    decided it. Spark's scans skip empty files, so this uses the file index's
+    listing instead (``inputFiles``: file-system metadata Spark already keeps on
+    the driver for any file scan; nothing is read). ``dates`` limits the listing
+    to those date directories (the lookup window), so it stays as small as
+    the window. Reports without an element level get ``rse`` NULL.
+    """
+    from urllib.parse import unquote
+
+    if dates is None:
+        targets = [root]
+    else:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        targets = []
+        for d in dates:
+            path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/date={d}")
+            if path.getFileSystem(conf).exists(path):
+                targets.append(str(path))
+        if not targets:
+            return spark.createDataFrame([], "date string, rse string")
+    files = spark.read.format("binaryFile").option("basePath", root).load(targets).inputFiles()
+    pairs = set()
+    for path in files:
+        parts = dict(seg.split("=", 1) for seg in path.split("/") if seg.startswith(("date=", "rse=")))
+        if "date" in parts:
+            pairs.add((unquote(parts["date"]), unquote(parts["rse"]) if "rse" in parts else None))
+    return spark.createDataFrame(sorted(pairs, key=str), "date string, rse string")

@@ -238,3 +238,22 @@ def test_command_line_every_job(spark, dump, scratch):
         assert _os.path.exists(f"{scratch}/{report}/date={DATE}/_SUCCESS"), report
     assert spark.read.json(f"{scratch}/global-accounting-2026-12").count() > 0
     assert spark.read.json(_os.path.join(scratch, "su", "violations")).count() == 1
+
+
+def test_empty_newest_report_wins_with_index(spark, scratch):
+    from dumpwise.sources.reports import existing_reports
+
+    root = f"{scratch}/rep"
+    os.makedirs(f"{root}/date=2026-11-30/rse=A")
+    open(f"{root}/date=2026-11-30/rse=A/part-0.csv", "w").write("x\t1\n")
+    os.makedirs(f"{root}/date=2026-12-01/rse=A")
+    open(f"{root}/date=2026-12-01/rse=A/part-0.csv", "w").write("")  # newest report, empty
+    os.makedirs(f"{root}/date=2026-12-01/rse=B")
+    open(f"{root}/date=2026-12-01/rse=B/part-0.csv", "w").write("y\t2\n")
+    rows_ = read_dated_reports(spark, root, "v string, n long")
+    by_rows = {(r["rse"], r["v"]) for r in lookup.latest_reports(rows_, DATE).collect()}
+    assert by_rows == {("A", "x"), ("B", "y")}
+    for index in (existing_reports(spark, root), existing_reports(spark, root, lookup.window_dates(DATE))):
+        by_files = {(r["rse"], r["v"]) for r in lookup.latest_reports(rows_, DATE, index=index).collect()}
+        assert by_files == {("B", "y")}
+    assert lookup.window_dates(DATE, back=1, ahead=1) == ["2026-12-02", "2026-12-01", "2026-11-30"]
