@@ -1,9 +1,10 @@
 """Session helpers.
 
-Report jobs only need two engine settings: the UTC session time zone (every
-epoch conversion depends on it) and, for local runs, a small shuffle partition
-count. Cluster settings (executors, memory, shuffle partitions, checkpoint
-directory) belong to whoever submits the job; we read them, never override them.
+Reports need the UTC session time zone (every epoch conversion depends on it)
+and AQE with skew-join splitting. Cluster settings (executors, memory, the
+checkpoint directory) belong to whoever submits the job: we read them. The one
+exception is the shuffle partition count, sized from the input only while the
+session still has Spark's untuned default (``size_shuffles``).
 """
 
 from __future__ import annotations
