@@ -28,11 +28,27 @@ ORACLES: dict[str, str] = {}
 CATALOG: Callable[[SparkSession, str], FixtureCatalog] = FixtureCatalog
 
 
-def register(name: str, oracle: str | None):
+def register(name: str, oracle: str | None, text_cols: tuple[str, ...] = ()):
+    """Register a query and its oracle.
+
+    ``text_cols``: integer columns that may hold NULLs, compared as text on both
+    sides (in pandas a nullable integer column is float64 from Spark but Int64
+    from DuckDB, so equal values would hash apart), as times are.
+    """
     def wrap(fn: Query) -> Query:
-        QUERIES[name] = fn
+        if text_cols:
+            def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+                df = fn(spark, sf_dir)
+                return df.withColumns({c: F.col(c).cast("string") for c in text_cols})
+            QUERIES[name] = query
+        else:
+            QUERIES[name] = fn
         if oracle is not None:
-            ORACLES[name] = oracle
+            if text_cols:
+                casts = ", ".join(f"cast({c} as varchar) as {c}" for c in text_cols)
+                ORACLES[name] = f"select * replace ({casts}) from (\n{oracle}\n) q"
+            else:
+                ORACLES[name] = oracle
         return fn
     return wrap
 
@@ -111,7 +127,7 @@ from replicas p
 join rses r on p.rse_id = r.id
 left join (select scope, name, count(*) as copies from replicas where state = 'A' group by scope, name) c
   on p.scope = c.scope and p.name = c.name
-"""))
+"""), text_cols=('bytes',))
 def q_replicas_per_rse(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = CATALOG(spark, sf_dir)
     return render(replicas.replicas_per_rse(c.replicas, c.rses), TS_SECONDS)
@@ -138,7 +154,7 @@ join (
   from (select distinct l.scope, l.name, r.rse from dslocks l join rses r on l.rse_id = r.id where l.state = 'O')
   group by scope, name
 ) n on g.scope = n.scope and g.name = n.name
-"""))
+"""), text_cols=('accessed_at',))
 def q_consistency_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = CATALOG(spark, sf_dir)
     return consistency.consistency_datasets(c.dslocks, c.rses, c.dids)
@@ -303,7 +319,7 @@ _GLOBAL_ORACLE = _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED, _sql_
                              "select * from factors")
 
 
-@register("replication_factors", _GLOBAL_ORACLE)
+@register("replication_factors", _GLOBAL_ORACLE, text_cols=('accessed_at', 'created_at'))
 def q_replication_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = CATALOG(spark, sf_dir)
     classified, unique = accounting.prepared_replicas(c.replicas, c.rses, c.rse_metadata)
@@ -311,7 +327,7 @@ def q_replication_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accounting.replication_factors(accounting.storage_class_usage(owned), c.dids)
 
 
-@register("global_accounting", _GLOBAL_ORACLE)
+@register("global_accounting", _GLOBAL_ORACLE, text_cols=('accessed_at', 'created_at'))
 def q_global_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = CATALOG(spark, sf_dir)
     return accounting.global_accounting(c.replicas, c.rses, c.rse_metadata, c.contents, c.dids)
@@ -370,7 +386,8 @@ def _sql_documents() -> str:
 
 
 @register("accounting_documents",
-          _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED, _sql_usage(), _sql_factors()], _sql_documents()))
+          _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED, _sql_usage(), _sql_factors()], _sql_documents()),
+          text_cols=('accessed_at', 'created_at'))
 def q_accounting_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = CATALOG(spark, sf_dir)
     report = accounting.global_accounting(c.replicas, c.rses, c.rse_metadata, c.contents, c.dids)
@@ -412,14 +429,14 @@ select d.* from dated d
 join (select rse, max(date) as newest from dated
       where cast(date as date) between date '{AS_OF}' - interval 13 day and date '{AS_OF}' group by rse) n
   on d.rse = n.rse and d.date = n.newest
-"""))
+"""), text_cols=('bytes',))
 def q_latest_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.latest_reports(_dated_inventory(spark, sf_dir), AS_OF)
 
 
 @register("report_slice", duckdb_with(["rses", "replicas"], f""", {_SQL_DATED}
 select * from dated where date = '{SLICE_DATE}'
-"""))
+"""), text_cols=('bytes',))
 def q_report_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.report_slice(_dated_inventory(spark, sf_dir), SLICE_DATE)
 
@@ -483,7 +500,7 @@ def _sql_violations() -> str:
     return duckdb_with(["space_reports"], f", {_SQL_TOKENS}\n" + "\nunion all\n".join(parts))
 
 
-@register("space_usage", _sql_space_usage())
+@register("space_usage", _sql_space_usage(), text_cols=('total_space', 'used_space', 'num_files', 'time_stamp'))
 def q_space_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = CATALOG(spark, sf_dir)
     rows = su.space_usage(c["space_reports"])
