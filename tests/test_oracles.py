@@ -23,6 +23,14 @@ def test_every_query_has_an_oracle():
     assert len(entry.queries()) == 17
 
 
+def _as_text(df):
+    """Every value as text, no numeric normalisation (NULL, NaN and NA alike)."""
+    cols = sorted(df.columns)
+    null = {"None", "nan", "<NA>", "NaT"}
+    return sorted(tuple("NULL" if str(v) in null else str(v) for v in r)
+                  for r in df[cols].itertuples(index=False, name=None))
+
+
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_oracle(spark, con, name):
     got = entry.queries()[name](spark, SF_SMALL).toPandas()
@@ -30,6 +38,9 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     assert canon(got) == canon(want)
+    # the same pandas dtypes and the same text, so any value hash agrees
+    assert {c: str(t) for c, t in got.dtypes.items()} == {c: str(t) for c, t in want.dtypes.items()}
+    assert _as_text(got) == _as_text(want)
 
 
 def test_entry_smoke(spark):
