@@ -257,3 +257,19 @@ def test_empty_newest_report_wins_with_index(spark, scratch):
         by_files = {(r["rse"], r["v"]) for r in lookup.latest_reports(rows_, DATE, index=index).collect()}
         assert by_files == {("B", "y")}
     assert lookup.window_dates(DATE, back=1, ahead=1) == ["2026-12-02", "2026-12-01", "2026-11-30"]
+
+
+def test_range_distribution_orders_files_of_an_element(spark, scratch):
+    df = spark.range(30_000).selectExpr(
+        "case when id % 10 < 8 then 'HOT' else 'COLD' end as rse",
+        "concat('s', lpad(cast(id % 97 as string), 3, '0')) as scope",
+        "concat('f', lpad(cast(id as string), 6, '0')) as name")
+    sinks.write_per_rse(df, f"{scratch}/ranged", distribution="range", partitions=6)
+    files = _files(f"{scratch}/ranged/rse=HOT")
+    assert len(files) > 1
+    keys = []
+    for f in files:  # file names follow the key ranges
+        keys += [tuple(ln.split("\t")[1:3]) for ln in open(f).read().splitlines()]
+    assert keys == sorted(keys) and len(keys) == 24_000
+    with pytest.raises(ValueError):
+        sinks.write_per_rse(df, f"{scratch}/bad", distribution="nope")
