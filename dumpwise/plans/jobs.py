@@ -40,7 +40,8 @@ def _out(reports: str, report: str, date: str) -> str:
 
 
 def consistency_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt: str = "parquet",
-                    mode: str = "errorifexists", full_single_file: bool = True) -> None:
+                    mode: str = "errorifexists", full_single_file: bool = True,
+                    compression: str | None = "bzip2") -> None:
     """R1 per element and R2 as one ordered bzip2 file.
 
     ``full_single_file=False`` writes R2 as many bzip2 parts, globally ordered
@@ -54,7 +55,7 @@ def consistency_job(spark: SparkSession, dumps: str, reports: str, date: str, fm
     full = consistency.consistency_datasets_full(t["dslocks"], t["rses"])
     write = sinks.write_single_file if full_single_file else sinks.write_ordered
     write(full, _out(reports, "consistency_datasets_full", date), ("rse", "scope", "name"), mode=mode,
-          compression="bzip2")
+          compression=compression)
 
 
 def datasets_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt: str = "parquet",
@@ -68,12 +69,13 @@ def datasets_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt:
 
 
 def replicas_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt: str = "parquet",
-                 mode: str = "errorifexists") -> None:
-    """R4 per element, bzip2, times as ``TS_SECONDS``, rows by path inside each element."""
+                 mode: str = "errorifexists", compression: str | None = "bzip2") -> None:
+    """R4 per element, bzip2 (the report format; ``compression`` may name another codec or None),
+    times as ``TS_SECONDS``, rows by path inside each element."""
     prepare(spark)
     t = _load(spark, dumps, date, ["replicas", "rses"], fmt)
     sinks.write_per_rse(replicas.replicas_per_rse(t["replicas"], t["rses"]), _out(reports, "replicas_per_rse", date),
-                        sort_keys=("path",), mode=mode, compression="bzip2", timestamp_format=sinks.TS_SECONDS)
+                        sort_keys=("path",), mode=mode, compression=compression, timestamp_format=sinks.TS_SECONDS)
 
 
 def suspicious_job(spark: SparkSession, dumps: str, reports: str, dump_date: str, start: int, end: int,
