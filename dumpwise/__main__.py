@@ -43,9 +43,11 @@ def _parser() -> argparse.ArgumentParser:
             j.add_argument("--report-date", required=True)
         return j
 
-    job("consistency").add_argument("--full-in-parts", action="store_true")
+    cons = job("consistency")
+    cons.add_argument("--full-in-parts", action="store_true")
+    cons.add_argument("--compression", default="bzip2", help="codec of the full listing (none: uncompressed)")
     job("datasets").add_argument("--one-file-per-rse", action="store_true")
-    job("replicas")
+    job("replicas").add_argument("--compression", default="bzip2", help="codec of the text files (none: uncompressed)")
     job("suspicious", window=True).add_argument("--keep-stored-path", action="store_true")
     job("lost", window=True)
     acc = job("accounting")
@@ -64,15 +66,20 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _codec(name: str) -> str | None:
+    return None if name.lower() in ("none", "") else name
+
+
 def main(argv: list[str] | None = None) -> int:
     a = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"dumpwise-{a.job}").getOrCreate()
     if a.job == "consistency":
-        jobs.consistency_job(spark, a.dumps, a.reports, a.date, a.dump_format, a.mode, not a.full_in_parts)
+        jobs.consistency_job(spark, a.dumps, a.reports, a.date, a.dump_format, a.mode, not a.full_in_parts,
+                             _codec(a.compression))
     elif a.job == "datasets":
         jobs.datasets_job(spark, a.dumps, a.reports, a.date, a.dump_format, a.mode, a.one_file_per_rse)
     elif a.job == "replicas":
-        jobs.replicas_job(spark, a.dumps, a.reports, a.date, a.dump_format, a.mode)
+        jobs.replicas_job(spark, a.dumps, a.reports, a.date, a.dump_format, a.mode, _codec(a.compression))
     elif a.job == "suspicious":
         jobs.suspicious_job(spark, a.dumps, a.reports, a.date, a.start, a.end, a.report_date, a.dump_format, a.mode,
                             a.keep_stored_path)
