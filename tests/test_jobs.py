@@ -273,3 +273,10 @@ def test_range_distribution_orders_files_of_an_element(spark, scratch):
     assert keys == sorted(keys) and len(keys) == 24_000
     with pytest.raises(ValueError):
         sinks.write_per_rse(df, f"{scratch}/bad", distribution="nope")
+
+
+def test_replicas_job_without_compression(spark, dump, scratch):
+    jobs.replicas_job(spark, dump, scratch, DATE, compression=None)
+    files = _files(f"{scratch}/replicas_per_rse/date={DATE}/rse=RSE_1")
+    assert files and not any(f.endswith(".bz2") for f in files)
+    assert open(files[0]).readline().startswith("RSE_1\t")
