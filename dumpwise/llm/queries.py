@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dumpwise.llm import licenses
 from dumpwise.llm.common import table
 
+PSEUDONYM_KEY = "a key for tests; a deployment passes its own secret"
+
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -17,8 +20,53 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dumpwise.llm.decontaminate import contamination
+
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dumpwise.llm.pii import pseudonymise
+
+    return pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key=PSEUDONYM_KEY)
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dumpwise.llm.chat_format import digests, format_conversations
+
+    ok = "</s>[INST] ok [/INST]"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).selectExpr("-1L conv_id", "id turn", "if(id = 0, 'user', 'assistant') role", f"'{ok}' text")
+    return digests(format_conversations(turns.unionByName(extra)))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dumpwise.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"))
+
+
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dumpwise.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dumpwise.llm.language_id import predictions
+
+    return predictions(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op3_decontaminate": op3_decontaminate,
+    "op4_pii": op4_pii,
+    "op5_chat_format": op5_chat_format,
+    "op6_mixing": op6_mixing,
+    "op9_licenses": op9_licenses,
+    "op10_language_id": op10_language_id,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_licenses": licenses.oracle()}
