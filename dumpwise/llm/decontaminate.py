@@ -214,28 +214,35 @@ def _mark(batches: Iterator[pa.RecordBatch], index, last: bool) -> Iterator[pa.R
         spans = [_merge(s) for s in spans]
         if last:
             hits = [sum(b - a for a, b in s) for s in spans]
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array([len(w) for w in held], pa.int64()), pa.array(hits, pa.int64()), pa.array([len(i) for i in items], pa.int64()),
-                 pa.array([hashlib.sha256(",".join(sorted(i)).encode()).hexdigest() for i in items]), pa.array([h > 0 for h in hits])],
-                names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
-            )
+            result = {
+                "doc_id": rows.column(0), "n_words": pa.array([len(w) for w in held], pa.int64()), "n_hit": pa.array(hits, pa.int64()), "n_items": pa.array([len(i) for i in items], pa.int64()),
+                "items_sha256": pa.array([hashlib.sha256(",".join(sorted(i)).encode()).hexdigest() for i in items]), "contaminated": pa.array([h > 0 for h in hits]),
+            }
         else:
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), rows.column(1), pa.array([[{"a": a, "b": b} for a, b in s] for s in spans], rows.schema.field(2).type), pa.array([sorted(i) for i in items], rows.schema.field(3).type)],
-                names=["doc_id", "text", "spans", "items"],
-            )
+            spans_type, items_type = rows.schema.field(2).type, rows.schema.field(3).type
+            result = {"doc_id": rows.column(0), "text": rows.column(1), "spans": pa.array([[{"a": a, "b": b} for a, b in s] for s in spans], spans_type), "items": pa.array([sorted(i) for i in items], items_type)}
+        carried = {rows.schema.names[k]: rows.column(k) for k in range(4, rows.num_columns)}
+        yield pa.RecordBatch.from_pydict(result | carried)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                  item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per document: words, words inside benchmark windows, items met and their digest."""
+                  item_text_col: str = "text", block_bytes: int = BLOCK_BYTES, carry: bool = False) -> DataFrame:
+    """Per document: words, words inside benchmark windows, items met and their digest.
+
+    ``carry`` adds the document's whole row as struct ``row``, so that a filter needs no join.
+    """
     spark = docs.sparkSession
     windows = item_windows(benchmark, item_col, item_text_col)
     total = windows.agg(F.sum(F.octet_length("window") + F.octet_length("item") + 32)).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     block_of = F.pmod(F.xxhash64("window"), F.lit(blocks))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    marked = rows.withColumn("spans", F.expr("cast(array() as array<struct<a: long, b: long>>)")).withColumn("items", F.expr("cast(array() as array<string>)"))
+    no_spans = F.expr("cast(array() as array<struct<a: long, b: long>>)").alias("spans"), F.expr("cast(array() as array<string>)").alias("items")
+    marked = rows.select("*", *no_spans)
+    more = ""
+    if carry:
+        marked = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).select("doc_id", "text", *no_spans, "row")
+        more = f", row {marked.schema['row'].dataType.simpleString()}"
     for b in range(blocks):
         # at most about block_bytes of window text by the cut above; a hot window's items are part of its block
         held = windows.where(block_of == b).collect() if total else []
@@ -247,5 +254,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             index.order({(r["size"], r["code"] & (2**64 - 1)): r["n"] for r in counted.collect()})
         last = b == blocks - 1
         schema = MARKED if last else "doc_id long, text string, spans array<struct<a: long, b: long>>, items array<string>"
-        marked = marked.mapInArrow(partial(_mark, index=spark.sparkContext.broadcast(index), last=last), schema)
+        marked = marked.mapInArrow(partial(_mark, index=spark.sparkContext.broadcast(index), last=last), schema + more)
     return marked

@@ -20,6 +20,13 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dumpwise.llm.context_tree import score
+    from dumpwise.llm.language_id import fold_of
+
+    return score(table(spark, sf_dir, "documents"), held_out=fold_of("doc_id", 7) == 2)
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dumpwise.llm.decontaminate import contamination
 
@@ -47,6 +54,18 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op7_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dumpwise.llm.lattice import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dumpwise.llm.ngram_join import jaccard_join
+
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     from dumpwise.llm.licenses import scan_licenses
 
@@ -61,10 +80,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_context_tree": op2_context_tree,
     "op3_decontaminate": op3_decontaminate,
     "op4_pii": op4_pii,
     "op5_chat_format": op5_chat_format,
     "op6_mixing": op6_mixing,
+    "op7_lattice": op7_lattice,
+    "op8_ngram_join": op8_ngram_join,
     "op9_licenses": op9_licenses,
     "op10_language_id": op10_language_id,
 }

@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from dumpwise.llm import ngram_join as J
+from dumpwise.llm.common import words
+from dumpwise.llm.graph import components
+from dumpwise.llm.wordhash import shingles_of_texts, word_hashes
+
+SF = "/root/testdata/sf0.001"
+
+
+def grams(text):
+    w = words((text or "").encode())
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def brute(docs):
+    """Links by comparing all pairs, components by flooding."""
+    sets = [(i, grams(t)) for i, t in docs]
+    near = {k: set() for k in range(len(docs))}
+    for a in range(len(sets)):
+        for b in range(a):
+            x, y = sets[a][1], sets[b][1]
+            if x and y and len(x & y) >= 0.8 * len(x | y) - 1e-9:
+                near[a].add(b)
+                near[b].add(a)
+    out = []
+    for k, (i, _) in enumerate(sets):
+        seen, todo = {k}, [k]
+        while todo:
+            for m in near[todo.pop()] - seen:
+                seen.add(m)
+                todo.append(m)
+        out.append((i, len(near[k]), min(sets[m][0] for m in seen)))
+    return sorted(out)
+
+
+def run(spark, docs, **options):
+    rows = J.jaccard_join(spark.createDataFrame(docs, "doc_id long, text string"), **options).collect()
+    assert all(r["kept"] == (r["doc_id"] is None or r["doc_id"] == r["component_id"]) for r in rows)
+    return sorted((r["doc_id"], r["n_links"], r["component_id"]) for r in rows if r["doc_id"] is not None)
+
+
+def corpus():
+    rng = random.Random(5)
+    vocabulary = [f"word{i}" for i in range(300)]
+    docs = []
+    for k in range(12):
+        base = [rng.choice(vocabulary) for _ in range(rng.randint(40, 120))]
+        for v in range(rng.randint(1, 9)):
+            near = list(base)
+            for _ in range(v // 2):
+                near[rng.randrange(len(near))] = rng.choice(vocabulary)
+            docs.append((len(docs), " ".join(near)))
+    docs += [(1000, None), (1001, ""), (1002, "..."), (1003, "..."), (1004, "One two."), (1005, "one, two"), (1006, "one two three"), (1007, "x " * 60_000), (1008, "X " * 60_000)]
+    return docs
+
+
+@pytest.mark.parametrize("options", [{}, {"tile_words": 300}, {"bucket": 1, "tile_words": 200}])
+def test_matches_brute_force(spark, options):
+    docs = corpus()
+    assert run(spark, docs, **options) == brute(docs)
+
+
+def test_edges(spark):
+    assert run(spark, []) == []
+    assert run(spark, [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f")]) == [(1, 1, 1), (1, 1, 1)]
+    df = spark.createDataFrame([(2, "a b c d e f", "z"), (1, "a b c d e f", "y")], "doc_id long, text string, digest string")
+    assert sorted(map(tuple, J.jaccard_join(df).collect())) == [(1, 1, 1, 1, True), (2, 1, 1, 1, False)]
+
+
+def test_whole_table(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    want = brute(docs)
+    assert run(spark, docs) == want
+    assert sum(n for _, n, _ in want) > 0
+
+
+def test_posterior_bound_keeps_what_can_reach_the_threshold():
+    least = J.least_matches()
+    assert list(least) == [20, 40, 60, 80, 100]
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 2**32, (400, J.HASHES), dtype=np.uint32)
+    for similarity, kept in ((0.8, 1.0), (0.3, 0.0)):
+        b = np.where(rng.random(a.shape) < similarity, a, a + np.uint32(1))
+        alive = J.surviving(a, b, least)
+        assert alive.diagonal().mean() == kept and alive.sum() <= 400
+
+
+def test_hashes_do_not_depend_on_place():
+    texts = [b"Alpha beta, gamma delta epsilon zeta", None, b"", b"alpha BETA", b"xx alpha beta gamma delta epsilon zeta"]
+    hashes, counts = word_hashes(texts)
+    assert counts.tolist() == [6, 0, 0, 2, 7]
+    assert hashes[6:8].tolist() == hashes[:2].tolist() and hashes[9:].tolist() == hashes[:6].tolist()
+    codes, starts, _ = shingles_of_texts(texts, 5)
+    assert starts.tolist() == [0, 2, 2, 2, 3] and codes[4:6].tolist() == codes[:2].tolist()
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(200)] + [(1000, i) for i in range(1001, 1100)] + [(5000, 5000)]
+    got = dict(map(tuple, components(spark.createDataFrame(chain, "a long, b long")).collect()))
+    assert got == {**{i: 0 for i in range(201)}, **{i: 1000 for i in range(1000, 1100)}}
