@@ -40,10 +40,14 @@ SMALL_BYTES = 8 << 20  # per-source tables are broadcast up to this size
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def word_count(text_col: str = "text") -> Column:
+    """Words of a whole text (null: 0)."""
+    return F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """``doc_id, source, size``: words of the whole text (null: 0)."""
-    size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"))
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"))
 
 
 def targets(sized: DataFrame, weights: Column | None = None) -> DataFrame:
