@@ -1,20 +1,88 @@
-"""The corpus pipeline: documents in, a clean weighted training mix out."""
+"""The corpus pipeline: documents in, a clean weighted training mix out.
+
+Each stage takes ``(spark, docs, sf_dir)``; its result is written as Parquet and
+read again as the next one's ``docs``. All stages but the last return the columns
+of ``documents``.
+
+1. language ID: a document without a recognisable language goes.
+2. n-gram Jaccard join: of each group of near copies the one with the smallest id stays.
+3. decontamination: a document that holds a window of a benchmark item goes.
+4. PII: personal values become pseudonyms of the same format (``n_chars`` follows).
+5. mixing: every source gets its target of words; a document stays with its number of
+   ``copies`` (documents with none go).
+
+Rows with a null id pass stage 2 as they are. Ids are expected to name one text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dumpwise.llm.common import staged, table
+from dumpwise.llm.decontaminate import contamination
+from dumpwise.llm.language_id import identify, train
+from dumpwise.llm.mixing import mix, word_count
+from dumpwise.llm.ngram_join import jaccard_join
+from dumpwise.llm.pii import pseudonymise
+from dumpwise.llm.queries import PSEUDONYM_KEY
+
+# Share of a document's n-grams that its best language must hold; prose has far more.
+MIN_LANGUAGE_SHARE = 0.2
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages the labelled rows teach; rejected: no letters, or too few known n-grams."""
+    row = docs.select(F.struct("*").alias("row"), F.col("text"))
+    known = identify(row, train(docs))
+    return known.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SHARE)).select("row.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, and of repeated rows one."""
+    kept = jaccard_join(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return one.unionByName(docs.where("doc_id is null")).select(docs.columns)
 
-STAGES: list = []
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a benchmark item."""
+    return contamination(docs, table(spark, sf_dir, "benchmark"), carry=True).where("not contaminated").select("row.*")
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal values replaced."""
+    changed = pseudonymise(docs.select(F.struct("*").alias("row"), "text"), key=PSEUDONYM_KEY, count_col=None)
+    n_chars = F.when(F.col("text") == F.col("row.text"), F.col("row.n_chars")).otherwise(F.length("text").cast("long"))
+    new = {"text": F.col("text"), "n_chars": n_chars}
+    return changed.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their number of copies, for source targets of 1, 2, 3 parts, repeating."""
+    rates = mix(docs).where("copies > 0").dropDuplicates(["doc_id", "size"])
+    rates = rates.select(F.col("doc_id").alias("r_id"), "size", "target", "copies", "taken")
+    rows = docs.drop("r_id", "size", "target", "copies", "taken")  # extra columns that would clash with the mix
+    return rows.join(rates, F.col("doc_id").eqNullSafe(F.col("r_id")) & (word_count() == F.col("size"))).drop("r_id")
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("PII", pii),
+    ("mixing sources to target weights", mixing),
+]
+
+# Signatures, learned filters and iterations are beyond SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages in order to ``documents``; each stage's rows are written as Parquet and read again."""
-    from dumpwise.llm.common import staged
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (name, stage) in enumerate(STAGES):
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs = staged(docs, f"pipeline-{k}")
+            docs = staged(docs, f"pipeline-{k + 1}")
     return docs
