@@ -7,7 +7,8 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
-from tools.compare import TABLES, as_text, canon
+from dumpwise.plans import registry
+from checks.compare import TABLES, as_text, canon
 
 
 @pytest.fixture(scope="module")
@@ -19,11 +20,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
-    assert len(entry.queries()) == 17
+    assert set(registry.QUERIES) == set(registry.ORACLES)
+    assert set(registry.QUERIES) <= set(entry.queries()) and set(registry.ORACLES) <= set(entry.oracle_sql())
+    assert len(registry.QUERIES) == 21
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     got = entry.queries()[name](spark, SF_SMALL).toPandas()
     want = con.execute(entry.oracle_sql()[name]).df()
