@@ -23,7 +23,7 @@ import operator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dumpwise.plans.joins import join_dimension, profile
+from dumpwise.plans.joins import Profile, join_dimension, profile
 
 # Attribute keys, padding of a missing attribute, storage element types,
 # replica kinds, and the element kept whatever its attributes.
@@ -84,7 +84,7 @@ def accounted_rses(rses: DataFrame, rse_metadata: DataFrame, eligible: str | Col
     """
     attrs = rse_metadata.filter(F.col("key").isin(KEY_TYPE, KEY_TIER))
     # Both sides are dimension tables (no fact involved): the planner picks the strategy.
-    joined = join_dimension(rses, attrs, rses["id"] == attrs["rse_id"], max_rows=None)
+    joined = rses.join(attrs, rses["id"] == attrs["rse_id"])
     pivot = joined.groupBy("id", "rse", "rse_type").agg(
         F.max(F.when(F.col("key") == KEY_TYPE, F.col("value")).otherwise(F.lit(MISSING))).alias("type"),
         F.max(F.when(F.col("key") == KEY_TIER, F.col("value")).otherwise(F.lit(MISSING))).alias("tier"),
@@ -107,11 +107,7 @@ def classified_replicas(replicas: DataFrame, accounted: DataFrame, broadcast: bo
         F.coalesce(F.col("accessed_at"), F.lit(0)).cast("bigint").alias("accessed_at"),
     )
     elements = accounted.select(F.col("id").alias("rse_id"), "rse", "rse_type", "tier")
-    if broadcast is None:
-        joined = join_dimension(reps, elements, "rse_id")
-    else:
-        joined = reps.join(F.broadcast(elements) if broadcast else elements, "rse_id")
-    return joined.select(
+    return join_dimension(reps, elements, "rse_id", small=broadcast).select(
         "scope", "name", "bytes", "rse", "type", "rse_type", "tier", "accessed_at")
 
 
@@ -141,8 +137,8 @@ def dataset_owners(contents: DataFrame) -> DataFrame:
 _REPLICA_MAX = ("bytes", "type", "rse_type", "tier", "accessed_at")
 
 
-def attribute_to_dataset(classified: DataFrame, contents: DataFrame, per_file_owner: bool = True,
-                         unique_rse_names: bool = False, split_hot_files: bool = False) -> DataFrame:
+def attribute_to_dataset(classified: DataFrame, contents: DataFrame, unique_rse_names: bool = False,
+                         split_hot_files: bool = False) -> DataFrame:
     """One owning dataset per (file, element): the smallest ``scope:name`` among its parents.
 
     A file in no dataset belongs to ``no_scope:no_name``; a file whose parents
@@ -150,10 +146,6 @@ def attribute_to_dataset(classified: DataFrame, contents: DataFrame, per_file_ow
     attributes are maxima. Columns: ``fscope, fname, rse, dscope, dname, bytes,
     type, rse_type, tier, accessed_at``.
 
-    ``per_file_owner=False`` runs the original shape instead (fan-out join of
-    replicas to all parents, then ``min_by`` per (file, element)); both give
-    the same rows.
-
     ``unique_rse_names=True`` (pass it only when checked, see ``rse_names_unique``)
     lets an element's type and tier be grouping keys: they then depend on the
     element name alone, the maxima left are fixed-width (bytes, access time, a
@@ -168,7 +160,7 @@ def attribute_to_dataset(classified: DataFrame, contents: DataFrame, per_file_ow
     partitioning, which holds while a file has one replica per element.
     """
     reps = classified.select(F.col("scope").alias("fscope"), F.col("name").alias("fname"), "rse", *_REPLICA_MAX)
-    if per_file_owner and split_hot_files:
+    if split_hot_files:
         if unique_rse_names:
             merged = reps.groupBy("fscope", "fname", "rse", "rse_type", "tier").agg(
                 F.max("bytes").alias("bytes"), F.max(F.col("type") == SECONDARY).alias("_secondary"),
@@ -184,7 +176,7 @@ def attribute_to_dataset(classified: DataFrame, contents: DataFrame, per_file_ow
             F.coalesce(F.col("owner.dscope"), F.lit(NO_SCOPE)).alias("dscope"),
             F.coalesce(F.col("owner.dname"), F.lit(NO_NAME)).alias("dname"),
         )
-    elif per_file_owner:
+    else:
         owners = dataset_owners(contents).withColumn("has_parent", F.lit(True))
         joined = reps.join(owners, ["fscope", "fname"], "left").filter(
             F.col("has_parent").isNull() | F.col("owner").isNotNull())
@@ -202,26 +194,17 @@ def attribute_to_dataset(classified: DataFrame, contents: DataFrame, per_file_ow
         else:
             grouped = owned.groupBy("fscope", "fname", "rse", "dscope", "dname").agg(
                 *[F.max(c).alias(c) for c in _REPLICA_MAX])
-    else:
-        joined = reps.join(_file_parents(contents), ["fscope", "fname"], "left").select(
-            "fscope", "fname", "rse", *_REPLICA_MAX,
-            F.coalesce(F.col("dscope"), F.lit(NO_SCOPE)).alias("dscope"),
-            F.coalesce(F.col("dname"), F.lit(NO_NAME)).alias("dname"),
-        ).filter(F.col("dscope") != IGNORED_SCOPE)
-        grouped = joined.groupBy("fscope", "fname", "rse").agg(
-            F.min_by(F.struct("dscope", "dname"), _owner_key(F.col("dscope"), F.col("dname"))).alias("owner"),
-            *[F.max(c).alias(c) for c in _REPLICA_MAX],
-        ).select("fscope", "fname", "rse", "owner.dscope", "owner.dname", *_REPLICA_MAX)
     return grouped.select("fscope", "fname", "rse", "dscope", "dname", *_REPLICA_MAX)
 
 
 def rse_names_unique(accounted: DataFrame) -> bool:
     """Whether every accounted element name belongs to one element (one small job on the dimension)."""
-    return profile(accounted.select("rse"), "rse")[1]
+    return profile(accounted.select("rse"), "rse").unique
 
 
 def prepared_replicas(replicas: DataFrame, rses: DataFrame, rse_metadata: DataFrame,
-                      eligible: str | Column = DEFAULT_ELIGIBLE) -> tuple[DataFrame, bool]:
+                      eligible: str | Column = DEFAULT_ELIGIBLE,
+                      elements: Profile | None = None) -> tuple[DataFrame, bool]:
     """R7a + R7b with one small check job (size and name uniqueness) on the element table.
 
     The accounted elements are at most one row per element, so the element
@@ -230,7 +213,7 @@ def prepared_replicas(replicas: DataFrame, rses: DataFrame, rse_metadata: DataFr
     replicas and whether element names are unique.
     """
     accounted = accounted_rses(rses, rse_metadata, eligible)
-    small, unique = profile(rses.select("rse"), "rse")
+    small, unique = elements or profile(rses, "rse")
     return classified_replicas(replicas, accounted, small), unique
 
 
@@ -303,9 +286,9 @@ def replication_factors(usage: DataFrame, dids: DataFrame) -> DataFrame:
 
 
 def global_accounting(replicas: DataFrame, rses: DataFrame, rse_metadata: DataFrame, contents: DataFrame,
-                      dids: DataFrame, eligible: str | Column = DEFAULT_ELIGIBLE, per_file_owner: bool = True,
-                      accessed_means_positive: bool = False, cut_lineage: bool = False,
-                      split_hot_files: bool = False) -> DataFrame:
+                      dids: DataFrame, eligible: str | Column = DEFAULT_ELIGIBLE, accessed_means_positive: bool = False,
+                      cut_lineage: bool = False, split_hot_files: bool = False,
+                      elements: Profile | None = None) -> DataFrame:
     """The accounting report: one row per dataset, 54 columns (``accounting_columns()``).
 
     ``cut_lineage=True`` writes the per-(file, element) owner table, the
@@ -314,8 +297,8 @@ def global_accounting(replicas: DataFrame, rses: DataFrame, rse_metadata: DataFr
     never send Spark back to the replica and contents scans.
     File order (scope, name) is applied by the ordered sink.
     """
-    classified, unique = prepared_replicas(replicas, rses, rse_metadata, eligible)
-    owned = attribute_to_dataset(classified, contents, per_file_owner, per_file_owner and unique, split_hot_files)
+    classified, unique = prepared_replicas(replicas, rses, rse_metadata, eligible, elements)
+    owned = attribute_to_dataset(classified, contents, unique, split_hot_files)
     if cut_lineage:
         from dumpwise.session import checkpoint_dir
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dumpwise.functions.lists import joined_field, sorted_pairs
-from dumpwise.plans.joins import join_dimension
+from dumpwise.plans.joins import Profile, join_dimension
 
 # An OK lock; name patterns left out of the full listing (``_`` is a one-character wildcard).
 LOCK_OK = "O"
@@ -14,15 +14,17 @@ FULL_EXCLUDED_PATTERNS = ("%_dis%", "%_sub%")
 
 COLUMNS = ("rse", "scope", "name", "accounts", "bytes", "created_at", "accessed_at", "rule_ids", "count",
            "updated_at")
+FULL_COLUMNS = ("rse", "scope", "name")
 
 
-def ok_locks(dslocks: DataFrame, rses: DataFrame) -> DataFrame:
+def ok_locks(dslocks: DataFrame, rses: DataFrame, elements: Profile | None = None) -> DataFrame:
     """OK locks with their storage element name (inner: unknown elements drop)."""
     locks = dslocks.filter(F.col("state") == LOCK_OK)
-    return join_dimension(locks, rses.select(F.col("id").alias("rse_id"), "rse"), "rse_id")
+    return join_dimension(locks, rses.select(F.col("id").alias("rse_id"), "rse"), "rse_id", small=elements and elements.small)
 
 
-def consistency_datasets(dslocks: DataFrame, rses: DataFrame, dids: DataFrame) -> DataFrame:
+def consistency_datasets(dslocks: DataFrame, rses: DataFrame, dids: DataFrame,
+                         elements: Profile | None = None) -> DataFrame:
     """Per (storage element, dataset) with OK locks: accounts and rules in lock order, size, times,
     and ``count`` = number of storage elements holding an OK lock on the dataset.
 
@@ -33,7 +35,7 @@ def consistency_datasets(dslocks: DataFrame, rses: DataFrame, dids: DataFrame) -
     a window over each dataset's groups (at most one row per element) and the
     join to ``dids`` reuses that window's partitioning by (scope, name).
     """
-    grouped = ok_locks(dslocks, rses).groupBy("scope", "name", "rse").agg(
+    grouped = ok_locks(dslocks, rses, elements).groupBy("scope", "name", "rse").agg(
         sorted_pairs("created_at", "rule_id", "account").alias("locks"),
         F.min("created_at").alias("created_at"),
         F.max("accessed_at").alias("accessed_at"),
@@ -50,12 +52,12 @@ def consistency_datasets(dslocks: DataFrame, rses: DataFrame, dids: DataFrame) -
     )
 
 
-def consistency_datasets_full(dslocks: DataFrame, rses: DataFrame) -> DataFrame:
+def consistency_datasets_full(dslocks: DataFrame, rses: DataFrame, elements: Profile | None = None) -> DataFrame:
     """(rse, scope, name) of every OK lock, not distinct, without ``_dis``/``_sub`` names.
 
-    Order (rse, scope, name) is applied by the single-file sink.
+    Order (rse, scope, name) is applied by the sink.
     """
-    rows = ok_locks(dslocks, rses).select("rse", "scope", "name")
+    rows = ok_locks(dslocks, rses, elements).select(*FULL_COLUMNS)
     for pattern in FULL_EXCLUDED_PATTERNS:
         rows = rows.filter(~F.col("name").like(pattern))
     return rows

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dumpwise.functions.epoch import ms_to_timestamp
-from dumpwise.functions.lists import joined_field, sorted_pairs
-from dumpwise.plans.joins import profile
+from dumpwise.functions.lists import joined_field
+from dumpwise.plans.joins import Profile, profile
 
 # Dataset DID type; text shown for a dataset replica without lock accounts.
 DATASET = "D"
@@ -17,7 +17,8 @@ COLUMNS = ("rse", "scope", "name", "account", "bytes", "created_at", "updated_at
            "state")
 
 
-def datasets_per_rse(collection_replicas: DataFrame, dslocks: DataFrame, rses: DataFrame) -> DataFrame:
+def datasets_per_rse(collection_replicas: DataFrame, dslocks: DataFrame, rses: DataFrame,
+                     element_profile: Profile | None = None) -> DataFrame:
     """One row per dataset replica with the accounts and rules locking it (any lock state).
 
     ``account`` lists lock accounts in lock-creation order (``None`` when there
@@ -25,23 +26,27 @@ def datasets_per_rse(collection_replicas: DataFrame, dslocks: DataFrame, rses: D
     its own NULLs. ``bytes`` is the replica's available bytes (NULL as 0),
     ``state`` the largest replica state, times are timestamps. Columns: ``COLUMNS``.
 
-    Plan: replicas left-join locks on (scope, name, rse_id); the element join is
-    a broadcast. When element names are unique (checked on the element table in
-    the same small job as its size), grouping by (scope, name, rse_id, rse) equals
-    grouping by (scope, name, rse) and reuses the join's hash partitioning
-    instead of shuffling again; otherwise the rows group by name, as defined.
+    Plan: locks become one list per (scope, name, rse_id) first (a partial,
+    map-side aggregate; a hot key ships lists, not rows), so the left join is
+    one-to-one unless replicas repeat and a replica's columns are not repeated
+    per lock. A key's list is the report's content and one row in the end. The
+    element join is a broadcast. When element names are unique (checked on the
+    element table in the same small job as its size), grouping by (scope, name,
+    rse_id, rse) equals grouping by (scope, name, rse) and reuses the join's
+    hash partitioning instead of shuffling again; otherwise rows group by name.
     """
     keys = ["scope", "name", "rse_id"]
     reps = collection_replicas.filter(F.col("did_type") == DATASET).select(
         *keys, "available_bytes", "state", "created_at", "accessed_at", "updated_at")
-    locks = dslocks.select(*keys, "account", "rule_id", F.col("created_at").alias("lock_created_at"))
+    lock = F.struct(F.col("created_at").alias("k"), "rule_id", "account")
+    locks = dslocks.groupBy(*keys).agg(F.collect_list(lock).alias("locks"))
     joined = reps.join(locks, keys, "left")
     elements = rses.select(F.col("id").alias("rse_id"), "rse")
-    small, unique_names = profile(elements, "rse")
+    small, unique_names = element_profile or profile(rses, "rse")
     located = joined.join(F.broadcast(elements) if small else elements, "rse_id")
     group_keys = ["scope", "name", "rse_id", "rse"] if unique_names else ["scope", "name", "rse"]
     grouped = located.groupBy(*group_keys).agg(
-        sorted_pairs("lock_created_at", "rule_id", "account").alias("locks"),
+        F.sort_array(F.flatten(F.collect_list("locks"))).alias("locks"),
         F.max("available_bytes").alias("bytes"),
         F.min("created_at").alias("created_at"),
         F.max("updated_at").alias("updated_at"),

@@ -15,11 +15,14 @@ from pyspark.sql import functions as F
 
 from dumpwise.functions.epoch import ms_to_seconds, seconds_to_ms
 from dumpwise.functions.paths import prefixed_path, protocol_prefix, url_path
-from dumpwise.plans.joins import join_dimension
+from dumpwise.plans.joins import Profile, join_dimension
 
 # Bad replica states.
 LOST = "L"
 SUSPICIOUS = "S"
+# Report columns, in file order.
+LOST_COLUMNS = ("fscope", "fname", "scope", "name", "rse", "account", "updated_at")
+SUSPICIOUS_COLUMNS = ("rse", "scope", "name", "path")
 # A protocol usable for LAN writes.
 WRITABLE = "1"
 
@@ -36,7 +39,7 @@ def declared_between(bad_replicas: DataFrame, state: str, start: int, end: int)
 
 
 def lost_files(bad_replicas: DataFrame, contents_history: DataFrame, rses: DataFrame,
-               start: int, end: int) -> DataFrame:
+               start: int, end: int, elements: Profile | None = None) -> DataFrame:
     """Files declared lost in ``[start, end)``, one row per dataset that ever held them.
 
     Columns: ``fscope, fname, scope, name, rse, account, updated_at`` (seconds).
@@ -45,16 +48,17 @@ def lost_files(bad_replicas: DataFrame, contents_history: DataFrame, rses: DataF
     lost = declared_between(bad_replicas, LOST, start, end).select(
         "scope", "name", "rse_id", "account", ms_to_seconds("updated_at").alias("updated_at"))
     # Storage element first: a broadcast join, so unknown elements drop before the big shuffle.
-    lost = join_dimension(lost, rses.select(F.col("id").alias("rse_id"), "rse"), "rse_id")
+    lost = join_dimension(lost, rses.select(F.col("id").alias("rse_id"), "rse"), "rse_id",
+                          small=elements and elements.small)
     parents = contents_history.filter(F.col("did_type") == "D").select(
         F.col("child_scope").alias("fscope"), F.col("child_name").alias("fname"), "scope", "name")
     files = lost.select(F.col("scope").alias("fscope"), F.col("name").alias("fname"), "rse", "account", "updated_at")
-    return files.join(parents, ["fscope", "fname"]).select(
-        "fscope", "fname", "scope", "name", "rse", "account", "updated_at")
+    return files.join(parents, ["fscope", "fname"]).select(*LOST_COLUMNS)
 
 
 def suspicious_files(bad_replicas: DataFrame, replicas: DataFrame, rses: DataFrame, rse_protocols: DataFrame,
-                     start: int, end: int, keep_stored_path: bool = False) -> DataFrame:
+                     start: int, end: int, keep_stored_path: bool = False,
+                     elements: Profile | None = None) -> DataFrame:
     """Distinct suspicious replicas in ``[start, end)`` with a full URL per writable protocol.
 
     Columns: ``rse, scope, name, path``. A replica without a stored path gets
@@ -73,5 +77,6 @@ def suspicious_files(bad_replicas: DataFrame, replicas: DataFrame, rses: DataFra
     with_url = join_dimension(with_path, protocols, "rse_id")
     stored = prefixed_path("url_prefix", "stored_path") if keep_stored_path else F.lit(None).cast("string")
     path = F.when(F.col("stored_path").isNull(), url_path("url_prefix", "scope", "name")).otherwise(stored)
-    located = join_dimension(with_url, rses.select(F.col("id").alias("rse_id"), "rse"), "rse_id")
+    located = join_dimension(with_url, rses.select(F.col("id").alias("rse_id"), "rse"), "rse_id",
+                             small=elements and elements.small)
     return located.select("rse", "scope", "name", path.alias("path")).distinct()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dumpwise.functions.epoch import ms_to_timestamp
 from dumpwise.functions.paths import deterministic_path
-from dumpwise.plans.joins import join_dimension
+from dumpwise.plans.joins import Profile, join_dimension
 
 # An available replica.
 AVAILABLE = "A"
@@ -16,7 +16,8 @@ COLUMNS = ("rse", "scope", "name", "adler32", "bytes", "created_at", "path", "up
            "accessed_at", "tombstone", "copies")
 
 
-def replicas_per_rse(replicas: DataFrame, rses: DataFrame, copies_by_window: bool = False) -> DataFrame:
+def replicas_per_rse(replicas: DataFrame, rses: DataFrame, copies_by_window: bool = False,
+                     element_profile: Profile | None = None) -> DataFrame:
     """One row per replica on a known storage element, with its path and number of available copies.
 
     ``path`` is the stored path, or the deterministic path when none is stored
@@ -33,17 +34,18 @@ def replicas_per_rse(replicas: DataFrame, rses: DataFrame, copies_by_window: boo
     per element).
     """
     elements = rses.select(F.col("id").alias("rse_id"), "rse")
+    small = element_profile and element_profile.small
     if copies_by_window:
         # The window must see replicas on unknown elements too: count first, then join the elements.
         per_file = Window.partitionBy("scope", "name")
         counted = replicas.withColumn(
             "copies", F.count(F.when(F.col("state") == AVAILABLE, F.lit(1))).over(per_file))
-        located = join_dimension(counted, elements, "rse_id")
+        located = join_dimension(counted, elements, "rse_id", small=small)
     else:
         # Counts cover all replicas; rows on unknown elements drop (broadcast join) before the shuffle.
         counts = replicas.filter(F.col("state") == AVAILABLE).groupBy("scope", "name").agg(
             F.count(F.lit(1)).alias("n_available"))
-        located = join_dimension(replicas, elements, "rse_id").join(counts, ["scope", "name"], "left").withColumn(
+        located = join_dimension(replicas, elements, "rse_id", small=small).join(counts, ["scope", "name"], "left").withColumn(
             "copies", F.coalesce(F.col("n_available"), F.lit(0)))
     return located.select(
         "rse", "scope", "name", "adler32", "bytes",

@@ -95,7 +95,7 @@ def space_usage(reports: DataFrame, doc_col: str = "doc_id", text_col: str = "te
         if f in STRING_FIELDS:
             cols.append(F.when(is_string(x), F.try_variant_get(x, "$", "string")).alias(f))
         elif f in INTEGER_FIELDS:
-            cols.append(F.when(is_integer(x), F.try_variant_get(x, "$", "bigint")).alias(f))
+            cols.append(F.when(is_integer(x), F.try_variant_get(x, "$", "bigint")).alias(f))  # beyond 64 bits: range_<field>
         else:
             cols.append(F.when(is_array(x) & all_items_strings(x),
                                F.try_variant_get(x, "$", "array<string>")).alias(f))
@@ -110,6 +110,8 @@ def _token_rules(v: Column) -> list[Column]:
         x = _get(v, f)
         ok = is_string(x) if f in STRING_FIELDS else is_integer(x) if f in INTEGER_FIELDS else is_array(x)
         rules.append(F.when(x.isNotNull() & ~ok, F.lit(f"type_{f}")))
+        if f in INTEGER_FIELDS:
+            rules.append(F.when(is_integer(x) & F.try_variant_get(x, "$", "bigint").isNull(), F.lit(f"range_{f}")))
     status = _get(v, "status")
     in_enum = is_string(status) & F.try_variant_get(status, "$", "string").isin(*STATUS_VALUES)
     rules.append(F.when(status.isNotNull() & ~F.coalesce(in_enum, F.lit(False)), F.lit("enum_status")))
@@ -122,10 +124,12 @@ def space_usage_violations(reports: DataFrame, doc_col: str = "doc_id", text_col
     """One row per broken rule: ``doc_col, token, rule`` (token NULL for document-level rules).
 
     Rules: ``invalid_json, root_not_object, bad_token_name, value_not_object,
-    missing_<field>, type_<field>, enum_status, item_type_list_of_paths``.
+    missing_<field>, type_<field>, range_<field>, enum_status,
+    item_type_list_of_paths``. ``range_<field>``: an integer beyond 64 bits,
+    which R12 shows as NULL.
     A value that is not an object gets only ``value_not_object``; a badly named
-    token only ``bad_token_name`` (its value is not checked). Documents with
-    duplicate keys count as ``invalid_json``.
+    token only ``bad_token_name`` (its value is not checked). Of duplicate keys
+    the last one counts (a session setting, see ``session.prepare``).
     """
     t = _tokens(reports, doc_col, text_col)
     value = F.col("value")

@@ -11,14 +11,16 @@ which also cuts the lineage between the two steps.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from dumpwise import sinks
 from dumpwise.operators import accounting, consistency, datasets, documents, incidents, replicas
 from dumpwise.operators import space_usage as su
-from dumpwise.session import prepare, size_shuffles
+from dumpwise.plans.joins import profile
+from dumpwise.session import prepare, sized_shuffles
 from dumpwise.sources.catalog import load_tables
 from dumpwise.sources.reports import read_accounting
 from dumpwise.sources.space_usage import read_space_reports
@@ -28,84 +30,95 @@ def _dump(dumps: str, date: str) -> str:
     return f"{dumps.rstrip('/')}/{date}"
 
 
-def _load(spark: SparkSession, dumps: str, date: str, tables: list[str], fmt: str):
-    """Load the job's dump tables and size the shuffles from their volume."""
+@contextmanager
+def _loaded(spark: SparkSession, dumps: str, date: str, tables: list[str], fmt: str) -> Iterator[dict[str, DataFrame]]:
+    """A job's dump tables, with the shuffles sized from their volume while it runs."""
+    prepare(spark)
     root = _dump(dumps, date)
-    size_shuffles(spark, [f"{root}/{t}" for t in tables])
-    return load_tables(spark, root, tables, fmt)
+    with sized_shuffles(spark, [f"{root}/{t}" for t in tables]):
+        yield load_tables(spark, root, tables, fmt)
 
 
 def _out(reports: str, report: str, date: str) -> str:
     return f"{reports.rstrip('/')}/{report}/date={date}"
 
 
+def _bare(spark: SparkSession, out: str, wanted: bool) -> None:
+    if wanted:
+        sinks.strip_partition_prefix(spark, out)
+
+
 def consistency_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt: str = "parquet",
-                    mode: str = "errorifexists", full_single_file: bool = True,
-                    compression: str | None = "bzip2") -> None:
-    """R1 per element and R2 as one ordered bzip2 file.
+                    mode: str = "errorifexists", full_single_file: bool = False,
+                    compression: str | None = "bzip2", bare_element_dirs: bool = False) -> None:
+    """R1 per element and R2 as bzip2 parts, globally ordered (part order = row order).
 
-    ``full_single_file=False`` writes R2 as many bzip2 parts, globally ordered
-    (part order = row order): the listing covers every OK lock, and one file
-    means one writing task.
+    ``full_single_file=True`` writes R2 as one file for readers that need it;
+    the listing covers every OK lock, and one file means one writing task.
+    ``bare_element_dirs`` names element directories ``X`` instead of ``rse=X``.
     """
-    prepare(spark)
-    t = _load(spark, dumps, date, ["dslocks", "rses", "dids"], fmt)
-    sinks.write_per_rse(consistency.consistency_datasets(t["dslocks"], t["rses"], t["dids"]),
-                        _out(reports, "consistency_datasets", date), mode=mode)
-    full = consistency.consistency_datasets_full(t["dslocks"], t["rses"])
-    write = sinks.write_single_file if full_single_file else sinks.write_ordered
-    write(full, _out(reports, "consistency_datasets_full", date), ("rse", "scope", "name"), mode=mode,
-          compression=compression)
+    with _loaded(spark, dumps, date, ["dslocks", "rses", "dids"], fmt) as t:
+        elements = profile(t["rses"], "rse")
+        out = _out(reports, "consistency_datasets", date)
+        sinks.write_per_rse(consistency.consistency_datasets(t["dslocks"], t["rses"], t["dids"], elements), out, mode=mode)
+        _bare(spark, out, bare_element_dirs)
+        full = consistency.consistency_datasets_full(t["dslocks"], t["rses"], elements)
+        write = sinks.write_single_file if full_single_file else sinks.write_ordered
+        write(full, _out(reports, "consistency_datasets_full", date), consistency.FULL_COLUMNS, mode=mode,
+              compression=compression)
 
 
 def datasets_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt: str = "parquet",
-                 mode: str = "errorifexists", one_file_per_rse: bool = False) -> None:
-    """R3 per element, times as ``TS_MILLIS_UTC``."""
-    prepare(spark)
-    t = _load(spark, dumps, date, ["collection_replicas", "dslocks", "rses"], fmt)
-    sinks.write_per_rse(datasets.datasets_per_rse(t["collection_replicas"], t["dslocks"], t["rses"]),
-                        _out(reports, "datasets_per_rse", date), mode=mode, one_file_per_rse=one_file_per_rse,
-                        timestamp_format=sinks.TS_MILLIS_UTC)
+                 mode: str = "errorifexists", one_file_per_rse: bool = False,
+                 bare_element_dirs: bool = False) -> None:
+    """R3 per element, times as ``TS_MILLIS_UTC``.
+
+    A large element has several files; ``one_file_per_rse=True`` serves readers that take only the first.
+    """
+    with _loaded(spark, dumps, date, ["collection_replicas", "dslocks", "rses"], fmt) as t:
+        out = _out(reports, "datasets_per_rse", date)
+        sinks.write_per_rse(datasets.datasets_per_rse(t["collection_replicas"], t["dslocks"], t["rses"]), out, mode=mode,
+                            one_file_per_rse=one_file_per_rse, timestamp_format=sinks.TS_MILLIS_UTC)
+        _bare(spark, out, bare_element_dirs)
 
 
 def replicas_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt: str = "parquet",
-                 mode: str = "errorifexists", compression: str | None = "bzip2") -> None:
+                 mode: str = "errorifexists", compression: str | None = "bzip2",
+                 bare_element_dirs: bool = False) -> None:
     """R4 per element, bzip2 (the report format; ``compression`` may name another codec or None),
     times as ``TS_SECONDS``, rows by path inside each element."""
-    prepare(spark)
-    t = _load(spark, dumps, date, ["replicas", "rses"], fmt)
-    sinks.write_per_rse(replicas.replicas_per_rse(t["replicas"], t["rses"]), _out(reports, "replicas_per_rse", date),
-                        sort_keys=("path",), mode=mode, compression=compression, timestamp_format=sinks.TS_SECONDS)
+    with _loaded(spark, dumps, date, ["replicas", "rses"], fmt) as t:
+        out = _out(reports, "replicas_per_rse", date)
+        sinks.write_per_rse(replicas.replicas_per_rse(t["replicas"], t["rses"]), out, sort_keys=("path",), mode=mode,
+                            compression=compression, timestamp_format=sinks.TS_SECONDS)
+        _bare(spark, out, bare_element_dirs)
 
 
 def suspicious_job(spark: SparkSession, dumps: str, reports: str, dump_date: str, start: int, end: int,
                    report_date: str, fmt: str = "parquet", mode: str = "errorifexists",
                    keep_stored_path: bool = False) -> None:
     """R5 as one file ordered by (rse, scope, name)."""
-    prepare(spark)
-    t = _load(spark, dumps, dump_date, ["bad_replicas", "replicas", "rses", "rse_protocols"], fmt)
-    out = incidents.suspicious_files(t["bad_replicas"], t["replicas"], t["rses"], t["rse_protocols"], start, end,
-                                     keep_stored_path)
-    sinks.write_single_file(out, _out(reports, "suspicious_files", report_date), ("rse", "scope", "name"), mode=mode)
+    with _loaded(spark, dumps, dump_date, ["bad_replicas", "replicas", "rses", "rse_protocols"], fmt) as t:
+        out = incidents.suspicious_files(t["bad_replicas"], t["replicas"], t["rses"], t["rse_protocols"], start, end,
+                                         keep_stored_path)
+        sinks.write_single_file(out, _out(reports, "suspicious_files", report_date), ("rse", "scope", "name"), mode=mode)
 
 
 def lost_job(spark: SparkSession, dumps: str, reports: str, dump_date: str, start: int, end: int,
              report_date: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
     """R6 as one file."""
-    prepare(spark)
-    t = _load(spark, dumps, dump_date, ["bad_replicas", "contents_history", "rses"], fmt)
-    out = incidents.lost_files(t["bad_replicas"], t["contents_history"], t["rses"], start, end)
-    sinks.write_single_file(out, _out(reports, "lost_files", report_date), mode=mode)
+    with _loaded(spark, dumps, dump_date, ["bad_replicas", "contents_history", "rses"], fmt) as t:
+        out = incidents.lost_files(t["bad_replicas"], t["contents_history"], t["rses"], start, end)
+        sinks.write_single_file(out, _out(reports, "lost_files", report_date), mode=mode)
 
 
 def accounting_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt: str = "parquet",
                    mode: str = "errorifexists", cut_lineage: bool = False, split_hot_files: bool = False) -> None:
     """R7 as many files, globally ordered by (scope, name); optionally checkpointing its largest intermediate."""
-    prepare(spark)
-    t = _load(spark, dumps, date, ["replicas", "rses", "rse_metadata", "contents", "dids"], fmt)
-    out = accounting.global_accounting(t["replicas"], t["rses"], t["rse_metadata"], t["contents"], t["dids"],
-                                       cut_lineage=cut_lineage, split_hot_files=split_hot_files)
-    sinks.write_ordered(out, _out(reports, "global_accounting", date), ("scope", "name"), mode=mode)
+    with _loaded(spark, dumps, date, ["replicas", "rses", "rse_metadata", "contents", "dids"], fmt) as t:
+        out = accounting.global_accounting(t["replicas"], t["rses"], t["rse_metadata"], t["contents"], t["dids"],
+                                           cut_lineage=cut_lineage, split_hot_files=split_hot_files)
+        sinks.write_ordered(out, _out(reports, "global_accounting", date), ("scope", "name"), mode=mode)
 
 
 def documents_job(spark: SparkSession, reports: str, date: str, month: str, target: str | None = None,

@@ -3,50 +3,60 @@
 Storage elements, their protocols and their attributes are dimension tables:
 their size follows the number of sites (thousands), not the number of files.
 
-Default check: count at most ``max_rows + 1`` rows of the dimension (one small
-job over a small table) and hint a broadcast of the *dimension* only if it
-fits. Beyond the bound no hint is given and the planner chooses: it broadcasts
-a side only under ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-decides from
-measured sizes), else sort-merge. The hint matters: left to estimates alone,
-the planner may broadcast a small-looking *fact* side when the dimension is a
-derived frame whose estimate is inflated, and then run the join in a few tasks.
-
-``max_rows=None`` skips the count and leaves everything to the planner.
+``profile`` measures a dimension in one small job: its bytes and, apart from
+that, whether a key is unique. A join hints a broadcast of the *dimension* only
+if its bytes are within the bound. Beyond it no hint is given and the planner
+chooses: it broadcasts a side only under ``spark.sql.autoBroadcastJoinThreshold``
+(AQE re-decides from measured sizes), else sort-merge. The hint matters: left
+to estimates alone, the planner may broadcast a small-looking *fact* side when
+the dimension is a derived frame whose estimate is inflated, and then run the
+join in a few tasks. A job profiles each dimension once and passes the result.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Parameter: bytes of a dimension that every executor can hold comfortably.
+DIMENSION_MAX_BYTES = 64 << 20
+_ROW_OVERHEAD = 64
+
+
+class Profile(NamedTuple):
+    """What a job knows about a dimension: small enough to broadcast, key values unique."""
 
-# Far above any real number of storage elements (or their protocols/attributes),
-# small enough for every executor to hold comfortably.
-DIMENSION_MAX_ROWS = 200_000
+    small: bool
+    unique: bool
 
 
-def fits(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows (reads at most ``max_rows + 1``)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row in memory: texts by their length, everything else as 8, and an overhead."""
+    size = F.lit(_ROW_OVERHEAD)
+    for f in df.schema.fields:
+        text = isinstance(f.dataType, (T.StringType, T.BinaryType))
+        size = size + (F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) if text else F.lit(8))
+    return size
 
 
-def profile(dim: DataFrame, key: str, max_rows: int = DIMENSION_MAX_ROWS) -> tuple[bool, bool]:
-    """One small job over at most ``max_rows + 1`` rows: (fits the bound, ``key`` values unique)."""
-    r = dim.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(F.col(key)).alias("k"),
-                                    F.count(F.col(key)).alias("nk")).first()
-    return r["n"] <= max_rows, r["n"] <= max_rows and r["k"] == r["nk"] == r["n"]
+def profile(dim: DataFrame, key: str, max_bytes: int = DIMENSION_MAX_BYTES) -> Profile:
+    """One small job over the dimension: does it fit the bound, is ``key`` unique (and never NULL)."""
+    r = dim.agg(F.coalesce(F.sum(row_bytes(dim)), F.lit(0)).alias("bytes"), F.count(F.lit(1)).alias("n"),
+                F.count_distinct(F.col(key)).alias("k"), F.count(F.col(key)).alias("nk")).first()
+    return Profile(r["bytes"] <= max_bytes, r["k"] == r["nk"] == r["n"])
 
 
-def small_side(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is within the bound, else ``df`` unchanged."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+def fits(df: DataFrame, max_bytes: int = DIMENSION_MAX_BYTES) -> bool:
+    """True if ``df`` holds at most ``max_bytes``."""
+    return (df.agg(F.sum(row_bytes(df))).first()[0] or 0) <= max_bytes
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, on: Column | list[str] | str, how: str = "inner",
-                   max_rows: int | None = DIMENSION_MAX_ROWS) -> DataFrame:
-    """Join a fact table to a dimension table.
-
-    ``max_rows=N``: broadcast the dimension only after counting that it has at most N rows.
-    ``max_rows=None``: the planner's size estimate (and AQE) decide broadcast vs sort-merge.
-    """
-    side = dim if max_rows is None else small_side(dim, max_rows)
-    return fact.join(side, on, how)
+                   small: bool | None = None) -> DataFrame:
+    """Join a fact table to a dimension table; ``small`` is an earlier check's result (None: checked here)."""
+    if small is None:
+        small = fits(dim)
+    return fact.join(F.broadcast(dim) if small else dim, on, how)

@@ -194,21 +194,20 @@ def q_datasets_per_rse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- R7 global accounting --------------------------------------------------------------------
-# The oracles follow the original job's shape on purpose (padded union and max for the
-# attributes, fan-out join and argmin per (file, element), eight filtered aggregates merged
-# by max), so they check the rewritten Spark plan rather than restate it.
+# The oracles state the rules in SQL's own terms: attributes by filtered maxima, one owner per file
+# from its parents, and one pass of FILTER aggregates over the storage classes.
 
 _SQL_ACCOUNTED = f"""
+attributes as (
+  select r.id, r.rse, r.rse_type,
+         greatest(max(m.value) filter (m.key = 'type'), max('-2') filter (m.key = 'tier')) as type,
+         greatest(max(m.value) filter (m.key = 'tier'), max('-2') filter (m.key = 'type')) as tier
+  from rses r join rse_metadata m on r.id = m.rse_id
+  where m.key in ('type', 'tier')
+  group by all
+),
 accounted as (
-  select id, rse, rse_type, tier from (
-    select id, rse, rse_type, max(type) as type, max(tier) as tier from (
-      select r.id, r.rse, r.rse_type, m.value as type, '-2' as tier
-      from rses r join rse_metadata m on r.id = m.rse_id where m.key = 'type'
-      union all
-      select r.id, r.rse, r.rse_type, '-2' as type, m.value as tier
-      from rses r join rse_metadata m on r.id = m.rse_id where m.key = 'tier'
-    ) group by id, rse, rse_type
-  ) where {accounting.DEFAULT_ELIGIBLE.replace('!=', '<>')}
+  select id, rse, rse_type, tier from attributes where {accounting.DEFAULT_ELIGIBLE.replace('!=', '<>')}
 )"""
 
 _SQL_CLASSIFIED = """
@@ -220,39 +219,34 @@ classified as (
 )"""
 
 _SQL_OWNED = """
+parents as (
+  select child_scope, child_name, coalesce(scope, 'no_scope') as s, coalesce(name, 'no_name') as n
+  from contents where did_type = 'D' and child_type = 'F'
+),
+owners as (
+  select child_scope, child_name, min({'key': s || ':' || n, 's': s, 'n': n}) filter (s <> 'panda') as o
+  from parents group by child_scope, child_name
+),
 owned as (
-  select fscope, fname, rse,
-         arg_min(dscope, dscope || ':' || dname) as dscope, arg_min(dname, dscope || ':' || dname) as dname,
-         max(bytes) as bytes, max(type) as type, max(rse_type) as rse_type, max(tier) as tier,
-         max(accessed_at) as accessed_at
-  from (
-    select c.scope as fscope, c.name as fname, c.rse, coalesce(t.scope, 'no_scope') as dscope,
-           coalesce(t.name, 'no_name') as dname, c.bytes, c.type, c.rse_type, c.tier, c.accessed_at
-    from classified c
-    left join (select * from contents where did_type = 'D' and child_type = 'F') t
-      on c.scope = t.child_scope and c.name = t.child_name
-  ) where dscope <> 'panda'
-  group by fscope, fname, rse
+  select c.scope as fscope, c.name as fname, c.rse, any_value(coalesce(w.o.s, 'no_scope')) as dscope,
+         any_value(coalesce(w.o.n, 'no_name')) as dname, max(c.bytes) as bytes, max(c.type) as type,
+         max(c.rse_type) as rse_type, max(c.tier) as tier, max(c.accessed_at) as accessed_at
+  from classified c left join owners w on c.scope = w.child_scope and c.name = w.child_name
+  where w.child_scope is null or w.o is not null
+  group by c.scope, c.name, c.rse
 )"""
 
 
 def _sql_usage() -> str:
-    measures = ("files", "bytes", "accessed_files", "accessed_bytes")
-    parts = []
+    cols, any_class = [], []
     for short, kind, rse_type, tier in accounting.CLASSES:
         cond = f"rse_type = '{rse_type}' and tier = '{tier}'" + (f" and type = '{kind}'" if kind else "")
-        own = {"files": "count(fname)", "bytes": "sum(bytes)", "accessed_files":
-               "count(case when accessed_at is not null then fname end)",
-               "accessed_bytes": "sum(case when accessed_at is not null then bytes end)"}
-        cols = []
-        for other, *_ in accounting.CLASSES:
-            for m in measures:
-                cols.append(f"{own[m] if other == short else '0'} as {other}_{m}")
-        parts.append(f"select dscope, dname, max(accessed_at) as accessed_at, {', '.join(cols)} "
-                     f"from owned where {cond} group by dscope, dname")
-    merged = ", ".join(f"cast(max({s}_{m}) as bigint) as {s}_{m}" for s, *_ in accounting.CLASSES for m in measures)
-    return (f"usage as (\n  select dscope, dname, max(accessed_at) as accessed_at, {merged}\n"
-            f"  from ({' union all '.join(parts)}) group by dscope, dname\n)")
+        any_class.append(f"({cond})")
+        for name, extra in (("", ""), ("accessed_", " and accessed_at is not null")):
+            cols.append(f"count(fname) filter ({cond}{extra}) as {short}_{name}files")
+            cols.append(f"cast(coalesce(sum(bytes) filter ({cond}{extra}), 0) as bigint) as {short}_{name}bytes")
+    return (f"usage as (\n  select dscope, dname, max(accessed_at) as accessed_at, {', '.join(cols)}\n"
+            f"  from owned where {' or '.join(any_class)} group by dscope, dname\n)")
 
 
 def _sql_factors() -> str:
@@ -304,7 +298,7 @@ def q_classified_replicas(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_attribute_to_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = CATALOG(spark, sf_dir)
     classified, unique = accounting.prepared_replicas(c.replicas, c.rses, c.rse_metadata)
-    return accounting.attribute_to_dataset(classified, c.contents, True, unique)
+    return accounting.attribute_to_dataset(classified, c.contents, unique)
 
 
 @register("storage_class_usage",
@@ -312,7 +306,7 @@ def q_attribute_to_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_storage_class_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = CATALOG(spark, sf_dir)
     classified, unique = accounting.prepared_replicas(c.replicas, c.rses, c.rse_metadata)
-    return accounting.storage_class_usage(accounting.attribute_to_dataset(classified, c.contents, True, unique))
+    return accounting.storage_class_usage(accounting.attribute_to_dataset(classified, c.contents, unique))
 
 
 _GLOBAL_ORACLE = _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED, _sql_usage(), _sql_factors()],
@@ -323,7 +317,7 @@ _GLOBAL_ORACLE = _acc_oracle([_SQL_ACCOUNTED, _SQL_CLASSIFIED, _SQL_OWNED, _sql_
 def q_replication_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = CATALOG(spark, sf_dir)
     classified, unique = accounting.prepared_replicas(c.replicas, c.rses, c.rse_metadata)
-    owned = accounting.attribute_to_dataset(classified, c.contents, True, unique)
+    owned = accounting.attribute_to_dataset(classified, c.contents, unique)
     return accounting.replication_factors(accounting.storage_class_usage(owned), c.dids)
 
 
@@ -339,29 +333,19 @@ def q_global_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
 REPORT_DATE = "2026-12-01"
 
 
-def _sql_sequential_steps() -> list[str]:
-    """The grouped datatype as literal sequential overrides, one CASE per step (last matching rule wins)."""
-    steps = [("t", "DAOD", "DAOD")]
-    for test, value, label in [("eq", "panda", "panda"), ("sw", "user", "user"), ("sw", "archive", "archive"),
-                               ("sw", "data07", "data07"), ("sw", "sit", "sit"), ("eq", "hc_test", "hc_test"),
-                               ("sw", "group", "group"), ("sw", "cond", "cond")]:
-        steps.append(("p" + test, value, label))
-    for prefix in ("HIST", "DESD", "DPD", "RDO", "NTUP", "DRAW", "DNTUP", "D2ESD", "D2AOD"):
-        steps.append(("t", prefix, prefix))
-    steps.append(("tend", "RAW", "RAW"))
-    steps.append(("peq", "transient", "transient"))
-    out = []
-    for kind, value, label in steps:
-        if kind == "t":
-            cond = f"starts_with(dt_, '{value}')"
-        elif kind == "tend":
-            cond = f"ends_with(dt_, '{value}')"
-        elif kind == "peq":
-            cond = f"pj_ = '{value}'"
-        else:
-            cond = f"starts_with(pj_, '{value}')"
-        out.append(f"case when {cond} then '{label}' else dt_ end")
-    return out
+# Project and datatype prefixes that are their own label.
+_PROJECT_PREFIXES = "^(user|archive|data07|sit|group|cond)"
+_DATATYPE_PREFIXES = "^(DAOD|HIST|DESD|DPD|RDO|NTUP|DNTUP|D2ESD|D2AOD)"
+
+
+def _sql_grouped(project: str, datatype: str) -> str:
+    """The grouped datatype by precedence: project labels, then the datatype's prefix, then its RAW ending."""
+    return f"""case
+      when {project} in ('transient', 'panda', 'hc_test') then {project}
+      when regexp_matches({project}, '{_PROJECT_PREFIXES}') then regexp_extract({project}, '{_PROJECT_PREFIXES}')
+      when regexp_matches({datatype}, '{_DATATYPE_PREFIXES}') then regexp_extract({datatype}, '{_DATATYPE_PREFIXES}')
+      when {datatype} like 'DRAW%' or {datatype} like '%RAW' then 'RAW'
+      else coalesce({datatype}, 'no_name') end"""
 
 
 def _sql_documents() -> str:
@@ -376,13 +360,8 @@ def _sql_documents() -> str:
     cols.append(f"'{REPORT_DATE}' as timestamp")
     cols.append(f"upper(sha1('{REPORT_DATE}' || '_' || coalesce(scope, 'null') || '_' || coalesce(name, 'null')))"
                 " as id")
-    # Linear chain: each subquery applies one override to dt_ (no expression doubling).
-    chain = "(select f.*, coalesce(f.datatype, 'no_name') as dt_, coalesce(f.project, '') as pj_ from factors f)"
-    for step in _sql_sequential_steps():
-        chain = f"(select * replace ({step} as dt_) from {chain})"
-    cols = [c.replace("f.*", "f.* exclude (dt_, pj_)") for c in cols]
-    cols.append("f.dt_ as datatype_grouped")
-    return f"select {', '.join(cols)} from {chain} f"
+    cols.append(f"{_sql_grouped('project', 'datatype')} as datatype_grouped")
+    return f"select {', '.join(cols)} from factors f"
 
 
 @register("accounting_documents",
@@ -434,6 +413,15 @@ def q_latest_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.latest_reports(_dated_inventory(spark, sf_dir), AS_OF)
 
 
+@register("latest_reports_of_element", duckdb_with(["rses", "replicas"], f""", {_SQL_DATED}
+select * from dated where rse = 'RSE_3' and date = (
+  select max(date) from dated where rse = 'RSE_3'
+  and cast(date as date) between date '{AS_OF}' - interval 13 day and date '{AS_OF}')
+"""), text_cols=('bytes',))
+def q_latest_reports_of_element(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup.latest_reports(_dated_inventory(spark, sf_dir), AS_OF, rse="RSE_3")
+
+
 @register("report_slice", duckdb_with(["rses", "replicas"], f""", {_SQL_DATED}
 select * from dated where date = '{SLICE_DATE}'
 """), text_cols=('bytes',))
@@ -441,17 +429,90 @@ def q_report_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.report_slice(_dated_inventory(spark, sf_dir), SLICE_DATE)
 
 
+# Whole reports by date: lost files stamped with the day of their last update, and the full
+# listing stamped with the day of the lock.
+
+def _dated_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = CATALOG(spark, sf_dir)
+    lost = incidents.lost_files(c.bad_replicas, c.contents_history, c.rses, WINDOW_START, WINDOW_END)
+    return lost.withColumn("date", F.date_format(F.timestamp_seconds("updated_at"), "yyyy-MM-dd"))
+
+
+_SQL_DATED_LOST = f"""
+lost as (
+  select b.scope as fscope, b.name as fname, h.scope as scope, h.name as name, r.rse as rse, b.account as account,
+         {_seconds('b.updated_at')} as updated_at
+  from bad_replicas b
+  join contents_history h on b.scope = h.child_scope and b.name = h.child_name and h.did_type = 'D'
+  join rses r on b.rse_id = r.id
+  where b.state = 'L' and {_seconds('b.created_at')} >= {WINDOW_START} and {_seconds('b.created_at')} < {WINDOW_END}
+),
+dated as (select *, strftime(make_timestamp(updated_at * 1000000), '%Y-%m-%d') as date from lost)"""
+LOST_AS_OF = "1996-07-01"
+
+
+@register("latest_lost_files", duckdb_with(["rses", "contents_history", "bad_replicas"], f""", {_SQL_DATED_LOST}
+select * from dated where date = (
+  select max(date) from dated
+  where cast(date as date) between date '{LOST_AS_OF}' - interval 13 day and date '{LOST_AS_OF}')
+"""))
+def q_latest_lost_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookup.latest_reports(_dated_lost(spark, sf_dir), LOST_AS_OF, rse_col=None)
+
+
+def _dated_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full listing, a name's rows dated by a day that its text decides (many dates, several rows each)."""
+    c = CATALOG(spark, sf_dir)
+    full = consistency.consistency_datasets_full(c.dslocks, c.rses)
+    return full.withColumn("date", F.concat(F.lit("1998-06-"), F.lpad((F.length("name") + 10).cast("string"), 2, "0")))
+
+
+_SQL_DATED_LISTING = """
+dated as (
+  select r.rse as rse, l.scope as scope, l.name as name,
+         '1998-06-' || lpad(cast(length(l.name) + 10 as varchar), 2, '0') as date
+  from dslocks l join rses r on l.rse_id = r.id
+  where l.state = 'O' and l.name not like '%_dis%' and l.name not like '%_sub%'
+)"""
+
+
+@register("latest_full_listing", duckdb_with(["rses", "dslocks"], f""", {_SQL_DATED_LISTING}
+select * from dated where date = (select max(date) from dated
+  where cast(date as date) between date '{AS_OF}' - interval 13 day and date '{AS_OF}')
+"""))
+def q_latest_full_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inventory = _dated_inventory(spark, sf_dir)
+    return lookup.latest_reports(inventory, AS_OF, rse="*", full=_dated_listing(spark, sf_dir))
+
+
+@register("full_listing_slice", duckdb_with(["rses", "dslocks"], f""", {_SQL_DATED_LISTING}
+select * from dated where date = (select min(date) from dated)
+"""))
+def q_full_listing_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listing = _dated_listing(spark, sf_dir)
+    first = listing.agg(F.min("date")).first()[0] or SLICE_DATE
+    return lookup.report_slice(_dated_inventory(spark, sf_dir), first, rse="*", full=listing)
+
+
 # --- R12 / R13 site space usage --------------------------------------------------------------
 
 _SQL_TOKENS = r"""
 docs as (select doc_id, text, json_valid(text) as ok from space_reports),
-entries as (
-  select doc_id, token, json_extract(text, '$."' || token || '"') as v
-  from (select doc_id, text, unnest(json_keys(text)) as token from docs where ok and json_type(text) = 'OBJECT')
+pairs as (
+  select doc_id, unnest(json_keys(text)) as token, unnest(json_extract(text, '$.*')) as v,
+         unnest(range(len(json_keys(text)))) as nth
+  from docs where ok and json_type(text) = 'OBJECT'
 ),
+entries as (select doc_id, token, arg_max(v, nth) as v from pairs group by doc_id, token),
 objs as (select * from entries where regexp_full_match(token, '^([A-Z0-9]+([_-][A-Z0-9]+)*)$') and json_type(v) = 'OBJECT')"""
 
 
+def _sql_long(path: str) -> str:
+    """The integer at ``path`` if 64 bits hold it."""
+    return (f"coalesce(try_cast(json_extract_string(v, '{path}') as bigint), "
+            f"try_cast(cast(json_extract(v, '{path}') as double) as bigint))")
+
+
 def _sql_is_int(path: str) -> str:
     t = f"json_type(v, '{path}')"
     return (f"({t} in ('BIGINT', 'UBIGINT') or ({t} = 'DOUBLE' and "
@@ -469,7 +530,7 @@ def _sql_space_usage() -> str:
         if f in su.STRING_FIELDS:
             cols.append(f"case when json_type(v, '{p}') = 'VARCHAR' then json_extract_string(v, '{p}') end as {f}")
         elif f in su.INTEGER_FIELDS:
-            cols.append(f"case when {_sql_is_int(p)} then cast(cast(json_extract(v, '{p}') as double) as bigint) end as {f}")
+            cols.append(f"case when {_sql_is_int(p)} then {_sql_long(p)} end as {f}")
         else:
             cols.append(f"case when json_type(v, '{p}') = 'ARRAY' and {_sql_items_strings(p)} "
                         f"then cast(json_extract(v, '{p}') as varchar) end as {f}")
@@ -492,6 +553,8 @@ def _sql_violations() -> str:
         ok = (f"json_type(v, '{p}') = 'VARCHAR'" if f in su.STRING_FIELDS else
               _sql_is_int(p) if f in su.INTEGER_FIELDS else f"json_type(v, '{p}') = 'ARRAY'")
         parts.append(f"select doc_id, token, 'type_{f}' from objs where json_type(v, '{p}') is not null and not ({ok})")
+        if f in su.INTEGER_FIELDS:
+            parts.append(f"select doc_id, token, 'range_{f}' from objs where {ok} and {_sql_long(p)} is null")
     parts.append("select doc_id, token, 'enum_status' from objs where json_type(v, '$.status') is not null and "
                  "not coalesce(json_type(v, '$.status') = 'VARCHAR' and "
                  "json_extract_string(v, '$.status') in ('online', 'offline'), false)")

@@ -7,7 +7,8 @@ The layout contract of the reports:
   renames to bare ``X`` for readers that expect it), tab-separated, no header,
   the element repeated as the first data column (``_rse``) since partition
   columns leave the rows;
-* incident reports and the full consistency listing: one file, ordered;
+* incident reports: one file, ordered; the full consistency listing: ordered parts
+  (one file on request);
 * accounting: many files, globally ordered by (scope, name);
 * times as text in the report's format (``TS_SECONDS`` or ``TS_MILLIS_UTC``).
 
@@ -137,6 +138,7 @@ def strip_partition_prefix(spark: SparkSession, path: str, column: str = "rse")
         name = src.getName()
         if status.isDirectory() and name.startswith(column + "="):
             dst = jvm.org.apache.hadoop.fs.Path(root, name[len(column) + 1:])
-            fs.rename(src, dst)
+            if fs.exists(dst) or not fs.rename(src, dst):
+                raise OSError(f"{src} could not be renamed to {dst}")
             renamed.append(dst.getName())
     return renamed

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,25 +45,50 @@ SCHEMAS: dict[str, T.StructType] = {
 TABLES = tuple(SCHEMAS)
 
 
+def _converted(name: str, have: T.DataType, want: T.DataType) -> Column:
+    """Column ``name`` as the schema's type, for types whose values keep their meaning; else an error.
+
+    A timestamp becomes epoch milliseconds, the unit of every time in a dump.
+    """
+    c = F.col(f"`{name}`")
+    if isinstance(want, T.LongType):
+        if isinstance(have, T.TimestampType):
+            return F.unix_millis(c)
+        if isinstance(have, T.IntegralType):
+            return c.cast(want)
+        if isinstance(have, T.DecimalType) and have.scale == 0 and have.precision <= 18:
+            return c.cast(want)
+    if isinstance(want, T.StringType) and isinstance(have, (T.StringType, T.IntegralType)):
+        return c.cast(want)
+    if isinstance(have, T.NullType):
+        return c.cast(want)
+    raise TypeError(f"column {name!r} is {have.simpleString()}, expected {want.simpleString()}")
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """Lower-case the columns and project/cast them to the table schema.
+    """Lower-case the columns and project them to the table schema.
 
-    Raises if a schema column is missing. Extra columns are dropped, so the
-    scan only reads what the schema names (and Catalyst prunes further).
+    Raises if a schema column is missing, is there twice in different case, or
+    has a type whose values would change their meaning. Extra columns are
+    dropped, so the scan only reads what the schema names (and Catalyst prunes
+    further).
     """
     schema = SCHEMAS[table]
-    lower = {c.lower(): c for c in df.columns}
+    lower: dict[str, list[str]] = {}
+    for c in df.columns:
+        lower.setdefault(c.lower(), []).append(c)
     missing = [f.name for f in schema.fields if f.name not in lower]
     if missing:
         raise ValueError(f"table {table!r} lacks columns {missing}; has {df.columns}")
+    twice = [lower[f.name] for f in schema.fields if len(lower[f.name]) > 1]
+    if twice:
+        raise ValueError(f"table {table!r} has columns that differ only in case: {twice}")
     have = {f.name: f.dataType for f in df.schema.fields}
     cols = []
     for f in schema.fields:
-        src = lower[f.name]
-        if src == f.name and have[src] == f.dataType:
-            cols.append(f.name)
-        else:
-            cols.append(F.col(src).cast(f.dataType).alias(f.name))
+        src = lower[f.name][0]
+        same = src == f.name and have[src] == f.dataType
+        cols.append(F.col(f.name) if same else _converted(src, have[src], f.dataType).alias(f.name))
     return df.select(cols)
 
 

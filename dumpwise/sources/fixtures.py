@@ -73,7 +73,7 @@ select @DS@ as scope, @DN@ as name, cast(l_suppkey as string) as rse_id, 'acc'||
        case when l_linenumber%2=0 then @MS@ end as accessed_at,
        md5(cast(l_orderkey as string)||'_'||cast(l_partkey as string)||'_'||cast(l_suppkey as string)||'_'||cast(l_linenumber as string)) as rule_id,
        @MS@+2 as updated_at
-from {lineitem} where l_linenumber<=4""",
+from {lineitem} where l_linenumber<=4 or l_orderkey%64=1""",
     "collection_replicas": """
 select @DS@ as scope, @DN@ as name, cast(l_suppkey as string) as rse_id,
        case when l_orderkey%8=7 then 'C' else 'D' end as did_type,
@@ -96,7 +96,7 @@ select @DS@ as scope, @DN@ as name,
        'physics' as stream_name, 'v1' as version, 'c'||cast(l_orderkey%3 as string) as campaign,
        min(@MS@) as created_at, case when l_orderkey%3=0 then null else max(@MS@) end as accessed_at
 from {lineitem} where l_orderkey%17<>0 group by l_orderkey""",
-    # Site space-usage documents, one per supplier; suppkey % 26 picks a broken variant (13..25 and 0 are valid).
+    # Site space-usage documents, one per supplier; suppkey % 26 picks a broken variant (15..25 and 0 are valid).
     "space_reports": """
 select s_suppkey as doc_id,
        case s_suppkey % 26
@@ -112,6 +112,8 @@ select s_suppkey as doc_id,
          when 10 then '{"SITE' || k || '_DATADISK": {' || st || ', ' || msg || ', ' || tot || ', ' || used || ', ' || ts || ', "list_of_paths": "x"}}'
          when 11 then '{"SITE' || k || '_DATADISK": {' || st || ', ' || msg || ', ' || tot || ', ' || used || ', ' || ts || ', "list_of_paths": ["x", 1]}}'
          when 12 then '{"SITE' || k || '_DATADISK": {"status": 5, "total_space": true, ' || used || ', "time_stamp": null, "list_of_paths": [null]}}'
+         when 13 then '{"SITE' || k || '_DATADISK": {"status": "down"}, "SITE' || k || '_DATADISK": {' || st || ', ' || msg || ', ' || tot || ', ' || used || ', ' || ts || ', ' || paths || '}}'
+         when 14 then '{"SITE' || k || '_DATADISK": {' || st || ', ' || msg || ', "total_space": 99999999999999999999, "used_space": 9223372036854775807, "num_files": 9223372036854775808, ' || ts || ', ' || paths || '}}'
          else '{"SITE' || k || '_DATADISK": {' || st || ', ' || msg || ', ' || tot || ', ' || used || ', ' || nf || ', ' || ts || ', ' || paths || '}, '
               || '"SITE' || k || '-SCRATCHDISK": {' || st || ', ' || msg || ', ' || tot || ', ' || used || ', ' || ts || ', ' || paths || '}}'
        end as text

@@ -5,24 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from dumpwise.operators import consistency, datasets, replicas
+from dumpwise.operators import consistency, datasets, incidents, replicas
 from dumpwise.operators.accounting import accounting_columns
 
 _LONGS = {"bytes", "count", "copies", "updated_at", "created_at", "accessed_at"}
 
 
-def _text_layout(columns, longs=frozenset(), first="_rse") -> T.StructType:
-    """Column layout of a written per-element report: ``_rse`` then the report columns without ``rse``."""
-    names = [first] + [c for c in columns if c != "rse"]
+def _text_layout(columns, longs=frozenset(), whole: bool = False) -> T.StructType:
+    """Column layout of a written report; a per-element one has ``_rse`` first and no ``rse``."""
+    names = list(columns) if whole else ["_rse"] + [c for c in columns if c != "rse"]
     return T.StructType([T.StructField(n, T.LongType() if n in longs else T.StringType(), True) for n in names])
 
 
-# Layouts of the per-element text reports (times of R3/R4 are text in the report's format;
-# R1 keeps raw epoch milliseconds).
+# Layouts of the text reports (times of R3/R4 are text in the report's format; R1 keeps raw
+# epoch milliseconds, R6 epoch seconds). The last three are whole reports, by date only.
 REPORT_LAYOUTS: dict[str, T.StructType] = {
     "consistency_datasets": _text_layout(consistency.COLUMNS, _LONGS),
     "datasets_per_rse": _text_layout(datasets.COLUMNS, {"bytes"}),
     "replicas_per_rse": _text_layout(replicas.COLUMNS, {"bytes", "copies"}),
+    "lost_files": _text_layout(incidents.LOST_COLUMNS, {"updated_at"}, whole=True),
+    "suspicious_files": _text_layout(incidents.SUSPICIOUS_COLUMNS, whole=True),
+    "consistency_datasets_full": _text_layout(consistency.FULL_COLUMNS, whole=True),
 }
 
 
@@ -65,30 +68,27 @@ def read_dated_reports(spark: SparkSession, root: str, schema: T.StructType | st
     return reader.load(root)
 
 
-def existing_reports(spark: SparkSession, root: str, dates: list[str] | None = None) -> DataFrame:
-    """``(date, rse)`` of every report directory holding at least one file, empty files included.
+def existing_reports(spark: SparkSession, root: str, dates: list[str]) -> DataFrame:
+    """``(date, rse)`` of every report directory of ``dates`` holding at least one file, empty files included.
 
     A report exists when its directory has a file, as the original lookup
     decided it. Spark's scans skip empty files, so this uses the file index's
     listing instead (``inputFiles``: file-system metadata Spark already keeps on
-    the driver for any file scan; nothing is read). ``dates`` limits the listing
-    to those date directories (the lookup window), so it stays as small as
-    the window. Reports without an element level get ``rse`` NULL.
+    the driver for any file scan; nothing is read). ``dates`` (the lookup
+    window, ``lookup.window_dates``) bounds the listing, whatever the length of
+    the history. Reports without an element level get ``rse`` NULL.
     """
     from urllib.parse import unquote
 
-    if dates is None:
-        targets = [root]
-    else:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        targets = []
-        for d in dates:
-            path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/date={d}")
-            if path.getFileSystem(conf).exists(path):
-                targets.append(str(path))
-        if not targets:
-            return spark.createDataFrame([], "date string, rse string")
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    targets = []
+    for d in dates:
+        path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/date={d}")
+        if path.getFileSystem(conf).exists(path):
+            targets.append(str(path))
+    if not targets:
+        return spark.createDataFrame([], "date string, rse string")
     files = spark.read.format("binaryFile").option("basePath", root).load(targets).inputFiles()
     pairs = set()
     for path in files:
@@ -96,3 +96,13 @@ def existing_reports(spark: SparkSession, root: str, dates: list[str] | None = N
         if "date" in parts:
             pairs.add((unquote(parts["date"]), unquote(parts["rse"]) if "rse" in parts else None))
     return spark.createDataFrame(sorted(pairs, key=str), "date string, rse string")
+
+
+def read_element_report(spark: SparkSession, root: str, date: str, rse: str, layout: str) -> DataFrame:
+    """One element's report of one date, from ``rse=X`` or from a bare ``X`` directory (``strip_partition_prefix``)."""
+    jvm = spark.sparkContext._jvm
+    folders = [f"{root.rstrip('/')}/date={date}/{name}" for name in (f"rse={rse}", rse)]
+    there = [f for f in folders if (p := jvm.org.apache.hadoop.fs.Path(f)).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)]
+    if not there:
+        return spark.createDataFrame([], REPORT_LAYOUTS[layout])
+    return spark.read.schema(REPORT_LAYOUTS[layout]).option("sep", "\t").option("header", "false").csv(there[0])

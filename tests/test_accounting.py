@@ -89,12 +89,23 @@ def test_storage_classes_and_factors(spark):
     assert out["missing"]["length"] == 0 and out["missing"]["events"] == 0
 
 
-def test_per_file_owner_equals_original_shape(spark):
+def test_owner_is_the_smallest_parent(spark):
+    """Owners against a plain computation over all parents of each file."""
     c = FixtureCatalog(spark, SF_MEDIUM)
     classified = accounting.classified_replicas(c.replicas, accounting.accounted_rses(c.rses, c.rse_metadata))
-    a = accounting.attribute_to_dataset(classified, c.contents, True)
-    b = accounting.attribute_to_dataset(classified, c.contents, False)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    parents = {}
+    for r in c.contents.where("did_type = 'D' and child_type = 'F'").collect():
+        names = parents.setdefault((r["child_scope"], r["child_name"]), set())
+        if r["scope"] != "panda":
+            names.add((f"{r['scope'] or 'no_scope'}:{r['name'] or 'no_name'}", r["scope"] or "no_scope", r["name"] or "no_name"))
+    want = {}
+    for r in classified.collect():
+        names = parents.get((r["scope"], r["name"]), {("", "no_scope", "no_name")})
+        if names:
+            want[r["scope"], r["name"], r["rse"]] = min(names)[1:]
+    got = {(r["fscope"], r["fname"], r["rse"]): (r["dscope"], r["dname"])
+           for r in accounting.attribute_to_dataset(classified, c.contents).collect()}
+    assert got == want
 
 
 def test_usage_totals_equal_classed_rows(spark):
@@ -156,8 +167,8 @@ def test_unique_name_path_equals_exact_path(spark):
     accounted = accounting.accounted_rses(c.rses, c.rse_metadata)
     assert accounting.rse_names_unique(accounted)
     classified = accounting.classified_replicas(c.replicas, accounted)
-    fast = accounting.attribute_to_dataset(classified, c.contents, True, True)
-    exact = accounting.attribute_to_dataset(classified, c.contents, True, False)
+    fast = accounting.attribute_to_dataset(classified, c.contents, True)
+    exact = accounting.attribute_to_dataset(classified, c.contents, False)
     assert fast.exceptAll(exact).count() == 0 and exact.exceptAll(fast).count() == 0
     plan = fast._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan.split("BroadcastHashJoin")[0]
@@ -180,9 +191,9 @@ def test_report_row_properties(spark):
 def test_split_hot_files_equals_default(spark):
     c = FixtureCatalog(spark, SF_MEDIUM)
     classified, unique = accounting.prepared_replicas(c.replicas, c.rses, c.rse_metadata)
-    base = accounting.attribute_to_dataset(classified, c.contents, True, unique)
+    base = accounting.attribute_to_dataset(classified, c.contents, unique)
     for flag in (True, False):
-        split = accounting.attribute_to_dataset(classified, c.contents, True, flag, split_hot_files=True)
+        split = accounting.attribute_to_dataset(classified, c.contents, flag, split_hot_files=True)
         assert split.exceptAll(base).count() == 0 and base.exceptAll(split).count() == 0
 
 
@@ -195,8 +206,8 @@ def test_split_hot_files_on_a_hot_file(spark):
     meta = table(spark, "rse_metadata", [{"rse_id": i, "key": "type", "value": "DATADISK"} for i in ("1", "2")])
     classified, unique = accounting.prepared_replicas(table(spark, "replicas", hot + cold), rses, meta)
     contents = table(spark, "contents", [_parent("d", "ds", "hot"), _parent("d", "ds", "f3")])
-    base = accounting.attribute_to_dataset(classified, contents, True, unique)
-    split = accounting.attribute_to_dataset(classified, contents, True, unique, split_hot_files=True)
+    base = accounting.attribute_to_dataset(classified, contents, unique)
+    split = accounting.attribute_to_dataset(classified, contents, unique, split_hot_files=True)
     assert sorted(map(tuple, base.collect()), key=str) == sorted(map(tuple, split.collect()), key=str)
     got = {(r["fname"], r["rse"]): r for r in rows(split)}
     assert got[("hot", "D2")]["bytes"] == 2999 and got[("hot", "D2")]["type"] == "secondary"

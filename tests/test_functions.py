@@ -35,24 +35,17 @@ def test_document_id_null_name(spark):
     assert got == hashlib.sha1(b"2026-12-01_mc16_null").hexdigest().upper()
 
 
-def _sequential(project, datatype):
-    """Independent check: the ordered overrides, applied one after another."""
-    t = datatype if datatype is not None else "no_name"
-    p = project if project is not None else ""
-    if t.startswith("DAOD"):
-        t = "DAOD"
-    for test, value in [("eq", "panda"), ("sw", "user"), ("sw", "archive"), ("sw", "data07"), ("sw", "sit"),
-                        ("eq", "hc_test"), ("sw", "group"), ("sw", "cond")]:
-        if (p == value) if test == "eq" else p.startswith(value):
-            t = value
-    for prefix in ("HIST", "DESD", "DPD", "RDO", "NTUP", "DRAW", "DNTUP", "D2ESD", "D2AOD"):
-        if t.startswith(prefix):
-            t = prefix
-    if t.endswith("RAW"):
-        t = "RAW"
-    if p == "transient":
-        t = "transient"
-    return t
+# Expected labels: a project with a label decides; otherwise the datatype's label.
+PROJECT_LABELS = {
+    None: None, "": None, "panda": "panda", "pandax": None, "user.a": "user", "archive9": "archive", "data07x": "data07",
+    "sit": "sit", "hc_test": "hc_test", "hc_testx": None, "group": "group", "cond": "cond", "transient": "transient",
+    "mc16": None,
+}
+DATATYPE_LABELS = {
+    None: "no_name", "": "", "DAOD_X": "DAOD", "HIST": "HIST", "DESD_1": "DESD", "DPD": "DPD", "RDO": "RDO", "NTUP": "NTUP",
+    "DRAW": "RAW", "DNTUP": "DNTUP", "D2ESD": "D2ESD", "D2AOD": "D2AOD", "CALIB_RAW": "RAW", "RAW": "RAW", "AOD": "AOD",
+    "DAODRAW": "DAOD", "HISTRAW": "HIST",
+}
 
 
 def test_grouped_datatype_edges(spark):
@@ -64,15 +57,11 @@ def test_grouped_datatype_edges(spark):
     assert got == [e for *_, e in cases]
 
 
-def test_grouped_datatype_matches_sequential_rules(spark):
-    projects = [None, "", "panda", "pandax", "user.a", "archive9", "data07x", "sit", "hc_test", "hc_testx", "group",
-                "cond", "transient", "mc16"]
-    datatypes = [None, "", "DAOD_X", "HIST", "DESD_1", "DPD", "RDO", "NTUP", "DRAW", "DNTUP", "D2ESD", "D2AOD",
-                 "CALIB_RAW", "RAW", "AOD", "DAODRAW", "HISTRAW"]
-    pairs = [(p, d) for p in projects for d in datatypes]
+def test_grouped_datatype_labels(spark):
+    pairs = [(p, d) for p in PROJECT_LABELS for d in DATATYPE_LABELS]
     df = spark.createDataFrame(pairs, "project string, datatype string")
     got = [r["g"] for r in df.select(grouped_datatype("project", "datatype").alias("g")).collect()]
-    assert got == [_sequential(p, d) for p, d in pairs]
+    assert got == [PROJECT_LABELS[p] or DATATYPE_LABELS[d] for p, d in pairs]
 
 
 def test_epoch_helpers(spark):

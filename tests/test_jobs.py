@@ -44,7 +44,7 @@ def test_load_tables_lowercases_and_checks(spark, dump, tmp_path):
 
 
 def test_consistency_job_layout(spark, dump, scratch):
-    jobs.consistency_job(spark, dump, scratch, DATE)
+    jobs.consistency_job(spark, dump, scratch, DATE, full_single_file=True)
     base = f"{scratch}/consistency_datasets/date={DATE}"
     dirs = sorted(os.listdir(base))
     t = load_tables(spark, f"{dump}/{DATE}", ["dslocks", "rses", "dids"])
@@ -192,7 +192,7 @@ def test_command_line(spark, dump, scratch):
 
 
 def test_full_listing_in_ordered_parts(spark, dump, scratch):
-    jobs.consistency_job(spark, dump, scratch, DATE, full_single_file=False)
+    jobs.consistency_job(spark, dump, scratch, DATE)
     parts = _files(f"{scratch}/consistency_datasets_full/date={DATE}", "part-*.bz2")
     rows_in_order = []
     for p in parts:
@@ -203,17 +203,86 @@ def test_full_listing_in_ordered_parts(spark, dump, scratch):
 
 
 def test_shuffle_sizing(spark, dump):
-    from dumpwise.session import input_bytes, size_shuffles
+    from dumpwise.session import input_bytes, sized_shuffles
 
-    assert input_bytes(spark, [f"{dump}/{DATE}/replicas"]) > 0
-    before = spark.conf.get("spark.sql.shuffle.partitions")
+    key, paths = "spark.sql.shuffle.partitions", [f"{dump}/{DATE}/replicas"]
+    size = input_bytes(spark, paths)
+    assert size > 0
+    before = spark.conf.get(key)
     try:
-        spark.conf.set("spark.sql.shuffle.partitions", "200")
-        assert size_shuffles(spark, [f"{dump}/{DATE}/replicas"]) == 200  # tiny input: the floor
-        spark.conf.set("spark.sql.shuffle.partitions", "37")
-        assert size_shuffles(spark, [f"{dump}/{DATE}/replicas"]) == 37  # chosen by the session: kept
+        spark.conf.set(key, "200")
+        for target, wanted in ((128 << 20, 200), (1, max(200, size)), (128 << 20, 200)):  # a small, a large, a small job
+            with sized_shuffles(spark, paths, target) as n:
+                assert n == wanted == int(spark.conf.get(key))
+            assert spark.conf.get(key) == "200"
+        spark.conf.set(key, "37")
+        with sized_shuffles(spark, paths, 1) as n:
+            assert n == 37  # chosen by the session: kept
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set(key, before)
+
+
+def test_checkpoint_folder_is_demanded_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from dumpwise.session import checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(SimpleNamespace(conf=conf, sparkContext=context))
+
+
+def test_each_dimension_is_checked_once_per_job(spark, dump, scratch, monkeypatch):
+    from dumpwise.plans import joins
+
+    checked = []
+    for name in ("profile", "fits"):
+        monkeypatch.setattr(joins, name, lambda dim, *a, f=getattr(joins, name), **k: checked.append(name) or f(dim, *a, **k))
+    monkeypatch.setattr(jobs, "profile", joins.profile)
+    jobs.consistency_job(spark, dump, scratch, DATE)
+    assert len(checked) == 1
+
+
+def test_conform_keeps_the_meaning_of_types(spark):
+    from dumpwise.sources.catalog import conform
+
+    base = "'s' as scope, 'n' as name, 'r' as rse_id, 'S' as state, 'a' as account"
+    times = spark.sql(f"select {base}, timestamp_millis(1234567890123) as created_at, 5 as UPDATED_AT")
+    assert tuple(conform(times, "bad_replicas").first())[-2:] == (1234567890123, 5)
+    for wrong in ("true", "1.5D", "date'2020-01-01'", "array(1)"):
+        with pytest.raises(TypeError):
+            conform(spark.sql(f"select {base}, {wrong} as created_at, 5L as updated_at"), "bad_replicas")
+    with pytest.raises(ValueError, match="differ only in case"):
+        conform(spark.sql(f"select {base}, 1L as created_at, 5L as updated_at, 6L as Updated_At"), "bad_replicas")
+
+
+def test_bare_element_directories(spark, dump, scratch):
+    from dumpwise.sources.reports import read_element_report
+
+    jobs.datasets_job(spark, dump, f"{scratch}/a", DATE)
+    jobs.datasets_job(spark, dump, f"{scratch}/b", DATE, bare_element_dirs=True)
+    a, b = (read_element_report(spark, f"{scratch}/{x}/datasets_per_rse", DATE, "RSE_1", "datasets_per_rse") for x in "ab")
+    assert os.path.isdir(f"{scratch}/b/datasets_per_rse/date={DATE}/RSE_1")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())) and a.count() > 0
+    with pytest.raises(OSError):  # a rename that cannot be done is reported
+        os.makedirs(f"{scratch}/c/rse=X")
+        os.makedirs(f"{scratch}/c/X")
+        sinks.strip_partition_prefix(spark, f"{scratch}/c")
+
+
+def test_written_whole_reports_are_found(spark, dump, scratch):
+    """Lost files of two dates, written by the job and looked up from the files on disk."""
+    from dumpwise.sources.reports import existing_reports
+
+    for day, end in (("2026-11-25", WINDOW_END), ("2026-11-30", WINDOW_START)):  # the newer report is empty
+        jobs.lost_job(spark, dump, scratch, DATE, WINDOW_START, end, day)
+    root = f"{scratch}/lost_files"
+    reports = read_dated_reports(spark, root, "lost_files")
+    assert reports.count() > 0
+    index = existing_reports(spark, root, lookup.window_dates(DATE))
+    assert lookup.latest_reports(reports, DATE, rse_col=None, index=index).count() == 0
+    assert lookup.latest_reports(reports, "2026-11-29", rse_col=None, index=index).count() == reports.count()
 
 
 def test_command_line_every_job(spark, dump, scratch):
@@ -223,12 +292,13 @@ def test_command_line_every_job(spark, dump, scratch):
 
     base = ["--dumps", dump, "--reports", scratch, "--date", DATE]
     window = ["--start", str(WINDOW_START), "--end", str(WINDOW_END), "--report-date", DATE]
-    assert main(["consistency", *base, "--full-in-parts"]) == 0
+    assert main(["consistency", *base, "--full-single-file"]) == 0
     assert main(["datasets", *base, "--one-file-per-rse"]) == 0
     assert main(["replicas", *base]) == 0
     assert main(["suspicious", *base, *window, "--keep-stored-path"]) == 0
     assert main(["accounting", *base, "--split-hot-files"]) == 0
-    assert main(["documents", "--reports", scratch, "--date", DATE, "--month", "2026-12"]) == 0
+    assert main(["documents", "--reports", scratch, "--date", DATE, "--month", "2026-12",
+                 "--option", "compression=gzip", "--option", "timeZone=UTC"]) == 0
     sites = _os.path.join(scratch, "sites")
     _os.makedirs(sites)
     open(_os.path.join(sites, "a.json"), "w").write("[]")
@@ -253,7 +323,7 @@ def test_empty_newest_report_wins_with_index(spark, scratch):
     rows_ = read_dated_reports(spark, root, "v string, n long")
     by_rows = {(r["rse"], r["v"]) for r in lookup.latest_reports(rows_, DATE).collect()}
     assert by_rows == {("A", "x"), ("B", "y")}
-    for index in (existing_reports(spark, root), existing_reports(spark, root, lookup.window_dates(DATE))):
+    for index in (existing_reports(spark, root, lookup.window_dates(DATE)),):
         by_files = {(r["rse"], r["v"]) for r in lookup.latest_reports(rows_, DATE, index=index).collect()}
         assert by_files == {("B", "y")}
     assert lookup.window_dates(DATE, back=1, ahead=1) == ["2026-12-02", "2026-12-01", "2026-11-30"]

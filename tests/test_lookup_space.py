@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+import pytest
 from conftest import rows
 
 from dumpwise.operators import lookup
@@ -33,10 +34,35 @@ def test_latest_reports_window(spark):
 def test_report_slice(spark):
     day = (AS_OF - dt.timedelta(days=2)).isoformat()
     assert {r["v"] for r in rows(lookup.report_slice(_reports(spark), day, "C"))} == {5, 6}
-    assert {r["v"] for r in rows(lookup.report_slice(_reports(spark), day, "*"))} == {5, 6}
+    full = _reports(spark).selectExpr("date", "v * 10 as v")
+    assert {r["v"] for r in rows(lookup.report_slice(_reports(spark), day, "*", full=full))} == {50, 60}
+    with pytest.raises(ValueError):
+        lookup.report_slice(_reports(spark), day, "*")
     assert rows(lookup.report_slice(_reports(spark), day, "A")) == []
 
 
+def _incidents(spark):
+    rows_ = [("RSE_A", "2026-11-25", 1), ("RSE_B", "2026-11-30", 2), ("RSE_B", "2026-11-30", 3), ("RSE_C", "2026-10-01", 4)]
+    return spark.createDataFrame(rows_, "rse string, date string, v int")
+
+
+def test_newest_whole_report(spark):
+    """A whole report is looked up by date only: elements of an older one must not show up."""
+    index = spark.createDataFrame([("2026-11-25", None), ("2026-11-30", None)], "date string, rse string")
+    for extra in ({}, {"index": index}):
+        got = rows(lookup.latest_reports(_incidents(spark), AS_OF, rse_col=None, **extra))
+        assert {r["v"] for r in got} == {2, 3}
+    empty = spark.createDataFrame([("2026-11-30", None), ("2026-12-01", None)], "date string, rse string")
+    assert rows(lookup.latest_reports(_incidents(spark), AS_OF, rse_col=None, index=empty)) == []
+
+
+def test_full_listing_mark(spark):
+    full = spark.createDataFrame([("2026-11-29", "x"), ("2026-11-30", "y")], "date string, name string")
+    assert [r["name"] for r in rows(lookup.latest_reports(_reports(spark), AS_OF, rse="*", full=full))] == ["y"]
+    with pytest.raises(ValueError):
+        lookup.latest_reports(_reports(spark), AS_OF, rse="*")
+
+
 def _token(**over):
     v = {"status": "online", "status_message": "fine", "total_space": 50, "used_space": 12, "num_files": 3,
          "time_stamp": 1447936989, "list_of_paths": ["/a/"]}
@@ -79,7 +105,9 @@ def test_violations(spark):
         (json.dumps({"A": _token(list_of_paths=["x", 1])}), {("A", "item_type_list_of_paths")}),
         (json.dumps({"A": _token(list_of_paths=[None])}), {("A", "item_type_list_of_paths")}),
         (json.dumps({"A": _token(used_space=10**3, total_space=1)}), set()),
-        ('{"A": {}, "A": {}}', {(None, "invalid_json")}),
+        ('{"A": 1, "A": ' + json.dumps(_token()) + '}', set()),
+        (json.dumps({"A": _token(total_space=2**63 - 1)}), set()),
+        (json.dumps({"A": _token(total_space=2**63, used_space=-10**20)}), {("A", "range_total_space"), ("A", "range_used_space")}),
         (json.dumps({"A": _token(status=None)}), {("A", "type_status"), ("A", "enum_status")}),
     ]
     out = rows(space_usage_violations(_docs(spark, [c[0] for c in cases])))
