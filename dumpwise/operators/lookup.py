@@ -53,8 +53,9 @@ def latest_reports(reports: DataFrame, as_of: dt.date | str, back: int = DEFAULT
     read) decides which reports exist from the files on disk, so a newest
     report that is empty wins (and yields no rows) as in the original lookup;
     without it a report exists when it has rows. With an index the rows of
-    other dates and elements are pruned by directory and none is shuffled: the
-    newest dates are a small table, broadcast behind its size check.
+    dates that are no element's newest are pruned by directory, those of other
+    elements too if ``rse`` is given, and no row is shuffled: the newest dates
+    are a small table, broadcast behind its size check.
     """
     if _wants_full(rse):
         if full is None:
@@ -72,8 +73,12 @@ def latest_reports(reports: DataFrame, as_of: dt.date | str, back: int = DEFAULT
     if rse_col is None or rse is not None:
         return window.filter(_date_col(window, date_col) == known.agg(F.max(_date_col(known, date_col))).scalar())
     newest = known.groupBy(F.col(rse_col).alias("_rse_of")).agg(F.max(_date_col(known, date_col)).alias("_newest"))
-    if index is not None and fits(newest):
-        newest = F.broadcast(newest)
+    if index is not None:
+        if fits(newest):
+            newest = F.broadcast(newest)
+        # at most one value per day of the window: a static partition filter
+        dates = [r[0] for r in newest.select("_newest").distinct().collect()]
+        window = window.filter(_date_col(window, date_col).isin(dates))
     keys = (F.col(rse_col) == F.col("_rse_of")) & (_date_col(window, date_col) == F.col("_newest"))
     return window.join(newest, keys, "left_semi")
 

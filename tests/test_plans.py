@@ -86,3 +86,25 @@ def test_single_file_sink_keeps_upstream_parallel(spark, t, tmp_path):
     assert "Exchange SinglePartition" in _plan(out) or "RoundRobinPartitioning(1)" in _plan(out)
     write_single_file(df, str(tmp_path / "one"))
     assert len([p for p in (tmp_path / "one").iterdir() if p.name.startswith("part-")]) == 1
+
+
+def test_report_lookup_prunes_directories_and_shuffles_no_rows(spark, scratch):
+    from dumpwise.operators import lookup
+    from dumpwise.sources.reports import existing_reports, read_dated_reports
+
+    root = f"{scratch}/lookup"
+    rows = [("2026-11-20", "A", 1), ("2026-11-30", "A", 2), ("2026-11-30", "B", 3), ("2026-12-01", "B", 4)]
+    spark.createDataFrame(rows, "date string, rse string, v int").write.partitionBy("date", "rse").csv(root, sep="\t")
+    reports = read_dated_reports(spark, root, "v int")
+    index = existing_reports(spark, root, lookup.window_dates("2026-12-01"))
+    every = lookup.latest_reports(reports, "2026-12-01", index=index)
+    one = lookup.latest_reports(reports, "2026-12-01", rse="A", index=index)
+    assert sorted(r["v"] for r in every.collect()) == [2, 4] and [r["v"] for r in one.collect()] == [2]
+    for df, partition in ((every, "date"), (one, "rse")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        scan = next(line for line in plan.splitlines() if "FileScan" in line)
+        filters = scan[scan.index("PartitionFilters"):]
+        assert partition in filters and "date" in filters
+        # only the small table of newest dates may be exchanged, never the scanned report rows
+        above = plan[: plan.index("FileScan")].splitlines()[-6:]
+        assert not any("Exchange" in line for line in above), plan
