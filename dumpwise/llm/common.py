@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +38,20 @@ def byte_column(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     return batch.column(batch.schema.get_field_index(name)).cast(pa.large_binary()).to_pylist()
 
 
+def drained(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` for mapInArrow that hands its output over only after all input of the partition is read.
+
+    A worker that writes much while much input waits in its socket can stall for
+    good when both directions fill up. For steps whose output is of the order of
+    a partition: it is held in memory until then.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from list(work(batches))
+
+    return run
+
+
 # Separators become a space and A-Z lower case, so that split() yields the words
 # [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ of the lower-cased text; bytes from 0x80 on stay.
 WORD_TABLE = bytes(

@@ -26,7 +26,8 @@ As Spark jobs:
 
 Nothing that grows with the corpus is broadcast or collected.
 
-Words are keyed by 128 bits of hash, part of it the bucket. Cases: null text is
+Words are keyed by 64 bits of hash: among 10**10 distinct words a few pairs may
+share a count. Cases: null text is
 empty (one end token); without training rows all counts are 0 and every bit has
 probability 1/2; repeated rows count repeatedly; an empty table gives no rows;
 extra columns are ignored. Texts are read whole.
@@ -35,21 +36,22 @@ extra columns are ignored. Texts are read whole.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dumpwise.llm.common import byte_column, mix64, partitions, staged
+from dumpwise.llm.common import byte_column, drained, mix64, partitions, staged
+from dumpwise.llm.wordhash import word_hashes
 
 DEPTH = 5
 FIRST, PAIR, TRIPLE = 8 * DEPTH, 8 * (DEPTH - 1), 8 * (DEPTH - 2)  # where a window's key holds its last one, two, three context bytes
 END = 0xFF  # no byte of UTF-8
-END_WORD = b" end"  # holds a space, as no word does
+END_KEY = -0x61C8864680B583EB  # the end token among the word keys
+SPACES = b" \t\n\r\x0b\x0c"
+SPACE_TABLE = bytes(0x20 if c in SPACES else c for c in range(256))
 BLOCK_BYTES = 16 << 20
 SLICE = 1 << 20
 MODEL_ROWS = 100_000
@@ -61,22 +63,31 @@ ANSWER = "block long, kind string, keys array<long>, n array<long>, lp array<dou
 
 # --- words and windows of texts
 
-def word_pieces(text: bytes) -> Iterator[list[bytes]]:
-    """The words of a lower-cased text, a few megabytes at a time, never cutting a word."""
-    at = 0
-    while len(text) - at > 2 * SLICE:
-        cut = at + SLICE
-        while cut < len(text) and text[cut] not in b" \t\n\r\x0b\x0c":
-            cut += 1
-        yield text[at:cut].split()
-        at = cut
-    yield text[at:].split()
+def pieces(texts: list[bytes]) -> Iterator[list[tuple[int, bytes]]]:
+    """Runs of about SLICE bytes of (index, text); a longer text comes in pieces that never cut a word."""
+    held: list[tuple[int, bytes]] = []
+    size = 0
+    for i, text in enumerate(texts):
+        at = 0
+        while at < len(text):
+            cut = min(len(text), at + SLICE)
+            while cut < len(text) and text[cut] not in SPACES:
+                cut += 1
+            held.append((i, text[at:cut]))
+            size += cut - at
+            at = cut
+            if size >= SLICE:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
 
 
-def word_keys(found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(key, bucket seed) of words: the two halves of a 128-bit hash."""
-    halves = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, found)), ">u8").reshape(-1, 2).astype(np.uint64)
-    return halves[:, 0].view(np.int64), halves[:, 1]
+def word_keys(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(word keys, index of their text) in runs; a key is a 64-bit hash of the word."""
+    for run in pieces(texts):
+        hashes, counts = word_hashes([b for _, b in run], SPACE_TABLE)
+        yield hashes.view(np.int64), np.repeat(np.array([i for i, _ in run]), counts)
 
 
 def windows(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -272,7 +283,7 @@ def _pair_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], *map(pa.array, pair_nodes(zeros, ones, product))], names=["place", "zeros", "ones", "stop", "one", "pw"])
 
 
-def gram_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+def hash_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     return (mix64(keys.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
 
@@ -335,21 +346,21 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
                 yield from zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), byte_column(batch, "text"))
 
         def report(block: int, texts: list[bytes], learned: list[bool]) -> Iterator[pa.RecordBatch]:
-            counter: Counter[bytes] = Counter()
-            others: set[bytes] = set()
-            for text, train in zip(texts, learned):
-                for found in word_pieces(text):
-                    counter.update(found) if train else others.update(found)
-            counter[END_WORD] = sum(learned)
-            others.difference_update(counter)
-            found = [*counter, *others]
-            counts = np.fromiter((counter[w] for w in found), np.int64, len(found)) if found else np.zeros(0, np.int64)
-            keys, seeds = word_keys(found)
-            for bucket, k, c in _by_bucket((seeds % np.uint64(buckets)).astype(np.int64), keys, counts):
+            mine = np.array(learned)
+            unique: dict[bool, list[np.ndarray]] = {True: [], False: []}
+            counted: dict[bool, list[np.ndarray]] = {True: [], False: []}
+            for keys, owner in word_keys(texts):
+                train = mine[owner]
+                for side, part in ((True, keys[train]), (False, keys[~train])):
+                    found, n_found = np.unique(part, return_counts=True)
+                    unique[side].append(found)
+                    counted[side].append(n_found if side else np.zeros(len(found), np.int64))
+            ends = np.array([END_KEY]), np.array([sum(learned)])
+            keys, counts = add_up([*unique[True], *unique[False], ends[0]], [*counted[True], *counted[False], ends[1]])
+            for bucket, k, c in _by_bucket(hash_bucket(keys, buckets), keys, counts):
                 yield _one("kind bucket block keys counts", "w", bucket, block, k, c)
-            del counter, others, found
             keys, counts = distinct_windows(texts, learned)
-            for bucket, k, c in _by_bucket(gram_bucket(keys, buckets), keys, counts):
+            for bucket, k, c in _by_bucket(hash_bucket(keys, buckets), keys, counts):
                 yield _one("kind bucket block keys counts", "g", bucket, block, k, c)
 
         current, texts, learned = None, [], []
@@ -364,7 +375,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
             yield from report(current, texts, learned)
 
     dealt = rows.select("doc_id", "block", "held_out", "text").repartition(n, "block").sortWithinPartitions("block")
-    asked = staged(dealt.mapInArrow(tally, TALLY), "tree-tally")
+    asked = staged(dealt.mapInArrow(drained(tally), TALLY), "tree-tally")
 
     def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, held in _runs(batches, "bucket", ("keys", "counts")):
@@ -374,7 +385,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
                 yield _one("block kind keys n lp", r["block"], "w", r["keys"], sums[np.searchsorted(unique, r["keys"])], np.zeros(0))
 
     by_bucket = lambda df, *more: df.repartition(n, "bucket").sortWithinPartitions("bucket", *more)
-    words_answer = staged(by_bucket(asked.where("kind = 'w'")).mapInArrow(word_counts, ANSWER), "tree-words")
+    words_answer = staged(by_bucket(asked.where("kind = 'w'")).mapInArrow(drained(word_counts), ANSWER), "tree-words")
     sums = words_answer.where("block = -1").agg(F.sum(F.col("n")[0]), F.sum(F.col("n")[1])).first()
     train_tokens, vocabulary = sums[0] or 0, sums[1] or 0
 
@@ -418,14 +429,14 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
                 stop2, one2 = both[where, 0, path], both[where, 1, path]
                 p = stop2 * np.where(bit == 1, one2, 1 - one2) + (1 - stop2) * p
                 lp += np.log(upper.value.mixed(keys >> FIRST, path, bit, p))
-            for bucket, k, x in _by_bucket(gram_bucket(keys, buckets), keys, lp):
+            for bucket, k, x in _by_bucket(hash_bucket(keys, buckets), keys, lp):
                 yield _one("bucket block keys lp", bucket, -1, k, x)
 
     # a pair's node rows sort before its windows
     double = F.expr("0.0D")
     node_rows = nodes.select(F.shiftright("place", 8).alias("pair"), (F.col("place") % 256 - 256).alias("key"), F.expr("0L").alias("n"), "stop", "one")
     together = node_rows.unionByName(counted.select(pair, "key", "n", double.alias("stop"), double.alias("one"))).repartition(n, "pair").sortWithinPartitions("pair", "key")
-    model = together.mapInArrow(window_scores, "bucket long, block long, keys array<long>, lp array<double>")
+    model = together.mapInArrow(drained(window_scores), "bucket long, block long, keys array<long>, lp array<double>")
     questions = asked.where("kind = 'g'").select("bucket", "block", "keys", F.expr("cast(array() as array<double>)").alias("lp"))
 
     def window_answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -438,7 +449,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
                 if r["block"] >= 0:
                     yield _one("block kind keys n lp", r["block"], "g", r["keys"], np.zeros(0, np.int64), lp[np.searchsorted(keys, r["keys"])])
 
-    windows_answer = by_bucket(model.unionByName(questions), "block").mapInArrow(window_answers, ANSWER)
+    windows_answer = by_bucket(model.unionByName(questions), "block").mapInArrow(drained(window_answers), ANSWER)
     answers = words_answer.where("block >= 0").unionByName(windows_answer)
     blank = lambda kind: F.expr(f"cast(null as {kind})")
     lists = F.expr("cast(array() as array<long>)")
@@ -454,24 +465,12 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     )
 
 
-class _WordCounts(dict):
-    """log10(count + 1) by word, looked up by hash at a word's first use."""
+class _Table:
+    """Values by key: a table of one entry per hash slot, binary search for the displaced."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        self.counts = dict(zip(keys.tolist(), counts.tolist()))
-
-    def __missing__(self, word: bytes) -> int:
-        n = self.counts[int.from_bytes(xxhash.xxh3_128_digest(word)[:8], "big", signed=True)]
-        self[word] = n
-        return n
-
-
-class _Windows:
-    """Log probabilities by window: a table of one entry per hash slot, binary search for the displaced."""
-
-    def __init__(self, keys: np.ndarray, lp: np.ndarray):
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
         order = np.argsort(keys)
-        self.keys, self.lp = keys[order], lp[order]
+        self.keys, self.values = keys[order], values[order]
         self.shift = np.uint64(64 - max(8, int(len(keys) * 8).bit_length()))
         self.slots = np.zeros(1 << (64 - int(self.shift)), np.int32)
         self.slots[self._slot(self.keys)] = np.arange(len(keys), dtype=np.int32)
@@ -483,18 +482,13 @@ class _Windows:
         at = self.slots[self._slot(keys)]
         wrong = np.flatnonzero(self.keys[at] != keys)
         at[wrong] = np.searchsorted(self.keys, keys[wrong])
-        return self.lp[at]
+        return self.values[at]
 
 
 def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Score the documents of each block from the answers sorted before them."""
-    logs = np.log10(np.arange(1, 4097)).tolist()
-
-    def log_count(n: int) -> float:
-        return logs[n] if n < 4096 else math.log10(n + 1)
-
     block, parts = None, {"w": [], "g": []}
-    tables: tuple[_WordCounts, _Windows] | None = None
+    tables: tuple[_Table, _Table] | None = None
     for batch in batches:
         column = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
         blocks, kinds = column["block"].to_pylist(), column["kind"].to_pylist()
@@ -506,21 +500,20 @@ def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> pa.RecordBatch:
             words, window = tables
             lower = [(texts[i] or b"").lower() for i in run]
-            n_tokens, n_known, log_counts = [], [], []
-            for text in lower:
-                found = [words[END_WORD]]
-                for piece in word_pieces(text):
-                    found.extend(map(words.__getitem__, piece))
-                n_tokens.append(len(found))
-                n_known.append(len(found) - found.count(0))
-                log_counts.append(math.fsum(map(log_count, found)))
-            total = np.zeros(len(run))
+            end = words(np.array([END_KEY]))[0]
+            n_tokens, n_known = np.ones(len(run), np.int64), np.full(len(run), int(end > 0))
+            log_counts, total = np.full(len(run), end), np.zeros(len(run))
+            for keys, owner in word_keys(lower):
+                logs = words(keys)
+                n_tokens += np.bincount(owner, minlength=len(run))
+                n_known += np.bincount(owner[logs > 0], minlength=len(run))
+                log_counts += np.bincount(owner, logs, len(run))
             for codes, owner in windows(lower):
                 total += np.bincount(owner, window(codes), len(run))
             at = pa.array(run)
             return pa.RecordBatch.from_arrays(
-                [column["doc_id"].take(at), column["held_out"].take(at), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array([len(x) for x in lower], pa.int64()),
-                 pa.array(log_counts, pa.float64()), pa.array(total / LN10)],
+                [column["doc_id"].take(at), column["held_out"].take(at), pa.array(n_tokens), pa.array(n_known), pa.array([len(x) for x in lower], pa.int64()),
+                 pa.array(log_counts), pa.array(total / LN10)],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "n_bytes", "log_counts", "score"],
             )
 
@@ -535,7 +528,7 @@ def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             if tables is None:
                 cat = lambda kind, k: np.concatenate([p[k] for p in parts[kind]])
-                tables = _WordCounts(cat("w", 0), cat("w", 1)), _Windows(cat("g", 0), cat("g", 1))
+                tables = _Table(cat("w", 0), np.log10(cat("w", 1) + 1)), _Table(cat("g", 0), cat("g", 1))
                 parts = {"w": [], "g": []}
             run.append(i)
             size += len(texts[i] or b"")

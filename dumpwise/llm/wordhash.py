@@ -21,13 +21,15 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes | None], table: bytes = WORD_TABLE) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of all texts, and how many words each text has.
 
+    ``table`` translates bytes first; words are what stands between spaces then.
+
     A word's hash is a difference of prefix sums of bytes weighted by powers of
     an odd base, brought to a common place by the inverse power, then mixed.
     """
-    cut = [t.translate(WORD_TABLE) if t else b"" for t in texts]
+    cut = [t.translate(table) if t else b"" for t in texts]
     data = np.frombuffer(b" " + b" ".join(cut) + b" ", np.uint8)
     ends_of_texts = np.cumsum([len(c) + 1 for c in cut])
     inside = data != 0x20
