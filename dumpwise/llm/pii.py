@@ -46,6 +46,11 @@ WORTH = r"[0-9@\"]"
 DAY_ONE, DAY_LEFT, DAY_RIGHT = "1900-01-01", 17, 4297  # 73,049 days: 1900-01-01 to 2099-12-31
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, with ``value`` computed once however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _keyed(key: str, *parts: Column) -> Column:
     """A 60-bit keyed hash as a long."""
     joined = F.concat_ws("|", F.lit(key), *[p.cast("string") for p in parts])
@@ -57,11 +62,11 @@ def feistel(l: Column, r: Column, a: Column, b: Column, key: str, tweak: Column)
     first = F.struct(l.cast("long").alias("l"), r.cast("long").alias("r"))
 
     def turn(acc: Column, i: Column) -> Column:
-        half = F.when(i % 2 == 0, acc["r"]).otherwise(acc["l"])
-        mixed = _keyed(key, tweak, i, half)
+        left_turn = i % 2 == 0
+        mixed = _keyed(key, tweak, i, F.when(left_turn, acc["r"]).otherwise(acc["l"]))
         return F.struct(
-            F.when(i % 2 == 0, (acc["l"] + mixed % a) % a).otherwise(acc["l"]).alias("l"),
-            F.when(i % 2 == 0, acc["r"]).otherwise((acc["r"] + mixed % b) % b).alias("r"),
+            F.when(left_turn, (acc["l"] + mixed % a) % a).otherwise(acc["l"]).alias("l"),
+            F.when(left_turn, acc["r"]).otherwise((acc["r"] + mixed % b) % b).alias("r"),
         )
 
     return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), first, turn)
@@ -73,11 +78,16 @@ def _power10(n: Column) -> Column:
 
 def permute_digits(digits: Column, key: str, kind: str) -> Column:
     """A digit string (1 to 30 digits) permuted among the strings of its length."""
-    n = F.length(digits)
-    u = F.floor(n / 2).cast("int")
-    left, right = F.substring(digits, F.lit(1), u), F.substring(digits, u + 1, n - u)
-    pair = feistel(F.coalesce(left.try_cast("long"), F.lit(0)), F.coalesce(right.try_cast("long"), F.lit(0)), _power10(u), _power10(n - u), key, F.concat(F.lit(kind), n.cast("string")))
-    return F.concat(F.when(u == 0, "").otherwise(F.lpad(pair["l"].cast("string"), u, "0")), F.lpad(pair["r"].cast("string"), n - u, "0"))
+
+    def permuted(d: Column) -> Column:
+        n = F.length(d)
+        u = F.floor(n / 2).cast("int")
+        left, right = F.substring(d, F.lit(1), u), F.substring(d, u + 1, n - u)
+        as_long = lambda c: F.coalesce(c.try_cast("long"), F.lit(0))
+        pair = feistel(as_long(left), as_long(right), _power10(u), _power10(n - u), key, F.concat(F.lit(kind), n.cast("string")))
+        return let(pair, lambda q: F.concat(F.when(u == 0, "").otherwise(F.lpad(q["l"].cast("string"), u, "0")), F.lpad(q["r"].cast("string"), n - u, "0")))
+
+    return let(digits, permuted)
 
 
 def _digits(m: Column) -> Column:
@@ -86,9 +96,14 @@ def _digits(m: Column) -> Column:
 
 def refill(m: Column, digits: Column) -> Column:
     """``m`` with its digits replaced, in order, by ``digits``."""
-    places = F.sequence(F.lit(1), F.length(m))
-    nth = lambda i: F.length(_digits(F.substring(m, F.lit(1), i)))
-    return F.array_join(F.transform(places, lambda i: F.when(F.rlike(F.substring(m, i, F.lit(1)), F.lit(r"\d")), F.substring(digits, nth(i), F.lit(1))).otherwise(F.substring(m, i, F.lit(1)))), "")
+
+    def filled(d: Column) -> Column:
+        nth = lambda i: F.length(_digits(F.substring(m, F.lit(1), i)))
+        one = lambda i: F.substring(m, i, F.lit(1))
+        written = lambda i: F.when(F.rlike(one(i), F.lit(r"\d")), F.substring(d, nth(i), F.lit(1))).otherwise(one(i))
+        return F.array_join(F.transform(F.sequence(F.lit(1), F.length(m)), written), "")
+
+    return let(digits, filled)
 
 
 def luhn_sum(digits: Column, double_last: bool) -> Column:
@@ -104,39 +119,49 @@ def luhn_sum(digits: Column, double_last: bool) -> Column:
 
 
 def _card(m: Column, key: str) -> Column:
-    digits = _digits(m)
-    payload = permute_digits(F.substring(digits, F.lit(1), F.length(digits) - 1), key, "card")
-    check = (10 - luhn_sum(payload, True) % 10) % 10
-    return F.when(luhn_sum(digits, False) % 10 == 0, refill(m, F.concat(payload, check.cast("string")))).otherwise(m)
+    def checked(payload: Column) -> Column:
+        return F.concat(payload, ((10 - luhn_sum(payload, True) % 10) % 10).cast("string"))
+
+    def moved(d: Column) -> Column:
+        new = let(permute_digits(F.substring(d, F.lit(1), F.length(d) - 1), key, "card"), checked)
+        return F.when(luhn_sum(d, False) % 10 == 0, refill(m, new)).otherwise(m)
+
+    return let(_digits(m), moved)
 
 
 def mod97(iban: Column) -> Column:
     """IBAN remainder: four characters moved to the end, letters as 10..35."""
-    moved = F.concat(F.substring(iban, F.lit(5), F.length(iban)), F.substring(iban, F.lit(1), F.lit(4)))
 
-    def add(acc: Column, i: Column) -> Column:
-        c = F.substring(moved, i, F.lit(1))
-        value = F.ascii(c) - F.when(F.rlike(c, F.lit(r"\d")), 48).otherwise(55)
-        return (acc * F.when(value > 9, 100).otherwise(10) + value) % 97
+    def remainder(moved: Column) -> Column:
+        def add(acc: Column, i: Column) -> Column:
+            c = F.substring(moved, i, F.lit(1))
+            value = F.ascii(c) - F.when(F.rlike(c, F.lit(r"\d")), 48).otherwise(55)
+            return (acc * F.when(value > 9, 100).otherwise(10) + value) % 97
+
+        return F.aggregate(F.sequence(F.lit(1), F.length(moved)), F.lit(0), add)
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(moved)), F.lit(0), add)
+    return let(F.concat(F.substring(iban, F.lit(5), F.length(iban)), F.substring(iban, F.lit(1), F.lit(4))), remainder)
 
 
 def _iban(m: Column, key: str) -> Column:
-    plain = F.replace(m, F.lit(" "), F.lit(""))
-    country, body = F.substring(plain, F.lit(1), F.lit(2)), F.substring(plain, F.lit(5), F.length(plain))
-    moved = refill(body, permute_digits(_digits(body), key, "iban"))
-    check = F.lpad((98 - mod97(F.concat(country, F.lit("00"), moved))).cast("string"), 2, "0")
-    value = F.concat(country, check, moved)
-    nth = lambda i: F.length(F.replace(F.substring(m, F.lit(1), i), F.lit(" "), F.lit("")))
-    spaced = F.array_join(F.transform(F.sequence(F.lit(1), F.length(m)), lambda i: F.when(F.substring(m, i, F.lit(1)) == " ", " ").otherwise(F.substring(value, nth(i), F.lit(1)))), "")
-    return F.when((mod97(plain) == 1) & F.rlike(body, F.lit(r"\d")), spaced).otherwise(m)
+    def moved(plain: Column) -> Column:
+        country, body = F.substring(plain, F.lit(1), F.lit(2)), F.substring(plain, F.lit(5), F.length(plain))
+        rechecked = lambda b: F.concat(country, F.lpad((98 - mod97(F.concat(country, F.lit("00"), b))).cast("string"), 2, "0"), b)
+        value = let(refill(body, permute_digits(_digits(body), key, "iban")), rechecked)
+        return F.when((mod97(plain) == 1) & F.rlike(body, F.lit(r"\d")), let(value, spaced)).otherwise(m)
+
+    def spaced(value: Column) -> Column:
+        nth = lambda i: F.length(F.replace(F.substring(m, F.lit(1), i), F.lit(" "), F.lit("")))
+        written = lambda i: F.when(F.substring(m, i, F.lit(1)) == " ", " ").otherwise(F.substring(value, nth(i), F.lit(1)))
+        return F.array_join(F.transform(F.sequence(F.lit(1), F.length(m)), written), "")
+
+    return let(F.replace(m, F.lit(" "), F.lit("")), moved)
 
 
 def _moved_day(day: Column, key: str, notation: str) -> Column:
     n = F.datediff(day, F.lit(DAY_ONE).cast("date")).cast("long")
     pair = feistel(F.floor(n / DAY_RIGHT).cast("long"), n % DAY_RIGHT, F.lit(DAY_LEFT).cast("long"), F.lit(DAY_RIGHT).cast("long"), key, F.lit(notation))
-    return F.date_add(F.lit(DAY_ONE).cast("date"), (pair["l"] * DAY_RIGHT + pair["r"]).cast("int"))
+    return let(pair, lambda q: F.date_add(F.lit(DAY_ONE).cast("date"), (q["l"] * DAY_RIGHT + q["r"]).cast("int")))
 
 
 def _iso_date(m: Column, key: str) -> Column:
@@ -152,8 +177,7 @@ def _day_date(m: Column, key: str) -> Column:
     day_first, month_first = iso(p[0], p[1]), iso(p[1], p[0])
 
     def write(day: Column, order: list[str], notation: str) -> Column:
-        moved = _moved_day(day, key, notation)
-        return F.concat_ws("", F.date_format(moved, order[0]), mark, F.date_format(moved, order[1]), mark, F.date_format(moved, "yyyy"))
+        return let(_moved_day(day, key, notation), lambda d: F.concat(F.date_format(d, order[0]), mark, F.date_format(d, order[1]), mark, F.date_format(d, "yyyy")))
 
     return F.when(day_first.isNotNull(), write(day_first, ["dd", "MM"], "date")).when(month_first.isNotNull(), write(month_first, ["MM", "dd"], "date")).otherwise(m)
 
@@ -163,8 +187,8 @@ def _ip(m: Column, key: str) -> Column:
     at = lambda i: p[i].cast("long")
     half = F.lit(65536).cast("long")
     pair = feistel(at(0) * 256 + at(1), at(2) * 256 + at(3), half, half, key, F.lit("ip"))
-    dots = [F.floor(pair["l"] / 256), pair["l"] % 256, F.floor(pair["r"] / 256), pair["r"] % 256]
-    return F.concat_ws(".", *[d.cast("long").cast("string") for d in dots])
+    dots = lambda q: [F.floor(q["l"] / 256), q["l"] % 256, F.floor(q["r"] / 256), q["r"] % 256]
+    return let(pair, lambda q: F.concat_ws(".", *[d.cast("long").cast("string") for d in dots(q)]))
 
 
 def _ssn(m: Column, key: str) -> Column:
@@ -172,20 +196,22 @@ def _ssn(m: Column, key: str) -> Column:
     area, group, serial = p[0].cast("long"), p[1].cast("long"), p[2].cast("long")
     rank = area - 1 - F.when(area > 666, 1).otherwise(0)  # 898 areas, without 666
     pair = feistel(rank, (group - 1) * 9999 + serial - 1, F.lit(898).cast("long"), F.lit(99 * 9999).cast("long"), key, F.lit("ssn"))
-    new_area = pair["l"] + 1 + F.when(pair["l"] + 1 >= 666, 1).otherwise(0)
     pad = lambda c, n: F.lpad(c.cast("long").cast("string"), n, "0")
-    return F.concat_ws("-", pad(new_area, 3), pad(F.floor(pair["r"] / 9999) + 1, 2), pad(pair["r"] % 9999 + 1, 4))
+    area_of = lambda q: q["l"] + 1 + F.when(q["l"] + 1 >= 666, 1).otherwise(0)
+    return let(pair, lambda q: F.concat_ws("-", pad(area_of(q), 3), pad(F.floor(q["r"] / 9999) + 1, 2), pad(q["r"] % 9999 + 1, 4)))
 
 
 def _phone(m: Column, key: str) -> Column:
     """Ten-digit plan numbers (area and exchange 200-999) stay in their plan; other numbers keep their country code."""
     country = F.when(F.startswith(m, F.lit("+")), F.regexp_extract(m, r"^\+(\d{1,3})", 1)).otherwise("")
-    digits = F.substring(_digits(m), F.length(country) + 1, F.length(m))
-    plan = F.rlike(digits, F.lit(r"^[2-9]\d\d[2-9]\d{6}$"))
-    area, rest = F.substring(digits, 1, 3).cast("long") - 200, F.substring(digits, 4, 7).cast("long") - 2_000_000
-    pair = feistel(F.when(plan, area).otherwise(0), F.when(plan, rest).otherwise(0), F.lit(800).cast("long"), F.lit(8_000_000).cast("long"), key, F.lit("phone"))
-    new = F.when(plan, F.concat((pair["l"] + 200).cast("string"), (pair["r"] + 2_000_000).cast("string"))).otherwise(permute_digits(F.when(plan, "0").otherwise(digits), key, "phone"))
-    return refill(m, F.concat(country, new))
+
+    def moved(d: Column) -> Column:
+        area, rest = F.substring(d, 1, 3).cast("long") - 200, F.substring(d, 4, 7).cast("long") - 2_000_000
+        pair = feistel(area, rest, F.lit(800).cast("long"), F.lit(8_000_000).cast("long"), key, F.lit("phone"))
+        in_plan = let(pair, lambda q: F.concat((q["l"] + 200).cast("string"), (q["r"] + 2_000_000).cast("string")))
+        return F.when(F.rlike(d, F.lit(r"^[2-9]\d\d[2-9]\d{6}$")), in_plan).otherwise(permute_digits(d, key, "phone"))
+
+    return let(country, lambda c: refill(m, F.concat(c, let(F.substring(_digits(m), F.length(c) + 1, F.length(m)), moved))))
 
 
 def _email(m: Column, key: str) -> Column:
@@ -214,12 +240,17 @@ def pseudonym(m: Column, key: str) -> Column:
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: str | None = "n_pseudonyms") -> DataFrame:
     """``docs`` with the personal values of ``text_col`` replaced and, unless None, their number added."""
     text = F.col(text_col)
-    candidates = F.when(F.rlike(text, F.lit(WORTH)), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    written = F.transform(F.col("_found"), lambda m: pseudonym(m, key))
-    pieces = F.split(text, ANY, -1)
-    joined = F.array_join(F.zip_with(pieces, F.col("_new"), lambda p, m: F.concat(p, F.coalesce(m, F.lit("")))), "")
-    changed = F.size(F.filter(F.zip_with(F.col("_found"), F.col("_new"), lambda a, b: a != b), lambda x: x))
-    out = docs.withColumn("_found", candidates).withColumn("_new", written)
+
+    def joined(found: Column) -> Column:
+        return let(F.transform(found, lambda m: pseudonym(m, key)), lambda new: F.struct(
+            F.array_join(F.zip_with(F.split(text, ANY, -1), new, lambda p, m: F.concat(p, F.coalesce(m, F.lit("")))), "").alias("text"),
+            F.size(F.filter(F.zip_with(found, new, lambda a, b: a != b), lambda x: x)).alias("n"),
+        ))
+
+    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
+    changed = F.when(F.rlike(text, F.lit(WORTH)), let(found, lambda f: F.when(F.size(f) > 0, joined(f))))
+    spare = "_" * (1 + max(map(len, docs.columns)))  # a name that no column has
+    out = docs.withColumn(spare, changed)
     if count_col:
-        out = out.withColumn(count_col, F.when(text.isNull(), 0).otherwise(changed).cast("long"))
-    return out.withColumn(text_col, F.when(F.size("_found") > 0, joined).otherwise(text)).drop("_found", "_new")
+        out = out.withColumn(count_col, F.coalesce(F.col(spare)["n"], F.lit(0)).cast("long"))
+    return out.withColumn(text_col, F.coalesce(F.col(spare)["text"], text)).drop(spare)
