@@ -35,7 +35,7 @@ from dumpwise.llm.common import staged
 CAP = 3
 TOLERANCE = 1e-9
 ITERATIONS = 60  # Newton needs about 8; the bracket halves otherwise
-SALT_ROWS = 50_000
+SALT_ROWS = 1_000
 SMALL_BYTES = 8 << 20  # per-source tables are broadcast up to this size
 WORD = r"[^\x20\x09-\x0D]+"
 
