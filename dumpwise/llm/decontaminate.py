@@ -34,7 +34,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dumpwise.llm.common import byte_column, mix64, words
@@ -44,7 +44,9 @@ SHINGLE = 5
 BLOCK_BYTES = 4 << 20
 BATCH_WORDS = 1 << 20  # documents are matched in runs of about so many words
 
-MARKED = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+MARK = "struct<n_words: long, n_hit: long, n_items: long, items_sha256: string, contaminated: boolean>"
+_MARK_TYPE = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_())])
+FOUND = "struct<spans: array<struct<a: long, b: long>>, items: array<string>>"
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -155,30 +157,30 @@ def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return x[begin], begin, np.append(begin[1:], len(x))
 
 
-def _document_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, int, list[list[bytes]]]]:
-    """Slices of the batches that hold about ``BATCH_WORDS`` words, with their words."""
-    for batch in batches:
-        texts = byte_column(batch, "text")
-        first, held, size = 0, [], 0
-        for i, text in enumerate(texts):
-            held.append(words(text))
-            size += len(held[-1]) + 1
-            if size >= BATCH_WORDS or i == len(texts) - 1:
-                yield batch, first, i + 1, held
-                first, held, size = i + 1, [], 0
+def _document_runs(column: pa.Array) -> Iterator[tuple[int, int, list[list[bytes]]]]:
+    """Slices (first, end) of a text column that hold about ``BATCH_WORDS`` words, with their words."""
+    texts = column.cast(pa.large_binary()).to_pylist()
+    first, held, size = 0, [], 0
+    for i, text in enumerate(texts):
+        held.append(words(text))
+        size += len(held[-1]) + 1
+        if size >= BATCH_WORDS or i == len(texts) - 1:
+            yield first, i + 1, held
+            first, held, size = i + 1, [], 0
 
 
 def _count(batches: Iterator[pa.RecordBatch], index) -> Iterator[pa.RecordBatch]:
     block: BlockIndex = index.value
     totals = {size: np.zeros(len(s), np.int64) for size, s in block.shingles.items()}
-    for _, _, _, held in _document_runs(batches):
-        ids, _ = block.word_ids(held)
-        for size, shingles in block.shingles.items():
-            codes = _shingle_codes(ids, size)
-            codes = codes[codes != 0]
-            where = np.searchsorted(shingles, codes)
-            where[where == len(shingles)] = 0
-            totals[size] += np.bincount(where[shingles[where] == codes], minlength=len(shingles)) if len(codes) else 0
+    for batch in batches:
+        for _, _, held in _document_runs(batch.column(0)):
+            ids, _ = block.word_ids(held)
+            for size, shingles in block.shingles.items():
+                codes = _shingle_codes(ids, size)
+                codes = codes[codes != 0]
+                where = np.searchsorted(shingles, codes)
+                where[where == len(shingles)] = 0
+                totals[size] += np.bincount(where[shingles[where] == codes], minlength=len(shingles)) if len(codes) else 0
     for size, total in totals.items():
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
@@ -197,62 +199,59 @@ def _merge(spans: list[tuple[int, int]]) -> list[list[int]]:
     return out
 
 
-def _mark(batches: Iterator[pa.RecordBatch], index, last: bool) -> Iterator[pa.RecordBatch]:
-    """Add one block's spans and items to the rows; ``last`` turns them into the result."""
-    block: BlockIndex = index.value
-    for batch, first, end, held in _document_runs(batches):
-        rows = batch.slice(first, end - first)
-        ids, starts = block.word_ids(held)
-        spans = [[(s["a"], s["b"]) for s in x] for x in rows.column(2).to_pylist()]
-        items = [set(x) for x in rows.column(3).to_pylist()]
-        for window, at in block.matches(ids):
-            size = len(block.grams[window])
-            docs = np.searchsorted(starts, at, side="right") - 1
-            for d, a in zip(docs.tolist(), (at - starts[docs]).tolist()):
-                spans[d].append((a, a + size))
-                items[d].update(block.items[window])
-        spans = [_merge(s) for s in spans]
-        if last:
-            hits = [sum(b - a for a, b in s) for s in spans]
-            result = {
-                "doc_id": rows.column(0), "n_words": pa.array([len(w) for w in held], pa.int64()), "n_hit": pa.array(hits, pa.int64()), "n_items": pa.array([len(i) for i in items], pa.int64()),
-                "items_sha256": pa.array([hashlib.sha256(",".join(sorted(i)).encode()).hexdigest() for i in items]), "contaminated": pa.array([h > 0 for h in hits]),
-            }
-        else:
-            spans_type, items_type = rows.schema.field(2).type, rows.schema.field(3).type
-            result = {"doc_id": rows.column(0), "text": rows.column(1), "spans": pa.array([[{"a": a, "b": b} for a, b in s] for s in spans], spans_type), "items": pa.array([sorted(i) for i in items], items_type)}
-        carried = {rows.schema.names[k]: rows.column(k) for k in range(4, rows.num_columns)}
-        yield pa.RecordBatch.from_pydict(result | carried)
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                  item_text_col: str = "text", block_bytes: int = BLOCK_BYTES, carry: bool = False) -> DataFrame:
-    """Per document: words, words inside benchmark windows, items met and their digest.
-
-    ``carry`` adds the document's whole row as struct ``row``, so that a filter needs no join.
-    """
+def _mark(index, last: bool):
+    """A column function: one block's spans and items added to those found so far; ``last`` digests them."""
+
+    @F.arrow_udf(MARK if last else FOUND)
+    def mark(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        block: BlockIndex = index.value
+        for texts, before in batches:
+            out: list[dict] = []
+            for first, end, held in _document_runs(texts):
+                ids, starts = block.word_ids(held)
+                found = before.slice(first, end - first).to_pylist()
+                spans = [[(s["a"], s["b"]) for s in x["spans"]] for x in found]
+                items = [set(x["items"]) for x in found]
+                for window, at in block.matches(ids):
+                    size = len(block.grams[window])
+                    docs = np.searchsorted(starts, at, side="right") - 1
+                    for d, a in zip(docs.tolist(), (at - starts[docs]).tolist()):
+                        spans[d].append((a, a + size))
+                        items[d].update(block.items[window])
+                for text, s, i in zip(held, map(_merge, spans), items):
+                    hit = sum(b - a for a, b in s)
+                    digest = hashlib.sha256(",".join(sorted(i)).encode()).hexdigest()
+                    out.append({"n_words": len(text), "n_hit": hit, "n_items": len(i), "items_sha256": digest, "contaminated": hit > 0} if last else
+                               {"spans": [{"a": a, "b": b} for a, b in s], "items": sorted(i)})
+            yield pa.array(out, _MARK_TYPE if last else before.type)
+
+    return mark
+
+
+def contamination_mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+                       block_bytes: int = BLOCK_BYTES) -> Column:
+    """A struct column over ``docs``: n_words, n_hit, n_items, items_sha256, contaminated."""
     spark = docs.sparkSession
     windows = item_windows(benchmark, item_col, item_text_col)
     total = windows.agg(F.sum(F.octet_length("window") + F.octet_length("item") + 32)).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     block_of = F.pmod(F.xxhash64("window"), F.lit(blocks))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    no_spans = F.expr("cast(array() as array<struct<a: long, b: long>>)").alias("spans"), F.expr("cast(array() as array<string>)").alias("items")
-    marked = rows.select("*", *no_spans)
-    more = ""
-    if carry:
-        marked = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).select("doc_id", "text", *no_spans, "row")
-        more = f", row {marked.schema['row'].dataType.simpleString()}"
+    text = F.col(text_col).cast("string")
+    found = F.expr(f"cast(named_struct('spans', array(), 'items', array()) as {FOUND})")
     for b in range(blocks):
         # at most about block_bytes of window text by the cut above; a hot window's items are part of its block
         held = windows.where(block_of == b).collect() if total else []
         index = BlockIndex([(r["item"], bytes(r["window"])) for r in held])
         if index.windows:
             shared = spark.sparkContext.broadcast(index)
-            counted = rows.mapInArrow(partial(_count, index=shared), "size int, code long, n long").groupBy("size", "code").agg(F.sum("n").alias("n"))
+            counted = docs.select(text.alias("text")).mapInArrow(partial(_count, index=shared), "size int, code long, n long").groupBy("size", "code").agg(F.sum("n").alias("n"))
             # bounded by the block's own shingles
             index.order({(r["size"], r["code"] & (2**64 - 1)): r["n"] for r in counted.collect()})
-        last = b == blocks - 1
-        schema = MARKED if last else "doc_id long, text string, spans array<struct<a: long, b: long>>, items array<string>"
-        marked = marked.mapInArrow(partial(_mark, index=spark.sparkContext.broadcast(index), last=last), schema + more)
-    return marked
+        found = _mark(spark.sparkContext.broadcast(index), last=b == blocks - 1)(text, found)
+    return found
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Per document: words, words inside benchmark windows, items met and their digest."""
+    mark = contamination_mark(docs, benchmark, text_col, **options)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), mark.alias("mark")).select("doc_id", "mark.*")

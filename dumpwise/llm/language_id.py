@@ -32,9 +32,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from dumpwise.llm.common import mix64, staged
 
@@ -177,40 +176,37 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     return Model(languages, table, fill**K)
 
 
-def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` (0 to 1); one narrow pass."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.schema
-    at = schema.fieldNames().index(text_col)
-
-    def decide(texts: list[str | None], m: Model) -> tuple[list[str], list[float]]:
-        data = [prepared(t) if t else b"" for t in texts]
-        starts = np.concatenate([[0], np.cumsum([len(d) for d in data])[:-1]]).astype(np.int64)
-        codes = gram_codes(np.frombuffer(b"".join(data) + b" " * (N - 1), np.uint8))
-        grams = np.diff(np.concatenate([[0], np.cumsum(codes != 0)])[np.append(starts, len(codes))])
-        found = m.hits(codes, starts) if len(codes) and m.languages else np.zeros((len(texts), max(1, len(m.languages))))
-        true = np.clip((found - grams[:, None] * m.false_rate) / (1 - m.false_rate), 0, None) if m.languages else found
-        best = true.argmax(axis=1)
-        share = true[np.arange(len(texts)), best] / np.maximum(grams, 1)
-        known = [bool(t) and bool(m.languages) and LETTER.search(t) is not None for t in texts]
-        return [m.languages[b] if k else "und" for b, k in zip(best, known)], [float(min(1.0, s)) if k else 0.0 for s, k in zip(share, known)]
-
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for batch in batches:
+def decide(texts: list[str | None], m: Model) -> tuple[list[str], list[float]]:
+    """Language and score of each text."""
+    data = [prepared(t) if t else b"" for t in texts]
+    starts = np.concatenate([[0], np.cumsum([len(d) for d in data])[:-1]]).astype(np.int64)
+    codes = gram_codes(np.frombuffer(b"".join(data) + b" " * (N - 1), np.uint8))
+    grams = np.diff(np.concatenate([[0], np.cumsum(codes != 0)])[np.append(starts, len(codes))])
+    found = m.hits(codes, starts) if len(codes) and m.languages else np.zeros((len(texts), max(1, len(m.languages))))
+    true = np.clip((found - grams[:, None] * m.false_rate) / (1 - m.false_rate), 0, None) if m.languages else found
+    best = true.argmax(axis=1)
+    share = true[np.arange(len(texts)), best] / np.maximum(grams, 1)
+    known = [bool(t) and bool(m.languages) and LETTER.search(t) is not None for t in texts]
+    return [m.languages[b] if k else "und" for b, k in zip(best, known)], [float(min(1.0, s)) if k else 0.0 for s, k in zip(share, known)]
+
+
+def language_of(text: Column, model: Model, spark: SparkSession) -> Column:
+    """``struct<lang, score>`` of a text column; the texts themselves stay in the JVM."""
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.arrow_udf("struct<lang: string, score: double>")
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in batches:
             langs, scores, run, size = [], [], [], 0
-            for x in batch.column(at):
+            for i, x in enumerate(column):
                 run.append(x.as_py())
                 size += len(run[-1] or "")
-                if size >= RUN_BYTES:
-                    a, b = decide(run, m)
+                if size >= RUN_BYTES or i == len(column) - 1:
+                    a, b = decide(run, shared.value)
                     langs, scores, run, size = langs + a, scores + b, [], 0
-            if run:
-                a, b = decide(run, m)
-                langs, scores = langs + a, scores + b
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["lang", "score"])
 
-    return docs.mapInArrow(predict, StructType([*schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
+    return predict(text.cast("string"))
 
 
 def fold_of(id_col: str, folds: int):
@@ -222,5 +218,5 @@ def predictions(docs: DataFrame, folds: int = 4, held: int = 2) -> DataFrame:
     """``doc_id, held_out, lang_pred, score``: trained on all folds but ``held``, applied to every row."""
     held_out = fold_of("doc_id", folds) == held
     model = train(docs.where(~held_out))
-    rows = docs.select("doc_id", held_out.alias("held_out"), F.col("text").cast("string").alias("text"))
-    return identify(rows, model).select("doc_id", "held_out", "lang_pred", "score")
+    rows = docs.select("doc_id", held_out.alias("held_out"), language_of(F.col("text"), model, docs.sparkSession).alias("found"))
+    return rows.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))

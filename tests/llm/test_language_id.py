@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from dumpwise.llm import language_id as L
 
@@ -36,8 +37,8 @@ def test_filter_returns_all_languages_that_contain_a_gram(spark):
 def test_more_languages_than_one_mask_holds(spark):
     words = [f"{chr(97 + i // 26)}{chr(97 + i % 26)}{chr(97 + i % 7)}{chr(97 + i % 5)}" for i in range(150)]
     docs = spark.createDataFrame([(i, " ".join([w] * 5), f"l{i}") for i, w in enumerate(words)], "doc_id long, text string, lang string")
-    got = L.identify(docs, L.train(docs)).collect()
-    assert all(r["lang_pred"] == r["lang"] for r in got)
+    got = docs.select("lang", L.language_of(F.col("text"), L.train(docs), spark).alias("found")).collect()
+    assert all(r["found"]["lang"] == r["lang"] for r in got)
 
 
 def test_edges(spark):
