@@ -19,27 +19,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dumpwise.llm.common import staged, table
-from dumpwise.llm.decontaminate import contamination
-from dumpwise.llm.language_id import identify, train
+from dumpwise.llm.common import ship, staged, table
+from dumpwise.llm.decontaminate import contamination_mark
+from dumpwise.llm.language_id import language_of, train
 from dumpwise.llm.mixing import mix, word_count
 from dumpwise.llm.ngram_join import jaccard_join
 from dumpwise.llm.pii import pseudonymise
 from dumpwise.llm.queries import PSEUDONYM_KEY
 
-# Share of a document's n-grams that its best language must hold; prose has far more.
+# Share of a document's n-grams that its best language must hold, once it is long enough to tell; prose has far more.
 MIN_LANGUAGE_SHARE = 0.2
+TELLING_CHARS = 40
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages the labelled rows teach; rejected: no letters, or too few known n-grams."""
-    row = docs.select(F.struct("*").alias("row"), F.col("text"))
-    known = identify(row, train(docs))
-    return known.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_LANGUAGE_SHARE)).select("row.*")
+    ship(spark)
+    found = language_of(F.col("text"), train(docs), spark)
+    known = (found["score"] >= MIN_LANGUAGE_SHARE) | (F.length("text") < TELLING_CHARS)
+    return docs.where((found["lang"] != "und") & known)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, and of repeated rows one."""
+    ship(spark)
     kept = jaccard_join(docs).where("kept and doc_id is not null").select("doc_id").distinct()
     one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return one.unionByName(docs.where("doc_id is null")).select(docs.columns)
@@ -47,7 +50,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
-    return contamination(docs, table(spark, sf_dir, "benchmark"), carry=True).where("not contaminated").select("row.*")
+    return docs.where(~contamination_mark(docs, table(spark, sf_dir, "benchmark"))["contaminated"])
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
