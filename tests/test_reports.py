@@ -137,3 +137,15 @@ def test_datasets_per_rse_shared_element_name(spark):
     ])
     out = rows(datasets.datasets_per_rse(cr, locks, rses))
     assert [(r["rse"], r["account"], r["rule_id"], r["bytes"], r["state"]) for r in out] == [("A", "a,b", "r1,r2", 5, "U")]
+
+
+def test_datasets_per_rse_hot_key_and_repeated_replicas(spark):
+    """One key with thousands of locks, its replica twice in the dump: every lock is listed once per replica row."""
+    n = 3000
+    locks = [{"scope": "s", "name": "hot", "rse_id": "1", "account": f"a{i}", "rule_id": f"r{i:05d}", "created_at": i} for i in range(n)]
+    replica = {"scope": "s", "name": "hot", "rse_id": "1", "did_type": "D", "available_bytes": 5, "state": "A"}
+    cold = {**replica, "name": "cold"}
+    out = rows(datasets.datasets_per_rse(table(spark, "collection_replicas", [replica, replica, cold]), table(spark, "dslocks", locks),
+                                         table(spark, "rses", [{"id": "1", "rse": "D1", "rse_type": "DISK"}])), "name")
+    assert [(r["name"], r["account"][:9], r["rule_id"] == "") for r in out] == [("cold", "None", True), ("hot", "a0,a0,a1,", False)]
+    assert out[1]["rule_id"] == ",".join(f"r{i:05d}" for i in range(n) for _ in range(2))
