@@ -63,6 +63,24 @@ def test_recall_at_the_threshold():
         assert met.mean() >= least, (cosine, met.mean())
 
 
+@pytest.mark.parametrize("n", [2**18, 2**18 + 1, 2**27 + 1, 2**36 + 1])
+def test_recall_of_every_shape(n):
+    tables, blocks = L.shape_for(n)
+    rng = np.random.default_rng(5)
+    u, w = rng.normal(size=(2, 1000, 64))
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    w -= (w * u).sum(axis=1)[:, None] * u
+    w /= np.linalg.norm(w, axis=1)[:, None]
+    met = np.zeros((2, len(u)), bool)
+    for t in range(tables):
+        a = L.cell_keys(u, t, blocks)
+        for k, cosine in enumerate((0.9, 0.93)):
+            left = np.flatnonzero(~met[k])
+            b = L.cell_keys(cosine * u[left] + np.sqrt(1 - cosine**2) * w[left], t, blocks)
+            met[k, left] = (a[left, :1] == b).any(axis=1) | (a[left] == b[:, :1]).any(axis=1)
+    assert met[0].mean() >= 0.9 and met[1].mean() >= 0.97, (tables, blocks, met.mean(axis=1))
+
+
 def cluster(rng, n, spread, dim=16):
     base = rng.normal(size=dim)
     return [(base + rng.normal(size=dim) * spread).astype(np.float32).tolist() for _ in range(n)]
