@@ -2,14 +2,16 @@
 
 A text is cut into sentences, each sentence is normalised (A-Z lower-cased,
 everything but letters a-z and digits becomes one space) and mapped to the
-identifier of the longest known licence sentence that it contains as whole
-words. The sequence of identifiers is then matched against ordered rules: a
+identifiers of the known licence sentences that it contains as whole words, in
+order of position; of two that begin at one word the longer counts. Names that
+follow "licensed under" as a list are read as a sentence each. The sequence of identifiers is then matched against ordered rules: a
 rule names a licence and the identifiers that must follow one another; what it
 matches is taken out, so that a rule further down cannot claim it again. What
 is left over is reported as unmatched licence sentences.
 
-Line breaks inside a sentence do not matter (licences are wrapped); a blank
-line ends a sentence. Only texts with one of ``TRIGGERS`` are cut at all: every
+Line breaks and comment signs inside a sentence do not matter (licences are
+wrapped and stand in comments); a blank line, or one of comment signs alone, ends
+a sentence. Only texts with one of ``TRIGGERS`` are cut at all: every
 known sentence has one (a test holds this). One narrow pass, no shuffle.
 
 Cases: null and empty texts give an empty sequence and no licence; repeated
@@ -87,7 +89,9 @@ RULES = [
 ]
 TRIGGERS = ["licen", "copyright", "warrant", "redistribut", "permission", "spdx"]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+LICENSED = "licensed under "
 SPACE = r"[ \t\n\r\f\x0B]"
+COMMENT = r"(?m)^[ \t]*(?:/\*+|\*+/|//+|<!--+|--+>?|[*#;%]+|dnl\b|rem\b)[ \t]*"
 SENTENCE_END = rf"[.!?;]+({SPACE}+|\z)|\n{SPACE}*\n"
 
 
@@ -99,15 +103,17 @@ def sentence_ids(text: Column) -> Column:
     """The marks of the known sentences of a text, in order, as one string."""
     lowered = F.translate(text, UPPER, LOWER)
     known = sorted(SENTENCES.items(), key=lambda kv: (-len(kv[1]), kv[0]))
+    starts = F.lit(f"(?<= )(?=({'|'.join(words for _, words in known)}) )")
+    marks = F.create_map(*[F.lit(x) for identifier, words in known for x in (words, _mark(identifier))])
+    names = "|".join(sorted({words.removeprefix(LICENSED) for words in SENTENCES.values() if words.startswith(LICENSED)}, key=len, reverse=True))
+    listed = rf"((?:{LICENSED}|released under |(?!^)\G)(?:{names})) (?:(?:and or|and|or) )?(?=(?:{names}) )"
 
     def mark(sentence: Column) -> Column:
-        found = F.lit("")
-        for identifier, words in reversed(known):
-            found = F.when(F.contains(sentence, F.lit(f" {words} ")), F.lit(_mark(identifier))).otherwise(found)
-        return found
+        apart = F.regexp_replace(sentence, listed, f"$1 {LICENSED}")
+        return F.array_join(F.transform(F.regexp_extract_all(apart, starts, F.lit(1)), lambda words: marks[words]), "")
 
     triggered = F.rlike(lowered, F.lit("|".join(TRIGGERS)))
-    sentences = F.split(F.regexp_replace(lowered, SENTENCE_END, "\u0001"), "\u0001")
+    sentences = F.split(F.regexp_replace(F.regexp_replace(lowered, COMMENT, ""), SENTENCE_END, "\u0001"), "\u0001")
     worth = F.filter(sentences, lambda s: F.rlike(s, F.lit("|".join(TRIGGERS))))
     normal = F.transform(worth, lambda s: F.concat(F.lit(" "), F.regexp_replace(s, "[^a-z0-9]+", " "), F.lit(" ")))
     single = F.transform(normal, lambda s: F.regexp_replace(s, " +", " "))

@@ -39,3 +39,42 @@ def test_sql_twin_agrees_on_edge_cases(spark):
 
 def test_empty(spark):
     assert scan_licenses(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+FULL_MIT = """Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+
+
+def scan(spark, texts):
+    rows = scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    return [(r["sentences"], r["licenses"], r["kinds"], r["n_unmatched"]) for r in rows]
+
+
+def test_every_sentence_of_a_sentence_counts(spark):
+    lines = FULL_MIT.split("\n")
+    forms = [FULL_MIT, "/*\n" + "\n".join(" * " + x for x in lines) + "\n */", "\n".join("# " + x for x in lines), "\n".join("// " + x for x in lines), " ".join(lines)]
+    whole = ("<mit-grant><mit-notice><as-is><no-liability>", "MIT", "permissive", 0)
+    assert scan(spark, forms) == [whole] * len(forms)
+    listed = ["Licensed under the MIT license and CC BY-NC 4.0.", "Licensed under the Apache License, Version 2.0, the MIT License or CC BY 4.0", "Licensed under CC BY 4.0 and released under the MIT license"]
+    assert [x[1] for x in scan(spark, listed)] == ["MIT,CC-BY-NC-4.0", "MIT,Apache-2.0,CC-BY-4.0", "MIT,CC-BY-4.0"]
+
+
+def test_no_sentence_stands_inside_another_one():
+    assert not [(a, b) for a in SENTENCES.values() for b in SENTENCES.values() if f" {a} " in f" {b} " and not f"{b} ".startswith(f"{a} ")]
