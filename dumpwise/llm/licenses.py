@@ -52,6 +52,7 @@ SENTENCES = {
     "cc-by-nc-4-name": "licensed under cc by nc 4 0",
     "cc-by-nd-4-name": "licensed under cc by nd 4 0",
     "cc0-dedication": "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work",
+    "all-rights": "all rights reserved",
     "spdx-mit": "spdx license identifier mit",
     "spdx-apache-2": "spdx license identifier apache 2 0",
     "spdx-gpl-3": "spdx license identifier gpl 3 0",
@@ -86,8 +87,9 @@ RULES = [
     ("CC-BY-SA-4.0", "copyleft", ["cc-by-sa-4-name"]),
     ("CC-BY-4.0", "permissive", ["cc-by-4-name"]),
     ("CC0-1.0", "permissive", ["cc0-dedication"]),
+    ("All-Rights-Reserved", "restricted", ["all-rights"]),
 ]
-TRIGGERS = ["licen", "copyright", "warrant", "redistribut", "permission", "spdx"]
+TRIGGERS = ["licen", "copyright", "warrant", "redistribut", "permission", "spdx", "rights"]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LICENSED = "licensed under "
 SPACE = r"[ \t\n\r\f\x0B]"

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import duckdb
+from pyspark.sql import functions as F
 
 from dumpwise.llm.licenses import RULES, SENTENCES, TRIGGERS, oracle, scan_licenses
 
@@ -78,3 +79,11 @@ def test_every_sentence_of_a_sentence_counts(spark):
 
 def test_no_sentence_stands_inside_another_one():
     assert not [(a, b) for a in SENTENCES.values() for b in SENTENCES.values() if f" {a} " in f" {b} " and not f"{b} ".startswith(f"{a} ")]
+
+
+def test_every_kind_of_licence_line_in_the_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").where(F.rlike("text", F.lit("(?i)licen[sc]ed? |all rights reserved")))
+    rows = scan_licenses(docs).collect()
+    assert rows and {r["licenses"] for r in rows} >= {"All-Rights-Reserved"}
+    assert all(r["licenses"] and not r["n_unmatched"] for r in rows)
+    assert scan(spark, ["x\nAll rights reserved.", "Copyright 2020 A. All Rights Reserved"]) == [("<all-rights>", "All-Rights-Reserved", "restricted", 0)] * 2
