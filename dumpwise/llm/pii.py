@@ -6,7 +6,9 @@ pattern), and a keyed Feistel network permutes the value within its format:
 a card number becomes another valid card number of the same length and
 grouping, a date another date in the same notation, an IPv4 address another
 one. A permutation with one key maps equal values to equal pseudonyms in every
-document and never two values to one. What fails its check stays as it is.
+document and never two values to one. What fails its check stays as it is; cards
+and IBANs are checked at every place they may begin (an IBAN at its country's
+length), so that a failed candidate hides nothing.
 
 The network works on a pair (l, r) of a space of a x b values; round i adds a
 keyed hash of one half to the other, modulo a or b, so every round and with it
@@ -41,6 +43,16 @@ CARD = r"(?<![\p{L}\p{N}-])(?:\d{13,19}|\d{4}(?<four>[ -])\d{4}\k<four>\d{4}\k<f
 PHONE = r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?\(\d{1,4}\)(?:[ .-]?\d{2,4}){2,4}|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})" + _AFTER
 KINDS = {"email": EMAIL, "secret": SECRET, "iban": IBAN, "iso_date": ISO_DATE, "day_date": DAY_DATE, "ip": IPV4, "ssn": SSN, "card": CARD, "phone": PHONE}
 ANY = "|".join(KINDS.values())
+# Every place where a value with a check may begin, with the longest candidate there.
+IBAN_STARTS = IBAN.replace("[A-Z]{2}", "(?=([A-Z]{2}", 1) + "))"
+CARD_STARTS = CARD.replace("(?:\\d{13,19}", "(?=((?:\\d{13,19}", 1) + "))"
+IBAN_LENGTH = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28,
+    "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26,
+    "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31, "MU": 30,
+    "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28, "TL": 23,
+    "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
 WORTH = r"[0-9@\"]"
 
 DAY_ONE, DAY_LEFT, DAY_RIGHT = "1900-01-01", 17, 4297  # 73,049 days: 1900-01-01 to 2099-12-31
@@ -237,18 +249,54 @@ def pseudonym(m: Column, key: str) -> Column:
     return out
 
 
+def _ends(m: Column) -> Column:
+    """A candidate and what it holds up to each space inside, longest first."""
+    words = F.split(m, " ", -1)
+    return F.transform(F.sequence(F.size(words), F.lit(1), F.lit(-1)), lambda n: F.array_join(F.slice(words, F.lit(1), n), " "))
+
+
+def _valid_iban(m: Column) -> Column:
+    """The IBAN that a candidate begins with: of its country's length, the whole, or (country not listed) the longest that passes; null if none."""
+    lengths = F.create_map(*[F.lit(x) for kv in IBAN_LENGTH.items() for x in kv])
+    plain = lambda e: F.replace(e, F.lit(" "), F.lit(""))
+
+    def passing(due: Column) -> Column:
+        may = lambda e: F.rlike(e, F.lit(f"^(?:{IBAN})$")) & (due.isNull() | (F.length(plain(e)) == due) | (e == m))
+        ends = F.filter(_ends(m), lambda e: F.when(may(e), mod97(plain(e)) == 1).otherwise(False))
+        return let(ends, lambda e: F.coalesce(F.get(F.filter(e, lambda x: F.length(plain(x)) == due), F.lit(0)), F.get(e, F.lit(0))))
+
+    return let(F.try_element_at(lengths, F.substring(m, F.lit(1), F.lit(2))), passing)
+
+
+def _only(valid: Column, before: str, after: str) -> Column:
+    """A pattern for these values (letters, digits, spaces and dashes) alone; without any, one that fits nothing."""
+    longest_first = F.transform(F.array_sort(F.transform(F.array_distinct(valid), lambda v: F.struct((-F.length(v)).alias("n"), v.alias("v")))), lambda s: s["v"])
+    return F.when(F.size(valid) > 0, F.concat(F.lit(f"{before}(?:"), F.array_join(longest_first, "|"), F.lit(f"){after}"))).otherwise(F.lit("(?!)"))
+
+
+def any_of(text: Column) -> Column:
+    """ANY for one text: IBANs and cards only where they pass their check, so that no failed candidate hides what it holds."""
+    ibans = F.filter(F.transform(F.array_distinct(F.regexp_extract_all(text, F.lit(IBAN_STARTS), F.lit(1))), _valid_iban), lambda v: v.isNotNull())
+    cards = F.filter(F.array_distinct(F.regexp_extract_all(text, F.lit(CARD_STARTS), F.lit(1))), lambda c: luhn_sum(_digits(c), False) % 10 == 0)
+    own = {
+        "iban": F.when(F.rlike(text, F.lit(IBAN)), let(ibans, lambda v: _only(v, r"(?<![\p{L}\p{N}])", _AFTER))).otherwise(F.lit("(?!)")),
+        "card": F.when(F.rlike(text, F.lit(CARD)), let(cards, lambda v: _only(v, r"(?<![\p{L}\p{N}-])", r"(?![\p{L}\p{N}-])"))).otherwise(F.lit("(?!)")),
+    }
+    return F.concat_ws("|", *[own.get(kind, F.lit(pattern)) for kind, pattern in KINDS.items()])
+
+
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: str | None = "n_pseudonyms") -> DataFrame:
     """``docs`` with the personal values of ``text_col`` replaced and, unless None, their number added."""
     text = F.col(text_col)
 
-    def joined(found: Column) -> Column:
+    def joined(found: Column, pattern: Column) -> Column:
         return let(F.transform(found, lambda m: pseudonym(m, key)), lambda new: F.struct(
-            F.array_join(F.zip_with(F.split(text, ANY, -1), new, lambda p, m: F.concat(p, F.coalesce(m, F.lit("")))), "").alias("text"),
+            F.array_join(F.zip_with(F.split(text, pattern, -1), new, lambda p, m: F.concat(p, F.coalesce(m, F.lit("")))), "").alias("text"),
             F.size(F.filter(F.zip_with(found, new, lambda a, b: a != b), lambda x: x)).alias("n"),
         ))
 
-    found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
-    changed = F.when(F.rlike(text, F.lit(WORTH)), let(found, lambda f: F.when(F.size(f) > 0, joined(f))))
+    replaced = let(any_of(text), lambda p: let(F.regexp_extract_all(text, p, F.lit(0)), lambda f: F.when(F.size(f) > 0, joined(f, p))))
+    changed = F.when(F.rlike(text, F.lit(WORTH)), F.when(F.rlike(text, F.lit(ANY)), replaced))
     spare = "_" * (1 + max(map(len, docs.columns)))  # a name that no column has
     out = docs.withColumn(spare, changed)
     if count_col:

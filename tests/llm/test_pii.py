@@ -70,3 +70,23 @@ def test_keeps_columns_rows_and_long_texts(spark):
     rows = pseudonymise(df, KEY).collect()
     assert len(rows) == 2 and rows[0] == rows[1] and len(rows[0]["text"]) == len(text) and rows[0]["n_found"] == "a" and "4111111111111111" not in rows[0]["text"]
     assert pseudonymise(df.limit(0), KEY).count() == 0
+
+
+IBANS = ["ES91 2100 0418 4502 0005 1332", "AT611904300234573201", "BE68 5390 0754 7034", "SE45 5000 0000 0583 9825 7466", "NO93 8601 1117 947", "DE89 3704 0044 0532 0130 00"]
+
+
+def test_iban_before_upper_case_and_digits(spark):
+    texts = [f"to {iban} {after}" for iban in IBANS for after in ("BIC", "2024", "ABCD 1234", "A", "12", "ok")]
+    alone = dict(zip(IBANS, swap(spark, *IBANS)[0]))
+    assert all(alone[i] != i for i in IBANS)
+    assert swap(spark, *texts) == ([f"to {alone[i]} {after}" for i in IBANS for after in ("BIC", "2024", "ABCD 1234", "A", "12", "ok")], [1] * len(texts))
+
+
+def test_failed_candidates_hide_nothing(spark):
+    values = ["4111 1111 1111 1111", IBANS[1], "192.168.17.5", "+1 (826) 555-4081"]
+    card, iban, ip, phone = swap(spark, *values)[0]
+    texts = ["AB12 {}", "AT12 {}", "1234 {}"]
+    assert swap(spark, *[t.format(values[0]) for t in texts])[0] == [t.format(card) for t in texts]
+    assert swap(spark, f"AB12 {IBANS[1]}", "AB12 3456 7890 192.168.17.5", f"AT12 3456 7890 1234 {values[3]}")[0] == [f"AB12 {iban}", f"AB12 3456 7890 {ip}", f"AT12 3456 7890 1234 {phone}"]
+    quoted = [f'token = "{IBANS[1]}"', f"{IBANS[1]}@example.org"]
+    assert all(IBANS[1] not in t for t in swap(spark, *quoted)[0])
