@@ -8,7 +8,9 @@ grouping, a date another date in the same notation, an IPv4 address another
 one. A permutation with one key maps equal values to equal pseudonyms in every
 document and never two values to one. What fails its check stays as it is; cards
 and IBANs are checked at every place they may begin (an IBAN at its country's
-length), so that a failed candidate hides nothing.
+length), so that a failed candidate hides nothing. Phone numbers end with their
+number plan and before an IP, date, card or SSN. Without a fixed length (+49) or
+listed plan a plain number after a space cannot be told from the phone number.
 
 The network works on a pair (l, r) of a space of a x b values; round i adds a
 keyed hash of one half to the other, modulo a or b, so every round and with it
@@ -40,7 +42,24 @@ DAY_DATE = r"(?<![\p{L}\p{N}./])\d{1,2}(?<mark>[./])\d{1,2}\k<mark>(?:19|20)\d\d
 IPV4 = rf"(?<![\p{{L}}\p{{N}}.]){_OCTET}(?:\.{_OCTET}){{3}}(?![\p{{L}}\p{{N}}]|\.\d)"
 SSN = r"(?<![\p{L}\p{N}-])(?!000|666|9\d\d)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\p{L}\p{N}-])"
 CARD = r"(?<![\p{L}\p{N}-])(?:\d{13,19}|\d{4}(?<four>[ -])\d{4}\k<four>\d{4}\k<four>\d{1,7}|\d{4}(?<six>[ -])\d{6}\k<six>\d{5})(?![\p{L}\p{N}-])"
-PHONE = r"(?<![\p{L}\p{N}+])(?:\+\d{1,3}[ .-]?\(\d{1,4}\)(?:[ .-]?\d{2,4}){2,4}|\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})" + _AFTER
+# Country codes whose numbers have one length, by the digits after the code.
+PLANS = {8: "45|47", 9: "31|33|34|41|48|61|351|420", 10: "7|30|44|52|90|91"}
+_NEXT = "|".join([IPV4, ISO_DATE, DAY_DATE.replace("mark", "next@"), SSN])
+_CARDS = "<cards>"  # stands for the cards of a text
+
+
+def _group(name: str) -> str:
+    return rf"(?:[ .-]?(?!{_NEXT.replace('@', name)}|{_CARDS})\d{{2,4}})"
+
+
+_PLANNED = r"\+1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]?\d{4}" + "".join(
+    rf"|\+(?:{codes})(?: ?\(0\))?(?:(?:\) ?|[ .-]?\(|[ .-](?!{_NEXT.replace('@', str(n))}))?\d){{{n}}}" for n, codes in PLANS.items()
+)
+_PHONE = (
+    rf"(?<![\p{{L}}\p{{N}}+])(?:(?:{_PLANNED}){_AFTER}|\+\d{{1,3}}[ .-]?\(\d{{1,4}}\){_group('A')}{{2,4}}|\+\d{{1,3}}{_group('B')}{{2,5}}"
+    rf"|\(\d{{3}}\) ?\d{{3}}[ .-]\d{{4}}|\d{{3}}[.-]\d{{3}}[.-]\d{{4}}){_AFTER}"
+)
+PHONE = _PHONE.replace(_CARDS, "(?!)")
 KINDS = {"email": EMAIL, "secret": SECRET, "iban": IBAN, "iso_date": ISO_DATE, "day_date": DAY_DATE, "ip": IPV4, "ssn": SSN, "card": CARD, "phone": PHONE}
 ANY = "|".join(KINDS.values())
 # Every place where a value with a check may begin, with the longest candidate there.
@@ -215,7 +234,7 @@ def _ssn(m: Column, key: str) -> Column:
 
 def _phone(m: Column, key: str) -> Column:
     """Ten-digit plan numbers (area and exchange 200-999) stay in their plan; other numbers keep their country code."""
-    country = F.when(F.startswith(m, F.lit("+")), F.regexp_extract(m, r"^\+(\d{1,3})", 1)).otherwise("")
+    country = F.when(F.startswith(m, F.lit("+")), F.regexp_extract(m, r"^\+([17]|\d{1,3})", 1)).otherwise("")
 
     def moved(d: Column) -> Column:
         area, rest = F.substring(d, 1, 3).cast("long") - 200, F.substring(d, 4, 7).cast("long") - 2_000_000
@@ -282,7 +301,13 @@ def any_of(text: Column) -> Column:
         "iban": F.when(F.rlike(text, F.lit(IBAN)), let(ibans, lambda v: _only(v, r"(?<![\p{L}\p{N}])", _AFTER))).otherwise(F.lit("(?!)")),
         "card": F.when(F.rlike(text, F.lit(CARD)), let(cards, lambda v: _only(v, r"(?<![\p{L}\p{N}-])", r"(?![\p{L}\p{N}-])"))).otherwise(F.lit("(?!)")),
     }
-    return F.concat_ws("|", *[own.get(kind, F.lit(pattern)) for kind, pattern in KINDS.items()])
+    first, *others = _PHONE.split(_CARDS)
+
+    def joined(card: Column) -> Column:
+        phone = F.concat(F.lit(first), *[x for part in others for x in (card, F.lit(part))])
+        return F.concat_ws("|", *[{"iban": own["iban"], "card": card, "phone": phone}.get(kind, F.lit(pattern)) for kind, pattern in KINDS.items()])
+
+    return let(own["card"], joined)
 
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", count_col: str | None = "n_pseudonyms") -> DataFrame:

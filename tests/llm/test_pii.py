@@ -90,3 +90,14 @@ def test_failed_candidates_hide_nothing(spark):
     assert swap(spark, f"AB12 {IBANS[1]}", "AB12 3456 7890 192.168.17.5", f"AT12 3456 7890 1234 {values[3]}")[0] == [f"AB12 {iban}", f"AB12 3456 7890 {ip}", f"AT12 3456 7890 1234 {phone}"]
     quoted = [f'token = "{IBANS[1]}"', f"{IBANS[1]}@example.org"]
     assert all(IBANS[1] not in t for t in swap(spark, *quoted)[0])
+
+
+def test_phone_ends_before_its_neighbour(spark):
+    phones = ["+1 (826) 555-4081", "+1 826 555 4081", "+33 6 12 34 56 78", "+44 20 7946 0958"]
+    after = ["190.137.106.4", "2024-01-05", "05.01.2024", "4111 1111 1111 1111", "4111111111111111"]
+    alone = dict(zip(phones + after, swap(spark, *phones, *after)[0]))
+    assert all(k != v for k, v in alone.items()) and alone[phones[0]][3:] != phones[0][3:]
+    assert swap(spark, *[f"{p} {a}" for p in phones for a in after])[0] == [f"{alone[p]} {alone[a]}" for p in phones for a in after]
+    assert swap(spark, *[f"{p} 42 times" for p in phones])[0] == [f"{alone[p]} 42 times" for p in phones]
+    other = "+49 30 1234 5678"
+    assert swap(spark, *[f"{other} {a}" for a in after])[0] == [f"{swap(spark, other)[0][0]} {alone[a]}" for a in after]
