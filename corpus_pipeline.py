@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from dumpwise.llm.common import ship, staged, table
 from dumpwise.llm.decontaminate import contamination_mark
 from dumpwise.llm.language_id import language_of, train
-from dumpwise.llm.mixing import mix, word_count
+from dumpwise.llm.mixing import mix
 from dumpwise.llm.ngram_join import jaccard_join
 from dumpwise.llm.pii import pseudonymise
 from dumpwise.llm.queries import PSEUDONYM_KEY
@@ -63,10 +63,16 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their number of copies, for source targets of 1, 2, 3 parts, repeating."""
-    rates = mix(docs).where("copies > 0").dropDuplicates(["doc_id", "size"])
-    rates = rates.select(F.col("doc_id").alias("r_id"), "size", "target", "copies", "taken")
-    rows = docs.drop("r_id", "size", "target", "copies", "taken")  # extra columns that would clash with the mix
-    return rows.join(rates, F.col("doc_id").eqNullSafe(F.col("r_id")) & (word_count() == F.col("size"))).drop("r_id")
+    rows = docs.drop("size", "target", "copies", "taken")  # extra columns that would clash with the mix
+    key = "_" * (1 + max(map(len, rows.columns)))  # a name that no column has
+    # The key is the whole row, so only equal rows share one; they are dealt the copies of their key as a group.
+    rest = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != "text"]))
+    whole = F.concat(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256), F.col("text").isNull().cast("string"), rest)
+    keyed = rows.withColumn(key, F.unhex(F.substring(F.sha2(whole.cast("binary"), 256), 1, 32)))
+    mixed = ["size", "target", "copies", "taken"]
+    rates = mix(keyed, id_col=key).where("copies > 0").groupBy(F.col("doc_id").alias(key), *mixed).agg(F.count(F.lit(1)).alias(f"{key}n"))
+    again = F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{key}n")))
+    return keyed.dropDuplicates([key]).join(rates, key).withColumn(f"{key}i", again).select(*[F.col(f"`{c}`") for c in rows.columns], *mixed)
 
 
 STAGES = [

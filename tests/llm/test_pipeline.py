@@ -79,6 +79,22 @@ def test_mixing_stage(spark, sf_dir):
     check_mix(full, [(d[0], d[1], d[3]) for d in docs], 0.03)
 
 
+def test_mixing_of_null_and_repeated_ids(spark, sf_dir):
+    docs = [(None, f"{'w ' * (9 + i % 3)}{i}", "en", f"s{i % 4}", i) for i in range(400)]
+    docs += [(7, f"{'v ' * (9 + i % 2)}{i}", "en", f"s{i % 4}", i) for i in range(200)] + [(None, "u " * 10, "en", None, 1)] * 90 + [(8, None, "en", "s1", None)] * 3
+    got = [r.asDict() for r in P.mixing(spark, spark.createDataFrame(docs, COLUMNS), sf_dir).collect()]
+    sources, left = {}, list(docs)
+    for r in got:
+        left.remove((r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"]))
+        assert r["size"] == len((r["text"] or "").split()) and r["taken"] == r["size"] * r["copies"] and r["copies"] >= 1
+        sources.setdefault(r["source"], []).append(r)
+    assert set(sources) == {"s0", "s1", "s2", "s3", None}
+    for mine in sources.values():
+        assert len({r["target"] for r in mine}) == 1
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 0.03 * mine[0]["target"]
+    assert sorted(map(str, got)) == sorted(str(r.asDict()) for r in P.mixing(spark, spark.createDataFrame(docs, COLUMNS), sf_dir).collect())
+
+
 def test_empty_documents(spark, sf_dir):
     empty = spark.createDataFrame([], COLUMNS)
     for _, stage in P.STAGES:
