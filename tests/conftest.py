@@ -9,11 +9,6 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from dumpwise.session import local_session  # noqa: E402
-from dumpwise.sources.catalog import SCHEMAS  # noqa: E402
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MEDIUM = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -25,17 +20,3 @@ def spark():
 @pytest.fixture
 def scratch():
     return tempfile.mkdtemp(prefix="dumpwise-test-")
-
-
-def table(spark, name: str, rows: list[dict]):
-    """A catalogue table from hand-made rows (missing columns are NULL)."""
-    schema = SCHEMAS[name]
-    data = [tuple(r.get(f.name) for f in schema.fields) for r in rows]
-    return spark.createDataFrame(data, schema)
-
-
-def rows(df, *order):
-    out = [r.asDict() for r in df.collect()]
-    if order:
-        out.sort(key=lambda r: tuple((r[k] is None, r[k]) for k in order))
-    return out

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
-from conftest import SF_MEDIUM, rows, table
+from catalogue_rows import SF_MEDIUM, rows, table
 from pyspark.sql import functions as F
 
 from dumpwise.operators import accounting, documents

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SF_MEDIUM, SF_SMALL
+from catalogue_rows import SF_MEDIUM, SF_SMALL
 from pyspark.sql import functions as F
 
 from dumpwise.operators import accounting, incidents

@@ -7,7 +7,7 @@ import json
 import os
 
 import pytest
-from conftest import SF_SMALL
+from catalogue_rows import SF_SMALL
 
 from dumpwise import sinks
 from dumpwise.operators import accounting, consistency, incidents, lookup, replicas

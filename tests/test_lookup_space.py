@@ -6,7 +6,7 @@ import datetime as dt
 import json
 
 import pytest
-from conftest import rows
+from catalogue_rows import rows
 
 from dumpwise.operators import lookup
 from dumpwise.operators.space_usage import space_usage, space_usage_violations

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import duckdb
 import pytest
-from conftest import SF_SMALL
+from catalogue_rows import SF_SMALL
 
 import __spark_entry__ as entry
 from dumpwise.plans import registry

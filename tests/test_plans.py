@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
-from conftest import SF_SMALL
+from catalogue_rows import SF_SMALL
 
 from dumpwise.operators import accounting, datasets, incidents
 from dumpwise.sources.catalog import TABLES, load_tables

@@ -7,7 +7,7 @@ import json
 import math
 import re
 
-from conftest import rows, table
+from catalogue_rows import rows, table
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
-from conftest import rows, table
+from catalogue_rows import rows, table
 
 from dumpwise.operators import consistency, datasets, incidents, replicas
 
