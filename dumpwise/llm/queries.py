@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dumpwise.llm import licenses
+from dumpwise.llm import licenses, merkle
 from dumpwise.llm.common import table
 
 PSEUDONYM_KEY = "a key for tests; a deployment passes its own secret"
@@ -78,6 +78,26 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predictions(table(spark, sf_dir, "documents"))
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dumpwise.llm.structure_repair import repair
+
+    return repair(table(spark, sf_dir, "conversations"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from dumpwise.llm.merkle import manifest
+
+    return manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from dumpwise.llm.token_files import token_files
+
+    return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_context_tree": op2_context_tree,
@@ -89,6 +109,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_licenses": op9_licenses,
     "op10_language_id": op10_language_id,
+    "op11_structure_repair": op11_structure_repair,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_token_files": op13_token_files,
 }
 
-ORACLES: dict[str, str] = {"op9_licenses": licenses.oracle()}
+ORACLES: dict[str, str] = {"op9_licenses": licenses.oracle(), "op12_merkle_manifest": merkle.oracle()}
