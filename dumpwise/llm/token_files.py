@@ -56,6 +56,7 @@ FRAME_IDS = 16_384  # a frame is closed by the document that reaches this many i
 BLOCK_WORDS = 256
 MEMO_WORDS = 1_200_000  # words a worker remembers (about 200 bytes each) before it starts afresh
 BYTES_PER_TASK = 64 << 20  # of text
+FEW_FILES = 1 << 20
 PLAIN = "\u0250"  # characters before this one: Latin letters that compose and change case by themselves
 
 
@@ -90,11 +91,11 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         np.copyto(pick, s, where=better, casting="unsafe")
         if not misfits:
             break  # wider slots hold fewer ids
-    following = (np.arange(n) + COUNTS[pick]).tolist()
+    steps = COUNTS.astype(np.uint8)[pick].tobytes()
     starts, i = [], 0
     while i < n:
         starts.append(i)
-        i = following[i]
+        i += steps[i]
     start = np.array(starts)
     selected = pick[start]
     words = selected.astype(np.uint64) << np.uint64(60)
@@ -105,15 +106,16 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         count, width = SLOTS[s]
         which = np.nonzero(selected == s)[0]
         code = np.uint64((1 << width) - 1)
-        packed = np.zeros(len(which), np.uint64)
+        packed, at = words[which], start[which]
         for k in range(count):
-            values = padded[start[which] + k]
-            over = values >= code
-            if over.any():
-                escaped[start[which][over] + k] = True
+            values = padded[at + k]
+            over = np.nonzero(values >= code)[0]
+            if len(over):
+                escaped[at[over] + k] = True
                 values[over] = code
-            packed |= values << np.uint64(k * width)
-        words[which] |= packed
+            values <<= np.uint64(k * width)
+            packed |= values
+        words[which] = packed
     return words, start, np.nonzero(escaped)[0]
 
 
@@ -339,6 +341,8 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
     shards = frames.groupBy("shard").agg(F.sum("n_ids").alias("n"))  # one row per file
     before = F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     shards = shards.select("shard", F.coalesce(before, F.lit(0)).alias("before"))
+    if frames.select("shard").distinct().count() <= FEW_FILES:
+        shards = F.broadcast(shards)  # 16 bytes a file: the frames need not move
     placed = frames.join(shards, "shard").select((F.col("before") + F.col("first")).alias("start"), "data")
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
