@@ -6,7 +6,7 @@ one is left, the group's subroot; the subroots, ordered by group, likewise make
 the root. Each row gets its proof (the siblings on its way up) and the root
 folded again from a leaf that may have been tampered with.
 
-One level is one window: nodes lie in chunks of 8^4, ``lag`` 1-7 and ``lead`` 1-7
+One level is one window: nodes lie in chunks of 8^2, ``lag`` 1-7 and ``lead`` 1-7
 of the hash, masked by the slot in the run and by the run's length, are the
 siblings, and the first child of every run hashes the parent. Places are counted
 without a window over a whole group: rows are dealt by ranges of (group, id), a
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from dumpwise.llm.common import partitions, staged
 
 FAN = 8
-CHUNK = FAN**4  # nodes of one window group, a multiple of the run length
+CHUNK = FAN**2  # nodes of one window group, a multiple of the run length
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import tempfile
 import zlib
 
 import numpy as np
@@ -117,7 +118,7 @@ def test_null_and_repeated_ids(spark):
 def test_empty_table_and_ids_column(spark):
     assert rows_of(spark, [])[1] == []
     df, _ = rows_of(spark, [(1, "a b"), (2, None)])
-    path = f"{tf.checkpoint_dir(spark)}/token-files-test"
+    path = f"{tempfile.mkdtemp(prefix='dumpwise-test-')}/ids"
     tf.write_token_files(df, path, PATH, 1)
     assert [(r["doc_id"], r["ids"]) for r in tf.read_token_files(spark, path, with_ids=True).orderBy("doc_id").collect()] == [(1, [*library("a b"), 1]), (2, [1])]
 
