@@ -36,7 +36,7 @@ def _parser() -> argparse.ArgumentParser:
         if dated:
             j.add_argument("--reports", required=True)
             j.add_argument("--date", required=True)
-            j.add_argument("--mode", default="errorifexists")
+            j.add_argument("--mode", default="errorifexists", choices=["errorifexists", "overwrite", "resume"])
         if window:
             j.add_argument("--start", type=int, required=True)
             j.add_argument("--end", type=int, required=True)
@@ -45,7 +45,7 @@ def _parser() -> argparse.ArgumentParser:
 
     cons = job("consistency")
     cons.add_argument("--full-single-file", action="store_true",
-                      help="the full listing as one file, written by one task (default: ordered parts)")
+                      help="the full listing as one file, joined from its ordered parts (default: the parts)")
     cons.add_argument("--compression", default="bzip2", help="codec of the full listing (none: uncompressed)")
     sets = job("datasets")
     sets.add_argument("--one-file-per-rse", action="store_true",

@@ -57,7 +57,10 @@ def index_name(month: str, prefix: str = INDEX_PREFIX) -> str:
     return f"{prefix}{month}"
 
 
-def deliver_documents(docs: DataFrame, target: str, fmt: str = "json",
-                      options: Mapping[str, str] | None = None) -> None:
-    """Append the documents to ``target`` (an index for a connector format, a path for ``json``)."""
-    write_documents(docs, target, fmt, mode="append", options=options)
+def deliver_documents(docs: DataFrame, target: str, fmt: str = "json", options: Mapping[str, str] | None = None,
+                      date: str | None = None) -> None:
+    """Deliver the documents of ``date`` to ``target`` (an index for a connector format, else a path).
+
+    Delivering a date again replaces its documents: by date in files, by ``id`` in a store.
+    """
+    write_documents(docs, target, fmt, date=date, options=options)

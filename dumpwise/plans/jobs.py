@@ -3,7 +3,9 @@
 Layout: dumps at ``<dumps>/<date>/<table>``; reports at
 ``<reports>/<report>/date=<date>/...`` (per-element reports add ``rse=<X>``),
 so the lookups (``operators.lookup``) prune by date and element from the
-directory names. Each job is one Spark action (the write): lineage is short
+directory names. Reports are published in one step (``publish``): a job killed
+at any point leaves no report that a lookup would take, and is simply run again
+(``mode="resume"`` keeps the reports it had finished). The lineage of each write is short
 (scan -> join -> aggregate -> write), so a lost executor only recomputes its
 own tasks; the accounting documents read the written accounting report back,
 which also cuts the lineage between the two steps.
@@ -11,7 +13,7 @@ which also cuts the lineage between the two steps.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +22,7 @@ from dumpwise import sinks
 from dumpwise.operators import accounting, consistency, datasets, documents, incidents, replicas
 from dumpwise.operators import space_usage as su
 from dumpwise.plans.joins import profile
+from dumpwise.publish import has_manifest, publish, published_dates
 from dumpwise.session import prepare, sized_shuffles
 from dumpwise.sources.catalog import load_tables
 from dumpwise.sources.reports import read_accounting
@@ -39,13 +42,20 @@ def _loaded(spark: SparkSession, dumps: str, date: str, tables: list[str], fmt:
         yield load_tables(spark, root, tables, fmt)
 
 
-def _out(reports: str, report: str, date: str) -> str:
-    return f"{reports.rstrip('/')}/{report}/date={date}"
+def _root(reports: str, report: str) -> str:
+    return f"{reports.rstrip('/')}/{report}"
 
 
-def _bare(spark: SparkSession, out: str, wanted: bool) -> None:
-    if wanted:
-        sinks.strip_partition_prefix(spark, out)
+def _publish(spark: SparkSession, reports: str, report: str, date: str, mode: str, write: Callable[[str], None],
+             bare: bool | None = None) -> None:
+    """Write a report into staging and publish it; ``bare`` (per-element reports): folders ``X`` instead of ``rse=X``."""
+
+    def staged(path: str) -> None:
+        write(path)
+        if bare:
+            sinks.strip_partition_prefix(spark, path)
+
+    publish(spark, _root(reports, report), date, staged, mode=mode, by_element=bare is not None)
 
 
 def consistency_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt: str = "parquet",
@@ -54,18 +64,17 @@ def consistency_job(spark: SparkSession, dumps: str, reports: str, date: str, fm
     """R1 per element and R2 as bzip2 parts, globally ordered (part order = row order).
 
     ``full_single_file=True`` writes R2 as one file for readers that need it;
-    the listing covers every OK lock, and one file means one writing task.
+    its parts are written in parallel and joined.
     ``bare_element_dirs`` names element directories ``X`` instead of ``rse=X``.
     """
     with _loaded(spark, dumps, date, ["dslocks", "rses", "dids"], fmt) as t:
         elements = profile(t["rses"], "rse")
-        out = _out(reports, "consistency_datasets", date)
-        sinks.write_per_rse(consistency.consistency_datasets(t["dslocks"], t["rses"], t["dids"], elements), out, mode=mode)
-        _bare(spark, out, bare_element_dirs)
+        per_element = consistency.consistency_datasets(t["dslocks"], t["rses"], t["dids"], elements)
+        _publish(spark, reports, "consistency_datasets", date, mode, lambda p: sinks.write_per_rse(per_element, p), bare_element_dirs)
         full = consistency.consistency_datasets_full(t["dslocks"], t["rses"], elements)
         write = sinks.write_single_file if full_single_file else sinks.write_ordered
-        write(full, _out(reports, "consistency_datasets_full", date), consistency.FULL_COLUMNS, mode=mode,
-              compression=compression)
+        _publish(spark, reports, "consistency_datasets_full", date, mode,
+                 lambda p: write(full, p, consistency.FULL_COLUMNS, compression=compression))
 
 
 def datasets_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt: str = "parquet",
@@ -76,10 +85,9 @@ def datasets_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt:
     A large element has several files; ``one_file_per_rse=True`` serves readers that take only the first.
     """
     with _loaded(spark, dumps, date, ["collection_replicas", "dslocks", "rses"], fmt) as t:
-        out = _out(reports, "datasets_per_rse", date)
-        sinks.write_per_rse(datasets.datasets_per_rse(t["collection_replicas"], t["dslocks"], t["rses"]), out, mode=mode,
-                            one_file_per_rse=one_file_per_rse, timestamp_format=sinks.TS_MILLIS_UTC)
-        _bare(spark, out, bare_element_dirs)
+        out = datasets.datasets_per_rse(t["collection_replicas"], t["dslocks"], t["rses"])
+        _publish(spark, reports, "datasets_per_rse", date, mode,
+                 lambda p: sinks.write_per_rse(out, p, one_file_per_rse=one_file_per_rse, timestamp_format=sinks.TS_MILLIS_UTC), bare_element_dirs)
 
 
 def replicas_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt: str = "parquet",
@@ -88,10 +96,9 @@ def replicas_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt:
     """R4 per element, bzip2 (the report format; ``compression`` may name another codec or None),
     times as ``TS_SECONDS``, rows by path inside each element."""
     with _loaded(spark, dumps, date, ["replicas", "rses"], fmt) as t:
-        out = _out(reports, "replicas_per_rse", date)
-        sinks.write_per_rse(replicas.replicas_per_rse(t["replicas"], t["rses"]), out, sort_keys=("path",), mode=mode,
-                            compression=compression, timestamp_format=sinks.TS_SECONDS)
-        _bare(spark, out, bare_element_dirs)
+        out = replicas.replicas_per_rse(t["replicas"], t["rses"])
+        _publish(spark, reports, "replicas_per_rse", date, mode,
+                 lambda p: sinks.write_per_rse(out, p, sort_keys=("path",), compression=compression, timestamp_format=sinks.TS_SECONDS), bare_element_dirs)
 
 
 def suspicious_job(spark: SparkSession, dumps: str, reports: str, dump_date: str, start: int, end: int,
@@ -101,7 +108,7 @@ def suspicious_job(spark: SparkSession, dumps: str, reports: str, dump_date: str
     with _loaded(spark, dumps, dump_date, ["bad_replicas", "replicas", "rses", "rse_protocols"], fmt) as t:
         out = incidents.suspicious_files(t["bad_replicas"], t["replicas"], t["rses"], t["rse_protocols"], start, end,
                                          keep_stored_path)
-        sinks.write_single_file(out, _out(reports, "suspicious_files", report_date), ("rse", "scope", "name"), mode=mode)
+        _publish(spark, reports, "suspicious_files", report_date, mode, lambda p: sinks.write_single_file(out, p, ("rse", "scope", "name")))
 
 
 def lost_job(spark: SparkSession, dumps: str, reports: str, dump_date: str, start: int, end: int,
@@ -109,7 +116,7 @@ def lost_job(spark: SparkSession, dumps: str, reports: str, dump_date: str, star
     """R6 as one file."""
     with _loaded(spark, dumps, dump_date, ["bad_replicas", "contents_history", "rses"], fmt) as t:
         out = incidents.lost_files(t["bad_replicas"], t["contents_history"], t["rses"], start, end)
-        sinks.write_single_file(out, _out(reports, "lost_files", report_date), mode=mode)
+        _publish(spark, reports, "lost_files", report_date, mode, lambda p: sinks.write_single_file(out, p))
 
 
 def accounting_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt: str = "parquet",
@@ -118,20 +125,22 @@ def accounting_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt
     with _loaded(spark, dumps, date, ["replicas", "rses", "rse_metadata", "contents", "dids"], fmt) as t:
         out = accounting.global_accounting(t["replicas"], t["rses"], t["rse_metadata"], t["contents"], t["dids"],
                                            cut_lineage=cut_lineage, split_hot_files=split_hot_files)
-        sinks.write_ordered(out, _out(reports, "global_accounting", date), ("scope", "name"), mode=mode)
+        _publish(spark, reports, "global_accounting", date, mode, lambda p: sinks.write_ordered(out, p, ("scope", "name")))
 
 
 def documents_job(spark: SparkSession, reports: str, date: str, month: str, target: str | None = None,
                   fmt: str = "json", options: Mapping[str, str] | None = None) -> None:
-    """R8 + R9: read the written accounting report of ``date`` and append its documents.
+    """R8 + R9: read the published accounting report of ``date`` and deliver its documents, replacing the date's earlier ones.
 
-    ``target`` defaults to ``<reports>/<index>`` for the ``json`` format; for a
+    ``target`` defaults to ``<reports>/<index>`` for the file formats (``json``, ``bulk``); for a
     connector format pass the index name.
     """
     prepare(spark)
-    report = read_accounting(spark, _out(reports, "global_accounting", date))
-    docs = documents.accounting_documents(report, date)
-    documents.deliver_documents(docs, target or f"{reports.rstrip('/')}/{documents.index_name(month)}", fmt, options)
+    root = _root(reports, "global_accounting")
+    if has_manifest(spark, root) and date not in published_dates(spark, root):
+        raise FileNotFoundError(f"no accounting report of {date} is published under {root}")
+    docs = documents.accounting_documents(read_accounting(spark, f"{root}/date={date}"), date)
+    documents.deliver_documents(docs, target or f"{reports.rstrip('/')}/{documents.index_name(month)}", fmt, options, date=date)
 
 
 def space_usage_job(spark: SparkSession, documents_path: str, out: str, mode: str = "errorifexists") -> None:

@@ -7,12 +7,13 @@ The layout contract of the reports:
   renames to bare ``X`` for readers that expect it), tab-separated, no header,
   the element repeated as the first data column (``_rse``) since partition
   columns leave the rows;
-* incident reports: one file, ordered; the full consistency listing: ordered parts
-  (one file on request);
+* incident reports: one file, ordered, joined from ordered parts; the full consistency
+  listing: ordered parts (one file on request);
 * accounting: many files, globally ordered by (scope, name);
 * times as text in the report's format (``TS_SECONDS`` or ``TS_MILLIS_UTC``).
 
-Save mode defaults to ``errorifexists``: a dated report is written once.
+Save mode defaults to ``errorifexists``: a dated report is written once. Dated reports are
+written through ``publish.publish``, which makes them visible in one step.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dumpwise.publish import Files, publish
+
 # Timestamp text formats of the reports.
 TS_SECONDS = "yyyy-MM-dd HH:mm:ss"
 TS_MILLIS_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
@@ -86,18 +89,70 @@ def write_per_rse(df: DataFrame, path: str, sort_keys: Sequence[str] = ("scope",
     _text_writer(out, mode, compression, timestamp_format, options).partitionBy("rse").csv(path)
 
 
+# Codecs whose streams may follow each other in one file.
+JOINABLE = {None: "", "none": "", "bzip2": ".bz2", "gzip": ".gz"}
+COPY_BUFFER = 4 << 20
+
+
+def join_parts(spark: SparkSession, parts: str, target: str) -> None:
+    """Make the part files of ``parts``, in their order, the one file ``target``; ``parts`` goes.
+
+    The file system joins them itself where it can (a metadata operation on HDFS);
+    elsewhere their bytes are streamed one after the other through a buffer of
+    ``COPY_BUFFER`` bytes, without decompressing or parsing them.
+    """
+    files = Files(spark, parts)
+    names = sorted((n for n in files.children(parts) if n.startswith("part-")), key=lambda n: int(n.split("-")[1].split(".")[0]))
+    paths = [files.path(f"{parts}/{n}") for n in names]
+    if len(paths) > 1:
+        rest = spark.sparkContext._gateway.new_array(files.jvm.org.apache.hadoop.fs.Path, len(paths) - 1)
+        for i, p in enumerate(paths[1:]):
+            rest[i] = p
+        try:
+            files.fs.concat(paths[0], rest)
+        except Exception:  # not offered, or not for these files
+            joined = files.path(f"{parts}/joined")
+            out = files.fs.create(joined, True)
+            try:
+                for p in paths:
+                    source = files.fs.open(p)
+                    try:
+                        files.jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, COPY_BUFFER, False)
+                    finally:
+                        source.close()
+            finally:
+                out.close()
+            paths[0] = joined
+    if paths:
+        files.move(paths[0].toString(), target)
+    else:
+        files.fs.create(files.path(target), True).close()
+    files.remove(parts)
+
+
 def write_single_file(df: DataFrame, path: str, order_by: Sequence[str] = (), *, mode: str = "errorifexists",
                       compression: str | None = None, timestamp_format: str | None = None,
                       options: Mapping[str, str] | None = None) -> None:
     """One text file, rows in ``order_by`` order (incident reports, the full consistency listing).
 
-    ``repartition(1)`` (not ``coalesce(1)``): everything upstream stays parallel
-    and only the final sort and write run in the one task a single file needs.
+    The rows are sorted and written in globally ordered parts by as many tasks as
+    the shuffle has, then the parts are joined to one file (``join_parts``), so no task
+    holds, sorts or compresses the whole report. Codecs: bzip2, gzip or none.
     """
-    out = df.repartition(1)
-    if order_by:
-        out = out.sortWithinPartitions(*order_by)
-    _text_writer(out, mode, compression, timestamp_format, options).csv(path)
+    spark = df.sparkSession
+    if compression not in JOINABLE:
+        raise ValueError(f"a single file is joined from parts: compression must be one of {list(JOINABLE)}")
+    files = Files(spark, path)
+    if files.exists(path):
+        if mode == "ignore":
+            return
+        if mode != "overwrite":
+            raise FileExistsError(f"{path} exists")
+        files.remove(path)
+    parts = f"{path.rstrip('/')}/_parts"
+    _text_writer(df.orderBy(*order_by) if order_by else df, "errorifexists", compression, timestamp_format, options).csv(parts)
+    join_parts(spark, parts, f"{path.rstrip('/')}/part-00000.csv{JOINABLE[compression]}")
+    files.fs.create(files.path(f"{path.rstrip('/')}/_SUCCESS"), True).close()
 
 
 def write_ordered(df: DataFrame, path: str, order_by: Sequence[str], *, mode: str = "errorifexists",
@@ -107,20 +162,50 @@ def write_ordered(df: DataFrame, path: str, order_by: Sequence[str], *, mode: st
     _text_writer(df.orderBy(*order_by), mode, compression, timestamp_format, options).csv(path)
 
 
-def write_documents(df: DataFrame, target: str, fmt: str = "json", *, mode: str = "append",
+# Writer options that make a store replace a document of the same id, by a word of the connector's format name.
+STORE_OPTIONS = {
+    "elasticsearch": {"es.mapping.id": "id", "es.write.operation": "index"},
+    "opensearch": {"opensearch.mapping.id": "id", "opensearch.write.operation": "index"},
+}
+FILE_FORMATS = ("json", "bulk", "parquet", "orc", "csv")
+DOCUMENTS_PER_BULK_FILE = 20_000  # a file is one bulk request
+
+
+def bulk_lines(docs: DataFrame, index: str, id_col: str = "id") -> DataFrame:
+    """Documents as a search store's bulk lines: an ``index`` action with the document's id, then the document."""
+    action = F.to_json(F.struct(F.struct(F.lit(index).alias("_index"), F.col(id_col).alias("_id")).alias("index")))
+    return docs.select(F.concat(action, F.lit("\n"), F.to_json(F.struct("*"))).alias("value"))
+
+
+def write_documents(df: DataFrame, target: str, fmt: str = "json", *, date: str | None = None, mode: str = "overwrite",
                     options: Mapping[str, str] | None = None) -> None:
-    """Append documents to an index or path (R9).
+    """Deliver documents (R9) so that delivering the same date again leaves each id once.
 
-    ``fmt`` is any DataFrame writer format: ``json`` (default, a directory per
-    index), or a search-engine connector format when its jar is on the cluster
-    (pass its node and mapping options in ``options``; ``target`` is the index).
-    Documents carry their ``id``; whether a re-run replaces or duplicates them
-    is the store's id mapping, configured through ``options``.
+    Files (``json``, ``bulk`` and Spark's other file formats): the documents of ``date`` are
+    published as ``<target>/date=<date>`` and replace an earlier delivery of that
+    date as a whole (``publish``); a delivery killed half-way leaves the earlier one or
+    none, never a part. ``bulk`` writes request files in a search store's bulk
+    format, whose actions replace by id as well.
+
+    Any other format is a store's connector (its jar on the cluster, its nodes in
+    ``options``): documents are appended with their ``id`` as the store's id, so a
+    rerun replaces them; ``options`` may override ``STORE_OPTIONS``.
     """
-    w = df.write.format(fmt).mode(mode)
-    if options:
-        w = w.options(**options)
-    w.save(target)
+    if fmt in FILE_FORMATS:
+        if date is None:
+            raise ValueError("files are replaced by date: pass the documents' date")
+
+        def write(path: str) -> None:
+            rows = bulk_lines(df, target.rstrip("/").rsplit("/", 1)[-1]) if fmt == "bulk" else df
+            w = rows.write.options(**(options or {}))
+            if fmt == "bulk":
+                w = w.option("maxRecordsPerFile", DOCUMENTS_PER_BULK_FILE)
+            w.format("text" if fmt == "bulk" else fmt).save(path)
+
+        publish(df.sparkSession, target, date, write, mode=mode, count_rows=fmt in ("json", "csv"))
+        return
+    known = {k: v for word, defaults in STORE_OPTIONS.items() if word in fmt for k, v in defaults.items()}
+    df.write.format(fmt).mode("append").options(**(known | dict(options or {}))).save(target)
 
 
 def strip_partition_prefix(spark: SparkSession, path: str, column: str = "rse") -> list[str]:

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from dumpwise.operators import consistency, datasets, incidents, replicas
 from dumpwise.operators.accounting import accounting_columns
+from dumpwise.publish import has_manifest, published_dates, read_manifest
 
 _LONGS = {"bytes", "count", "copies", "updated_at", "created_at", "accessed_at"}
 
@@ -56,7 +57,8 @@ def read_dated_reports(spark: SparkSession, root: str, schema: T.StructType | st
 
     ``date`` and ``rse`` come from the directory names, so filters on them prune
     whole directories before any file is opened. ``schema`` may be a
-    ``REPORT_LAYOUTS`` key for the per-element reports.
+    ``REPORT_LAYOUTS`` key. Under a root with a manifest only published dates are read; a root
+    without one is read as it is.
     """
     if isinstance(schema, str) and schema in REPORT_LAYOUTS:
         schema = REPORT_LAYOUTS[schema]
@@ -65,19 +67,32 @@ def read_dated_reports(spark: SparkSession, root: str, schema: T.StructType | st
         reader = reader.option("sep", sep).option("header", "false")
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(root)
+    if not has_manifest(spark, root):
+        return reader.load(root)
+    dates = published_dates(spark, root)
+    if not dates:
+        if schema is None:
+            raise ValueError(f"{root} has no published report: pass a schema to read it as empty")
+        fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+        keys = [T.StructField("date", T.DateType()), T.StructField("rse", T.StringType())]
+        return spark.createDataFrame([], T.StructType([*fields.fields, *keys]))
+    return reader.load([f"{root.rstrip('/')}/date={d}" for d in dates])
 
 
 def existing_reports(spark: SparkSession, root: str, dates: list[str]) -> DataFrame:
     """``(date, rse)`` of every report directory of ``dates`` holding at least one file, empty files included.
 
-    A report exists when its directory has a file, as the original lookup
-    decided it. Spark's scans skip empty files, so this uses the file index's
+    Under a root with a manifest: the published reports, from the entries of
+    ``dates`` alone (one small read, no listing of report files). Else a report
+    exists when its directory has a file, as the original lookup decided it. Spark's scans skip empty files, so this uses the file index's
     listing instead (``inputFiles``: file-system metadata Spark already keeps on
     the driver for any file scan; nothing is read). ``dates`` (the lookup
     window, ``lookup.window_dates``) bounds the listing, whatever the length of
     the history. Reports without an element level get ``rse`` NULL.
     """
+    if has_manifest(spark, root):
+        entries = read_manifest(spark, root, dates).where("files > 0 or element is null")
+        return entries.select("date", entries["element"].alias("rse")).distinct()
     from urllib.parse import unquote
 
     jvm = spark.sparkContext._jvm
@@ -100,6 +115,8 @@ def existing_reports(spark: SparkSession, root: str, dates: list[str]) -> DataFr
 
 def read_element_report(spark: SparkSession, root: str, date: str, rse: str, layout: str) -> DataFrame:
     """One element's report of one date, from ``rse=X`` or from a bare ``X`` directory (``strip_partition_prefix``)."""
+    if has_manifest(spark, root) and date not in published_dates(spark, root):
+        return spark.createDataFrame([], REPORT_LAYOUTS[layout])
     jvm = spark.sparkContext._jvm
     folders = [f"{root.rstrip('/')}/date={date}/{name}" for name in (f"rse={rse}", rse)]
     there = [f for f in folders if (p := jvm.org.apache.hadoop.fs.Path(f)).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)]

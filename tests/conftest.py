@@ -10,6 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from dumpwise.session import local_session  # noqa: E402
 
+
 @pytest.fixture(scope="session")
 def spark():
     s = local_session(cores="*", shuffle_partitions=8, app="dumpwise-tests")

@@ -128,10 +128,15 @@ def test_accounting_and_documents_jobs(spark, dump, scratch):
         keys += [tuple(ln.split("\t")[:2]) for ln in open(f).read().splitlines()]
     assert keys == sorted(keys)
     jobs.documents_job(spark, scratch, DATE, "2026-12")
-    jobs.documents_job(spark, scratch, DATE, "2026-12")  # re-running a date appends duplicates
+    jobs.documents_job(spark, scratch, DATE, "2026-12")  # a date that runs again replaces its documents
     docs = spark.read.json(f"{scratch}/global-accounting-2026-12")
-    assert docs.count() == 2 * direct.count()
-    assert docs.select("id").distinct().count() == direct.count()
+    assert docs.count() == docs.select("id").distinct().count() == direct.count()
+    jobs.documents_job(spark, scratch, DATE, "2026-12", target=f"{scratch}/bulk-index", fmt="bulk")
+    lines = [json.loads(ln) for f in _files(f"{scratch}/bulk-index/date={DATE}") for ln in open(f)]
+    assert len(lines) == 2 * direct.count()
+    assert {x["index"]["_id"] for x in lines[::2]} == {x["id"] for x in lines[1::2]} == {r["id"] for r in docs.select("id").collect()}
+    with pytest.raises(FileNotFoundError):
+        jobs.documents_job(spark, scratch, "2026-12-02", "2026-12")
 
 
 def test_space_usage_job(spark, scratch):
