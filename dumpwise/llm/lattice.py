@@ -23,8 +23,8 @@ the recall holds (a test measures it for every shape).
 
 Cases: vectors that are null, empty, zero or hold null or non-finite components
 link with nothing; vectors of different length do not link; rows with null id
-link with nothing and are kept; repeated rows are copies of each other; ids are
-expected to name one vector; an empty table gives no rows.
+link with nothing and are kept; repeated rows are copies of each other; an id may
+name several vectors, it only labels them; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -178,10 +178,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     finite = F.forall("vector", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)) & ~F.isnan(F.coalesce(x, F.lit(0.0))))
     usable = F.coalesce(F.col("vec_id").isNotNull() & finite & F.exists("vector", lambda x: x != 0.0), F.lit(False))
     rows = rows.withColumn("usable", usable)
-    grouped = rows.where("usable").groupBy("vector").agg(F.min("vec_id").alias("class_id"), F.count(F.lit(1)).alias("copies"))
-    classes = staged(grouped, "lattice-classes")
-    single = classes.groupBy("class_id").agg(F.min("vector").alias("vector"))  # an id with several vectors counts with one
-    classes = classes.join(single, ["class_id", "vector"])
+    grouped = rows.where("usable").groupBy("vector").agg(F.min("vec_id").alias("label"), F.count(F.lit(1)).alias("copies"))
+    # a number of its own for every vector; ids are only labels, one may name several vectors
+    classes = staged(grouped.withColumn("class_id", F.monotonically_increasing_id()), "lattice-classes")
     tables, blocks = shape_for(classes.count())
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,9 +216,11 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     if cut.limit(1).count():
         chained = components(cut.select(F.col("class_id").alias("a"), F.col("root").alias("b")))
         linked = linked.join(chained, F.col("class_id") == F.col("node"), "left").withColumn("root", F.coalesce("component", "root")).drop("node", "component")
-    per_class = classes.join(linked, "class_id", "left").select(
-        F.col("vector").alias("v"), (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n"), F.coalesce("root", "class_id").alias("root"))
-    some = rows.where("usable").join(per_class, F.col("vector") == F.col("v"), "left")
-    done = some.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "vec_id").alias("component_id"))
+    linked = linked.join(classes.select("class_id", "label"), "class_id")
+    named = linked.groupBy("root").agg(F.min("label").alias("component_id"))
+    linked = linked.join(named, "root").select("class_id", "linked", "component_id")
+    per_class = classes.select("class_id", "label", "copies", F.col("vector").alias("v")).join(linked, "class_id", "left").select(
+        "v", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("component_id", "label").alias("component_id"))
+    done = rows.where("usable").join(per_class, F.col("vector") == F.col("v")).select("vec_id", F.col("n_links").cast("long").alias("n_links"), "component_id")
     rest = rows.where(~F.col("usable")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return done.unionByName(rest).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

@@ -24,8 +24,8 @@ whether the document is that one.
 Words: A-Z lower-cased, ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``. A text of 1 to 4
 words is one shingle; a text without words (or null) links with nothing, not even
 its copies. Rows with null id link with nothing and are kept. Repeated rows count
-as copies of each other. Ids are expected to name one text; if one names several,
-its rows share the links found for the first. An empty table gives no rows.
+as copies of each other. An id may name several texts: texts are told apart by
+their digest, ids only name classes and components. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -248,6 +248,11 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tile_words: int = TILE_WORDS, bucket: int = BUCKET) -> DataFrame:
     """``doc_id, class_id, n_links, component_id, kept`` for every row of ``docs``."""
+    return joined_rows(docs, id_col, text_col, tile_words, bucket).drop("digest")
+
+
+def joined_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tile_words: int = TILE_WORDS, bucket: int = BUCKET) -> DataFrame:
+    """The join's rows with the ``digest`` (MD5) of their text, which tells the rows of an id that names several texts apart."""
     spark = docs.sparkSession
     n = partitions(spark)
     text = F.col(text_col).cast("string")
@@ -255,11 +260,10 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     signed = staged(rows.mapInArrow(_signatures, "doc_id long, digest binary, n_words long, signature binary"), "ngram-signatures")
     classes = (
         signed.where("doc_id is not null and signature is not null").groupBy("digest")
-        .agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies"), F.first("signature").alias("signature"), F.first("n_words").alias("n_words"))
+        .agg(F.min("doc_id").alias("label"), F.count(F.lit(1)).alias("copies"), F.first("signature").alias("signature"), F.first("n_words").alias("n_words"))
     )
-    classes = staged(classes, "ngram-classes")
-    single = classes.groupBy("class_id").agg(F.min("digest").alias("digest"))  # an id with several texts counts with one
-    classes = classes.join(single, ["class_id", "digest"])
+    # a number of its own for every text; ids are only labels, one may name several texts
+    classes = staged(classes.withColumn("class_id", F.monotonically_increasing_id()), "ngram-classes")
 
     bands = staged(classes.select("class_id", "signature").mapInArrow(_bands, "band long, class_id long"), "ngram-bands")
     shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("class_id").alias("first")).where("n > 1")
@@ -276,9 +280,9 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = rows.where("doc_id is not null").select("doc_id", "digest", "text")
     placed = (
         groups.join(tiles, F.col("component") == F.col("group")).join(classes, F.col("node") == F.col("class_id"))
-        .select("class_id", "digest", "copies", "signature", "group", "tiles", F.pmod(F.xxhash64("class_id"), F.col("tiles")).alias("tile"))
+        .select("class_id", "label", "digest", "copies", "signature", "group", "tiles", F.pmod(F.xxhash64("class_id"), F.col("tiles")).alias("tile"))
     )
-    full = placed.join(texts.withColumnRenamed("digest", "d"), (F.col("doc_id") == F.col("class_id")) & (F.col("d") == F.col("digest"))).drop("doc_id", "d", "digest").dropDuplicates(["class_id"])
+    full = placed.join(texts.withColumnRenamed("digest", "d"), (F.col("doc_id") == F.col("label")) & (F.col("d") == F.col("digest"))).drop("doc_id", "d", "digest", "label").dropDuplicates(["class_id"])
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
     work = full.withColumn("other", other).withColumn("i", F.least("tile", "other")).withColumn("j", F.greatest("tile", "other")).withColumn("text", F.col("text").cast("binary")).drop("other")
     found = work.repartition(n, "group", "i", "j").sortWithinPartitions("group", "i", "j").mapInArrow(_verified, "class_id long, linked long, root long, tiles long")
@@ -289,11 +293,14 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if cut.limit(1).count():
         chained = components(cut.select(F.col("class_id").alias("a"), F.col("root").alias("b")))
         linked = linked.join(chained, F.col("class_id") == F.col("node"), "left").withColumn("root", F.coalesce("component", "root")).drop("node", "component")
-    per_class = classes.select("digest", "class_id", "copies").join(linked, "class_id", "left").select(
-        "digest", "class_id", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n"), F.coalesce("root", "class_id").alias("root"))
+    linked = linked.join(classes.select("class_id", "label"), "class_id")
+    named = linked.groupBy("root").agg(F.min("label").alias("component_id"))
+    linked = linked.join(named, "root").select("class_id", "linked", "component_id")
+    per_class = classes.select("digest", "class_id", "label", "copies").join(linked, "class_id", "left").select(
+        "digest", "label", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n"), F.coalesce("component_id", "label").alias("component_id"))
     # equal texts share a digest; rows without words or id match no class
-    out = signed.where("doc_id is not null and signature is not null").join(per_class, "digest", "left")
+    out = signed.where("doc_id is not null and signature is not null").join(per_class, "digest")
     alone = signed.where("doc_id is null or signature is null")
-    done = out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("root", "doc_id").alias("component_id"))
-    rest = alone.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id"))
-    return done.unionByName(rest).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    done = out.select("doc_id", F.col("label").alias("class_id"), F.col("n").alias("n_links"), "component_id", "digest")
+    rest = alone.select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id"), "digest")
+    return done.unionByName(rest).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))).select("doc_id", "class_id", "n_links", "component_id", "kept", "digest")

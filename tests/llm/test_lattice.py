@@ -109,3 +109,13 @@ def test_edges(spark):
     assert run(spark, [(1, [1e-30, 0.0]), (1, [1e-30, 0.0]), (2, [1e30, 1e29])], "double") == [(1, 2, 1), (1, 2, 1), (2, 2, 1)]
     rows = L.near_duplicates(spark.createDataFrame([(None, [1.0], 3), (4, [1.0], 3)], "vec_id long, embedding array<float>, copies int")).collect()
     assert sorted(map(tuple, rows), key=str) == [(4, 0, 4, True), (None, 0, None, True)]
+
+
+def test_an_id_may_name_several_vectors(spark):
+    rng = np.random.default_rng(8)
+    v, w, x = (rng.normal(size=16).astype(np.float32).tolist() for _ in range(3))
+    near = (np.array(v, np.float32) * 1.5 + 0.01).tolist()
+    rows = [(5, v), (5, w), (9, w), (11, v), (12, near), (5, near), (3, x), (12, x)]
+    got = run(spark, rows)
+    assert got == brute(rows)
+    assert (11, 3, 5) in got and (9, 1, 5) in got

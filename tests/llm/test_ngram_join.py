@@ -104,3 +104,20 @@ def test_components(spark):
     chain = [(i, i + 1) for i in range(200)] + [(1000, i) for i in range(1001, 1100)] + [(5000, 5000)]
     got = dict(map(tuple, components(spark.createDataFrame(chain, "a long, b long")).collect()))
     assert got == {**{i: 0 for i in range(201)}, **{i: 1000 for i in range(1000, 1100)}}
+
+
+def test_an_id_may_name_several_texts(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    near = a + " tail"
+    docs = [(5, a), (5, b), (9, b), (11, a), (12, near), (3, c), (12, c), (5, near), (7, "lonely words stand here alone")]
+    got = run(spark, docs)
+    assert got == brute(docs)
+    assert (11, 3, 5) in got and (9, 1, 5) in got
+
+
+def test_classes_of_one_label_stay_apart_in_tiles(spark):
+    docs = [(1, f"{PREFIX} t{i}") for i in range(12)] + [(2 + i, f"{PREFIX} t{i}") for i in range(12)] + [(1, "other text that is not like them")]
+    assert run(spark, docs, tile_words=100, bucket=3) == brute(docs)
+
+
+PREFIX = " ".join(f"p{i}" for i in range(60))
