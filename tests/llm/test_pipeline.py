@@ -95,6 +95,21 @@ def test_mixing_of_null_and_repeated_ids(spark, sf_dir):
     assert sorted(map(str, got)) == sorted(str(r.asDict()) for r in P.mixing(spark, spark.createDataFrame(docs, COLUMNS), sf_dir).collect())
 
 
+def test_near_duplicates_of_an_id_with_several_texts(spark, sf_dir):
+    docs = [(5, prose(1), "en", "s0", 1), (5, prose(2), "en", "s0", 1), (3, prose(2), "en", "s0", 1), (11, prose(1), "en", "s0", 1), (5, prose(1), "en", "s0", 1)]
+    got = sorted(tuple(r) for r in P.near_duplicates(spark, spark.createDataFrame(docs, COLUMNS), sf_dir).collect())
+    assert got == [docs[2], docs[0]]
+
+
+def test_mixing_keeps_rows_that_hardly_differ(spark, sf_dir):
+    cases = ["timestamp'2024-01-01 00:00:00.000001'", "timestamp'2024-01-01 00:00:00.000002'", "timestamp'2024-01-01 00:00:00'", "cast(null as timestamp)"]
+    numbers = ["double('NaN')", "cast(null as double)", "0.1D", "0.10000000000000002D"]
+    select = " union all ".join(f"select 1L doc_id, 'w w w' text, 'en' lang, 's' source, 3L n_chars, {t} at, {x} x, named_struct('in', to_timestamp_ntz({t})) nested" for t in cases for x in numbers)
+    docs = spark.sql(select)
+    got = P.mixing(spark, docs, sf_dir)
+    assert sorted(map(str, got.select(docs.columns).collect())) == sorted(map(str, docs.collect()))
+
+
 def test_empty_documents(spark, sf_dir):
     empty = spark.createDataFrame([], COLUMNS)
     for _, stage in P.STAGES:
