@@ -11,7 +11,7 @@ of ``documents``.
 5. mixing: every source gets its target of words; a document stays with its number of
    ``copies`` (documents with none go).
 
-Rows with a null id pass stage 2 as they are. Ids are expected to name one text.
+Rows with a null id pass stage 2 as they are; an id that names several texts is several documents there.
 """
 
 from __future__ import annotations
@@ -23,13 +23,15 @@ from dumpwise.llm.common import ship, staged, table
 from dumpwise.llm.decontaminate import contamination_mark
 from dumpwise.llm.language_id import language_of, train
 from dumpwise.llm.mixing import mix
-from dumpwise.llm.ngram_join import jaccard_join
+from dumpwise.llm.ngram_join import joined_rows
 from dumpwise.llm.pii import pseudonymise
 from dumpwise.llm.queries import PSEUDONYM_KEY
 
 # Share of a document's n-grams that its best language must hold, once it is long enough to tell; prose has far more.
 MIN_LANGUAGE_SHARE = 0.2
 TELLING_CHARS = 40
+# Times as JSON text with all their digits.
+WHOLE_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +45,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, and of repeated rows one."""
     ship(spark)
-    kept = jaccard_join(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    kept = joined_rows(docs).where("kept and doc_id is not null").select(F.col("doc_id").alias("kept_id"), "digest").distinct()
+    same = (F.col("doc_id") == F.col("kept_id")) & (F.unhex(F.md5(F.coalesce("text", F.lit("")))) == F.col("digest"))
+    one = docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
     return one.unionByName(docs.where("doc_id is null")).select(docs.columns)
 
 
@@ -66,7 +69,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.drop("size", "target", "copies", "taken")  # extra columns that would clash with the mix
     key = "_" * (1 + max(map(len, rows.columns)))  # a name that no column has
     # The key is the whole row, so only equal rows share one; they are dealt the copies of their key as a group.
-    rest = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != "text"]))
+    rest = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != "text"]), WHOLE_TIMES)
     whole = F.concat(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256), F.col("text").isNull().cast("string"), rest)
     keyed = rows.withColumn(key, F.unhex(F.substring(F.sha2(whole.cast("binary"), 256), 1, 32)))
     mixed = ["size", "target", "copies", "taken"]
