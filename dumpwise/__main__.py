@@ -58,7 +58,8 @@ def _parser() -> argparse.ArgumentParser:
     job("lost", window=True)
     acc = job("accounting")
     acc.add_argument("--cut-lineage", action="store_true")
-    acc.add_argument("--split-hot-files", action="store_true")
+    acc.add_argument("--split-hot-files", action="store_true", default=None,
+                     help="merge every file's replicas before the owner join (default: of files found hot)")
     d = sub.add_parser("documents")
     d.add_argument("--reports", required=True)
     d.add_argument("--date", required=True)

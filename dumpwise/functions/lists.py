@@ -1,11 +1,9 @@
-"""Ordered list aggregation (lists of accounts and rules in lock order).
+"""Ordered list fields (lists of accounts and rules in lock order).
 
-A group's values are collected as one ``struct(order, values...)`` list and
-sorted once, so paired lists (account, rule) keep their pairing even on ties
-of the order key; each output list then drops its own NULLs, as a plain
+A group's values are collected as one ``struct(order, values...)`` list
+(``plans.hot.ordered_lists``), so paired lists (account, rule) keep their pairing even on
+ties of the order key; each output list then drops its own NULLs, as a plain
 ``collect_list`` would. Ties on the order key are broken by the values.
-The aggregate is partial (map-side), so a hot group ships one partial list per
-map task, not one row per lock.
 """
 
 from __future__ import annotations

@@ -23,6 +23,7 @@ import operator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dumpwise.plans.hot import HOT_ROWS, hot_keys, is_hot
 from dumpwise.plans.joins import Profile, join_dimension, profile
 
 # Attribute keys, padding of a missing attribute, storage element types,
@@ -137,8 +138,30 @@ def dataset_owners(contents: DataFrame) -> DataFrame:
 _REPLICA_MAX = ("bytes", "type", "rse_type", "tier", "accessed_at")
 
 
+def _with_owner(reps: DataFrame, owners: DataFrame) -> DataFrame:
+    """Replica rows with their file's owner; files whose parents all have the ignored scope go."""
+    joined = reps.join(owners.withColumn("has_parent", F.lit(True)), ["fscope", "fname"], "left").filter(
+        F.col("has_parent").isNull() | F.col("owner").isNotNull())
+    return joined.select(
+        "fscope", "fname", "rse", *_REPLICA_MAX,
+        F.coalesce(F.col("owner.dscope"), F.lit(NO_SCOPE)).alias("dscope"),
+        F.coalesce(F.col("owner.dname"), F.lit(NO_NAME)).alias("dname"),
+    )
+
+
+def _merged(reps: DataFrame, keys: list[str], unique_rse_names: bool) -> DataFrame:
+    """One row per ``keys``: the maxima of the replica attributes."""
+    if not unique_rse_names:
+        return reps.groupBy(*keys).agg(*[F.max(c).alias(c) for c in _REPLICA_MAX])
+    return reps.groupBy(*keys, "rse_type", "tier").agg(
+        F.max("bytes").alias("bytes"),
+        F.max(F.col("type") == SECONDARY).alias("_secondary"),
+        F.max("accessed_at").alias("accessed_at"),
+    ).withColumn("type", F.when(F.col("_secondary"), F.lit(SECONDARY)).otherwise(F.lit(PRIMARY)))
+
+
 def attribute_to_dataset(classified: DataFrame, contents: DataFrame, unique_rse_names: bool = False,
-                         split_hot_files: bool = False) -> DataFrame:
+                         split_hot_files: bool | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """One owning dataset per (file, element): the smallest ``scope:name`` among its parents.
 
     A file in no dataset belongs to ``no_scope:no_name``; a file whose parents
@@ -152,49 +175,30 @@ def attribute_to_dataset(classified: DataFrame, contents: DataFrame, unique_rse_
     secondary flag) and the grouping runs as a hash aggregate instead of a
     sort-based one over all replicas.
 
-    ``split_hot_files=True`` merges a file's rows per element *before* the
-    owner join (a partial aggregate with its own exchange; exact, as the owner
-    depends on the file alone). No grouping then follows the join, so AQE may
-    split a file with a huge number of rows there; the price is one more
-    shuffle of the replica rows. By default the grouping reuses the join's
-    partitioning, which holds while a file has one replica per element.
+    Files with ``hot_rows`` replica rows or more (found by a sketch over the file
+    keys) have their rows merged per element *before* the owner join: a partial
+    aggregate with its own exchange, exact as the owner depends on the file
+    alone, after which a file has one row per element. All others group after
+    the join and reuse its partitioning, without any more shuffle.
+    ``split_hot_files=True`` sends all files the first way, ``False`` none.
     """
     reps = classified.select(F.col("scope").alias("fscope"), F.col("name").alias("fname"), "rse", *_REPLICA_MAX)
+    owners, file, out = dataset_owners(contents), ["fscope", "fname"], ["fscope", "fname", "rse", "dscope", "dname", *_REPLICA_MAX]
+
+    def before(some: DataFrame, their: DataFrame) -> DataFrame:
+        return _with_owner(_merged(some, [*file, "rse"], unique_rse_names), their).select(*out)
+
+    def after(some: DataFrame) -> DataFrame:
+        return _merged(_with_owner(some, owners), [*file, "rse", "dscope", "dname"], unique_rse_names).select(*out)
+
     if split_hot_files:
-        if unique_rse_names:
-            merged = reps.groupBy("fscope", "fname", "rse", "rse_type", "tier").agg(
-                F.max("bytes").alias("bytes"), F.max(F.col("type") == SECONDARY).alias("_secondary"),
-                F.max("accessed_at").alias("accessed_at"),
-            ).withColumn("type", F.when(F.col("_secondary"), F.lit(SECONDARY)).otherwise(F.lit(PRIMARY)))
-        else:
-            merged = reps.groupBy("fscope", "fname", "rse").agg(*[F.max(c).alias(c) for c in _REPLICA_MAX])
-        owners = dataset_owners(contents).withColumn("has_parent", F.lit(True))
-        joined = merged.join(owners, ["fscope", "fname"], "left").filter(
-            F.col("has_parent").isNull() | F.col("owner").isNotNull())
-        grouped = joined.select(
-            "fscope", "fname", "rse", *_REPLICA_MAX,
-            F.coalesce(F.col("owner.dscope"), F.lit(NO_SCOPE)).alias("dscope"),
-            F.coalesce(F.col("owner.dname"), F.lit(NO_NAME)).alias("dname"),
-        )
-    else:
-        owners = dataset_owners(contents).withColumn("has_parent", F.lit(True))
-        joined = reps.join(owners, ["fscope", "fname"], "left").filter(
-            F.col("has_parent").isNull() | F.col("owner").isNotNull())
-        owned = joined.select(
-            "fscope", "fname", "rse", *_REPLICA_MAX,
-            F.coalesce(F.col("owner.dscope"), F.lit(NO_SCOPE)).alias("dscope"),
-            F.coalesce(F.col("owner.dname"), F.lit(NO_NAME)).alias("dname"),
-        )
-        if unique_rse_names:
-            grouped = owned.groupBy("fscope", "fname", "rse", "dscope", "dname", "rse_type", "tier").agg(
-                F.max("bytes").alias("bytes"),
-                F.max(F.col("type") == SECONDARY).alias("_secondary"),
-                F.max("accessed_at").alias("accessed_at"),
-            ).withColumn("type", F.when(F.col("_secondary"), F.lit(SECONDARY)).otherwise(F.lit(PRIMARY)))
-        else:
-            grouped = owned.groupBy("fscope", "fname", "rse", "dscope", "dname").agg(
-                *[F.max(c).alias(c) for c in _REPLICA_MAX])
-    return grouped.select("fscope", "fname", "rse", "dscope", "dname", *_REPLICA_MAX)
+        return before(reps, owners)
+    hot = hot_keys(reps, file, hot_rows) if split_hot_files is None else []
+    if not hot:
+        return after(reps)
+    split = is_hot(file, hot)  # never NULL: a hash
+    theirs = contents.filter(is_hot(["child_scope", "child_name"], hot))
+    return before(reps.filter(split), dataset_owners(theirs)).unionByName(after(reps.filter(~split)))
 
 
 def rse_names_unique(accounted: DataFrame) -> bool:
@@ -287,7 +291,7 @@ def replication_factors(usage: DataFrame, dids: DataFrame) -> DataFrame:
 
 def global_accounting(replicas: DataFrame, rses: DataFrame, rse_metadata: DataFrame, contents: DataFrame,
                       dids: DataFrame, eligible: str | Column = DEFAULT_ELIGIBLE, accessed_means_positive: bool = False,
-                      cut_lineage: bool = False, split_hot_files: bool = False,
+                      cut_lineage: bool = False, split_hot_files: bool | None = None,
                       elements: Profile | None = None) -> DataFrame:
     """The accounting report: one row per dataset, 54 columns (``accounting_columns()``).
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dumpwise.functions.lists import joined_field, sorted_pairs
+from dumpwise.functions.lists import joined_field
+from dumpwise.plans.hot import HOT_ROWS, ordered_lists
 from dumpwise.plans.joins import Profile, join_dimension
 
 # An OK lock; name patterns left out of the full listing (``_`` is a one-character wildcard).
@@ -24,23 +25,21 @@ def ok_locks(dslocks: DataFrame, rses: DataFrame, elements: Profile | None = Non
 
 
 def consistency_datasets(dslocks: DataFrame, rses: DataFrame, dids: DataFrame,
-                         elements: Profile | None = None) -> DataFrame:
+                         elements: Profile | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Per (storage element, dataset) with OK locks: accounts and rules in lock order, size, times,
     and ``count`` = number of storage elements holding an OK lock on the dataset.
 
     ``bytes`` is the dataset's size from ``dids`` (NULL as 0); datasets missing
     from ``dids`` have no row. Times stay raw epoch ms. Columns: ``COLUMNS``.
 
-    Plan: locks aggregate per (scope, name, rse) map-side; the element count is
+    Plan: locks aggregate per (scope, name, rse) map-side, those with ``hot_rows`` locks
+    or more (found by a sketch) in segments of lock time; the element count is
     a window over each dataset's groups (at most one row per element) and the
     join to ``dids`` reuses that window's partitioning by (scope, name).
     """
-    grouped = ok_locks(dslocks, rses, elements).groupBy("scope", "name", "rse").agg(
-        sorted_pairs("created_at", "rule_id", "account").alias("locks"),
-        F.min("created_at").alias("created_at"),
-        F.max("accessed_at").alias("accessed_at"),
-        F.max("updated_at").alias("updated_at"),
-    )
+    times = {"created_at": F.min("created_at"), "accessed_at": F.max("accessed_at"), "updated_at": F.max("updated_at")}
+    grouped = ordered_lists(ok_locks(dslocks, rses, elements), ["scope", "name", "rse"], "created_at", ["rule_id", "account"], times,
+                            min_rows=hot_rows)
     counted = grouped.withColumn("count", F.count(F.lit(1)).over(Window.partitionBy("scope", "name")))
     sizes = dids.select("scope", "name", F.coalesce(F.col("bytes"), F.lit(0)).cast("bigint").alias("bytes"))
     return counted.join(sizes, ["scope", "name"]).select(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dumpwise.functions.epoch import ms_to_timestamp
 from dumpwise.functions.lists import joined_field
+from dumpwise.plans.hot import HOT_ROWS, ordered_lists
 from dumpwise.plans.joins import Profile, profile
 
 # Dataset DID type; text shown for a dataset replica without lock accounts.
@@ -18,7 +19,7 @@ COLUMNS = ("rse", "scope", "name", "account", "bytes", "created_at", "updated_at
 
 
 def datasets_per_rse(collection_replicas: DataFrame, dslocks: DataFrame, rses: DataFrame,
-                     element_profile: Profile | None = None) -> DataFrame:
+                     element_profile: Profile | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row per dataset replica with the accounts and rules locking it (any lock state).
 
     ``account`` lists lock accounts in lock-creation order (``None`` when there
@@ -29,7 +30,8 @@ def datasets_per_rse(collection_replicas: DataFrame, dslocks: DataFrame, rses: D
     Plan: locks become one list per (scope, name, rse_id) first (a partial,
     map-side aggregate; a hot key ships lists, not rows), so the left join is
     one-to-one unless replicas repeat and a replica's columns are not repeated
-    per lock. A key's list is the report's content and one row in the end. The
+    per lock. A key with ``hot_rows`` locks or more (found by a sketch) is listed in
+    segments of lock time; its list is the report's content and one row in the end. The
     element join is a broadcast. When element names are unique (checked on the
     element table in the same small job as its size), grouping by (scope, name,
     rse_id, rse) equals grouping by (scope, name, rse) and reuses the join's
@@ -38,8 +40,7 @@ def datasets_per_rse(collection_replicas: DataFrame, dslocks: DataFrame, rses: D
     keys = ["scope", "name", "rse_id"]
     reps = collection_replicas.filter(F.col("did_type") == DATASET).select(
         *keys, "available_bytes", "state", "created_at", "accessed_at", "updated_at")
-    lock = F.struct(F.col("created_at").alias("k"), "rule_id", "account")
-    locks = dslocks.groupBy(*keys).agg(F.collect_list(lock).alias("locks"))
+    locks = ordered_lists(dslocks, keys, "created_at", ["rule_id", "account"], min_rows=hot_rows)
     joined = reps.join(locks, keys, "left")
     elements = rses.select(F.col("id").alias("rse_id"), "rse")
     small, unique_names = element_profile or profile(rses, "rse")

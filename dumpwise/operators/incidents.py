@@ -6,6 +6,9 @@ twice: once as a slightly wider range on the raw millisecond column (pushed to
 the file scan, so row groups outside the window are skipped) and once exactly
 on truncated seconds, so results equal a filter on ``created_at / 1000`` even
 for negative times.
+
+The declared files are few beside the table they are joined with (replicas,
+contents history): that table is filtered by them at its scan, before its shuffle.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 
 from dumpwise.functions.epoch import ms_to_seconds, seconds_to_ms
 from dumpwise.functions.paths import prefixed_path, protocol_prefix, url_path
-from dumpwise.plans.joins import Profile, join_dimension
+from dumpwise.plans.joins import Profile, join_dimension, keep_matching
 
 # Bad replica states.
 LOST = "L"
@@ -50,7 +53,8 @@ def lost_files(bad_replicas: DataFrame, contents_history: DataFrame, rses: DataF
     # Storage element first: a broadcast join, so unknown elements drop before the big shuffle.
     lost = join_dimension(lost, rses.select(F.col("id").alias("rse_id"), "rse"), "rse_id",
                           small=elements and elements.small)
-    parents = contents_history.filter(F.col("did_type") == "D").select(
+    parents = contents_history.filter(F.col("did_type") == "D")
+    parents = keep_matching(parents, lost, {"child_scope": "scope", "child_name": "name"}).select(
         F.col("child_scope").alias("fscope"), F.col("child_name").alias("fname"), "scope", "name")
     files = lost.select(F.col("scope").alias("fscope"), F.col("name").alias("fname"), "rse", "account", "updated_at")
     return files.join(parents, ["fscope", "fname"]).select(*LOST_COLUMNS)
@@ -71,12 +75,13 @@ def suspicious_files(bad_replicas: DataFrame, replicas: DataFrame, rses: DataFra
     # Many declarations of one replica collapse before the join (partial aggregate;
     # its hash partitioning on the join keys is reused by the join with replicas).
     suspicious = declared_between(bad_replicas, SUSPICIOUS, start, end).select(*keys).distinct()
-    with_path = suspicious.join(replicas.select(*keys, F.col("path").alias("stored_path")), keys)
+    stored = keep_matching(replicas.select(*keys, F.col("path").alias("stored_path")), suspicious, {k: k for k in keys})
+    with_path = suspicious.join(stored, keys)
     protocols = rse_protocols.filter(F.col("write_lan") == WRITABLE).select(
         "rse_id", protocol_prefix("scheme", "hostname", "prefix").alias("url_prefix"))
     with_url = join_dimension(with_path, protocols, "rse_id")
-    stored = prefixed_path("url_prefix", "stored_path") if keep_stored_path else F.lit(None).cast("string")
-    path = F.when(F.col("stored_path").isNull(), url_path("url_prefix", "scope", "name")).otherwise(stored)
+    kept = prefixed_path("url_prefix", "stored_path") if keep_stored_path else F.lit(None).cast("string")
+    path = F.when(F.col("stored_path").isNull(), url_path("url_prefix", "scope", "name")).otherwise(kept)
     located = join_dimension(with_url, rses.select(F.col("id").alias("rse_id"), "rse"), "rse_id",
                              small=elements and elements.small)
     return located.select("rse", "scope", "name", path.alias("path")).distinct()

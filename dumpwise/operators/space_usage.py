@@ -1,71 +1,51 @@
 """Site space-usage reports: typed rows (R12) and schema violations (R13).
 
-A site publishes one JSON document mapping space-token names to objects with
-``status`` (online/offline), ``status_message``, ``total_space``,
-``used_space``, optional ``num_files``, ``time_stamp`` (integers) and
-``list_of_paths`` (strings). Documents are parsed once as VARIANT; tokens come
-from exploding the root object. Validation reports **every** broken rule per
-document and token (not just the first), in one narrow pass: parse, explode
-tokens, build the list of broken rules, explode it. No shuffle.
-
-Integers follow JSON Schema: a number with no fractional part (``1.0`` and
-``1e3`` are integers, ``1.5`` and ``true`` are not).
+A site publishes one JSON document mapping space-token names to objects. What a
+token must look like is said by a JSON Schema text (``SITE_SCHEMA``, or the caller's),
+compiled into Columns (``functions.json_schema``); typed columns and rules both come from
+it. Documents are parsed once as VARIANT; tokens come from exploding the root
+object. Validation reports **every** broken rule per document and token (not just
+the first), in one narrow pass: parse, explode tokens, build the list of broken
+rules, explode it. No shuffle.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The schema of a site report.
-TOKEN_PATTERN = r"^([A-Z0-9]+([_-][A-Z0-9]+)*)$"
-STATUS_VALUES = ("online", "offline")
-STRING_FIELDS = ("status", "status_message")
-INTEGER_FIELDS = ("total_space", "used_space", "num_files", "time_stamp")
-LIST_FIELD = "list_of_paths"
-REQUIRED = ("status", "status_message", "total_space", "used_space", "time_stamp", "list_of_paths")
-FIELDS = ("status", "status_message", "total_space", "used_space", "num_files", "time_stamp", "list_of_paths")
-
-_INTEGER_TYPES = ("BIGINT", "INT", "SMALLINT", "TINYINT")
-_FLOAT_TYPES = ("DOUBLE", "FLOAT")
-
-
-def _get(v: Column, field: str) -> Column:
-    return F.try_variant_get(v, f"$.{field}", "variant")
-
-
-def _type(x: Column) -> Column:
-    return F.schema_of_variant(x)
-
-
-def is_object(x: Column) -> Column:
-    return F.coalesce(_type(x).startswith("OBJECT"), F.lit(False))
-
-
-def is_string(x: Column) -> Column:
-    return F.coalesce(_type(x) == "STRING", F.lit(False))
+from dumpwise.functions.json_schema import Schema, compile_schema, get, is_type, known_member, member_rules, typed
 
-
-def is_integer(x: Column) -> Column:
-    t = _type(x)
-    d = F.try_variant_get(x, "$", "double")
-    whole_decimal = t.startswith("DECIMAL(") & t.endswith(",0)")
-    whole_float = t.isin(*_FLOAT_TYPES) & ((d % 1) == 0)
-    return F.coalesce(t.isin(*_INTEGER_TYPES) | whole_decimal | whole_float, F.lit(False))
-
-
-def is_array(x: Column) -> Column:
-    return F.coalesce(_type(x).startswith("ARRAY"), F.lit(False))
-
-
-def _items(x: Column) -> Column:
-    return F.try_variant_get(x, "$", "array<variant>")
+# The schema of a site report.
+SITE_SCHEMA = """
+{"type": "object",
+ "patternProperties": {
+  "^([A-Z0-9]+([_-][A-Z0-9]+)*)$": {
+   "type": "object",
+   "properties": {
+    "status": {"type": "string", "enum": ["online", "offline"]},
+    "status_message": {"type": "string"},
+    "total_space": {"type": "integer"},
+    "used_space": {"type": "integer"},
+    "num_files": {"type": "integer"},
+    "time_stamp": {"type": "integer"},
+    "list_of_paths": {"type": "array", "items": {"type": "string"}}},
+   "required": ["status", "status_message", "total_space", "used_space", "time_stamp", "list_of_paths"]}},
+ "additionalProperties": false}
+"""
 
 
-def all_items_strings(x: Column) -> Column:
-    return F.coalesce(
-        F.forall(_items(x), lambda item: F.coalesce(F.schema_of_variant(item) == "STRING", F.lit(False))),
-        F.lit(False))
+@functools.lru_cache(maxsize=16)
+def _schema(text: str) -> Schema:
+    """A schema of reports: an object whose members (tokens) are objects with one schema per name pattern."""
+    schema = compile_schema(text)
+    if schema.types != ("object",) or schema.properties or schema.required or not schema.patterns:
+        raise ValueError("a report schema maps token names to objects: type object with patternProperties")
+    if any(s.types != ("object",) for s in schema.patterns.values()):
+        raise ValueError("the tokens of a report schema must be of type object")
+    return schema
 
 
 def _tokens(reports: DataFrame, doc_col: str, text_col: str) -> DataFrame:
@@ -75,72 +55,57 @@ def _tokens(reports: DataFrame, doc_col: str, text_col: str) -> DataFrame:
     return parsed.select(
         "doc",
         F.col("v").isNull().alias("invalid"),
-        is_object(F.col("v")).alias("root_is_object"),
+        is_type(F.col("v"), "object").alias("root_is_object"),
         F.explode_outer(entries).alias("token", "value"),
     )
 
 
-def space_usage(reports: DataFrame, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def space_usage(reports: DataFrame, doc_col: str = "doc_id", text_col: str = "text", schema: str = SITE_SCHEMA) -> DataFrame:
     """One typed row per well-named token whose value is an object.
 
-    A field of the wrong type is NULL. Columns: ``doc_col, token`` + ``FIELDS``
-    (``list_of_paths`` as ARRAY<STRING>, NULL unless every item is a string).
+    A field of the wrong type is NULL. Columns: ``doc_col, token`` and the
+    schema's properties in their order (a list is NULL unless every item has the
+    item type). A property of several name patterns is typed by the first that has it.
     """
+    root = _schema(schema)
     tokens = _tokens(reports, doc_col, text_col).filter(
-        F.col("token").rlike(TOKEN_PATTERN) & is_object(F.col("value")))
-    v = F.col("value")
-    cols = [F.col("doc").alias(doc_col), "token"]
-    for f in FIELDS:
-        x = _get(v, f)
-        if f in STRING_FIELDS:
-            cols.append(F.when(is_string(x), F.try_variant_get(x, "$", "string")).alias(f))
-        elif f in INTEGER_FIELDS:
-            cols.append(F.when(is_integer(x), F.try_variant_get(x, "$", "bigint")).alias(f))  # beyond 64 bits: range_<field>
-        else:
-            cols.append(F.when(is_array(x) & all_items_strings(x),
-                               F.try_variant_get(x, "$", "array<string>")).alias(f))
-    return tokens.select(*cols)
-
-
-def _token_rules(v: Column) -> list[Column]:
-    rules = []
-    for f in REQUIRED:
-        rules.append(F.when(_get(v, f).isNull(), F.lit(f"missing_{f}")))
-    for f in FIELDS:
-        x = _get(v, f)
-        ok = is_string(x) if f in STRING_FIELDS else is_integer(x) if f in INTEGER_FIELDS else is_array(x)
-        rules.append(F.when(x.isNotNull() & ~ok, F.lit(f"type_{f}")))
-        if f in INTEGER_FIELDS:
-            rules.append(F.when(is_integer(x) & F.try_variant_get(x, "$", "bigint").isNull(), F.lit(f"range_{f}")))
-    status = _get(v, "status")
-    in_enum = is_string(status) & F.try_variant_get(status, "$", "string").isin(*STATUS_VALUES)
-    rules.append(F.when(status.isNotNull() & ~F.coalesce(in_enum, F.lit(False)), F.lit("enum_status")))
-    paths = _get(v, LIST_FIELD)
-    rules.append(F.when(is_array(paths) & ~all_items_strings(paths), F.lit(f"item_type_{LIST_FIELD}")))
-    return rules
-
-
-def space_usage_violations(reports: DataFrame, doc_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        known_member(F.col("token"), root) & is_type(F.col("value"), "object"))
+    fields: dict[str, Schema] = {}
+    for s in root.patterns.values():
+        fields = s.properties | fields if fields else dict(s.properties)
+    cols = [typed(get(F.col("value"), f), s).alias(f) for f, s in fields.items()]
+    return tokens.select(F.col("doc").alias(doc_col), "token", *cols)
+
+
+def _token_rules(token: Column, value: Column, root: Schema) -> Column:
+    """Broken rules of a well-named token's object, by the schema of each pattern its name has."""
+    rules: list[Column] = []
+    for pattern, schema in root.patterns.items():
+        rules += [F.when(token.rlike(pattern), r) for r in member_rules(value, schema)]
+    return F.array_distinct(F.filter(F.array(*rules), lambda r: r.isNotNull()))
+
+
+def space_usage_violations(reports: DataFrame, doc_col: str = "doc_id", text_col: str = "text", schema: str = SITE_SCHEMA) -> DataFrame:
     """One row per broken rule: ``doc_col, token, rule`` (token NULL for document-level rules).
 
-    Rules: ``invalid_json, root_not_object, bad_token_name, value_not_object,
-    missing_<field>, type_<field>, range_<field>, enum_status,
-    item_type_list_of_paths``. ``range_<field>``: an integer beyond 64 bits,
-    which R12 shows as NULL.
+    Rules: ``invalid_json, root_not_object, bad_token_name`` (where the schema allows no
+    other members), ``value_not_object`` and those of the schema's fields, for ``SITE_SCHEMA``
+    ``missing_<field>, type_<field>, range_<field>, enum_status, item_type_list_of_paths``.
+    ``range_<field>``: an integer beyond 64 bits, which R12 shows as NULL.
     A value that is not an object gets only ``value_not_object``; a badly named
     token only ``bad_token_name`` (its value is not checked). Of duplicate keys
     the last one counts (a session setting, see ``session.prepare``).
     """
+    root = _schema(schema)
     t = _tokens(reports, doc_col, text_col)
-    value = F.col("value")
-    named = F.col("token").rlike(TOKEN_PATTERN)
+    token, value, none = F.col("token"), F.col("value"), F.array().cast("array<string>")
     doc_level = F.when(F.col("invalid"), F.array(F.lit("invalid_json"))).when(
         ~F.col("root_is_object"), F.array(F.lit("root_not_object")))
     token_level = (
-        F.when(F.col("token").isNull(), F.array().cast("array<string>"))
-        .when(~named, F.array(F.lit("bad_token_name")))
-        .when(~is_object(value), F.array(F.lit("value_not_object")))
-        .otherwise(F.filter(F.array(*_token_rules(value)), lambda r: r.isNotNull()))
+        F.when(token.isNull(), none)
+        .when(~known_member(token, root), none if root.additional else F.array(F.lit("bad_token_name")))
+        .when(~is_type(value, "object"), F.array(F.lit("value_not_object")))
+        .otherwise(_token_rules(token, value, root))
     )
     rules = F.coalesce(doc_level, token_level)
     return t.select(F.col("doc").alias(doc_col), "token", F.explode(rules).alias("rule"))

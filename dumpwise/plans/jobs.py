@@ -120,7 +120,7 @@ def lost_job(spark: SparkSession, dumps: str, reports: str, dump_date: str, star
 
 
 def accounting_job(spark: SparkSession, dumps: str, reports: str, date: str, fmt: str = "parquet",
-                   mode: str = "errorifexists", cut_lineage: bool = False, split_hot_files: bool = False) -> None:
+                   mode: str = "errorifexists", cut_lineage: bool = False, split_hot_files: bool | None = None) -> None:
     """R7 as many files, globally ordered by (scope, name); optionally checkpointing its largest intermediate."""
     with _loaded(spark, dumps, date, ["replicas", "rses", "rse_metadata", "contents", "dids"], fmt) as t:
         out = accounting.global_accounting(t["replicas"], t["rses"], t["rse_metadata"], t["contents"], t["dids"],

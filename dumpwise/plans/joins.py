@@ -15,6 +15,7 @@ join in a few tasks. A job profiles each dimension once and passes the result.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -60,3 +61,17 @@ def join_dimension(fact: DataFrame, dim: DataFrame, on: Column | list[str] | str
     if small is None:
         small = fits(dim)
     return fact.join(F.broadcast(dim) if small else dim, on, how)
+
+
+def keep_matching(big: DataFrame, few: DataFrame, on: Mapping[str, str], max_bytes: int = DIMENSION_MAX_BYTES) -> DataFrame:
+    """Rows of ``big`` whose keys may occur in ``few``, filtered at its scan (``on``: column of ``big`` -> of ``few``).
+
+    A semi-join against the broadcast 64-bit hashes of the few keys, if these are
+    within ``max_bytes`` (measured by one job over ``few``); else ``big`` as it is. For joins of a
+    fact table with a selection so small that the fact rows need not be shuffled for it, at sizes
+    where no automatic broadcast happens. Hashes may collide, so the exact join still follows.
+    """
+    keys = few.select(F.xxhash64(*on.values()).alias("_wanted")).distinct()
+    if not fits(keys, max_bytes):
+        return big
+    return big.join(F.broadcast(keys), F.xxhash64(*on.keys()) == F.col("_wanted"), "left_semi")

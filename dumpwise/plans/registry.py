@@ -197,7 +197,7 @@ def q_datasets_per_rse(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The oracles state the rules in SQL's own terms: attributes by filtered maxima, one owner per file
 # from its parents, and one pass of FILTER aggregates over the storage classes.
 
-_SQL_ACCOUNTED = f"""
+_SQL_ACCOUNTED = """
 attributes as (
   select r.id, r.rse, r.rse_type,
          greatest(max(m.value) filter (m.key = 'type'), max('-2') filter (m.key = 'tier')) as type,
@@ -207,7 +207,8 @@ attributes as (
   group by all
 ),
 accounted as (
-  select id, rse, rse_type, tier from attributes where {accounting.DEFAULT_ELIGIBLE.replace('!=', '<>')}
+  select id, rse, rse_type, tier from attributes
+  where (type = 'DATADISK' and tier <> '3') or rse = 'CERN-PROD_TZDISK' or rse_type = 'TAPE'
 )"""
 
 _SQL_CLASSIFIED = """
@@ -237,10 +238,22 @@ owned as (
 )"""
 
 
+# Written out, not taken from the operator: storage classes and their conditions.
+_SQL_CLASSES = {
+    "prim_t0": "rse_type = 'DISK' and tier = '0' and type = 'primary'",
+    "prim_t1": "rse_type = 'DISK' and tier = '1' and type = 'primary'",
+    "prim_t2": "rse_type = 'DISK' and tier = '2' and type = 'primary'",
+    "secs_t0": "rse_type = 'DISK' and tier = '0' and type = 'secondary'",
+    "secs_t1": "rse_type = 'DISK' and tier = '1' and type = 'secondary'",
+    "secs_t2": "rse_type = 'DISK' and tier = '2' and type = 'secondary'",
+    "tape_t0": "rse_type = 'TAPE' and tier = '0'",
+    "tape_t1": "rse_type = 'TAPE' and tier = '1'",
+}
+
+
 def _sql_usage() -> str:
     cols, any_class = [], []
-    for short, kind, rse_type, tier in accounting.CLASSES:
-        cond = f"rse_type = '{rse_type}' and tier = '{tier}'" + (f" and type = '{kind}'" if kind else "")
+    for short, cond in _SQL_CLASSES.items():
         any_class.append(f"({cond})")
         for name, extra in (("", ""), ("accessed_", " and accessed_at is not null")):
             cols.append(f"count(fname) filter ({cond}{extra}) as {short}_{name}files")
@@ -257,9 +270,9 @@ def _sql_factors() -> str:
             "as accessed_at",
             "d.created_at as created_at", "coalesce(d.length, 0) as length", "coalesce(d.bytes, 0) as bytes"]
     for measure in ("files", "accessed_files", "bytes", "accessed_bytes"):
-        for short, *_ in accounting.CLASSES:
+        for short in _SQL_CLASSES:
             cols.append(f"u.{short}_{measure} as {accounting._report_name(short, measure)}")
-    for short, *_ in accounting.CLASSES:
+    for short in _SQL_CLASSES:
         cols.append(f"case when d.length is null or d.length = 0 then null else u.{short}_files / d.length end "
                     f"as {accounting._report_name(short, 'repl_factor')}")
     cols += [f"d.{m} as {m}" for m in accounting.METADATA] + ["coalesce(d.events, 0) as events"]
@@ -523,13 +536,19 @@ def _sql_items_strings(path: str) -> str:
     return (f"(len(list_filter(cast(json_extract(v, '{path}') as json[]), lambda x: coalesce(json_type(x), 'NULL') <> 'VARCHAR')) = 0)")
 
 
+# Written out, not taken from the operator's schema.
+_STRINGS = ("status", "status_message")
+_INTEGERS = ("total_space", "used_space", "num_files", "time_stamp")
+_FIELDS = ("status", "status_message", "total_space", "used_space", "num_files", "time_stamp", "list_of_paths")
+
+
 def _sql_space_usage() -> str:
     cols = ["doc_id", "token"]
-    for f in su.FIELDS:
+    for f in _FIELDS:
         p = f"$.{f}"
-        if f in su.STRING_FIELDS:
+        if f in _STRINGS:
             cols.append(f"case when json_type(v, '{p}') = 'VARCHAR' then json_extract_string(v, '{p}') end as {f}")
-        elif f in su.INTEGER_FIELDS:
+        elif f in _INTEGERS:
             cols.append(f"case when {_sql_is_int(p)} then {_sql_long(p)} end as {f}")
         else:
             cols.append(f"case when json_type(v, '{p}') = 'ARRAY' and {_sql_items_strings(p)} "
@@ -546,14 +565,16 @@ def _sql_violations() -> str:
         "select doc_id, token, 'value_not_object' from entries "
         "where regexp_full_match(token, '^([A-Z0-9]+([_-][A-Z0-9]+)*)$') and json_type(v) <> 'OBJECT'",
     ]
-    for f in su.REQUIRED:
+    for f in _FIELDS:
+        if f == "num_files":
+            continue  # optional
         parts.append(f"select doc_id, token, 'missing_{f}' from objs where json_type(v, '$.{f}') is null")
-    for f in su.FIELDS:
+    for f in _FIELDS:
         p = f"$.{f}"
-        ok = (f"json_type(v, '{p}') = 'VARCHAR'" if f in su.STRING_FIELDS else
-              _sql_is_int(p) if f in su.INTEGER_FIELDS else f"json_type(v, '{p}') = 'ARRAY'")
+        ok = (f"json_type(v, '{p}') = 'VARCHAR'" if f in _STRINGS else
+              _sql_is_int(p) if f in _INTEGERS else f"json_type(v, '{p}') = 'ARRAY'")
         parts.append(f"select doc_id, token, 'type_{f}' from objs where json_type(v, '{p}') is not null and not ({ok})")
-        if f in su.INTEGER_FIELDS:
+        if f in _INTEGERS:
             parts.append(f"select doc_id, token, 'range_{f}' from objs where {ok} and {_sql_long(p)} is null")
     parts.append("select doc_id, token, 'enum_status' from objs where json_type(v, '$.status') is not null and "
                  "not coalesce(json_type(v, '$.status') = 'VARCHAR' and "

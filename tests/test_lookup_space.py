@@ -113,3 +113,53 @@ def test_violations(spark):
     out = rows(space_usage_violations(_docs(spark, [c[0] for c in cases])))
     for i, (_, expected) in enumerate(cases):
         assert {(r["token"], r["rule"]) for r in out if r["doc_id"] == i} == expected, cases[i][0]
+
+
+OTHER_SCHEMA = """
+{"type": "object", "title": "queues",
+ "patternProperties": {
+  "^q[0-9]+$": {"type": "object", "additionalProperties": false, "required": ["depth", "mode"],
+   "properties": {
+    "depth": {"type": "integer", "minimum": 0, "maximum": 100},
+    "mode": {"type": ["string", "null"], "enum": ["fifo", "lifo", null], "description": "order"},
+    "rate": {"type": "number"}, "on": {"type": "boolean"}, "level": {"enum": [1, 2.5, true, "x"]},
+    "tag": {"type": "string", "pattern": "^[a-z]+$"},
+    "sizes": {"type": "array", "items": {"type": "integer", "minimum": 1}},
+    "owner": {"type": "object", "required": ["name"], "properties": {"name": {"type": "string"}}}}}},
+ "additionalProperties": true}
+"""
+
+
+def test_rules_come_from_the_schema_text(spark):
+    cases = [
+        ('{"q1": {"depth": 1, "mode": "fifo"}, "free": 7}', set()),
+        ('{"q1": {"depth": 3.0, "mode": null, "rate": 1.5, "on": true, "level": 2.5, "tag": "ab", "sizes": [1, 2], "owner": {"name": "n"}}}', set()),
+        ('{"q1": {}}', {"missing_depth", "missing_mode"}),
+        ('{"q1": 5}', {"value_not_object"}),
+        ('{"q1": {"depth": -1, "mode": "x"}}', {"minimum_depth", "enum_mode"}),
+        ('{"q1": {"depth": 101, "mode": 4}}', {"maximum_depth", "type_mode", "enum_mode"}),
+        ('{"q1": {"depth": "1", "mode": null, "rate": "2", "on": 1}}', {"type_depth", "type_rate", "type_on"}),
+        ('{"q1": {"depth": 1, "mode": null, "level": 1}}', set()),
+        ('{"q1": {"depth": 1, "mode": null, "level": true}}', set()),
+        ('{"q1": {"depth": 1, "mode": null, "level": false}}', {"enum_level"}),
+        ('{"q1": {"depth": 1, "mode": null, "tag": "A"}}', {"pattern_tag"}),
+        ('{"q1": {"depth": 1, "mode": null, "sizes": [1, "2"]}}', {"item_type_sizes"}),
+        ('{"q1": {"depth": 1, "mode": null, "sizes": [0]}}', {"item_broken_sizes"}),
+        ('{"q1": {"depth": 1, "mode": null, "owner": {}}}', {"missing_owner.name"}),
+        ('{"q1": {"depth": 1, "mode": null, "owner": {"name": 1}}}', {"type_owner.name"}),
+        ('{"q1": {"depth": 1, "mode": null, "owner": []}}', {"type_owner"}),
+        ('{"q1": {"depth": 1, "mode": null, "extra": 1}}', {"unknown_member"}),
+    ]
+    out = rows(space_usage_violations(_docs(spark, [c[0] for c in cases]), schema=OTHER_SCHEMA))
+    for i, (text, expected) in enumerate(cases):
+        assert {r["rule"] for r in out if r["doc_id"] == i} == expected, text
+    typed = rows(space_usage(_docs(spark, [cases[1][0], cases[6][0]]), schema=OTHER_SCHEMA), "doc_id")
+    assert (typed[0]["depth"], typed[0]["rate"], typed[0]["on"], typed[0]["tag"], typed[0]["sizes"]) == (3, 1.5, True, "ab", [1, 2])
+    assert (typed[1]["depth"], typed[1]["rate"], typed[1]["on"]) == (None, None, None)
+
+
+@pytest.mark.parametrize("text", ['{"type": "array"}', '{"type": "object", "patternProperties": {"a": {"type": "string"}}}', '[]',
+                                  '{"type": "object", "patternProperties": {"a": {"type": "object", "oneOf": []}}}', '{"type": "objekt"}'])
+def test_schemas_that_are_not_understood_are_refused(spark, text):
+    with pytest.raises(ValueError):
+        space_usage_violations(_docs(spark, ["{}"]), schema=text)
