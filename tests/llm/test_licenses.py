@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import re
+
 import duckdb
 from pyspark.sql import functions as F
 
-from dumpwise.llm.licenses import RULES, SENTENCES, TRIGGERS, oracle, scan_licenses
+from dumpwise.llm.licenses import ALL_TAGS, RULES, TRIGGERS, WORDS, oracle, scan_licenses
 
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
 of this software and associated documentation files (the "Software"), to deal.
@@ -18,8 +20,8 @@ DOCS = [
 
 
 def test_rules_use_known_sentences_and_every_sentence_triggers():
-    assert {i for _, _, ids in RULES for i in ids} <= set(SENTENCES)
-    assert all(any(t in s for t in TRIGGERS) for s in SENTENCES.values())
+    assert {i for _, _, ids in RULES for i in ids} == {*WORDS.values(), *(f"spdx-{t}" for t in ALL_TAGS)}
+    assert all(re.search("|".join(TRIGGERS), w) for w in WORDS)
 
 
 def test_licenses(spark):
@@ -77,8 +79,80 @@ def test_every_sentence_of_a_sentence_counts(spark):
     assert [x[1] for x in scan(spark, listed)] == ["MIT,CC-BY-NC-4.0", "MIT,Apache-2.0,CC-BY-4.0", "MIT,CC-BY-4.0"]
 
 
-def test_no_sentence_stands_inside_another_one():
-    assert not [(a, b) for a in SENTENCES.values() for b in SENTENCES.values() if f" {a} " in f" {b} " and not f"{b} ".startswith(f"{a} ")]
+def test_known_words_that_overlap_are_taken_alike():
+    """Where one ends with the beginning of another, the left one is the longer: from left to right and longest first agree."""
+    for a in WORDS:
+        for b in WORDS:
+            x, y = a.split(), b.split()
+            assert len(a) >= len(b) or not any(x[-k:] == y[:k] for k in range(1, min(len(x), len(y)))), (a, b)
+
+
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU {0} as published by
+the Free Software Foundation, either version {1} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU {0} for more details.
+
+You should have received a copy of the GNU {0}
+along with this program.  If not, see the web."""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+{}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY
+EXPRESS OR IMPLIED WARRANTIES, INCLUDING, ARE DISCLAIMED."""
+THIRD = """3. Neither the name of the holder nor the names of its contributors may be used to endorse
+   or promote products derived from this software without specific prior written permission.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or
+without fee is hereby granted, provided that the above copyright notice and this permission
+notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO IT."""
+FOUND = [  # text, licences, kinds
+    (GPL.format("Affero General Public License", 3), "AGPL-3.0", "copyleft"), (GPL.format("Lesser General Public License", "2.1"), "LGPL-2.1", "copyleft"),
+    (GPL.format("General Public License", 2), "GPL-2.0", "copyleft"), ("MIT License\n\nCopyright (c) 2020 A", "MIT", "permissive"), (ISC, "ISC", "permissive"),
+    ("This is free and unencumbered software released into the public domain.", "Unlicense", "permissive"), ("Creative Commons Attribution 4.0", "CC-BY-4.0", "permissive"),
+    ("This work: Creative Commons Attribution-NonCommercial 4.0 International.", "CC-BY-NC-4.0", "restricted"), ("licensed under CC BY-NC-SA 3.0 by X", "CC-BY-NC-SA-3.0", "restricted"),
+    ("Attribution: Creative Commons Attribution-Non Commercial-No Derivatives 4.0", "CC-BY-NC-ND-4.0", "restricted"),
+    ("// SPDX-License-Identifier: GPL-2.0-only\nint main;", "GPL-2.0", "copyleft"), ("# SPDX-License-Identifier: BSD-2-Clause", "BSD-2-Clause", "permissive"),
+    ("/* SPDX-License-Identifier: AGPL-3.0-or-later */", "AGPL-3.0", "copyleft"), ("SPDX-License-Identifier: MIT-0", "MIT-0", "permissive"),
+    ("SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0+ WITH Classpath-exception-2.0 -->", "MIT,Apache-2.0,GPL-2.0", "copyleft,permissive"),
+    (BSD.format(""), "BSD-2-Clause", "permissive"), (BSD.format(THIRD), "BSD-3-Clause", "permissive"), ("GPLv3 code", "GPL-3.0", "copyleft"),
+    ("You can use it under the Eclipse Public License 2.0 only", "EPL-2.0", "copyleft"),
+]
+UNKNOWN = [  # licence-like, but nothing known: must not look clean
+    ("This code is licensed under the Acme Source Agreement.", 1), ("SPDX-License-Identifier: LicenseRef-Acme OR MIT", 1), ("Attribution-NonCommercial 4.0, Creative Commons", 1),
+    ("Strictly for non commercial use. Proprietary code.", 2), ("GNU General Public License applies", 1), ("The licence question. Nothing here. Copyright law and human rights.", 0),
+]
+
+
+def test_common_licences_and_unknown_ones(spark):
+    got = scan(spark, [t for t, *_ in FOUND])
+    assert [(x[1], x[2], x[3]) for x in got] == [(licences, kinds, 0) for _, licences, kinds in FOUND]
+    got = scan(spark, [t for t, _ in UNKNOWN])
+    assert [x[3] for x in got] == [n for _, n in UNKNOWN] and [x[1] for x in got] == ["", "MIT", "", "", "", ""]
+
+
+def test_sql_twin_agrees_on_whole_licences(spark):
+    lines = FULL_MIT.split("\n")
+    texts = [t for t, *_ in FOUND] + [t for t, _ in UNKNOWN] + ["\n".join(f"{sign} {x}" for x in lines) for sign in ("#", "//", " *", "--", ";")]
+    texts += [" ".join(t.split()) for t, *_ in FOUND] + ["Licensed under the MIT license and CC BY 4.0", "MIT License MIT License mit license", FULL_MIT + "\n\n" + ISC + "\n\n" + BSD.format(THIRD), None]
+    rows = list(enumerate(texts))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    got = sorted(map(tuple, scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert got == sorted(con.sql(oracle()).fetchall())
 
 
 def test_every_kind_of_licence_line_in_the_tables(spark):
