@@ -35,7 +35,7 @@ from __future__ import annotations
 import json
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +54,7 @@ COUNTS = np.array([c for c, _ in SLOTS] + [0, 0])
 MAGIC = b"S8B1"
 FRAME_IDS = 16_384  # a frame is closed by the document that reaches this many ids
 BLOCK_WORDS = 256
-MEMO_WORDS = 1_200_000  # words a worker remembers (about 200 bytes each) before it starts afresh
+MEMO_WORDS = 2_000_000  # words a worker remembers (about 200 bytes each) before it starts afresh
 BYTES_PER_TASK = 64 << 20  # of text
 FEW_FILES = 1 << 20
 PLAIN = "\u0250"  # characters before this one: Latin letters that compose and change case by themselves
@@ -216,6 +216,21 @@ def spaces_cut(tokenizer: Tokenizer) -> bool:
     return all(ids(x + gap + y) == ids(x) + ids(y) for x in words for y in words for gap in [*" \t\n\v\f\r", " \r\n\t"])
 
 
+class Memo(dict):
+    """Ids by word; what is not there is worked out and kept, up to ``MEMO_WORDS``."""
+
+    def __init__(self, work: Callable[[bytes], bytes]):
+        super().__init__()
+        self.work = work
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.work(word)
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        self[word] = ids
+        return ids
+
+
 class WordEncoder:
     """Token ids of texts as little-endian uint32 bytes, in one Python worker."""
 
@@ -230,7 +245,7 @@ class WordEncoder:
         self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.byte_letters = self.tokenizer.model, byte_letters()
         self.packed = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
-        self.memo: dict[bytes, bytes] = {}
+        self.memo = Memo(self.word)
         self.marks: dict[str, bytes] = {}
 
     def ids(self, word: str) -> bytes:
@@ -243,23 +258,16 @@ class WordEncoder:
     def library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, words: set[bytes]) -> None:
-        """Put the ids of ``words`` into the memo; a word and its closing marks are looked up apart."""
-        memo, ids, tails = self.memo, self.ids, self.TAIL
-        for word in words:
-            text = word.decode()
-            core = text.rstrip(tails)
-            if core != text and core and core[-1] < PLAIN and core[-1].isalnum():
-                key, tail = core.encode(), text[len(core) :]
-                if (head := memo.get(key)) is None:
-                    head = memo[key] = ids(core)
-                if (rest := self.marks.get(tail)) is None:
-                    rest = self.library(tail)
-                    if len(self.marks) < 4096:
-                        self.marks[tail] = rest
-                memo[word] = head + rest
-            else:
-                memo[word] = ids(text)
+    def word(self, word: bytes) -> bytes:
+        """The ids of one word; a word and its closing marks are looked up apart."""
+        text = word.decode()
+        core = text.rstrip(self.TAIL)
+        if core == text or not core or core[-1] >= PLAIN or not core[-1].isalnum():
+            return self.ids(text)
+        tail = text[len(core) :]
+        if tail not in self.marks and len(self.marks) < 4096:
+            self.marks[tail] = self.library(tail)
+        return self.memo[core.encode()] + (self.marks.get(tail) or self.library(tail))
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         out = []
@@ -270,12 +278,6 @@ class WordEncoder:
                 # special strings are cut out of the text as it stands, so their case must stay
                 low = text.lower()
                 words = (text if any(map(low.__contains__, self.special)) else low).split()
-                fresh = set(words).difference(self.memo)
-                if fresh:
-                    if len(self.memo) + len(fresh) > MEMO_WORDS:
-                        self.memo = {}
-                        fresh = set(words)
-                    self.learn(fresh)
                 out.append(b"".join(map(self.memo.__getitem__, words)))
             else:
                 out.append(self.library(text.decode()))
