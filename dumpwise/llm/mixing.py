@@ -15,7 +15,8 @@ source's words come out at its target. Per source and size class (a factor of
 smallest, each class taking over what the classes before left open; inside a
 class a keyed race picks the documents in proportion to the fraction of their
 rate. A class is split into salts of about ``SALT_ROWS`` documents, so that no
-hot source is ranked in one task.
+hot source is ranked in one task. Rows of one id, size and source are ranked as
+one row with their number, so that a repeated or null id is never ranked row by row.
 
 Everything is a function of the rows and fixed constants: reruns agree. Cases:
 null text has size 0 (taken 0, one copy); null source is a source of its own,
@@ -57,7 +58,8 @@ def targets(sized: DataFrame, weights: Column | None = None) -> DataFrame:
     ``weights`` gives another expression over ``source`` and ``place``. A target
     stops at CAP times the source's words and the excess goes to the others by
     weight: target = min(cap, level * weight) for the level at which the targets
-    add up to all words. The windows run over one row per source.
+    add up to all words. The windows run over one row per source (a label; a few
+    hundred bytes each), in one task.
     """
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last()))
     weigh = weights if weights is not None else (F.pmod(F.col("place") - 1, F.lit(3)) + 1)
@@ -156,6 +158,20 @@ def _unit(key: Column, seed: str) -> Column:
     return (F.pmod(F.xxhash64(F.lit(seed), key), F.lit(2**52)).cast("double") + 0.5) / float(2**52)
 
 
+def _rows_again(dealt: DataFrame) -> DataFrame:
+    """``c`` rows for each row, the first ``lucky`` of them with one more copy.
+
+    A row that stands for more than SALT_ROWS is cut into spans first, which are dealt to all tasks.
+    """
+    many = F.col("c") > SALT_ROWS
+    spans = F.sequence(F.lit(0).cast("long"), F.col("c") - 1, F.lit(SALT_ROWS).cast("long"))
+    last = F.least(F.col("c"), F.col("from") + SALT_ROWS)
+    hot = dealt.where(many).withColumn("from", F.explode(spans)).withColumn("upto", last).repartition("doc_id", "size", "from")
+    rest = dealt.where(~many).withColumn("from", F.lit(0).cast("long")).withColumn("upto", F.col("c"))
+    nth = F.explode(F.sequence(F.col("from") + 1, F.col("upto")))
+    return rest.unionByName(hot).withColumn("nth", nth).withColumn("copies", F.col("base") + (F.col("nth") <= F.col("lucky")).cast("long"))
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = "mix", weights: Column | None = None) -> DataFrame:
     """``doc_id, size, source_size, target, taken, copies, rate`` for every document."""
     sized = staged(sizes(docs, id_col, text_col, source_col), "mix-docs")
@@ -168,19 +184,23 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         .drop("s_source", "mean", "multiplier")
     )
     rated = staged(rated, "mix-rates")
-    open_ = rated.where("part > 0")
-    classes = open_.groupBy("source", "class").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words"), F.sum(F.col("part") * F.col("size")).alias("wanted"))
+    # Rows of one id, size and source cannot be told apart: one row with their number stands for them until the copies are fixed.
+    kinds = rated.where("part > 0").groupBy("doc_id", "size", "source", "source_size", "target", "rate", "base", "part", "class").agg(F.count(F.lit(1)).alias("c"))
+    open_ = staged(kinds, "mix-open")
+    classes = open_.groupBy("source", "class").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("size")).alias("words"), F.sum(F.col("c") * F.col("part") * F.col("size")).alias("wanted"))
     allotted = staged(_allot(classes).withColumn("salts", F.ceil(F.col("n") / SALT_ROWS).cast("long")), "mix-classes")
     a = _small(allotted).select(F.col("source").alias("a_source"), F.col("class").alias("a_class"), "n", "k", "salts")
     salted = open_.join(a, F.col("source").eqNullSafe(F.col("a_source")) & (F.col("class") == F.col("a_class"))).withColumn("salt", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size"), F.col("salts")))
-    per_salt = salted.groupBy("source", "class", "salt", "n", "k").agg(F.count(F.lit(1)).alias("m"))
+    per_salt = salted.groupBy("source", "class", "salt", "n", "k").agg(F.sum("c").alias("m"))
     upto = F.sum("m").over(Window.partitionBy("source", "class").orderBy("salt"))
     share = lambda m: F.floor(F.col("k") * m / F.col("n") + 0.5)
     per_salt = per_salt.select(F.col("source").alias("p_source"), F.col("class").alias("p_class"), F.col("salt").alias("p_salt"), (share(upto) - share(upto - F.col("m"))).alias("extra"))
     race = -F.log(_unit(F.struct("doc_id", "size"), seed)) / F.col("part")
-    ranked = salted.withColumn("nth", F.row_number().over(Window.partitionBy("source", "class", "salt").orderBy(race, "doc_id")))
+    in_order = Window.partitionBy("source", "class", "salt").orderBy(race, "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = salted.withColumn("before", F.sum("c").over(in_order) - F.col("c"))
     same = F.col("source").eqNullSafe(F.col("p_source")) & (F.col("class") == F.col("p_class")) & (F.col("salt") == F.col("p_salt"))
-    chosen = ranked.join(per_salt, same).withColumn("copies", F.col("base") + (F.col("nth") <= F.col("extra")).cast("long"))
+    lucky = F.greatest(F.lit(0).cast("long"), F.least(F.col("c"), F.col("extra") - F.col("before")))
     columns = ["doc_id", "size", "source_size", "target", "rate", "copies"]
-    every = chosen.select(columns).unionByName(rated.where("part <= 0").withColumn("copies", F.col("base")).select(columns))
+    dealt = staged(ranked.join(per_salt, same).select(*columns[:-1], "base", "c", lucky.alias("lucky")), "mix-dealt")
+    every = _rows_again(dealt).select(columns).unionByName(rated.where("part <= 0").withColumn("copies", F.col("base")).select(columns))
     return every.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "copies", "rate")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import re
 
 import pytest
@@ -76,3 +77,36 @@ def test_repeated_rows_and_empty(spark):
     assert len(rows) == 5 and sum(r["taken"] for r in rows if r["doc_id"] == 1) <= 24
     assert mix(spark.createDataFrame([], schema)).count() == 0
     assert [r["target"] for r in mix(spark.createDataFrame([(1, None, None)], schema)).collect()] == [0.0]
+
+
+def test_a_hot_id_is_ranked_as_one_row(spark):
+    # a third of all rows share a null id and one size; they get their class's copies all the same
+    docs = [(i, "w " * (1 + i % 40), "a" if i % 2 else "b") for i in range(6_000)] + [(None, "w " * 20, "a")] * 3_000
+    rows = mix(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()
+    assert len(rows) == len(docs) and sum(r["doc_id"] is None for r in rows) == 3_000
+    taken = {}
+    for r in rows:
+        assert r["taken"] <= 3 * r["size"] and r["copies"] in (int(r["rate"]), int(r["rate"]) + 1)
+        taken[r["target"]] = taken.get(r["target"], 0) + r["taken"]
+    assert len(taken) == 2 and all(abs(words - target) <= 0.01 * target for target, words in taken.items())
+    again = mix(spark.createDataFrame(docs[::-1], "doc_id long, text string, source string").repartition(5)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, rows))
+
+
+def entropy_rates(sizes, target):
+    """The optimum by bisection of the dual: rates min(3, exp(m * size)) that take ``target`` words."""
+    low, high = -50.0, 50.0
+    rate = lambda m, s: min(3.0, math.exp(min(m * s / max(sizes), 50.0)))
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if sum(s * rate(mid, s) for s in sizes) < target else (low, mid)
+    return [rate(low, s) for s in sizes]
+
+
+def test_rates_are_the_entropy_optimum(spark):
+    docs = [(i, "w " * (1 + (i * 37) % 90), ["a", "b", "c"][0 if i % 10 < 6 else 1 if i % 10 < 8 else 2]) for i in range(600)]
+    rows = {r["doc_id"]: r for r in mix(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()}
+    for source in "abc":
+        ids = [d for d, _, s in docs if s == source]
+        want = entropy_rates([rows[d]["size"] for d in ids], rows[ids[0]]["target"])
+        assert [rows[d]["rate"] for d in ids] == pytest.approx(want, rel=1e-5)
