@@ -13,10 +13,17 @@ sufficient prefix: the rarest in the documents. The job
    must lie in the document (length bound); the candidate is then verified word
    for word over the item-sized window.
 
-The benchmark side is a broadcast of at most ``block_bytes`` of window text. A
-larger benchmark is cut into blocks of windows by hash; the documents pass
-through one block after the other and gather their spans, so no shuffle of
-document rows ever happens and no key can be hot.
+Windows of up to ``block_bytes`` are broadcast, and the documents pass through
+without a shuffle (two passes). A larger benchmark is never gathered: shingles
+are joined by a shuffle, in three passes over the documents whatever its size.
+A bit filter of at most 32 MB, built by an aggregate over the shingles' codes,
+keeps document shingles that no window has from leaving their task; counts come
+from a join on the code; then the occurrences of prefix tokens, each with the
+words around it, meet their windows in a join on the code, which verifies them
+where they meet. Copies of a text are one candidate there (spans belong to the
+text's digest). A token with very many occurrences is split by Spark's skew
+join, since nothing above reuses the join's partitioning. An item list per text
+and a text's spans in order are the only things one task holds.
 
 Words: A-Z lower-cased, ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``. Cases: a null or
 empty text has no words and is clean; a benchmark row without words gives no
@@ -28,25 +35,29 @@ document rows give repeated results.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dumpwise.llm.common import byte_column, mix64, words
+from dumpwise.llm.common import byte_column, mix64, staged, words
+from dumpwise.llm.wordhash import shingles_of_texts
 
 WINDOW = 10
 SHINGLE = 5
 BLOCK_BYTES = 4 << 20
 BATCH_WORDS = 1 << 20  # documents are matched in runs of about so many words
+FILTER_BITS = 28  # the bit filter has at most 2**28 bits (32 MB)
+SENT_ROWS = 1 << 12
 
 MARK = "struct<n_words: long, n_hit: long, n_items: long, items_sha256: string, contaminated: boolean>"
 _MARK_TYPE = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_())])
-FOUND = "struct<spans: array<struct<a: long, b: long>>, items: array<string>>"
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # with A-Z, which the words have in lower case
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -199,19 +210,18 @@ def _merge(spans: list[tuple[int, int]]) -> list[list[int]]:
     return out
 
 
-def _mark(index, last: bool):
-    """A column function: one block's spans and items added to those found so far; ``last`` digests them."""
+def _mark(index):
+    """A column function: a text's words, words hit, items and their digest, from a broadcast block of windows."""
 
-    @F.arrow_udf(MARK if last else FOUND)
-    def mark(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    @F.arrow_udf(MARK)
+    def mark(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         block: BlockIndex = index.value
-        for texts, before in batches:
+        for texts in batches:
             out: list[dict] = []
-            for first, end, held in _document_runs(texts):
+            for _, _, held in _document_runs(texts):
                 ids, starts = block.word_ids(held)
-                found = before.slice(first, end - first).to_pylist()
-                spans = [[(s["a"], s["b"]) for s in x["spans"]] for x in found]
-                items = [set(x["items"]) for x in found]
+                spans: list[list[tuple[int, int]]] = [[] for _ in held]
+                items: list[set[str]] = [set() for _ in held]
                 for window, at in block.matches(ids):
                     size = len(block.grams[window])
                     docs = np.searchsorted(starts, at, side="right") - 1
@@ -221,37 +231,161 @@ def _mark(index, last: bool):
                 for text, s, i in zip(held, map(_merge, spans), items):
                     hit = sum(b - a for a, b in s)
                     digest = hashlib.sha256(",".join(sorted(i)).encode()).hexdigest()
-                    out.append({"n_words": len(text), "n_hit": hit, "n_items": len(i), "items_sha256": digest, "contaminated": hit > 0} if last else
-                               {"spans": [{"a": a, "b": b} for a, b in s], "items": sorted(i)})
-            yield pa.array(out, _MARK_TYPE if last else before.type)
+                    out.append({"n_words": len(text), "n_hit": hit, "n_items": len(i), "items_sha256": digest, "contaminated": hit > 0})
+            yield pa.array(out, _MARK_TYPE)
 
     return mark
 
 
-def contamination_mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-                       block_bytes: int = BLOCK_BYTES) -> Column:
-    """A struct column over ``docs``: n_words, n_hit, n_items, items_sha256, contaminated."""
-    spark = docs.sparkSession
+def _broadcast_mark(docs: DataFrame, windows: DataFrame, text_col: str) -> Column:
+    """The mark of every text, the windows (few, by the caller's check) broadcast."""
+    context, text = docs.sparkSession.sparkContext, F.col(text_col).cast("string")
+    index = BlockIndex([(r["item"], bytes(r["window"])) for r in windows.collect()])
+    if index.windows:
+        shared = context.broadcast(index)
+        counted = docs.select(text.alias("text")).mapInArrow(partial(_count, index=shared), "size int, code long, n long").groupBy("size", "code").agg(F.sum("n").alias("n"))
+        # bounded by the block's own shingles
+        index.order({(r["size"], r["code"] & (2**64 - 1)): r["n"] for r in counted.collect()})
+    return _mark(context.broadcast(index))(text)
+
+
+def _window_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``wid, code, place`` of every shingle of every window."""
+    for batch in batches:
+        wids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        codes, starts, counts = shingles_of_texts(texts, SHINGLE)
+        per = np.where(counts == 0, 0, np.maximum(1, counts - SHINGLE + 1))
+        place = np.arange(len(codes)) - np.repeat(starts, per)
+        owner = np.repeat(np.arange(len(texts)), per).tolist()
+        yield pa.RecordBatch.from_arrays([pa.array([wids[k] for k in owner], pa.binary()), pa.array(codes.astype(np.int64)), pa.array(place.astype(np.int32))], names=["wid", "code", "place"])
+
+
+def bit_filter(codes: DataFrame) -> np.ndarray:
+    """The codes of a one-column table as a bit filter, gathered as bitmaps of 4 KB: 2**FILTER_BITS bits at most."""
+    n = max(1, codes.count())
+    bits = min(FILTER_BITS, max(16, math.ceil(math.log2(16 * n))))
+    place = F.pmod(F.col("code"), F.lit(1 << bits)) + 1
+    maps = codes.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    for r in maps.toLocalIterator():
+        at = (r["bucket"] - 1) * 4096
+        out[at : at + 4096] = np.frombuffer(bytes(r["bits"]), np.uint8)[: len(out) - at]
+    return out
+
+
+def _in_filter(codes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    at = (codes & np.uint64(len(bits) * 8 - 1)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def _candidates(texts: list[bytes | None], sizes: list[int], bits: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(text, word position, code) of the shingles in the filter, per shingle length."""
+    for size in sizes:
+        codes, starts, counts = shingles_of_texts(texts, size)
+        at = np.flatnonzero(_in_filter(codes, bits))
+        text = np.searchsorted(starts, at, side="right") - 1
+        enough = counts[text] >= size  # a shorter text's only shingle belongs to another length
+        yield text[enough], at[enough] - starts[text[enough]], codes[at[enough]]
+
+
+def _text_runs(column: pa.Array) -> Iterator[tuple[int, list[bytes | None]]]:
+    """Runs of texts of about BATCH_WORDS * 8 bytes, and where each begins."""
+    texts = column.cast(pa.large_binary()).to_pylist()
+    first, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text or b"")
+        if size >= 8 * BATCH_WORDS or i == len(texts) - 1:
+            yield first, texts[first : i + 1]
+            first, size = i + 1, 0
+
+
+def _seen(batches: Iterator[pa.RecordBatch], sizes: list[int], shared) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for _, texts in _text_runs(batch.column(0)):
+            for _, _, codes in _candidates(texts, sizes, shared.value):
+                unique, n = np.unique(codes, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(unique.astype(np.int64)), pa.array(n.astype(np.int64))], names=["code", "n"])
+
+
+def _around(batches: Iterator[pa.RecordBatch], sizes: list[int], shared) -> Iterator[pa.RecordBatch]:
+    """``digest, code, at, off, context``: a candidate's position, and the words around it (it is word ``off`` of them)."""
+    names = ["digest", "code", "at", "off", "context"]
+    types = [pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.binary())]
+    for batch in batches:
+        digests = batch.column(0).to_pylist()
+        for first, texts in _text_runs(batch.column(1)):
+            held: list[list] = [[] for _ in names]
+            split: tuple[int, list[bytes]] = (-1, [])
+            for found in _candidates(texts, sizes, shared.value):
+                for text, at, code in zip(*(x.tolist() for x in (found[0], found[1], found[2].astype(np.int64)))):
+                    if split[0] != text:
+                        split = text, words(texts[text])
+                    low = max(0, at - WINDOW)
+                    for column, value in zip(held, (digests[first + text], code, at, at - low, split[1][low : at + WINDOW])):
+                        column.append(value)
+                    if len(held[0]) >= SENT_ROWS:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(held, types)], names=names)
+                        held = [[] for _ in names]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(held, types)], names=names)
+
+
+def _found_by_shuffle(docs: DataFrame, windows: DataFrame, text_col: str) -> DataFrame:
+    """``digest, n_hit, n_items, items_sha256`` of the distinct texts that hold a window; every step is a join or an aggregate."""
+    context, text = docs.sparkSession.sparkContext, F.col(text_col).cast("string")
+    named = staged(windows.select(F.unhex(F.md5("window")).alias("wid"), "item", "window"), "decontaminate-windows")
+    distinct = named.select("wid", "window").dropDuplicates(["wid"])
+    shingles = staged(distinct.mapInArrow(_window_shingles, "wid binary, code long, place int"), "decontaminate-shingles")
+    length = F.size(F.split(F.col("window").cast("string"), " "))
+    sizes = sorted(r[0] for r in distinct.select(F.least(length, F.lit(SHINGLE)).alias("size")).distinct().collect())  # 1 to SHINGLE
+
+    bits = context.broadcast(bit_filter(shingles.select("code").distinct()))
+    seen = docs.select(text.alias("text")).mapInArrow(partial(_seen, sizes=sizes, shared=bits), "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "code", "place")).alias("r")
+    # a window with a shingle that no document has occurs nowhere
+    prefix = shingles.join(seen, "code", "left").groupBy("wid").agg(rarest).where("r.n > 0").select("wid", "r.code", "r.place")
+    gram = F.transform(F.split(F.col("window").cast("string"), " "), lambda w: w.cast("binary")).alias("gram")
+    tokens = staged(prefix.join(distinct, "wid").select("wid", "code", "place", gram), "decontaminate-tokens")
+
+    bits = context.broadcast(bit_filter(tokens.select("code").distinct()))
+    digest = F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary"))).alias("digest")
+    met = docs.select(digest, text.alias("text")).mapInArrow(partial(_around, sizes=sizes, shared=bits), "digest binary, code long, at int, off int, context array<binary>")
+    inside = F.slice("context", F.greatest(F.lit(1), F.col("off") - F.col("place") + 1), F.size("gram")) == F.col("gram")
+    verified = met.dropDuplicates(["digest", "code", "at"]).join(tokens, "code").where((F.col("off") >= F.col("place")) & inside)
+    start = F.col("at") - F.col("place")
+    spans = staged(verified.select("digest", "wid", start.alias("a"), (start + F.size("gram")).alias("b")), "decontaminate-spans")
+
+    earlier = F.coalesce(F.max("b").over(Window.partitionBy("digest").orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    fresh = F.greatest(F.lit(0), F.col("b") - F.greatest(F.col("a"), earlier)).cast("long")
+    hits = spans.select("digest", "a", "b").distinct().select("digest", fresh.alias("new")).groupBy("digest").agg(F.sum("new").alias("n_hit"))
+    items = spans.select("digest", "wid").distinct().join(named.select("wid", "item"), "wid").select("digest", "item").distinct()
+    listed = items.groupBy("digest").agg(F.sort_array(F.collect_list("item")).alias("items"))
+    return hits.join(listed, "digest").select("digest", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"))
+
+
+def marked(docs: DataFrame, benchmark: DataFrame, name: str = "mark", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+           block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` with one more column ``name``: a struct of n_words, n_hit, n_items, items_sha256, contaminated.
+
+    ``name`` must not be a column of ``docs`` yet.
+    """
     windows = item_windows(benchmark, item_col, item_text_col)
-    total = windows.agg(F.sum(F.octet_length("window") + F.octet_length("item") + 32)).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
-    block_of = F.pmod(F.xxhash64("window"), F.lit(blocks))
-    text = F.col(text_col).cast("string")
-    found = F.expr(f"cast(named_struct('spans', array(), 'items', array()) as {FOUND})")
-    for b in range(blocks):
-        # at most about block_bytes of window text by the cut above; a hot window's items are part of its block
-        held = windows.where(block_of == b).collect() if total else []
-        index = BlockIndex([(r["item"], bytes(r["window"])) for r in held])
-        if index.windows:
-            shared = spark.sparkContext.broadcast(index)
-            counted = docs.select(text.alias("text")).mapInArrow(partial(_count, index=shared), "size int, code long, n long").groupBy("size", "code").agg(F.sum("n").alias("n"))
-            # bounded by the block's own shingles
-            index.order({(r["size"], r["code"] & (2**64 - 1)): r["n"] for r in counted.collect()})
-        found = _mark(spark.sparkContext.broadcast(index), last=b == blocks - 1)(text, found)
-    return found
+    size = windows.agg(F.sum(F.octet_length("window") + F.octet_length("item") + 32)).first()[0] or 0
+    if size <= block_bytes:
+        return docs.withColumn(name, _broadcast_mark(docs, windows, text_col))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    key = "_" * (1 + max(map(len, [*docs.columns, name])))  # a name that no column has
+    found = _found_by_shuffle(docs, windows, text_col).withColumnRenamed("digest", key)
+    of = lambda c: F.col(f"{key}f.{c}")
+    none = F.sha2(F.lit("").cast("binary"), 256)
+    mark = F.struct(
+        F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"), F.coalesce(of("n_hit"), F.lit(0)).cast("long").alias("n_hit"), F.coalesce(of("n_items"), F.lit(0)).cast("long").alias("n_items"),
+        F.coalesce(of("items_sha256"), none).alias("items_sha256"), of("n_hit").isNotNull().alias("contaminated"),
+    )
+    found = found.select(key, F.struct("n_hit", "n_items", "items_sha256").alias(f"{key}f"))
+    return docs.withColumn(key, F.unhex(F.md5(text.cast("binary")))).join(found, key, "left").withColumn(name, mark).drop(key, f"{key}f")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """Per document: words, words inside benchmark windows, items met and their digest."""
-    mark = contamination_mark(docs, benchmark, text_col, **options)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), mark.alias("mark")).select("doc_id", "mark.*")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return marked(rows, benchmark, **options).select("doc_id", "mark.*")

@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from dumpwise.llm.decontaminate import contamination
+from dumpwise.llm.decontaminate import contamination, marked
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 SF = "/root/testdata/sf0.01"
@@ -58,9 +58,28 @@ def test_matches_brute_force(spark, block_bytes):
     assert run(spark, DOCS, ITEMS, block_bytes=block_bytes) == brute(DOCS, ITEMS)
 
 
-def test_empty_tables(spark):
-    assert run(spark, DOCS, []) == brute(DOCS, [])
-    assert run(spark, [], ITEMS) == []
+@pytest.mark.parametrize("block_bytes", [4 << 20, 0])
+def test_empty_tables(spark, block_bytes):
+    assert run(spark, DOCS, [], block_bytes=block_bytes) == brute(DOCS, [])
+    assert run(spark, [], ITEMS, block_bytes=block_bytes) == []
+
+
+def test_a_large_benchmark_is_not_gathered(spark):
+    """A third of all texts hold one passage, many items share one window, and a window repeats inside a text."""
+    shared = " ".join(f"s{i}" for i in range(12))
+    docs = [(i, f"d{i} {shared} e{i}" if i % 3 == 0 else f"w{i} w{i + 1} " * 9) for i in range(300)]
+    docs += [(1000 + i, f"copy {shared} {shared}") for i in range(50)] + [(None, shared), (7, None), (7, "")]
+    items = [(i, f"{shared} t{i}") for i in range(200)] + [(500 + i, f"w{i} w{i + 1} " * 6) for i in range(0, 300, 7)]
+    want = brute(docs, items)
+    assert run(spark, docs, items, block_bytes=0) == want == run(spark, docs, items)
+
+
+def test_marked_keeps_all_columns(spark):
+    d = spark.createDataFrame([(1, LONG, "x", 5), (None, None, None, None)], "doc_id long, text string, `a.b` string, digest int")
+    b = spark.createDataFrame([(1, LONG)], "item_id long, text string")
+    for block_bytes in (4 << 20, 0):
+        rows = sorted(marked(d, b, name="seen", block_bytes=block_bytes).collect(), key=str)
+        assert [(r["a.b"], r["digest"], r["seen"]["n_hit"], r["seen"]["n_words"]) for r in rows] == [("x", 5, 25, 25), (None, None, 0, 0)]
 
 
 def test_extra_columns(spark):
@@ -69,9 +88,10 @@ def test_extra_columns(spark):
     assert contamination(d, b).first()["n_hit"] == 25
 
 
-def test_whole_tables(spark):
+@pytest.mark.parametrize("block_bytes", [4 << 20, 0])
+def test_whole_tables(spark, block_bytes):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
-    got = run(spark, docs, items)
+    got = run(spark, docs, items, block_bytes=block_bytes)
     assert got == brute(docs, items)
     assert any(r[-1] for r in got)
