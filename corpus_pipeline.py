@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dumpwise.llm.common import ship, staged, table
-from dumpwise.llm.decontaminate import contamination_mark
+from dumpwise.llm.decontaminate import marked
 from dumpwise.llm.language_id import language_of, train
 from dumpwise.llm.mixing import mix
 from dumpwise.llm.ngram_join import joined_rows
@@ -53,7 +53,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
-    return docs.where(~contamination_mark(docs, table(spark, sf_dir, "benchmark"))["contaminated"])
+    mark = "_" * (1 + max(map(len, docs.columns)))  # a name that no column has
+    return marked(docs, table(spark, sf_dir, "benchmark"), name=mark).where(~F.col(mark)["contaminated"]).drop(mark)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
