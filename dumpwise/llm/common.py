@@ -70,6 +70,29 @@ def drained(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
     return run
 
 
+def table_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Consecutive rows whose first ``keys`` columns are equal; the rows come sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy() for k in range(keys)]
+        change = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            change[1:] |= c[1:] != c[:-1]
+        bounds = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            key = tuple(c[a] for c in columns)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 # Separators become a space and A-Z lower case, so that split() yields the words
 # [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ of the lower-cased text; bytes from 0x80 on stay.
 WORD_TABLE = bytes(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,3 +31,20 @@ def components(edges: DataFrame) -> DataFrame:
         labels = staged(labels.join(moves, F.col("label") == F.col("from"), "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
     named = labels.groupBy("label").agg(F.min("node").alias("component"))
     return labels.join(named, "label").select("node", "component")
+
+
+def roots(n: int, pairs: Iterator[tuple[int, int]]) -> list[int]:
+    """Smallest index of each index's component."""
+    root = list(range(n))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, j in pairs:
+        a, b = find(i), find(j)
+        if a != b:
+            root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(n)]

@@ -10,7 +10,7 @@ Links vectors with cosine >= 0.9 (double precision).
    A vector stands in its home cell and visits its probe cells.
 3. In a cell, residents are compared with everyone there by cosine; the cell
    hands on only enough edges to connect the pairs found. A cell of more than
-   ``CELL`` rows hands on an unverified star.
+   ``CELL`` rows does the same in tiles, in many tasks (``crowds``).
 4. The components of these edges are verification groups: all pairs of a group are
    compared exactly, in tiles of TILE vectors, each pair of tiles one piece of
    work. So no pair is ever a row, no group is capped, and links that hashing
@@ -38,9 +38,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dumpwise.llm.common import mix64, partitions, staged
+from dumpwise.llm.common import mix64, partitions, staged, table_groups
+from dumpwise.llm.crowds import crowded_edges
 from dumpwise.llm.graph import components
-from dumpwise.llm.ngram_join import _roots as roots_of
+from dumpwise.llm.graph import roots as roots_of
 
 THRESHOLD = 0.9
 SCALE = 2.0
@@ -113,32 +114,14 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values / np.sqrt((values**2).sum(axis=1))[:, None]
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """Consecutive rows whose first ``keys`` columns are equal; the rows come sorted by them."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(k).to_numpy() for k in range(keys)]
-        change = np.zeros(batch.num_rows, bool)
-        for c in columns:
-            change[1:] |= c[1:] != c[:-1]
-        bounds = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
-        for a, b in zip(bounds[:-1], bounds[1:]):
-            key = tuple(c[a] for c in columns)
-            if held and key != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            last = key
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield pa.Table.from_batches(held)
+def _near(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """Which pairs of vectors of equal length have a cosine that may reach the threshold."""
+    return _matrix(left) @ _matrix(right).T >= THRESHOLD - 1e-9
 
 
 def _cell_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges that connect the pairs found in each cell."""
-    for cell in _groups(batches, 1):
+    for cell in table_groups(batches, 1):
         ids, home = cell["class_id"].to_numpy(), cell["home"].to_numpy()
         if len(ids) < 2 or not home.any():
             continue
@@ -153,7 +136,7 @@ def _cell_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per piece of work and class: vectors linked directly, and the smallest class it is linked to by a chain."""
-    for piece in _groups(batches, 3):
+    for piece in table_groups(batches, 3):
         piece = piece.sort_by("class_id")
         ids, copies, tile = (piece[c].to_numpy() for c in ("class_id", "copies", "tile"))
         units = _matrix(piece["vector"].combine_chunks())
@@ -198,12 +181,15 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     placed = staged(classes.select("class_id", "vector").mapInArrow(cells, "cell long, class_id long, home boolean"), "lattice-cells")
     shared = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("inhabited"), F.min("class_id").alias("first"), F.max("class_id").alias("last"))
-    shared = shared.where("inhabited and first < last")
-    members = placed.join(shared.select("cell", "n", "first"), "cell")
-    stars = members.where(F.col("n") > cell_rows).select(F.col("class_id").alias("a"), F.col("first").alias("b"))
-    small = members.where(F.col("n") <= cell_rows).join(classes.select("class_id", "vector"), "class_id").select("cell", "class_id", "home", "vector")
+    shared = staged(shared.where("inhabited and first < last").select("cell", "n"), "lattice-shared")
+    filled = lambda test: placed.join(shared.where(test), "cell").join(classes.select("class_id", "vector"), "class_id").select("cell", "class_id", "home", "vector")
+    small = filled(F.col("n") <= cell_rows)
     edges = small.repartition(n, "cell").sortWithinPartitions("cell", "class_id").mapInArrow(_cell_edges, "a long, b long")
-    groups = staged(components(edges.unionByName(stars)), "lattice-groups")
+    if shared.where(F.col("n") > cell_rows).limit(1).count():
+        # probe cells of one vector may coincide with each other; once is enough
+        crowd = filled(F.col("n") > cell_rows).select("cell", "class_id", "vector").dropDuplicates(["cell", "class_id"])
+        edges = edges.unionByName(crowded_edges(crowd, "cell", "vector", _near, min(cell_rows, tile)))
+    groups = staged(components(edges), "lattice-groups")
 
     tiles = groups.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / tile).cast("long").alias("tiles")).withColumnRenamed("component", "group")
     placed = groups.join(tiles, F.col("component") == F.col("group")).join(classes, F.col("node") == F.col("class_id"))

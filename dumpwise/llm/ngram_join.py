@@ -10,7 +10,8 @@ Links documents whose sets of 5-word shingles have Jaccard similarity >= 0.8.
    uniform prior, the similarity given m matches of n is Beta(m+1, n-m+1); a
    pair is dropped as soon as the probability of reaching 0.8 falls below
    ``TOLERANCE``. A bucket hands on only enough edges to connect what survives. A
-   bucket of more than BUCKET classes hands on a star without pruning.
+   bucket of more than BUCKET classes does the same in tiles, in many tasks
+   (``crowds``).
 4. The components of these edges are the verification groups. A group holds
    the texts of its classes once; all its pairs are pruned as above and the
    rest is verified exactly on the shingles themselves. A group of more than
@@ -39,7 +40,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dumpwise.llm.common import byte_column, mix64, partitions, staged, words
-from dumpwise.llm.graph import components
+from dumpwise.llm.crowds import crowded_edges
+from dumpwise.llm.graph import components, roots
 from dumpwise.llm.wordhash import shingles_of_texts
 
 SHINGLE = 5
@@ -141,21 +143,10 @@ def runs(batches: Iterator[pa.RecordBatch], same: Callable[[dict], tuple]) -> It
         yield held
 
 
-def _roots(n: int, pairs: Iterator[tuple[int, int]]) -> list[int]:
-    """Smallest index of each index's component."""
-    root = list(range(n))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    for i, j in pairs:
-        a, b = find(i), find(j)
-        if a != b:
-            root[max(a, b)] = min(a, b)
-    return [find(i) for i in range(n)]
+def _near(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """Which pairs of signatures survive the incremental comparison."""
+    matrix = lambda column: np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, HASHES)
+    return surviving(matrix(left), matrix(right), least_matches())
 
 
 def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,8 +155,8 @@ def _bucket_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for bucket in runs(batches, lambda r: (r["band"],)):
         ids = [r["class_id"] for r in bucket]
         sigs = np.frombuffer(b"".join(r["signature"] for r in bucket), np.uint32).reshape(-1, HASHES)
-        roots = _roots(len(ids), zip(*np.nonzero(np.triu(surviving(sigs, sigs, least), 1))))
-        a, b = [ids[i] for i, r in enumerate(roots) if i != r], [ids[r] for i, r in enumerate(roots) if i != r]
+        root = roots(len(ids), zip(*np.nonzero(np.triu(surviving(sigs, sigs, least), 1))))
+        a, b = [ids[i] for i, r in enumerate(root) if i != r], [ids[r] for i, r in enumerate(root) if i != r]
         if a:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
@@ -239,10 +230,10 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.add.at(n, left, linked.astype(np.int64) @ copies[right])
         np.add.at(n, right, linked.T.astype(np.int64) @ copies[left])
         i, j = np.nonzero(linked)
-        roots = _roots(len(piece), zip(left[i].tolist(), right[j].tolist()))
+        root = roots(len(piece), zip(left[i].tolist(), right[j].tolist()))
         classes = [r["class_id"] for r in piece]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(classes, pa.int64()), pa.array(n), pa.array([classes[r] for r in roots], pa.int64()), pa.array([r["tiles"] for r in piece], pa.int64())], names=["class_id", "linked", "root", "tiles"]
+            [pa.array(classes, pa.int64()), pa.array(n), pa.array([classes[r] for r in root], pa.int64()), pa.array([r["tiles"] for r in piece], pa.int64())], names=["class_id", "linked", "root", "tiles"]
         )
 
 
@@ -266,12 +257,14 @@ def joined_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = staged(classes.withColumn("class_id", F.monotonically_increasing_id()), "ngram-classes")
 
     bands = staged(classes.select("class_id", "signature").mapInArrow(_bands, "band long, class_id long"), "ngram-bands")
-    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("class_id").alias("first")).where("n > 1")
+    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = staged(bands.join(shared, "band"), "ngram-members")
-    stars = members.where(F.col("n") > bucket).select(F.col("class_id").alias("a"), F.col("first").alias("b"))
-    small = members.where(F.col("n") <= bucket).join(classes.select("class_id", "signature"), "class_id").select("band", "class_id", "signature")
+    signed_members = lambda test: members.where(test).join(classes.select("class_id", "signature"), "class_id").select("band", "class_id", "signature")
+    small = signed_members(F.col("n") <= bucket)
     edges = small.repartition(n, "band").sortWithinPartitions("band", "class_id").mapInArrow(_bucket_edges, "a long, b long")
-    groups = staged(components(edges.unionByName(stars)), "ngram-groups")
+    if members.where(F.col("n") > bucket).limit(1).count():
+        edges = edges.unionByName(crowded_edges(signed_members(F.col("n") > bucket), "band", "signature", _near, bucket))
+    groups = staged(components(edges), "ngram-groups")
 
     tiles = (
         groups.join(classes, groups["node"] == classes["class_id"]).groupBy("component").agg(F.sum("n_words").alias("w"))
