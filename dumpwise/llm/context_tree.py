@@ -12,7 +12,8 @@ log10 probabilities of its bytes and its end.
 
 As Spark jobs:
 
-1. Documents are dealt into blocks of about ``BLOCK_BYTES``. A block reports its
+1. Documents are dealt into blocks of about ``BLOCK_BYTES``, by id and text (only
+   repetitions of a whole row share a block for certain). A block reports its
    distinct words and (DEPTH + 1)-byte windows with their training counts, as
    arrays per hash bucket.
 2. Buckets add the counts of all blocks up. Words get their corpus count back.
@@ -330,6 +331,11 @@ def _one(names: str, *values) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=names.split())
 
 
+def block_of(blocks: int) -> Column:
+    """Block of a row, by id and text: rows of one repeated or null id are spread like any others, and both reads of a row agree."""
+    return F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))
+
+
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Scores of every row; rows for which ``held_out`` is true are not learned from."""
     spark = docs.sparkSession
@@ -338,7 +344,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     buckets = max(4, blocks // 2)
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(blocks)))
+    rows = rows.withColumn("block", block_of(blocks))
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def text_rows():

@@ -91,3 +91,18 @@ def test_whole_table(spark):
     assert {r["doc_id"] for r in rows if r["held_out"]} == {r["doc_id"] for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2}
     held = [r for r in rows if r["held_out"]]
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def test_rows_of_one_id_are_spread_over_blocks(spark):
+    docs = spark.createDataFrame([(None, f"text {i}") for i in range(2000)], "doc_id long, text string")
+    sizes = [r["count"] for r in docs.groupBy(T.block_of(10).alias("block")).count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 300
+
+
+@pytest.mark.parametrize("one_id", [None, 7])
+def test_scores_of_rows_that_share_an_id(spark, one_id):
+    def scores(docs):
+        rows = T.score(spark.createDataFrame(docs, SCHEMA), F.col("held"), block_bytes=12).collect()
+        return sorted((r["held_out"], r["n_tokens"], r["n_known"], round(r["base_score"], 9), round(r["score"], 9)) for r in rows)
+
+    assert scores([(one_id, text, held) for _, text, held in DOCS]) == scores(DOCS)
