@@ -6,6 +6,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -27,6 +28,21 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def limited_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """For the steps run meanwhile, Arrow batches of about ``size`` bytes (one row at least); the setting is restored.
+
+    A batch of 10,000 rows of long texts or lists is held several times over, by the executor and by its Python worker.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's shuffle partition count (set by whoever sizes the cluster)."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -27,6 +27,11 @@ As Spark jobs:
 
 Nothing that grows with the corpus is broadcast or collected.
 
+A task's Python worker holds one block's distinct windows, or one bucket's, and
+what it hands over; texts pass in slices. Blocks and buckets are dealt round-robin
+by their number, and Arrow batches are kept to ``BATCH_BYTES``, since rows of texts
+and lists are long.
+
 Words are keyed by 64 bits of hash: among 10**10 distinct words a few pairs may
 share a count. Cases: null text is
 empty (one end token); without training rows all counts are 0 and every bit has
@@ -44,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dumpwise.llm.common import byte_column, drained, mix64, partitions, staged
+from dumpwise.llm.common import byte_column, drained, limited_batches, mix64, partitions, staged
 from dumpwise.llm.wordhash import word_hashes
 
 DEPTH = 5
@@ -55,6 +60,8 @@ SPACES = b" \t\n\r\x0b\x0c"
 SPACE_TABLE = bytes(0x20 if c in SPACES else c for c in range(256))
 BLOCK_BYTES = 16 << 20
 SLICE = 1 << 20
+PENDING = 1 << 18  # keys a tally collects at least before it adds them up
+BATCH_BYTES = 4 << 20
 MODEL_ROWS = 100_000
 LN10 = math.log(10)
 
@@ -127,26 +134,73 @@ def windows(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def add_up(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order with the sums of their counts."""
-    if not keys:
+    """Distinct keys in order with the sums of their counts; a stable sort merges runs of ordered keys."""
+    if not sum(map(len, keys)):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    unique, where = np.unique(np.concatenate(keys), return_inverse=True)
-    return unique, np.rint(np.bincount(where, np.concatenate(counts), len(unique))).astype(np.int64)
-
-
-def distinct_windows(texts: list[bytes], learned: list[bool]) -> tuple[np.ndarray, np.ndarray]:
-    """All distinct windows of the texts with their counts in the learned ones."""
-    keys: list[np.ndarray] = []
-    counts: list[np.ndarray] = []
-    for train in (True, False):
-        for codes, _ in windows([t for t, x in zip(texts, learned) if x == train]):
-            unique, n = np.unique(codes, return_counts=True)
-            keys.append(unique)
-            counts.append(n if train else np.zeros(len(n), np.int64))
-            if len(keys) > 16:
-                k, c = add_up(keys, counts)
-                keys, counts = [k], [c]
-    return add_up(keys, counts)
+    together = np.concatenate(keys)
+    order = np.argsort(together, kind="stable")
+    together = together[order]
+    new = np.ones(len(together), bool)
+    np.not_equal(together[1:], together[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    unique = together[first]
+    del together, new
+    return unique, np.add.reduceat(np.concatenate(counts)[order], first)
+
+
+class Tally:
+    """Distinct keys with the sums of their counts; what is pending is added up once it outgrows the rest."""
+
+    def __init__(self):
+        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pending: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, keys: np.ndarray, learned: bool) -> None:
+        """Count each key once per occurrence, or not at all if it is not learned from."""
+        unique, n = np.unique(keys, return_counts=True)
+        self.pending.append((unique, n if learned else np.zeros(len(n), np.int64)))
+        self.size += len(unique)
+        if self.size > max(PENDING, len(self.keys)):
+            self.total()
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct keys in order and their counts."""
+        if self.pending:
+            keys, counts = zip((self.keys, self.counts), *self.pending)
+            self.pending, self.size = [], 0
+            self.keys, self.counts = add_up(list(keys), list(counts))
+        return self.keys, self.counts
+
+
+class BlockTally:
+    """Words and windows of one block's texts, taken in slices, so that the texts need not be held."""
+
+    def __init__(self):
+        self.words, self.windows = Tally(), Tally()
+        self.texts: dict[bool, list[bytes]] = {True: [], False: []}
+        self.size = {True: 0, False: 0}
+
+    def add(self, text: bytes, learned: bool) -> None:
+        self.texts[learned].append(text)
+        self.size[learned] += len(text) + DEPTH + 1
+        if self.size[learned] >= SLICE:
+            self._count(learned)
+
+    def _count(self, learned: bool) -> None:
+        texts, self.texts[learned], self.size[learned] = self.texts[learned], [], 0
+        for keys, _ in word_keys(texts):
+            self.words.add(keys, learned)
+        for codes, _ in windows(texts):
+            self.windows.add(codes, learned)
+        self.words.add(np.full(len(texts), END_KEY), learned)
+
+    def totals(self) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+        """(kind, distinct keys in order, counts) of words and of windows."""
+        for learned in (True, False):
+            self._count(learned)
+        yield "w", *self.words.total()
+        yield "g", *self.windows.total()
 
 
 # --- the tree
@@ -337,50 +391,39 @@ def block_of(blocks: int) -> Column:
 
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Scores of every row; rows for which ``held_out`` is true are not learned from."""
+    """Scores of every row, staged; rows for which ``held_out`` is true are not learned from."""
+    with limited_batches(docs.sparkSession, BATCH_BYTES):
+        return staged(_scored(docs, held_out, id_col, text_col, block_bytes), "tree-scores")
+
+
+def _scored(docs: DataFrame, held_out: Column, id_col: str, text_col: str, block_bytes: int) -> DataFrame:
     spark = docs.sparkSession
     n = partitions(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
     buckets = max(4, blocks // 2)
+    numbered = lambda name: F.pmod(name, F.lit(n)).cast("int")  # noqa: E731  blocks and buckets go round the partitions
     rows = rows.withColumn("block", block_of(blocks))
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def text_rows():
-            for batch in batches:
-                yield from zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), byte_column(batch, "text"))
-
-        def report(block: int, texts: list[bytes], learned: list[bool]) -> Iterator[pa.RecordBatch]:
-            mine = np.array(learned)
-            unique: dict[bool, list[np.ndarray]] = {True: [], False: []}
-            counted: dict[bool, list[np.ndarray]] = {True: [], False: []}
-            for keys, owner in word_keys(texts):
-                train = mine[owner]
-                for side, part in ((True, keys[train]), (False, keys[~train])):
-                    found, n_found = np.unique(part, return_counts=True)
-                    unique[side].append(found)
-                    counted[side].append(n_found if side else np.zeros(len(found), np.int64))
-            ends = np.array([END_KEY]), np.array([sum(learned)])
-            keys, counts = add_up([*unique[True], *unique[False], ends[0]], [*counted[True], *counted[False], ends[1]])
-            for bucket, k, c in _by_bucket(hash_bucket(keys, buckets), keys, counts):
-                yield _one("kind bucket block keys counts", "w", bucket, block, k, c)
-            keys, counts = distinct_windows(texts, learned)
-            for bucket, k, c in _by_bucket(hash_bucket(keys, buckets), keys, counts):
-                yield _one("kind bucket block keys counts", "g", bucket, block, k, c)
-
-        current, texts, learned = None, [], []
-        for block, held, text in text_rows():
-            if block != current and current is not None:
-                yield from report(current, texts, learned)
-                texts, learned = [], []
-            current = block
-            texts.append((text or b"").lower())
-            learned.append(not held)
+        def report(block: int, found: BlockTally) -> Iterator[pa.RecordBatch]:
+            for kind, keys, counts in found.totals():
+                for bucket, k, c in _by_bucket(hash_bucket(keys, buckets), keys, counts):
+                    yield _one("kind bucket block keys counts", kind, bucket, block, k, c)
+
+        current, found = None, BlockTally()
+        for batch in batches:
+            for block, held, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), byte_column(batch, "text")):
+                if block != current:
+                    if current is not None:
+                        yield from report(current, found)
+                    current, found = block, BlockTally()
+                found.add((text or b"").lower(), not held)
         if current is not None:
-            yield from report(current, texts, learned)
+            yield from report(current, found)
 
-    dealt = rows.select("doc_id", "block", "held_out", "text").repartition(n, "block").sortWithinPartitions("block")
+    dealt = rows.select("doc_id", "block", "held_out", "text").repartitionById(n, numbered("block")).sortWithinPartitions("block")
     asked = staged(dealt.mapInArrow(drained(tally), TALLY), "tree-tally")
 
     def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -390,7 +433,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
             for r in held:
                 yield _one("block kind keys n lp", r["block"], "w", r["keys"], sums[np.searchsorted(unique, r["keys"])], np.zeros(0))
 
-    by_bucket = lambda df, *more: df.repartition(n, "bucket").sortWithinPartitions("bucket", *more)
+    by_bucket = lambda df, *more: df.repartitionById(n, numbered("bucket")).sortWithinPartitions("bucket", *more)
     words_answer = staged(by_bucket(asked.where("kind = 'w'")).mapInArrow(drained(word_counts), ANSWER), "tree-words")
     sums = words_answer.where("block = -1").agg(F.sum(F.col("n")[0]), F.sum(F.col("n")[1])).first()
     train_tokens, vocabulary = sums[0] or 0, sums[1] or 0
@@ -462,7 +505,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     # the texts follow their block's answers
     both = answers.select("block", "kind", "keys", "n", "lp", blank("long").alias("doc_id"), blank("boolean").alias("held_out"), blank("string").alias("text")).unionByName(
         rows.select("block", F.lit("x").alias("kind"), lists.alias("keys"), lists.alias("n"), F.expr("cast(array() as array<double>)").alias("lp"), "doc_id", "held_out", "text"))
-    placed = both.repartition(n, "block").sortWithinPartitions("block", "kind")
+    placed = both.repartitionById(n, numbered("block")).sortWithinPartitions("block", "kind")
     scored = placed.mapInArrow(_scores, "doc_id long, held_out boolean, n_tokens long, n_known long, n_bytes long, log_counts double, score double")
     base = F.col("log_counts") - F.col("n_tokens") * math.log10(train_tokens + vocabulary + 1)
     return scored.select(
@@ -472,22 +515,31 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
 
 
 class _Table:
-    """Values by key: a table of one entry per hash slot, binary search for the displaced."""
+    """Values by key: ordered by a hash, with the first entry of each of about as many slots; the next entries by steps, stragglers by binary search."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        order = np.argsort(keys)
-        self.keys, self.values = keys[order], values[order]
-        self.shift = np.uint64(64 - max(8, int(len(keys) * 8).bit_length()))
-        self.slots = np.zeros(1 << (64 - int(self.shift)), np.int32)
-        self.slots[self._slot(self.keys)] = np.arange(len(keys), dtype=np.int32)
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+        hashed = self._hash(keys)
+        order = np.argsort(hashed)
+        self.hashed, self.values = hashed[order], values[order]
+        self.shift = np.uint64(64 - max(8, len(keys).bit_length()))
+        slots = (self.hashed >> self.shift).astype(np.int64)
+        self.first = np.zeros((1 << (64 - int(self.shift))) + 1, np.int32)
+        np.cumsum(np.bincount(slots, minlength=len(self.first) - 1), out=self.first[1:])
+
+    @staticmethod
+    def _hash(keys: np.ndarray) -> np.ndarray:
+        return keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
-        at = self.slots[self._slot(keys)]
-        wrong = np.flatnonzero(self.keys[at] != keys)
-        at[wrong] = np.searchsorted(self.keys, keys[wrong])
+        hashed = self._hash(keys)
+        at = self.first[(hashed >> self.shift).astype(np.int64)]
+        wrong = np.flatnonzero(self.hashed[at] != hashed)
+        for _ in range(8):
+            if not len(wrong):
+                break
+            at[wrong] += 1
+            wrong = wrong[self.hashed[np.minimum(at[wrong], len(self.hashed) - 1)] != hashed[wrong]]
+        at[wrong] = np.searchsorted(self.hashed, hashed[wrong])
         return self.values[at]
 
 
@@ -533,9 +585,9 @@ def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 parts[kinds[i]].append((keys[i].copy(), (counts[i] if kinds[i] == "w" else lps[i]).copy()))
                 continue
             if tables is None:
-                cat = lambda kind, k: np.concatenate([p[k] for p in parts[kind]])
-                tables = _Table(cat("w", 0), np.log10(cat("w", 1) + 1)), _Table(cat("g", 0), cat("g", 1))
-                parts = {"w": [], "g": []}
+                (words, n), (window, lp) = (map(np.concatenate, zip(*parts.pop(kind))) for kind in ("w", "g"))
+                tables = _Table(words, np.log10(n + 1)), _Table(window, lp)
+                del words, n, window, lp
             run.append(i)
             size += len(texts[i] or b"")
             if size >= SLICE:

@@ -1,14 +1,17 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from dumpwise.llm import context_tree as T
+from dumpwise.llm.common import limited_batches
 from dumpwise.llm.language_id import fold_of
 
 SF = "/root/testdata/sf0.1"
@@ -106,3 +109,80 @@ def test_scores_of_rows_that_share_an_id(spark, one_id):
         return sorted((r["held_out"], r["n_tokens"], r["n_known"], round(r["base_score"], 9), round(r["score"], 9)) for r in rows)
 
     assert scores([(one_id, text, held) for _, text, held in DOCS]) == scores(DOCS)
+
+
+def peak(work):
+    """Most bytes held while ``work`` runs, and what it returns."""
+    tracemalloc.start()
+    try:
+        found = work()
+        return tracemalloc.get_traced_memory()[1], found
+    finally:
+        tracemalloc.stop()
+
+
+def test_tables_are_small_and_answer_every_key():
+    keys = np.unique(np.random.default_rng(1).integers(-(1 << 62), 1 << 62, 300_000)) & ~np.int64(0xFFF)
+    keys = np.concatenate([np.unique(keys), np.arange(1000)])
+    table = T._Table(keys, keys * 0.5)
+    assert (table(keys[::-1]) == keys[::-1] * 0.5).all()
+    assert sum(x.nbytes for x in vars(table).values() if isinstance(x, np.ndarray)) <= 25 * len(keys)
+    alone = T._Table(np.array([T.END_KEY]), np.array([3.0]))
+    assert alone(np.array([T.END_KEY, T.END_KEY])).tolist() == [3.0, 3.0]
+
+
+def test_a_slot_of_many_keys_is_answered():
+    inverse = pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+    keys = np.array([i * inverse % (1 << 64) for i in range(1000)], np.uint64).view(np.int64)  # hashes 0 to 999
+    assert (T._Table(keys, np.arange(1000.0))(keys[::-1]) == np.arange(1000.0)[::-1]).all()
+
+
+def test_a_block_is_tallied_without_its_texts(monkeypatch):
+    monkeypatch.setattr(T, "SLICE", 1 << 16)
+    monkeypatch.setattr(T, "PENDING", 1 << 12)
+    texts = [f"word{i % 50} and {i % 7} others {'again ' * (i % 5)}".encode() for i in range(60_000)]
+
+    def tally():
+        block = T.BlockTally()
+        for i, text in enumerate(texts):
+            block.add(bytes(bytearray(text)), i % 3 > 0)
+        return {kind: dict(zip(keys.tolist(), counts.tolist())) for kind, keys, counts in block.totals()}
+
+    most, found = peak(tally)
+    assert most < sum(map(len, texts)) * 2 and most < 6 << 20
+    want = Counter({k: 0 for keys, _ in T.word_keys(texts) for k in keys.tolist()} | {T.END_KEY: 0})
+    for keys, _ in T.word_keys(texts[1::3] + texts[2::3]):
+        want.update(keys.tolist())
+    assert found["w"] == want + Counter() | {k: 0 for k in want if not want[k]} | {T.END_KEY: 40_000}
+    grams = Counter({k: 0 for keys, _ in T.windows(texts) for k in keys.tolist()})
+    for keys, _ in T.windows(texts[1::3] + texts[2::3]):
+        grams.update(keys.tolist())
+    assert found["g"] == dict(grams)
+
+
+def test_adding_up_runs_takes_little_memory():
+    rng = np.random.default_rng(2)
+    runs = [np.unique(rng.integers(0, 1 << 20, 60_000)) for _ in range(16)]
+    n = sum(map(len, runs))
+    most, (keys, counts) = peak(lambda: T.add_up(runs, [np.ones(len(r), np.int64) for r in runs]))
+    assert most < 50 * n
+    want = Counter(k for r in runs for k in r.tolist())
+    assert keys.tolist() == sorted(want) and counts.tolist() == [want[k] for k in sorted(want)]
+
+
+def test_batches_are_limited_while_scoring_only(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen = spark.conf.get(key), []
+    plain = T.staged
+    monkeypatch.setattr(T, "staged", lambda df, name: seen.append((name, spark.conf.get(key))) or plain(df, name))
+    run(spark, DOCS)
+    assert {size for _, size in seen} == {str(T.BATCH_BYTES)} and "tree-scores" in dict(seen)
+    assert spark.conf.get(key) == before
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    texts = spark.range(0, 5000, 1, 1).select(F.repeat(F.lit("x"), 2000).alias("text"))
+    with limited_batches(spark, 1 << 20):
+        assert max(r["size"] for r in texts.mapInArrow(sizes, "size long").collect()) < 2 << 20
