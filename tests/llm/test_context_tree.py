@@ -186,3 +186,27 @@ def test_batches_are_limited_while_scoring_only(spark, monkeypatch):
     texts = spark.range(0, 5000, 1, 1).select(F.repeat(F.lit("x"), 2000).alias("text"))
     with limited_batches(spark, 1 << 20):
         assert max(r["size"] for r in texts.mapInArrow(sizes, "size long").collect()) < 2 << 20
+
+
+def test_packed_keys():
+    rng = np.random.default_rng(3)
+    for keys in (np.zeros(0, np.int64), np.zeros(3, np.int64), np.array([T.END_KEY, -1, 0, (1 << 63) - 1, -(1 << 63)]), np.sort(rng.integers(-(1 << 63), (1 << 63) - 1, 1000)), rng.integers(0, 300, 1000)):
+        assert (T.unpack(T.pack(keys)) == keys).all() and len(T.unpack(T.pack(keys))) == len(keys)
+    assert len(T.unpack(None)) == 0
+    near = np.sort(rng.integers(0, 1 << 30, 10_000)) | (1 << 45)
+    assert len(zlib.compress(T.pack(near), 1)) < 0.7 * len(zlib.compress(near.tobytes(), 1))
+
+
+def test_window_keys_are_staged_packed(spark, monkeypatch):
+    kinds = {}
+    plain = T.staged
+    monkeypatch.setattr(T, "staged", lambda df, name: kinds.update({name: dict(df.dtypes)}) or plain(df, name))
+    run(spark, DOCS)
+    assert kinds["tree-tally"]["keys"] == kinds["tree-words"]["keys"] == "binary"
+
+
+def test_more_blocks_than_partitions(spark):
+    docs = [(i, f"text {i} of {i % 3} or {i % 5}", i % 4 == 0) for i in range(30)]
+    assert len(docs) * 16 // 20 > 2 * 8  # blocks, partitions
+    for got, want in zip(run(spark, docs, block_bytes=20), run(spark, docs), strict=True):
+        assert got == pytest.approx(want, rel=1e-9, abs=1e-9)
