@@ -140,7 +140,7 @@ def test_a_slot_of_many_keys_is_answered():
 def test_a_block_is_tallied_without_its_texts(monkeypatch):
     monkeypatch.setattr(T, "SLICE", 1 << 16)
     monkeypatch.setattr(T, "PENDING", 1 << 12)
-    texts = [f"word{i % 50} and {i % 7} others {'again ' * (i % 5)}".encode() for i in range(60_000)]
+    texts = [4 * f"word{i % 50} and {i % 7} others {'again ' * (i % 5)}".encode() for i in range(60_000)]
 
     def tally():
         block = T.BlockTally()
@@ -149,7 +149,7 @@ def test_a_block_is_tallied_without_its_texts(monkeypatch):
         return {kind: dict(zip(keys.tolist(), counts.tolist())) for kind, keys, counts in block.totals()}
 
     most, found = peak(tally)
-    assert most < sum(map(len, texts)) * 2 and most < 6 << 20
+    assert most < 0.8 * sum(map(len, texts))
     want = Counter({k: 0 for keys, _ in T.word_keys(texts) for k in keys.tolist()} | {T.END_KEY: 0})
     for keys, _ in T.word_keys(texts[1::3] + texts[2::3]):
         want.update(keys.tolist())
